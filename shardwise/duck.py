@@ -1,0 +1,20 @@
+"""DuckDB views over the driver's parquet tables, for oracle checks in tests."""
+
+from __future__ import annotations
+
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+
+def connect(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(
+            f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir.rstrip('/')}/{t}.parquet')"
+        )
+    return con
