@@ -169,6 +169,16 @@ def _source_fingerprint(spark: SparkSession, path: str) -> str:
 _STORE_CACHE: dict[tuple[int, str], DataFrame] = {}
 
 
+def log_store_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the log store derived from ``{sf_dir}/events.parquet``,
+    written on first use."""
+    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
+    path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_log_store(derive_logs(spark.read.parquet(events_path)), path)
+    return path
+
+
 def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log store derived from ``{sf_dir}/events.parquet``.
 
@@ -179,11 +189,7 @@ def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (id(spark), sf_dir)
     if key in _STORE_CACHE:
         return _STORE_CACHE[key]
-    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_log_store(derive_logs(spark.read.parquet(events_path)), path)
-    df = read_log_store(spark, path)
+    df = read_log_store(spark, log_store_path(spark, sf_dir))
     _STORE_CACHE[key] = df
     return df
 

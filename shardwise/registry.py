@@ -94,13 +94,11 @@ GROUP BY ALL"""))
 def q_flagship(spark, sf_dir):
     logs = log_store(spark, sf_dir)
     b = off.shard_bounds(logs)
-    span = F.col("end_time") - F.col("begin_time")
     ranges = b.select(
         *K,
         (F.col("begin_time") + F.expr("(end_time - begin_time) div 4")).alias("start_time"),
         (F.col("begin_time") + F.expr("(3 * (end_time - begin_time)) div 4")).alias("end_time"),
     )
-    del span
     typed = src.scan_range(logs, ranges).select(*shape.schema_columns(FLAGSHIP_SCHEMA))
     secs = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("__time__"))
     hour = seconds_to_ntz(F.floor(secs / 3600) * 3600)

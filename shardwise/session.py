@@ -15,10 +15,12 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession:
+def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+                driver_memory: str = "16g") -> SparkSession:
     """A session tuned for this library; reuses an active one if present."""
     spark = (
         SparkSession.builder.master(master)
+        .config("spark.driver.memory", driver_memory)
         .appName("shardwise")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
