@@ -194,6 +194,19 @@ def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small control table built from literals on the JVM side (a local
+    relation: no Python worker, no RDD).  For per-shard / per-trigger rows."""
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(tuple(r), st.fields)])
+        for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -219,8 +232,8 @@ SHARDS_SCHEMA = (
 
 
 def shards_table(spark: SparkSession, project: str = PROJECT, store: str = STORE) -> DataFrame:
-    return spark.createDataFrame(
-        [(project, store, s, st, hb, he) for s, st, hb, he in SHARD_ROWS], SHARDS_SCHEMA
+    return literal_table(
+        spark, [(project, store, s, st, hb, he) for s, st, hb, he in SHARD_ROWS], SHARDS_SCHEMA
     )
 
 
@@ -230,8 +243,8 @@ CHECKPOINTS_SCHEMA = "consumer_group string, shard int, cursor_b64 string"
 def checkpoints_table(spark: SparkSession, logs: DataFrame) -> DataFrame:
     """Consumer checkpoints: shard 0 at 2024-01-10, shard 1 empty, shard 2 at
     its end (an exhausted read-only shard), shard 3 never committed."""
-    fixed = spark.createDataFrame(
-        [("g1", 0, "MTcwNDg0NDgwMDAwMDAwMDAwMA=="), ("g1", 1, "")], CHECKPOINTS_SCHEMA
+    fixed = literal_table(
+        spark, [("g1", 0, "MTcwNDg0NDgwMDAwMDAwMDAwMA=="), ("g1", 1, "")], CHECKPOINTS_SCHEMA
     )
     end2 = (
         logs.where(F.col("shard") == 2)

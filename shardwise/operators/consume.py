@@ -15,6 +15,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardwise.model import literal_table
 from shardwise.functions.shape import b64_to_cursor, cursor_to_b64, json_record
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds, start_from_checkpoint
 from shardwise.plans.ratelimit import batch_ranges, cap_records_per_shard
@@ -46,7 +47,7 @@ def direct_batch(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     starts = plan_starts(spark, logs, shards, checkpoints, consumer_group, mode, start_time)
     # the plan is one row per shard: fix it before the scan so the batch
     # query does not re-derive it in every branch
-    plan = spark.createDataFrame(starts.collect(), starts.schema)
+    plan = literal_table(spark, starts.collect(), starts.schema)
     capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
     return capped.select(
         *SHARD_KEY, "cursor", json_record(with_shard=True, ignore_tags=ignore_tags).alias("record")
@@ -85,13 +86,13 @@ def consume_once(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
             F.max_by("cursor_b64", b64_to_cursor(F.col("cursor_b64"))).alias("cursor_b64")
         )
     else:
-        ck = spark.createDataFrame([], CHECKPOINT_SCHEMA)
+        ck = literal_table(spark, [], CHECKPOINT_SCHEMA)
     starts = plan_starts(spark, logs, shards, ck, consumer_group, mode)
     starts_rows = starts.collect()  # one row per shard: the plan
     if not starts_rows:
         return {"batch_id": None, "records": 0}
     bid = _batch_id(starts_rows)
-    plan = spark.createDataFrame(starts_rows, starts.schema)
+    plan = literal_table(spark, starts_rows, starts.schema)
     capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
     out = capped.select(
         *SHARD_KEY, "cursor", json_record(with_shard=True).alias("record"), F.lit(bid).alias("batch_id")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shardwise.model import literal_table
 from shardwise.plans.offsets import SHARD_KEY
 
 # Look-ahead of the rate limiter and the "caught up" lag (s),
@@ -74,7 +75,7 @@ def rate_limit_cut(spark: SparkSession, logs: DataFrame, start: int, limits: lis
     hend = histogram_end(latest_min if latest_min is not None else start, start, now, look_ahead)
     if hend is None:
         rows = [(int(lim), int(latest_min), None) for lim in limits]
-        return spark.createDataFrame(rows, "max_offsets bigint, end_time bigint, logs bigint")
+        return literal_table(spark, rows, "max_offsets bigint, end_time bigint, logs bigint")
     h = histogram(spark, logs, start, hend, width)
     w = Window.orderBy("from_time").rowsBetween(Window.unboundedPreceding, -1)
     h = h.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))

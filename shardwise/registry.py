@@ -18,7 +18,7 @@ from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
 from shardwise.functions.convert import convert
-from shardwise.model import log_store, seconds_to_ntz, shards_table, checkpoints_table, table
+from shardwise.model import checkpoints_table, literal_table, log_store, seconds_to_ntz, shards_table, table
 from shardwise.plans import offsets as off
 from shardwise.plans import ratelimit as rl
 from shardwise.plans import shards as sh
@@ -40,7 +40,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _json_df(spark: SparkSession, texts: list[str]) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in texts], "offsets_json string")
+    return literal_table(spark, [(t,) for t in texts], "offsets_json string")
 
 
 def _parsed(spark: SparkSession, text: str) -> DataFrame:
@@ -198,7 +198,7 @@ rng AS (SELECT b.log_project, b.log_store, pl.shard, coalesce(cm.committed_time,
 @register("incremental_batch", with_logs(DUCK_SCAN, DUCK_INCR))
 def q_incremental_batch(spark, sf_dir):
     logs = log_store(spark, sf_dir)
-    lit_rows = lambda rows, col: spark.createDataFrame(
+    lit_rows = lambda rows, col: literal_table(spark,
         [(fx_p, fx_s, k, v) for fx_p, fx_s, k, v in rows], f"log_project string, log_store string, shard int, {col} bigint"
     )
     committed = lit_rows([("analytics", "events", k, fx.DAY10) for k in (0, 1, 2)], "end_time")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
-from shardwise.model import checkpoints_table, log_store, log_store_path, shards_table, table
+from shardwise.model import checkpoints_table, literal_table, log_store, log_store_path, shards_table, table
 from shardwise.operators import analytics as an
 from shardwise.operators import consume as co
 from shardwise.operators import sink as sk
@@ -188,7 +188,7 @@ def q_stream_sink_idempotent(spark, sf_dir):
 def q_write_observed(spark, sf_dir):
     items = _topic_source_items(spark, sf_dir, with_key=False)
     res = sk.observed_write(spark, items, scratch_dir(spark, "w11-store"), "analytics", "orders", max_dropped=0)
-    return spark.createDataFrame([(res["rows"], res["written"], res["dropped"])], "rows bigint, written bigint, dropped bigint")
+    return literal_table(spark, [(res["rows"], res["written"], res["dropped"])], "rows bigint, written bigint, dropped bigint")
 
 
 @register("foreach_batch_table")

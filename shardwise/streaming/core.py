@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardwise.model import LOG_SCHEMA, LOG_COLUMNS
+from shardwise.model import LOG_COLUMNS, LOG_SCHEMA, literal_table
 from shardwise.plans.offsets import SHARD_KEY
 from shardwise.session import path_exists
 
@@ -30,8 +30,10 @@ def stream_logs(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def from_start(stream: DataFrame, starts: DataFrame) -> DataFrame:
     """Logs at or after each shard's start second.  ``starts`` is the
-    per-shard start table (broadcast: one row per shard)."""
-    s = F.broadcast(starts.select(*SHARD_KEY, F.col("start_time").alias("_start")))
+    per-shard start table; it is resolved once (one row per shard) so micro-
+    batches do not recompute it, and broadcast into the stream."""
+    fixed = starts.select(*SHARD_KEY, F.col("start_time").alias("_start"))
+    s = F.broadcast(literal_table(stream.sparkSession, fixed.collect(), fixed.schema))
     return stream.join(s, SHARD_KEY).where(F.col("cursor_time") >= F.col("_start")).drop("_start")
 
 
@@ -92,7 +94,7 @@ def progress_rows(spark: SparkSession, query) -> DataFrame:
     """One row per trigger: (batch_id, num_input_rows); trigger counts are
     bounded by the run, not by the data."""
     rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id bigint, num_input_rows bigint")
+    return literal_table(spark, rows, "batch_id bigint, num_input_rows bigint")
 
 
 def pinned_start_offsets(spark: SparkSession, state_path: str, resolve: Callable[[], DataFrame]) -> DataFrame:
