@@ -19,30 +19,31 @@ DAY20 = 1705708800  # 2024-01-20 00:00:00
 SPLIT_KEY = "0f" + "0" * 30
 
 
-def lineitem_items(lineitem: DataFrame) -> DataFrame:
-    """Each lineitem row as a text map (the shape a log record has)."""
+def lineitem_items(lineitem: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Each lineitem row as a text map (the shape a log record has); ``x`` is
+    null (a missing key) when the tax is zero.  ``keys`` limits the map to the
+    entries a query reads (a map column cannot be pruned by the optimizer)."""
     s = lambda c: F.col(c).cast("string")
-    return lineitem.select(
-        "l_orderkey", "l_linenumber",
-        F.map_filter(
-            F.create_map(
-                F.lit("q"), s("l_quantity"),
-                F.lit("p"), s("l_extendedprice"),
-                F.lit("d"), s("l_discount"),
-                F.lit("x"), F.when(F.col("l_tax") > 0, s("l_tax")),
-                F.lit("sd"), F.col("l_shipdate").cast("date").cast("string"),
-                F.lit("ts"), s("l_shipdate"),
-                F.lit("ln"), s("l_linenumber"),
-                F.lit("ok"), s("l_orderkey"),
-                F.lit("comma"), F.concat(
-                    s("l_linenumber"), F.lit(","),
-                    F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0"), F.lit(".50"),
-                ),
-                F.lit("flag"), F.when(F.col("l_returnflag") == "R", F.lit("TRUE")).otherwise(F.lit("false")),
-            ),
-            lambda k, v: v.isNotNull(),
-        ).alias("contents"),
-    )
+    entries = {
+        "q": s("l_quantity"),
+        "p": s("l_extendedprice"),
+        "d": s("l_discount"),
+        "x": F.when(F.col("l_tax") > 0, s("l_tax")),
+        "sd": F.col("l_shipdate").cast("date").cast("string"),
+        "ts": s("l_shipdate"),
+        "ln": s("l_linenumber"),
+        "ok": s("l_orderkey"),
+        "comma": F.concat(
+            s("l_linenumber"), F.lit(","),
+            F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0"), F.lit(".50"),
+        ),
+        "flag": F.when(F.col("l_returnflag") == "R", F.lit("TRUE")).otherwise(F.lit("false")),
+    }
+    args = []
+    for k, v in entries.items():
+        if keys is None or k in keys:
+            args += [F.lit(k), v]
+    return lineitem.select("l_orderkey", "l_linenumber", F.create_map(*args).alias("contents"))
 
 
 # ---------------------------------------------------------------------------

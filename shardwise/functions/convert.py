@@ -45,48 +45,37 @@ def _fail(name: str, dtype: T.DataType, v: Column) -> Column:
     )
 
 
-def _checked(v: Column, ok: Column, converted: Column, name: str, dtype: T.DataType) -> Column:
-    return F.when(v.isNull(), F.lit(None).cast(dtype)).when(ok, converted).otherwise(
-        _fail(name, dtype, v).cast(dtype)
-    )
+def _checked(v: Column, converted: Column, name: str, dtype: T.DataType) -> Column:
+    """``converted`` where it is not null; null text stays null; any other
+    text that did not convert fails the query.  ``converted`` is referenced
+    once, so the parse runs once per value."""
+    return F.coalesce(converted, F.when(v.isNotNull(), _fail(name, dtype, v).cast(dtype)))
 
 
 def convert(v: Column, dtype: T.DataType, name: str = "value", nullable: bool = True) -> Column:
     """Strict text -> ``dtype`` conversion of a STRING column."""
     if isinstance(dtype, _INTEGRAL):
-        c = v.try_cast(dtype)
-        out = _checked(v, v.rlike(_INTEGRAL_TEXT) & c.isNotNull(), c, name, dtype)
+        out = _checked(v, F.when(v.rlike(_INTEGRAL_TEXT), v.try_cast(dtype)), name, dtype)
     elif isinstance(dtype, _FLOATING):
-        c = v.try_cast(dtype)
-        out = _checked(v, c.isNotNull(), c, name, dtype)
+        out = _checked(v, v.try_cast(dtype), name, dtype)
     elif isinstance(dtype, T.BooleanType):
         low = F.lower(v)
-        out = _checked(
-            v, low.isin("true", "false"), low == F.lit("true"), name, dtype
-        )
+        out = _checked(v, F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False)), name, dtype)
     elif isinstance(dtype, T.DecimalType):
-        c = F.regexp_replace(v, ",", "").try_cast(dtype)
-        out = _checked(v, c.isNotNull(), c, name, dtype)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        norm = F.regexp_replace(v, "T", " ")
-        fmt = F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")
-        c = F.try_to_timestamp(norm, fmt)
-        if isinstance(dtype, T.TimestampNTZType):
-            c = F.when(c.isNotNull(), F.to_timestamp_ntz(norm, fmt))
-        out = _checked(v, c.isNotNull(), c, name, dtype)
-    elif isinstance(dtype, T.DateType):
-        norm = F.regexp_replace(v, "T", " ")
-        c = F.to_date(F.try_to_timestamp(norm, F.lit("yyyy-MM-dd[ HH:mm:ss[.SSSSSSSSS]]")))
-        out = _checked(v, c.isNotNull(), c, name, dtype)
+        out = _checked(v, F.regexp_replace(v, ",", "").try_cast(dtype), name, dtype)
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        # date, date-time with blank or ISO 'T', optional fraction (and, for
+        # TIMESTAMP, an optional zone) -- the forms Spark's cast accepts
+        out = _checked(v, v.try_cast(dtype), name, dtype)
     elif isinstance(dtype, T.StringType):
         out = v
     else:
         raise UnsupportedTypeError(f"Unsupported type {dtype.simpleString()} for field {name}")
     if not nullable:
-        out = F.when(
-            v.isNull(),
-            F.raise_error(F.lit(f"null value found but field {name} is not nullable.")).cast(dtype),
-        ).otherwise(out)
+        out = F.coalesce(
+            out,
+            F.when(v.isNull(), F.raise_error(F.lit(f"null value found but field {name} is not nullable.")).cast(dtype)),
+        )
     return out
 
 

@@ -174,29 +174,24 @@ def project(logs, schema: T.StructType | None = None, append_sequence_number: bo
     return logs.select(*schema_columns(schema))
 
 
-def json_record(with_shard: bool = False, ignore_tags: bool = False) -> Column:
-    """One JSON text per log: ``__time__`` (a number), ``__topic__``,
-    ``__source__``, [``__shard__`` number], contents, ``__tag__:`` keys.
-
-    Numbers come first, then the sorted string entries.  Later entries win:
-    contents replace metadata keys, tags replace contents keys.
-    """
+def record_strings(ignore_tags: bool = False) -> Column:
+    """String entries of a JSON record: topic and source, then contents, then
+    ``__tag__:`` keys -- later entries win -- with null values left out."""
     meta = F.create_map(F.lit(TOPIC_FIELD), F.col("topic"), F.lit(SOURCE_FIELD), F.col("source"))
     parts = [meta, F.col("contents")] + ([] if ignore_tags else [prefixed_tags()])
-    strings = merge_later_wins(*parts)
-    strings = drop_null_values(strings)
+    return drop_null_values(merge_later_wins(*parts))
+
+
+def record_text(strings: Column, with_shard: bool = False) -> Column:
+    """``{"__time__":N[,"__shard__":S],<sorted string entries>}``; a number is
+    left out when a string entry has its key (the string wins)."""
     numbers = [(TIME_FIELD, log_epoch_seconds())]
     if with_shard:
         numbers.append((SHARD_FIELD, F.col("shard")))
-    head_parts = []
-    for key, val in numbers:
-        head_parts.append(
-            F.when(
-                ~F.map_contains_key(strings, F.lit(key)),
-                F.concat(F.lit(f'"{key}":'), val.cast("string")),
-            )
-        )
-    head = F.concat_ws(",", *head_parts)
+    head = F.concat_ws(",", *[
+        F.when(~F.map_contains_key(strings, F.lit(key)), F.concat(F.lit(f'"{key}":'), val.cast("string")))
+        for key, val in numbers
+    ])
     body = F.when(F.size(strings) == 0, F.lit("")).otherwise(
         _strip_braces(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(strings)))))
     )
@@ -204,5 +199,23 @@ def json_record(with_shard: bool = False, ignore_tags: bool = False) -> Column:
     return F.concat(F.lit("{"), inner, F.lit("}"))
 
 
+def json_record(with_shard: bool = False, ignore_tags: bool = False) -> Column:
+    """One JSON text per log as a single Column (see ``with_json_record`` for
+    the cheaper two-step form)."""
+    return record_text(record_strings(ignore_tags), with_shard)
+
+
+def with_json_record(df, name: str = "record", with_shard: bool = False, ignore_tags: bool = False):
+    """Add the JSON record as ``name``.  The merged string map is projected
+    once and read three times by the next projection (the optimizer keeps the
+    two projections apart because the map is referenced more than once)."""
+    tmp = "__record_strings__"
+    return (
+        df.withColumn(tmp, record_strings(ignore_tags))
+        .withColumn(name, record_text(F.col(tmp), with_shard))
+        .drop(tmp)
+    )
+
+
 def _strip_braces(j: Column) -> Column:
     return F.regexp_extract(j, r"^\{(.*)\}$", 1)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardwise.model import literal_table
-from shardwise.functions.shape import b64_to_cursor, cursor_to_b64, json_record
+from shardwise.functions.shape import b64_to_cursor, cursor_to_b64, with_json_record
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds, start_from_checkpoint
 from shardwise.plans.ratelimit import batch_ranges, cap_records_per_shard
 from shardwise.plans.shards import skip_exhausted_shards
@@ -49,9 +49,7 @@ def direct_batch(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     # query does not re-derive it in every branch
     plan = literal_table(spark, starts.collect(), starts.schema)
     capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
-    return capped.select(
-        *SHARD_KEY, "cursor", json_record(with_shard=True, ignore_tags=ignore_tags).alias("record")
-    )
+    return with_json_record(capped, with_shard=True, ignore_tags=ignore_tags).select(*SHARD_KEY, "cursor", "record")
 
 
 def commit_offsets(checkpoints: DataFrame, ranges: DataFrame, consumer_group: str) -> DataFrame:
@@ -94,8 +92,8 @@ def consume_once(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     bid = _batch_id(starts_rows)
     plan = literal_table(spark, starts_rows, starts.schema)
     capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
-    out = capped.select(
-        *SHARD_KEY, "cursor", json_record(with_shard=True).alias("record"), F.lit(bid).alias("batch_id")
+    out = with_json_record(capped, with_shard=True).select(
+        *SHARD_KEY, "cursor", "record", F.lit(bid).alias("batch_id")
     )
     (
         out.write.mode("overwrite")

@@ -506,7 +506,7 @@ def q_project_schema(spark, sf_dir):
     f"""SELECT shard, "cursor",
   '{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record FROM logs"""))
 def q_project_json_record(spark, sf_dir):
-    return log_store(spark, sf_dir).select("shard", "cursor", shape.json_record().alias("record"))
+    return shape.with_json_record(log_store(spark, sf_dir)).select("shard", "cursor", "record")
 
 
 DUCK_RECORD_NO_TAGS = (
@@ -521,11 +521,9 @@ DUCK_RECORD_NO_TAGS = (
   '{{"__time__":' || cast(cursor_time AS varchar) || ',"__shard__":' || cast(shard AS varchar) || ',' || substr(cast({DUCK_RECORD_NO_TAGS} AS varchar), 2) AS record_no_tags
 FROM logs"""))
 def q_project_json_record_shard(spark, sf_dir):
-    return log_store(spark, sf_dir).select(
-        "shard", "cursor",
-        shape.json_record(with_shard=True).alias("record"),
-        shape.json_record(with_shard=True, ignore_tags=True).alias("record_no_tags"),
-    )
+    logs = shape.with_json_record(log_store(spark, sf_dir), "record", with_shard=True)
+    logs = shape.with_json_record(logs, "record_no_tags", with_shard=True, ignore_tags=True)
+    return logs.select("shard", "cursor", "record", "record_no_tags")
 
 
 SCHEMA_J5 = T.StructType([
@@ -587,13 +585,13 @@ def _conflicting(logs: DataFrame) -> DataFrame:
     'user_id', c_user_id, 'value', c_value) AS varchar), 2) AS j3_record
 FROM logs"""))
 def q_key_precedence(spark, sf_dir):
-    c = _conflicting(log_store(spark, sf_dir))
+    c = shape.with_json_record(_conflicting(log_store(spark, sf_dir)), "j3_record")
     return c.select(
         F.col("contents").getItem("msg").alias("msg"),
         shape.default_columns()[6].alias("j1_value"),
         shape.field_text("__topic__").alias("j2_topic"),
         shape.field_text("__tag__:__hostname__").alias("j2_tag"),
-        shape.json_record().alias("j3_record"),
+        "j3_record",
     )
 
 
@@ -608,8 +606,8 @@ def q_store_identity(spark, sf_dir):
     return parsed.join(off.earliest_offsets(logs).select(*K, "begin_time"), K, "left")
 
 
-def _items(spark, sf_dir):
-    return fx.lineitem_items(table(spark, sf_dir, "lineitem"))
+def _items(spark, sf_dir, *keys):
+    return fx.lineitem_items(table(spark, sf_dir, "lineitem"), list(keys) or None)
 
 
 def _typed(items: DataFrame, fields: list[tuple[str, T.DataType]], nullable: bool = True) -> DataFrame:
@@ -623,7 +621,7 @@ def _typed(items: DataFrame, fields: list[tuple[str, T.DataType]], nullable: boo
     """SELECT l_orderkey, l_linenumber, cast(ln AS TINYINT) AS ln_byte, cast(ln AS SMALLINT) AS ln_short,
   cast(ln AS INT) AS ln, cast(ok AS BIGINT) AS ok FROM items""", fx.DUCK_ITEMS))
 def q_convert_integral(spark, sf_dir):
-    it = _items(spark, sf_dir)
+    it = _items(spark, sf_dir, "ln", "ok")
     c = F.col("contents").getItem
     return it.select(
         "l_orderkey", "l_linenumber",
@@ -638,45 +636,45 @@ def q_convert_integral(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber, cast(q AS DOUBLE) AS q, cast(p AS DOUBLE) AS p,
   cast(cast(d AS FLOAT) AS DOUBLE) AS d FROM items""", fx.DUCK_ITEMS))
 def q_convert_floating(spark, sf_dir):
-    t = _typed(_items(spark, sf_dir), [("q", T.DoubleType()), ("p", T.DoubleType()), ("d", T.FloatType())])
+    t = _typed(_items(spark, sf_dir, "q", "p", "d"), [("q", T.DoubleType()), ("p", T.DoubleType()), ("d", T.FloatType())])
     return t.withColumn("d", F.col("d").cast("double"))
 
 
 @register("convert_boolean", with_logs(
     "SELECT l_orderkey, l_linenumber, lower(flag) = 'true' AS flag FROM items", fx.DUCK_ITEMS))
 def q_convert_boolean(spark, sf_dir):
-    return _typed(_items(spark, sf_dir), [("flag", T.BooleanType())])
+    return _typed(_items(spark, sf_dir, "flag"), [("flag", T.BooleanType())])
 
 
 @register("convert_decimal", with_logs(
     "SELECT l_orderkey, l_linenumber, cast(replace(comma, ',', '') AS DECIMAL(12,2)) AS comma FROM items", fx.DUCK_ITEMS))
 def q_convert_decimal(spark, sf_dir):
-    return _typed(_items(spark, sf_dir), [("comma", T.DecimalType(12, 2))])
+    return _typed(_items(spark, sf_dir, "comma"), [("comma", T.DecimalType(12, 2))])
 
 
 @register("convert_timestamp", with_logs(
     "SELECT l_orderkey, l_linenumber, cast(ts AS TIMESTAMP) AS ts FROM items", fx.DUCK_ITEMS))
 def q_convert_timestamp(spark, sf_dir):
-    return _typed(_items(spark, sf_dir), [("ts", T.TimestampNTZType())])
+    return _typed(_items(spark, sf_dir, "ts"), [("ts", T.TimestampNTZType())])
 
 
 @register("convert_date", with_logs(
     "SELECT l_orderkey, l_linenumber, cast(sd AS DATE) AS sd FROM items", fx.DUCK_ITEMS))
 def q_convert_date(spark, sf_dir):
-    return _typed(_items(spark, sf_dir), [("sd", T.DateType())])
+    return _typed(_items(spark, sf_dir, "sd"), [("sd", T.DateType())])
 
 
 @register("convert_string", with_logs(
     "SELECT l_orderkey, l_linenumber, x, flag FROM items", fx.DUCK_ITEMS))
 def q_convert_string(spark, sf_dir):
-    return _typed(_items(spark, sf_dir), [("x", T.StringType()), ("flag", T.StringType())])
+    return _typed(_items(spark, sf_dir, "x", "flag"), [("x", T.StringType()), ("flag", T.StringType())])
 
 
 @register("null_in_non_nullable", with_logs(
     "SELECT l_orderkey, l_linenumber, 'x' AS field, 'null value found but field x is not nullable.' AS reason FROM items WHERE x IS NULL",
     fx.DUCK_ITEMS))
 def q_null_in_non_nullable(spark, sf_dir):
-    it = _items(spark, sf_dir)
+    it = _items(spark, sf_dir, "x")
     return it.where(F.col("contents").getItem("x").isNull()).select(
         "l_orderkey", "l_linenumber", F.lit("x").alias("field"),
         F.lit("null value found but field x is not nullable.").alias("reason"),

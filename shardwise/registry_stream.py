@@ -249,7 +249,8 @@ def q_receiver_stream_union(spark, sf_dir):
     base = st.stream_logs(spark, src, 10)
     groups = [[0, 2], [1, 3]]
     parts = [base.where(F.col("shard").isin(g)) for g in groups]
-    u = parts[0].unionByName(parts[1]).select("shard", F.encode(shape.json_record(), "UTF-8").alias("payload"))
+    u = shape.with_json_record(parts[0].unionByName(parts[1])).select(
+        "shard", F.encode("record", "UTF-8").alias("payload"))
     out = scratch_dir(spark, "s8-out")
     st.run_available_now(u, scratch_dir(spark, "s8-ck"), st.idempotent_writer(out))
     got = st.read_batches(spark, out)
@@ -283,15 +284,17 @@ def q_window_count_watermark(spark, sf_dir):
 
 @register("late_data_drop")
 def q_late_data_drop(spark, sf_dir):
-    """Two files, the second entirely older than the watermark of the first:
-    in append mode its rows are dropped."""
+    """Two parts, the second entirely older than the watermark reached by the
+    first: in append mode its rows are dropped.  The first trigger takes all
+    files of the first part (written first), so the result is repeatable."""
     logs = log_store(spark, sf_dir)
     stage = scratch_dir(spark, "q2-in")
     logs.where(F.col("cursor_time") >= fx.DAY10).write.parquet(f"{stage}/part=1")
     logs.where(F.col("cursor_time") < fx.DAY10).write.parquet(f"{stage}/part=2")
+    n_first = len(spark.read.parquet(f"{stage}/part=1").inputFiles())
     import shardwise.model as m
 
-    s = spark.readStream.schema(m.LOG_SCHEMA).option("maxFilesPerTrigger", 1).option(
+    s = spark.readStream.schema(m.LOG_SCHEMA).option("maxFilesPerTrigger", max(1, n_first)).option(
         "recursiveFileLookup", "true").parquet(stage)
     s = _ts(s).withWatermark("t", "10 seconds")
     agg = s.groupBy(F.window("t", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("count"))
@@ -382,7 +385,7 @@ def q_top_k_desc(spark, sf_dir):
   SELECT length('{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2)) AS len,
   count(*) AS records FROM logs GROUP BY 1)"""))
 def q_count_by_length(spark, sf_dir):
-    recs = log_store(spark, sf_dir).select(shape.json_record().alias("record"))
+    recs = shape.with_json_record(log_store(spark, sf_dir)).select("record")
     return an.count_by_length(recs, "record")
 
 
@@ -418,5 +421,5 @@ def q_input_row_metrics(spark, sf_dir):
 @register("transform_forward", with_logs(
     f"""SELECT cast(shard AS varchar) AS hash_key, log_time, cast({fx.DUCK_RECORD_STRINGS} AS varchar) AS item FROM logs"""))
 def q_transform_forward(spark, sf_dir):
-    recs = log_store(spark, sf_dir).select(shape.json_record(with_shard=True).alias("record"))
+    recs = shape.with_json_record(log_store(spark, sf_dir), with_shard=True).select("record")
     return an.forward_records(recs)

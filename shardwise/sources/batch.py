@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardwise.functions.shape import cursor_to_b64, json_record
+from shardwise.functions.shape import cursor_to_b64, with_json_record
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Per-shard predicates are inlined up to this many shards; beyond it the
@@ -91,9 +91,7 @@ def time_range_scan(logs: DataFrame, start: int, end: int | None = None) -> Data
     ``end=None`` reads up to the store's latest (repeatable, unlike "now")."""
     if end is None:
         end = store_latest_time(logs)
-    return bounded(logs, start, end).select(
-        *SHARD_KEY, "cursor", json_record().alias("record")
-    )
+    return with_json_record(bounded(logs, start, end)).select(*SHARD_KEY, "cursor", "record")
 
 
 def time_range_slices(logs: DataFrame, start: int, end: int, parallelism: int = 1) -> DataFrame:
@@ -127,18 +125,20 @@ def cursor_at_time(logs: DataFrame, probes: DataFrame) -> DataFrame:
 
     Two aggregated steps: the probe's own day (equi-join on shard and day,
     so only that day is read) and, failing that, the first later day from a
-    per-(shard, day) table."""
+    per-(shard, day) table.  Probe tables come from callers, so no broadcast
+    is forced: AQE broadcasts them when their runtime size is small and
+    keeps a shuffle join otherwise."""
     p = probes.select(*SHARD_KEY, "t").withColumn("dt", unix_day(F.col("t")))
     same_day = (
         logs.select(*SHARD_KEY, "dt", "cursor", "cursor_time")
-        .join(F.broadcast(p), SHARD_KEY + ["dt"])
+        .join(p, SHARD_KEY + ["dt"])
         .where(F.col("cursor_time") >= F.col("t"))
         .groupBy(*SHARD_KEY, "t")
         .agg(F.min("cursor").alias("c_same"))
     )
     days = logs.groupBy(*SHARD_KEY, "dt").agg(F.min("cursor").alias("day_cursor"))
     later = (
-        days.join(F.broadcast(p.withColumnRenamed("dt", "probe_dt")), SHARD_KEY)
+        days.join(p.withColumnRenamed("dt", "probe_dt"), SHARD_KEY)
         .where(F.col("dt") > F.col("probe_dt"))
         .groupBy(*SHARD_KEY, "t")
         .agg(F.min("day_cursor").alias("c_later"))
