@@ -200,8 +200,14 @@ def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    def lit(v, dt):
+        if isinstance(v, dict):
+            kv = [x for k, w in v.items() for x in (F.lit(k), F.lit(w))]
+            return (F.create_map(*kv) if kv else F.create_map()).cast(dt)
+        return F.lit(v).cast(dt)
+
     structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(tuple(r), st.fields)])
+        F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(tuple(r), st.fields)])
         for r in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))

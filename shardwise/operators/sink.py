@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from shardwise.functions.convert import check_sink_schema, to_log_text
 from shardwise.functions.shape import sorted_json
 from shardwise.model import LOG_COLUMNS, write_log_store
-from shardwise.plans.shards import route_by_hash_key
+from shardwise.plans.shards import route_by_hash_key, write_map
 
 ALLOWED_MODES = ("append", "errorifexists", "error", "default")
 REFUSED_MODES = ("overwrite", "ignore")
@@ -79,12 +79,14 @@ def item_json(items: DataFrame) -> Column:
 
 def shape_for_store(items: DataFrame, project: str, store: str, shards: DataFrame | None,
                     base_cursor: Column | None = None, n_shards: int = 1) -> DataFrame:
-    """Items -> store records.  Shard: the hash-key route when a shard map is
-    given and the item has a key, else a hash of the contents.  Cursor: the
+    """Items -> store records.  Shard: the hash-key route over the write map
+    (``write_map``) when a shard map is given and the item has a key, else a
+    hash of the contents; a key no shard holds fails the write.  Cursor: the
     write's arrival instant in ns plus a unique per-row id; each item is its
     own log group."""
     if shards is not None:
-        keyed = route_by_hash_key(items.where(F.col("hash_key").isNotNull()), shards, writable_only=True)
+        wmap = write_map(items.sparkSession, shards)
+        keyed = route_by_hash_key(items.where(F.col("hash_key").isNotNull()), wmap, strict=True)
         keyed = keyed.withColumn("shard", F.col("routed_shard")).drop("routed_shard")
         unkeyed = items.where(F.col("hash_key").isNull()).withColumn(
             "shard", F.pmod(F.hash(F.to_json("contents")), F.lit(n_shards)).cast("int")

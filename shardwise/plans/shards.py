@@ -39,21 +39,42 @@ def shard_prefixes(shards: DataFrame) -> DataFrame:
 
 
 def route_by_hash_key(records: DataFrame, shards: DataFrame, key_col: str = "hash_key",
-                      writable_only: bool = False) -> DataFrame:
+                      writable_only: bool = False, strict: bool = False) -> DataFrame:
     """Attach the shard whose ``[hash_begin, hash_end)`` holds the key.
 
     The shard map is a control table (bounded by 256 + #shards prefix rows),
-    broadcast for an equi-join on the key prefix plus the range check."""
+    broadcast for an equi-join on the key prefix plus the range check.  With
+    ``strict`` a key no shard holds fails the query instead of vanishing."""
     m = shards.where(F.col("status") != "readonly") if writable_only else shards
     pref = shard_prefixes(m).select(
         F.col("shard").alias("routed_shard"), "hash_begin", "hash_end", "prefix"
     )
     r = records.withColumn("prefix", F.substring(F.col(key_col), 1, PREFIX_DIGITS))
-    return (
-        r.join(F.broadcast(pref), "prefix")
-        .where((F.col(key_col) >= F.col("hash_begin")) & (F.col(key_col) < F.col("hash_end")))
-        .drop("prefix", "hash_begin", "hash_end")
-    )
+    in_range = (F.col(key_col) >= F.col("hash_begin")) & (F.col(key_col) < F.col("hash_end"))
+    if not strict:
+        return r.join(F.broadcast(pref), "prefix").where(in_range).drop("prefix", "hash_begin", "hash_end")
+    j = r.join(F.broadcast(pref), (r["prefix"] == pref["prefix"]) & in_range, "left")
+    return j.withColumn(
+        "routed_shard",
+        F.coalesce("routed_shard", F.raise_error(F.concat(F.lit("no shard holds hash key "), F.col(key_col))).cast("int")),
+    ).drop("prefix", "hash_begin", "hash_end")
+
+
+def write_map(spark, shards: DataFrame) -> DataFrame:
+    """Non-overlapping map for writes: writable shards, plus read-only shards
+    whose range no writable shard overlaps (a split parent is covered by its
+    children; an unsplit read-only shard still owns its range).  Built on the
+    driver from the per-shard rows of the map."""
+    from shardwise.model import literal_table
+
+    rows = shards.collect()
+    live = [r for r in rows if r["status"] != "readonly"]
+
+    def covered(r):
+        return any(w["hash_begin"] < r["hash_end"] and r["hash_begin"] < w["hash_end"] for w in live)
+
+    keep = live + [r for r in rows if r["status"] == "readonly" and not covered(r)]
+    return literal_table(spark, keep, shards.schema)
 
 
 def split_shard(shards: DataFrame, shard_id: int, split_key: str) -> DataFrame:
