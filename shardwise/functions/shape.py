@@ -158,13 +158,24 @@ def field_text(name: str) -> Column:
     return from_contents
 
 
+def _typed_metadata(name: str, dtype: T.DataType) -> Column | None:
+    """Metadata fields already typed in the store skip the text round trip."""
+    if name == TIME_FIELD and isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return F.col("log_time").cast(dtype)
+    if name == SHARD_FIELD and isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col("shard").cast(dtype)
+    return None
+
+
 def schema_columns(schema: T.StructType) -> list[Column]:
     """One typed column per schema field (missing keys -> null)."""
     check_read_schema(schema)
-    return [
-        convert(field_text(f.name), f.dataType, f.name, f.nullable).alias(f.name)
-        for f in schema.fields
-    ]
+    out = []
+    for f in schema.fields:
+        direct = _typed_metadata(f.name, f.dataType)
+        c = direct if direct is not None else convert(field_text(f.name), f.dataType, f.name, f.nullable)
+        out.append(c.alias(f.name))
+    return out
 
 
 def project(logs, schema: T.StructType | None = None, append_sequence_number: bool = False):

@@ -95,20 +95,38 @@ def rate_limit_cut(spark: SparkSession, logs: DataFrame, start: int, limits: lis
     return out
 
 
+def _day_of(seconds: int):
+    import datetime as dt
+
+    return dt.date(1970, 1, 1) + dt.timedelta(days=seconds // 86400)
+
+
 def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None) -> DataFrame:
     """At most ``n`` logs of each shard in cursor order from its start cursor.
 
     Exact and skew-safe: per-(shard, day) counts find the boundary day, then
     per-second counts inside that day find the boundary second, and
-    ``row_number`` runs only over the logs of that one second.  ``starts``
-    holds (shard key, ``start_cursor``); without it every shard starts at its
-    first log."""
+    ``row_number`` runs only over the logs of that one second.  The per-shard
+    results (start, boundary second) are a few rows that are fixed on the
+    driver and turned into literal bounds, so the final scan reads only the
+    days between the earliest start and the latest boundary (partition and
+    row-group pruning) instead of the whole store.  ``starts`` holds (shard
+    key, ``start_cursor``); without it every shard starts at its first log."""
+    spark = logs.sparkSession
     r = logs
-    if starts is not None:
-        r = r.join(F.broadcast(starts.select(*SHARD_KEY, "start_cursor")), SHARD_KEY).where(
-            F.col("cursor") >= F.col("start_cursor")
-        ).drop("start_cursor")
     n = int(n)
+    if starts is not None:
+        srows = starts.select(*SHARD_KEY, "start_cursor").collect()  # one row per shard
+        if not srows:
+            return r.where(F.lit(False))
+        lo = min(x["start_cursor"] for x in srows) // 1_000_000_000
+        plan = F.broadcast(literal_table(spark, srows, starts.select(*SHARD_KEY, "start_cursor").schema))
+        r = (
+            r.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
+            .join(plan, SHARD_KEY)
+            .where(F.col("cursor") >= F.col("start_cursor"))
+            .drop("start_cursor")
+        )
     if n <= 0:
         return r.where(F.lit(False))
     day = r.groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
@@ -124,12 +142,20 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     )
     ws = Window.partitionBy(*SHARD_KEY).orderBy("cursor_time")
     sec = sec.withColumn("incl", F.sum("c").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-    cut = sec.where((F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))).select(
+    cut_df = sec.where((F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))).select(
         *SHARD_KEY,
         F.col("cursor_time").alias("cut_time"),
         (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank"),
     )
-    j = r.join(F.broadcast(cut), SHARD_KEY, "left")
+    # one row per shard with data; cut columns null where the shard has < n
+    per_shard = day.groupBy(*SHARD_KEY).agg(F.sum("c").alias("total")).join(cut_df, SHARD_KEY, "left")
+    all_rows = per_shard.collect()
+    cut_rows = [(*[x[k] for k in SHARD_KEY], x["cut_time"], x["cut_rank"]) for x in all_rows if x["cut_time"] is not None]
+    if cut_rows and len(cut_rows) == len(all_rows):
+        hi = max(x[3] for x in cut_rows)
+        r = r.where((F.col("cursor_time") <= F.lit(hi)) & (F.col("dt") <= F.lit(_day_of(hi))))
+    cut = F.broadcast(literal_table(spark, cut_rows, cut_df.schema))
+    j = r.join(cut, SHARD_KEY, "left")
     before = j.where(F.col("cut_time").isNull() | (F.col("cursor_time") < F.col("cut_time")))
     at = j.where(F.col("cursor_time") == F.col("cut_time"))
     rn = F.row_number().over(Window.partitionBy(*SHARD_KEY, "cursor_time").orderBy("cursor"))
