@@ -217,14 +217,20 @@ def json_record(with_shard: bool = False, ignore_tags: bool = False) -> Column:
 
 
 def with_json_record(df, name: str = "record", with_shard: bool = False, ignore_tags: bool = False):
-    """Add the JSON record as ``name``.  The merged string map is projected
-    once and read three times by the next projection (the optimizer keeps the
-    two projections apart because the map is referenced more than once)."""
-    tmp = "__record_strings__"
+    """Add the JSON record as ``name``.  The input maps and the merged string
+    map are projected first, so the per-entry lambdas read columns and the
+    merged map is built once and read three times by the next projection (the
+    optimizer keeps projections apart when an expensive expression is
+    referenced more than once)."""
+    tmp, tags, meta = "__record_strings__", "__record_tags__", "__record_meta__"
+    staged = df.withColumn(tags, prefixed_tags()).withColumn(
+        meta, F.create_map(F.lit(TOPIC_FIELD), F.col("topic"), F.lit(SOURCE_FIELD), F.col("source"))
+    )
+    parts = [F.col(meta), F.col("contents")] + ([] if ignore_tags else [F.col(tags)])
     return (
-        df.withColumn(tmp, record_strings(ignore_tags))
+        staged.withColumn(tmp, drop_null_values(merge_later_wins(*parts)))
         .withColumn(name, record_text(F.col(tmp), with_shard))
-        .drop(tmp)
+        .drop(tmp, tags, meta)
     )
 
 

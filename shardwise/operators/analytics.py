@@ -53,17 +53,21 @@ def count_by_length(df: DataFrame, text_col: str) -> DataFrame:
 
 def forward_records(df: DataFrame, record_col: str = "record") -> DataFrame:
     """JSON record -> new item: ``__shard__`` becomes the hash key, ``__time__``
-    the log time, string entries are kept and numbers skipped."""
-    nums = F.from_json(F.col(record_col), f"struct<{TIME_FIELD}:bigint,{SHARD_FIELD}:bigint>")
-    raw = F.from_json(F.col(record_col), "map<string,string>")
-    # keys whose value is an unquoted JSON number
-    numeric_keys = F.regexp_extract_all(F.col(record_col), F.lit(r'"((?:[^"\\]|\\.)*)":-?[0-9]'), 1)
-    strings = F.map_filter(
-        raw, lambda k, v: ~k.isin(TIME_FIELD, SHARD_FIELD) & ~F.array_contains(numeric_keys, k)
-    )
+    the log time, string entries are kept and numbers skipped.
+
+    The record is parsed once into a string map; the keys whose JSON value is
+    an unquoted number are found once per record.  Both are projected before
+    the filter so its per-entry lambda only reads columns."""
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return df.select(
-        nums.getField(SHARD_FIELD).cast("string").alias("hash_key"),
-        F.timestamp_add("SECOND", nums.getField(TIME_FIELD), epoch).alias("log_time"),
-        sorted_json(strings).alias("item"),
+    parsed = df.select(
+        F.from_json(F.col(record_col), "map<string,string>").alias("_raw"),
+        F.regexp_extract_all(F.col(record_col), F.lit(r'"((?:[^"\\]|\\.)*)":-?[0-9]'), 1).alias("_numeric"),
+    )
+    kept = parsed.select(
+        F.col("_raw").getItem(SHARD_FIELD).alias("hash_key"),
+        F.timestamp_add("SECOND", F.col("_raw").getItem(TIME_FIELD).cast("bigint"), epoch).alias("log_time"),
+        F.map_filter(
+            "_raw", lambda k, v: ~k.isin(TIME_FIELD, SHARD_FIELD) & ~F.array_contains(F.col("_numeric"), k)
+        ).alias("_strings"),
     )
+    return kept.select("hash_key", "log_time", sorted_json(F.col("_strings")).alias("item"))

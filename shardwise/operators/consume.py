@@ -31,11 +31,15 @@ def plan_starts(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkpo
     """(shard key, start_cursor, end_cursor) of shards that still have data
     to give: checkpoint else the mode's initial cursor; exhausted read-only
     shards left out."""
-    initial = start_positions(logs, mode, start_time).withColumnRenamed("cursor", "initial_cursor")
+    bounds = shard_bounds(logs)
+    if mode == "BEGIN_CURSOR":
+        initial = bounds.select(*SHARD_KEY, F.col("begin_cursor").alias("initial_cursor"))
+    else:
+        initial = start_positions(logs, mode, start_time).withColumnRenamed("cursor", "initial_cursor")
     st = start_from_checkpoint(shards, checkpoints, initial, consumer_group).select(
         *SHARD_KEY, b64_to_cursor(F.col("start_cursor_b64")).alias("start_cursor")
     )
-    pos = st.join(shard_bounds(logs).select(*SHARD_KEY, "end_cursor"), SHARD_KEY)
+    pos = st.join(F.broadcast(bounds.select(*SHARD_KEY, "end_cursor")), SHARD_KEY)
     return skip_exhausted_shards(pos, shards)
 
 

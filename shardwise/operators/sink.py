@@ -34,13 +34,29 @@ def check_save_mode(mode: str) -> str:
     return "append" if m == "default" else m
 
 
-def contents_of(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """A string map of the given columns in their sink text; nulls omitted."""
+def _sink_fields(df: DataFrame, columns: list[str] | None) -> list[T.StructField]:
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     check_sink_schema(T.StructType(fields))
-    entries = [F.struct(F.lit(f.name).alias("k"), _text(F.col(f"`{f.name}`"), f.dataType).alias("v")) for f in fields]
-    arr = F.filter(F.array(*entries), lambda e: e["v"].isNotNull())
-    return F.map_from_entries(arr)
+    return sorted(fields, key=lambda f: f.name)
+
+
+def contents_of(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """A string map of the given columns in their sink text.  A null column
+    becomes a null value, which every reader treats as a missing key (the
+    JSON of an item leaves it out); no per-row filtering is needed."""
+    kv = []
+    for f in _sink_fields(df, columns):
+        kv += [F.lit(f.name), _text(F.col(f"`{f.name}`"), f.dataType)]
+    return F.create_map(*kv)
+
+
+def item_json_of(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """JSON text of the item built from columns: keys in name order, null
+    columns left out.  The keys are known when the plan is built, so this is
+    one ``to_json`` of a struct -- no per-entry lambdas."""
+    return F.to_json(F.struct(*[
+        _text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in _sink_fields(df, columns)
+    ]))
 
 
 def _text(c: Column, dt: T.DataType) -> Column:
@@ -57,8 +73,9 @@ def _text(c: Column, dt: T.DataType) -> Column:
 def to_log_items(df: DataFrame, columns: list[str] | None = None, contents: Column | None = None,
                  topic: Column | str | None = None, source: Column | str | None = None,
                  time_col: Column | None = None, hash_key: Column | None = None) -> DataFrame:
-    """Rows -> (topic, source, log_time, hash_key, contents).  With an explicit
-    ``contents`` expression rows whose contents are null are dropped."""
+    """Rows -> (topic, source, log_time, hash_key, contents, item) where
+    ``item`` is the JSON text of the contents.  With an explicit ``contents``
+    expression rows whose contents are null are dropped."""
     lit = lambda v: F.lit(v) if isinstance(v, str) or v is None else v
     c = contents if contents is not None else contents_of(df, columns)
     out = df.select(
@@ -67,6 +84,7 @@ def to_log_items(df: DataFrame, columns: list[str] | None = None, contents: Colu
         (time_col if time_col is not None else F.lit(None)).cast("timestamp_ntz").alias("log_time"),
         (hash_key if hash_key is not None else F.lit(None)).cast("string").alias("hash_key"),
         c.alias("contents"),
+        (sorted_json(c) if contents is not None else item_json_of(df, columns)).alias("item"),
     )
     if contents is not None:
         out = out.where(F.col("contents").isNotNull())
@@ -74,7 +92,7 @@ def to_log_items(df: DataFrame, columns: list[str] | None = None, contents: Colu
 
 
 def item_json(items: DataFrame) -> Column:
-    return sorted_json(F.col("contents"))
+    return F.col("item")
 
 
 def shape_for_store(items: DataFrame, project: str, store: str, shards: DataFrame | None,

@@ -121,7 +121,7 @@ def resolve_sentinels(offsets: DataFrame, bounds: DataFrame, offset_col: str = "
                       out: str = "resolved") -> DataFrame:
     """-2 -> the shard's earliest, -1 -> its latest, anything else unchanged."""
     b = bounds.select(*SHARD_KEY, F.col("begin_time").alias("_b"), F.col("end_time").alias("_e"))
-    j = offsets.join(b, SHARD_KEY, "left")
+    j = offsets.join(F.broadcast(b), SHARD_KEY, "left")  # one row per shard
     o = F.col(offset_col)
     return j.withColumn(
         out, F.when(o == EARLIEST, F.col("_b")).when(o == LATEST, F.col("_e")).otherwise(o)
@@ -189,7 +189,9 @@ def start_from_checkpoint(shards: DataFrame, checkpoints: DataFrame, initial: Da
     ck = checkpoints.where(F.col("consumer_group") == consumer_group).select(
         "shard", F.nullif(F.col("cursor_b64"), F.lit("")).alias("ckpt")
     )
-    j = shards.select(*SHARD_KEY).join(ck, "shard", "left").join(initial, SHARD_KEY, "left")
+    # checkpoints of one group and initial cursors: one row per shard at most
+    j = shards.select(*SHARD_KEY).join(F.broadcast(ck), "shard", "left").join(
+        F.broadcast(initial), SHARD_KEY, "left")
     return j.select(
         *SHARD_KEY,
         F.coalesce(F.col("ckpt"), cursor_to_b64(F.col("initial_cursor"))).alias("start_cursor_b64"),

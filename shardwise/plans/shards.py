@@ -102,10 +102,11 @@ def skip_exhausted_shards(positions: DataFrame, shards: DataFrame) -> DataFrame:
     """Drop read-only shards whose start is at (or past) their end.
 
     ``positions`` has (shard key, ``start_cursor``, ``end_cursor``)."""
-    done = positions.join(shards.select(*SHARD_KEY, "status"), SHARD_KEY).where(
+    # shard map and positions are per-shard control rows
+    done = positions.join(F.broadcast(shards.select(*SHARD_KEY, "status")), SHARD_KEY).where(
         (F.col("status") == "readonly") & (F.col("start_cursor") >= F.col("end_cursor"))
     ).select(*SHARD_KEY)
-    return positions.join(done, SHARD_KEY, "left_anti")
+    return positions.join(F.broadcast(done), SHARD_KEY, "left_anti")
 
 
 def incremental_ranges(planned_ends: DataFrame, committed: DataFrame, earliest: DataFrame) -> DataFrame:

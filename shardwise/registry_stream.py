@@ -100,8 +100,8 @@ def q_sink_value_rules(spark, sf_dir):
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("l_shipdate").alias("ship_ts"),
     )
-    c = sk.contents_of(li, ["price", "qty", "returned", "ship_date", "ship_ts"])
-    return li.select("l_orderkey", "l_linenumber", shape.sorted_json(c).alias("item"))
+    cols = ["price", "qty", "returned", "ship_date", "ship_ts"]
+    return li.select("l_orderkey", "l_linenumber", sk.item_json_of(li, cols).alias("item"))
 
 
 @register("sink_nested_struct", """SELECT cast(json_object('detail', cast(json_object('o_orderstatus', o_orderstatus,
