@@ -154,6 +154,59 @@ def read_log_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 
 
+# ---------------------------------------------------------------------------
+# Store index: one row per (shard, day) per write, kept in ``<store>/_index``
+# (names starting with "_" are invisible to scans of the store).  Shard
+# bounds and day-level lookups read it instead of a column of every log.
+
+INDEX_DIR = "_index"
+INDEX_SCHEMA = (
+    "log_project string, log_store string, shard int, dt date, n bigint, "
+    "min_cursor bigint, max_cursor bigint, min_time bigint, max_time bigint"
+)
+
+
+def index_rows(logs: DataFrame) -> DataFrame:
+    """Per-(shard, day) statistics of a set of records (partial aggregate)."""
+    return logs.groupBy("log_project", "log_store", "shard", "dt").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("cursor").alias("min_cursor"),
+        F.max("cursor").alias("max_cursor"),
+        F.min("cursor_time").alias("min_time"),
+        F.max("cursor_time").alias("max_time"),
+    )
+
+
+def write_index(records: DataFrame, store_path: str, mode: str = "append") -> None:
+    index_rows(records).coalesce(1).write.mode(mode).parquet(f"{store_path}/{INDEX_DIR}")
+
+
+def read_index(spark: SparkSession, store_path: str) -> DataFrame:
+    """The index, one row per (shard, day) (several writes to a day merge)."""
+    raw = spark.read.schema(INDEX_SCHEMA).parquet(f"{store_path}/{INDEX_DIR}")
+    return raw.groupBy("log_project", "log_store", "shard", "dt").agg(
+        F.sum("n").alias("n"), F.min("min_cursor").alias("min_cursor"),
+        F.max("max_cursor").alias("max_cursor"), F.min("min_time").alias("min_time"),
+        F.max("max_time").alias("max_time"),
+    )
+
+
+_INDEXES: dict[int, tuple[DataFrame, DataFrame]] = {}
+
+
+def attach_index(logs: DataFrame, index: DataFrame) -> DataFrame:
+    """Remember ``index`` as the statistics of exactly the rows of ``logs``."""
+    _INDEXES[id(logs)] = (logs, index)
+    return logs
+
+
+def index_of(logs: DataFrame) -> DataFrame | None:
+    """The index of a store DataFrame as returned by ``log_store`` (not of a
+    filtered or derived one)."""
+    hit = _INDEXES.get(id(logs))
+    return hit[1] if hit is not None and hit[0] is logs else None
+
+
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
     try:
         jvm = spark.sparkContext._jvm
@@ -176,6 +229,8 @@ def log_store_path(spark: SparkSession, sf_dir: str) -> str:
     path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         write_log_store(derive_logs(spark.read.parquet(events_path)), path)
+    if not path_exists(spark, f"{path}/{INDEX_DIR}/_SUCCESS"):
+        write_index(read_log_store(spark, path), path, mode="overwrite")
     return path
 
 
@@ -189,7 +244,8 @@ def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (id(spark), sf_dir)
     if key in _STORE_CACHE:
         return _STORE_CACHE[key]
-    df = read_log_store(spark, log_store_path(spark, sf_dir))
+    path = log_store_path(spark, sf_dir)
+    df = attach_index(read_log_store(spark, path), read_index(spark, path))
     _STORE_CACHE[key] = df
     return df
 

@@ -8,14 +8,17 @@ sent row by row and no row passes through the driver.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardwise.functions.convert import check_sink_schema, to_log_text
 from shardwise.functions.shape import sorted_json
-from shardwise.model import LOG_COLUMNS, write_log_store
+from shardwise.model import INDEX_DIR, LOG_COLUMNS, read_index, read_log_store, write_index, write_log_store
 from shardwise.plans.shards import route_by_hash_key, write_map
+from shardwise.session import path_exists
 
 ALLOWED_MODES = ("append", "errorifexists", "error", "default")
 REFUSED_MODES = ("overwrite", "ignore")
@@ -134,15 +137,35 @@ def shape_for_store(items: DataFrame, project: str, store: str, shards: DataFram
     ).select(*LOG_COLUMNS)
 
 
+def next_base_cursor(spark: SparkSession, path: str) -> int:
+    """First cursor of a new write: now (ns), but never at or below a cursor
+    the store already holds (read from the store index, a few rows)."""
+    base = time.time_ns()
+    if path_exists(spark, f"{path}/{INDEX_DIR}"):
+        prev = read_index(spark, path).agg(F.max("max_cursor")).first()[0]
+        if prev is not None:
+            base = max(base, int(prev) + 1)
+    return base
+
+
 def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str = "append",
                shards: DataFrame | None = None, n_shards: int = 1,
                observation: Observation | None = None) -> None:
-    """Append items to a log store at ``path`` (the save-mode rules apply)."""
+    """Append items to a log store at ``path`` (the save-mode rules apply) and
+    append the index rows of what was written.
+
+    Cursors of one write start above every cursor already in the store and
+    are unique (start + a per-row id), so a write never interleaves with an
+    earlier one; the index rows are taken from the files just written
+    (``cursor >= start``), not recomputed."""
+    spark = items.sparkSession
     m = check_save_mode(mode)
-    recs = shape_for_store(items, project, store, shards, n_shards=n_shards)
+    base = next_base_cursor(spark, path)
+    recs = shape_for_store(items, project, store, shards, base_cursor=F.lit(base), n_shards=n_shards)
     if observation is not None:
         recs = recs.observe(observation, F.count(F.lit(1)).alias("written"))
     write_log_store(recs, path, mode="append" if m == "append" else "errorifexists")
+    write_index(read_log_store(spark, path).where(F.col("cursor") >= F.lit(base)), path)
 
 
 def insert_into(df: DataFrame, table_name: str, overwrite: bool = False) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardwise.functions.shape import b64_to_cursor, cursor_to_b64
+from shardwise.model import index_of
 
 SHARD_KEY = ["log_project", "log_store", "shard"]
 
@@ -28,15 +29,26 @@ class OffsetError(ValueError):
 
 
 def list_shards(logs: DataFrame) -> DataFrame:
-    """Shards that hold logs (partial aggregate, no row leaves its task)."""
-    return logs.select(*SHARD_KEY).distinct()
+    """Shards that hold logs (from the store index when there is one, else a
+    partial aggregate over the shard column)."""
+    idx = index_of(logs)
+    return (idx if idx is not None else logs).select(*SHARD_KEY).distinct()
 
 
 def shard_bounds(logs: DataFrame) -> DataFrame:
     """Earliest and latest position of every shard in one pass.
 
     ``begin_*`` is the first log; ``end_*`` is one past the last, so
-    ``[begin, end)`` covers the shard."""
+    ``[begin, end)`` covers the shard.  A store with an index answers from
+    its (shard, day) rows instead of scanning a column of every log."""
+    idx = index_of(logs)
+    if idx is not None:
+        return idx.groupBy(*SHARD_KEY).agg(
+            F.min("min_time").alias("begin_time"),
+            F.min("min_cursor").alias("begin_cursor"),
+            (F.max("max_time") + 1).alias("end_time"),
+            (F.max("max_cursor") + 1).alias("end_cursor"),
+        )
     return logs.groupBy(*SHARD_KEY).agg(
         F.min("cursor_time").alias("begin_time"),
         F.min("cursor").alias("begin_cursor"),
@@ -46,17 +58,13 @@ def shard_bounds(logs: DataFrame) -> DataFrame:
 
 
 def earliest_offsets(logs: DataFrame, shards: list[int] | None = None) -> DataFrame:
-    b = logs if shards is None else logs.where(F.col("shard").isin(shards))
-    return b.groupBy(*SHARD_KEY).agg(
-        F.min("cursor_time").alias("begin_time"), F.min("cursor").alias("begin_cursor")
-    )
+    b = shard_bounds(logs).select(*SHARD_KEY, "begin_time", "begin_cursor")
+    return b if shards is None else b.where(F.col("shard").isin(shards))
 
 
 def latest_offsets(logs: DataFrame, shards: list[int] | None = None) -> DataFrame:
-    b = logs if shards is None else logs.where(F.col("shard").isin(shards))
-    return b.groupBy(*SHARD_KEY).agg(
-        (F.max("cursor_time") + 1).alias("end_time"), (F.max("cursor") + 1).alias("end_cursor")
-    )
+    b = shard_bounds(logs).select(*SHARD_KEY, "end_time", "end_cursor")
+    return b if shards is None else b.where(F.col("shard").isin(shards))
 
 
 # ---------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardwise.functions.shape import cursor_to_b64, with_json_record
+from shardwise.model import index_of
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Per-shard predicates are inlined up to this many shards; beyond it the
@@ -136,7 +137,12 @@ def cursor_at_time(logs: DataFrame, probes: DataFrame) -> DataFrame:
         .groupBy(*SHARD_KEY, "t")
         .agg(F.min("cursor").alias("c_same"))
     )
-    days = logs.groupBy(*SHARD_KEY, "dt").agg(F.min("cursor").alias("day_cursor"))
+    idx = index_of(logs)
+    days = (
+        idx.select(*SHARD_KEY, "dt", F.col("min_cursor").alias("day_cursor"))
+        if idx is not None
+        else logs.groupBy(*SHARD_KEY, "dt").agg(F.min("cursor").alias("day_cursor"))
+    )
     later = (
         days.join(p.withColumnRenamed("dt", "probe_dt"), SHARD_KEY)
         .where(F.col("dt") > F.col("probe_dt"))

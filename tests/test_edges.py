@@ -303,3 +303,28 @@ def test_pinned_start_survives_new_data(spark, logs):
 def test_checkpoints_fixture(spark, logs):
     rows = {r["shard"]: r["cursor_b64"] for r in checkpoints_table(spark, logs).collect()}
     assert rows[0] == "MTcwNDg0NDgwMDAwMDAwMDAwMA==" and rows[1] == "" and 3 not in rows
+
+
+def test_store_index_matches_scan(spark, logs):
+    from shardwise.model import index_of
+
+    assert index_of(logs) is not None
+    via_index = sorted(map(tuple, off.shard_bounds(logs).collect()))
+    via_scan = sorted(map(tuple, off.shard_bounds(logs.where(F.lit(True))).collect()))
+    assert via_index == via_scan
+
+
+def test_appends_keep_cursors_increasing_and_index_whole(spark):
+    from shardwise.model import read_index, read_log_store
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    items = sk.to_log_items(orders)
+    path = scratch_dir(spark, "appends")
+    sk.write_logs(items, path, "analytics", "orders", n_shards=4)
+    first_max = read_log_store(spark, path).agg(F.max("cursor")).first()[0]
+    sk.write_logs(items, path, "analytics", "orders", n_shards=4)
+    back = read_log_store(spark, path)
+    assert back.count() == 2 * orders.count()
+    assert back.select("cursor").distinct().count() == 2 * orders.count()
+    assert back.where(F.col("cursor") > first_max).count() == orders.count()
+    assert read_index(spark, path).agg(F.sum("n")).first()[0] == 2 * orders.count()
