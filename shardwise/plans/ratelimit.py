@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shardwise.model import literal_table
-from shardwise.plans.offsets import SHARD_KEY
+from shardwise.model import index_of, literal_table
+from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Look-ahead of the rate limiter and the "caught up" lag (s),
 # default records per trigger and default max rate per shard (records/s).
@@ -104,57 +104,88 @@ def _day_of(seconds: int):
 def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None) -> DataFrame:
     """At most ``n`` logs of each shard in cursor order from its start cursor.
 
-    Exact and skew-safe: per-(shard, day) counts find the boundary day, then
-    per-second counts inside that day find the boundary second, and
-    ``row_number`` runs only over the logs of that one second.  The per-shard
-    results (start, boundary second) are a few rows that are fixed on the
-    driver and turned into literal bounds, so the final scan reads only the
-    days between the earliest start and the latest boundary (partition and
-    row-group pruning) instead of the whole store.  ``starts`` holds (shard
-    key, ``start_cursor``); without it every shard starts at its first log."""
+    Exact and skew-safe, in three bounded steps whose results are per-shard
+    rows fixed on the driver:
+
+    1. per-(shard, day) counts from the start on -- from the store index for
+       whole days plus a scan of each shard's start day only (without an
+       index: a scan from the earliest start) -> the boundary day per shard;
+    2. per-second counts of the boundary days only (literal ``dt`` filter)
+       -> the boundary second and the rank needed inside it;
+    3. the batch: a scan between the earliest start and the latest boundary
+       (literal bounds: partition and row-group pruning), ``row_number`` only
+       over the logs of each boundary second.
+
+    ``starts`` holds (shard key, ``start_cursor``); without it every shard
+    starts at its first log."""
     spark = logs.sparkSession
-    r = logs
     n = int(n)
-    if starts is not None:
-        srows = starts.select(*SHARD_KEY, "start_cursor").collect()  # one row per shard
-        if not srows:
-            return r.where(F.lit(False))
-        lo = min(x["start_cursor"] for x in srows) // 1_000_000_000
-        plan = F.broadcast(literal_table(spark, srows, starts.select(*SHARD_KEY, "start_cursor").schema))
-        r = (
-            r.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
-            .join(plan, SHARD_KEY)
-            .where(F.col("cursor") >= F.col("start_cursor"))
-            .drop("start_cursor")
+    idx = index_of(logs)
+    plan_schema = "log_project string, log_store string, shard int, start_cursor bigint"
+    if starts is None:
+        srows = [(*[x[k] for k in SHARD_KEY], x["begin_cursor"])
+                 for x in shard_bounds_rows(logs)]
+    else:
+        srows = [tuple(x) for x in starts.select(*SHARD_KEY, "start_cursor").collect()]  # per shard
+    if not srows or n <= 0:
+        return logs.where(F.lit(False))
+    lo = min(x[3] for x in srows) // 1_000_000_000
+    plan = F.broadcast(literal_table(spark, srows, plan_schema))
+    r = (
+        logs.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
+        .join(plan, SHARD_KEY)
+        .where(F.col("cursor") >= F.col("start_cursor"))
+        .drop("start_cursor")
+    )
+
+    # 1. day counts from the start on
+    if idx is not None:
+        start_days = sorted({_day_of(x[3] // 1_000_000_000) for x in srows})
+        plan_dt = plan.withColumn(
+            "start_dt", F.date_from_unix_date(F.floor(F.col("start_cursor") / F.lit(86_400_000_000_000)).cast("int"))
+        )
+        first = (
+            r.where(F.col("dt").isin(start_days))
+            .join(F.broadcast(plan_dt.select(*SHARD_KEY, F.col("start_dt").alias("dt"))), SHARD_KEY + ["dt"])
+            .groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
+        )
+        later = (
+            idx.join(F.broadcast(plan_dt.select(*SHARD_KEY, "start_dt")), SHARD_KEY)
+            .where(F.col("dt") > F.col("start_dt"))
+            .select(*SHARD_KEY, "dt", F.col("n").alias("c"))
         )
-    if n <= 0:
-        return r.where(F.lit(False))
-    day = r.groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
+        day = first.unionByName(later)
+    else:
+        day = r.groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
     wd = Window.partitionBy(*SHARD_KEY).orderBy("dt")
     day = day.withColumn("incl", F.sum("c").over(wd.rowsBetween(Window.unboundedPreceding, 0)))
-    bday = day.where((F.col("incl") - F.col("c") < n) & (F.col("incl") >= n)).select(
+    bday_rows = day.where((F.col("incl") - F.col("c") < n) & (F.col("incl") >= n)).select(
         *SHARD_KEY, "dt", (F.lit(n) - (F.col("incl") - F.col("c"))).alias("need")
-    )
-    sec = (
-        r.join(F.broadcast(bday), SHARD_KEY + ["dt"])
-        .groupBy(*SHARD_KEY, "dt", "need", "cursor_time")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    ws = Window.partitionBy(*SHARD_KEY).orderBy("cursor_time")
-    sec = sec.withColumn("incl", F.sum("c").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-    cut_df = sec.where((F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))).select(
-        *SHARD_KEY,
-        F.col("cursor_time").alias("cut_time"),
-        (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank"),
-    )
-    # one row per shard with data; cut columns null where the shard has < n
-    per_shard = day.groupBy(*SHARD_KEY).agg(F.sum("c").alias("total")).join(cut_df, SHARD_KEY, "left")
-    all_rows = per_shard.collect()
-    cut_rows = [(*[x[k] for k in SHARD_KEY], x["cut_time"], x["cut_rank"]) for x in all_rows if x["cut_time"] is not None]
-    if cut_rows and len(cut_rows) == len(all_rows):
+    ).collect()  # one row per shard that reaches the cap
+
+    # 2. boundary second inside the boundary day
+    cut_schema = "log_project string, log_store string, shard int, cut_time bigint, cut_rank bigint"
+    cut_rows = []
+    if bday_rows:
+        bday = F.broadcast(literal_table(
+            spark, [tuple(x) for x in bday_rows], "log_project string, log_store string, shard int, dt date, need bigint"))
+        sec = (
+            r.where(F.col("dt").isin(sorted({x["dt"] for x in bday_rows})))
+            .join(bday, SHARD_KEY + ["dt"])
+            .groupBy(*SHARD_KEY, "need", "cursor_time")
+            .agg(F.count(F.lit(1)).alias("c"))
+        )
+        ws = Window.partitionBy(*SHARD_KEY).orderBy("cursor_time")
+        sec = sec.withColumn("incl", F.sum("c").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
+        cut_rows = [tuple(x) for x in sec.where(
+            (F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))
+        ).select(*SHARD_KEY, "cursor_time", (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank")).collect()]
+
+    # 3. the batch
+    if cut_rows and len(cut_rows) == len(srows):
         hi = max(x[3] for x in cut_rows)
         r = r.where((F.col("cursor_time") <= F.lit(hi)) & (F.col("dt") <= F.lit(_day_of(hi))))
-    cut = F.broadcast(literal_table(spark, cut_rows, cut_df.schema))
+    cut = F.broadcast(literal_table(spark, cut_rows, cut_schema))
     j = r.join(cut, SHARD_KEY, "left")
     before = j.where(F.col("cut_time").isNull() | (F.col("cursor_time") < F.col("cut_time")))
     at = j.where(F.col("cursor_time") == F.col("cut_time"))
@@ -163,6 +194,11 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     return before.unionByName(at).drop("cut_time", "cut_rank")
 
 
+def shard_bounds_rows(logs: DataFrame) -> list:
+    """Per-shard bounds as driver rows (one per shard)."""
+    return shard_bounds(logs).collect()
+
+
 def batch_ranges(batch: DataFrame) -> DataFrame:
     """(shard, from, until, count) of a planned batch; until is exclusive."""
     return batch.groupBy(*SHARD_KEY).agg(
