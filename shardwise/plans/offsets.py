@@ -233,22 +233,37 @@ def committed_position(checkpoints: DataFrame, consumer_group: str) -> DataFrame
 
 
 def consumer_lag(logs: DataFrame, checkpoints: DataFrame, consumer_group: str) -> DataFrame:
-    """Per shard: committed cursor (earliest when none), seconds and records behind."""
+    """Per shard: committed cursor (earliest when none), seconds and records
+    behind.  With a store index the records behind are the index counts of
+    the days after the committed one plus a scan of the committed day only."""
+    from shardwise.model import literal_table
+
     bounds = shard_bounds(logs)
-    pos = bounds.join(committed_position(checkpoints, consumer_group), "shard", "left").select(
+    pos = bounds.join(F.broadcast(committed_position(checkpoints, consumer_group)), "shard", "left").select(
         *SHARD_KEY, "end_time",
         F.coalesce("committed_cursor", "begin_cursor").alias("committed_cursor"),
     )
     pos = pos.withColumn("committed_time", F.floor(F.col("committed_cursor") / 1_000_000_000).cast("bigint"))
-    behind = (
-        logs.select(*SHARD_KEY, "cursor")
-        .join(F.broadcast(pos.select(*SHARD_KEY, "committed_cursor")), SHARD_KEY)
-        .where(F.col("cursor") >= F.col("committed_cursor"))
-        .groupBy(*SHARD_KEY)
-        .agg(F.count(F.lit(1)).alias("records_behind"))
+    pos = pos.withColumn(
+        "committed_dt", F.date_from_unix_date(F.floor(F.col("committed_time") / 86400).cast("int"))
+    )
+    rows = pos.collect()  # one row per shard
+    fixed = F.broadcast(literal_table(logs.sparkSession, rows, pos.schema))
+    idx = index_of(logs)
+    in_day = logs.select(*SHARD_KEY, "dt", "cursor").join(fixed, SHARD_KEY).where(
+        F.col("cursor") >= F.col("committed_cursor")
     )
-    return pos.join(behind, SHARD_KEY, "left").select(
+    if idx is not None:
+        days = sorted({r["committed_dt"] for r in rows})
+        first = in_day.where(F.col("dt").isin(days) & (F.col("dt") == F.col("committed_dt"))).select(
+            *SHARD_KEY, F.lit(1).cast("bigint").alias("c"))
+        later = idx.join(fixed, SHARD_KEY).where(F.col("dt") > F.col("committed_dt")).select(
+            *SHARD_KEY, F.col("n").alias("c"))
+        behind = first.unionByName(later).groupBy(*SHARD_KEY).agg(F.sum("c").alias("records_behind"))
+    else:
+        behind = in_day.groupBy(*SHARD_KEY).agg(F.count(F.lit(1)).alias("records_behind"))
+    return fixed.join(behind, SHARD_KEY, "left").select(
         *SHARD_KEY, "committed_cursor",
         (F.col("end_time") - F.col("committed_time")).alias("lag_seconds"),
-        F.coalesce("records_behind", F.lit(0)).alias("records_behind"),
+        F.coalesce("records_behind", F.lit(0)).cast("bigint").alias("records_behind"),
     )
