@@ -71,3 +71,32 @@ def forward_records(df: DataFrame, record_col: str = "record") -> DataFrame:
         ).alias("_strings"),
     )
     return kept.select("hash_key", "log_time", sorted_json(F.col("_strings")).alias("item"))
+
+
+def bounded_self_join(df: DataFrame, key: str, time_col: str, id_col: str, bound_seconds: int) -> DataFrame:
+    """Pairs (l, r) of the same ``key`` with ``l.t <= r.t <= l.t + bound``.
+
+    The equi-key is (key, time bucket of width ``bound``): each left row is
+    copied to its own bucket and the next one, each right row sits in one
+    bucket, so every pair meets exactly once and a hot key is split over its
+    time buckets instead of landing in one task (or one state partition when
+    streaming).  ``time_col`` must be a TIMESTAMP."""
+    b = F.floor(F.unix_seconds(F.col(time_col)) / F.lit(bound_seconds)).cast("bigint")
+    left = df.select(
+        F.col(key).alias("l_key"), F.col(id_col).alias(f"l_{id_col}"), F.col(time_col).alias("l_t"),
+        F.explode(F.array(b, b + 1)).alias("l_bucket"),
+    )
+    right = df.select(
+        F.col(key).alias("r_key"), F.col(id_col).alias(f"r_{id_col}"), F.col(time_col).alias("r_t"),
+        b.alias("r_bucket"),
+    )
+    if df.isStreaming:
+        left = left.withWatermark("l_t", f"{bound_seconds * 2} seconds")
+        right = right.withWatermark("r_t", f"{bound_seconds * 2} seconds")
+    cond = (
+        (F.col("l_key") == F.col("r_key"))
+        & (F.col("l_bucket") == F.col("r_bucket"))
+        & (F.col("r_t") >= F.col("l_t"))
+        & (F.col("r_t") <= F.col("l_t") + F.expr(f"make_dt_interval(0, 0, 0, {bound_seconds})"))
+    )
+    return left.join(right, cond).select(F.col("l_key").alias(key), f"l_{id_col}", f"r_{id_col}")

@@ -57,6 +57,15 @@ def shard_bounds(logs: DataFrame) -> DataFrame:
     )
 
 
+def daily_first_offsets(logs: DataFrame) -> DataFrame:
+    """First arrival second of every (day, shard) -- the store index's rows
+    when there is one."""
+    idx = index_of(logs)
+    if idx is not None:
+        return idx.select("dt", *SHARD_KEY, F.col("min_time").alias("offset"))
+    return logs.groupBy("dt", *SHARD_KEY).agg(F.min("cursor_time").alias("offset"))
+
+
 def earliest_offsets(logs: DataFrame, shards: list[int] | None = None) -> DataFrame:
     b = shard_bounds(logs).select(*SHARD_KEY, "begin_time", "begin_cursor")
     return b if shards is None else b.where(F.col("shard").isin(shards))

@@ -36,7 +36,10 @@ def histogram(spark: SparkSession, logs: DataFrame, start: int, end: int, width:
         F.col("id").alias("bucket"),
     )
     counts = (
-        logs.where((F.col("cursor_time") >= start) & (F.col("cursor_time") < end))
+        logs.where(
+            (F.col("cursor_time") >= start) & (F.col("cursor_time") < end)
+            & (F.col("dt") >= F.lit(_day_of(start))) & (F.col("dt") <= F.lit(_day_of(max(start, end - 1))))
+        )
         .groupBy(((F.col("cursor_time") - start) / width).cast("bigint").alias("bucket"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -57,10 +60,7 @@ def histogram_end(latest_min: int, start: int, now: int, look_ahead: int = LOOK_
 
 def min_latest_time(logs: DataFrame) -> int:
     """Smallest shard end time (one row per shard, aggregated on executors)."""
-    row = (
-        logs.groupBy("shard").agg((F.max("cursor_time") + 1).alias("e")).agg(F.min("e")).collect()
-    )
-    return int(row[0][0])
+    return int(shard_bounds(logs).agg(F.min("end_time")).collect()[0][0])
 
 
 def rate_limit_cut(spark: SparkSession, logs: DataFrame, start: int, limits: list[int],

@@ -226,7 +226,7 @@ def q_latest(spark, sf_dir):
 
 
 def _daily_offsets(logs: DataFrame) -> DataFrame:
-    return logs.groupBy("dt", *K).agg(F.min("cursor_time").alias("offset"))
+    return off.daily_first_offsets(logs)
 
 
 DUCK_DAILY_JSON = """per AS (SELECT dt, log_project, log_store, shard, min(cursor_time) o FROM logs GROUP BY ALL),

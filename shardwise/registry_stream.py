@@ -336,27 +336,19 @@ def q_agg_update_sink(spark, sf_dir):
     return st.last_version(st.read_batches(spark, out), ["topic"], ["count"])
 
 
-SELF_JOIN_BOUND = "30 minutes"
+SELF_JOIN_SECONDS = 1800
 
 
 @register("stream_self_join", with_logs(
     """SELECT l.user_id, l.event_id AS l_event_id, r.event_id AS r_event_id FROM logs l JOIN logs r
   ON l.user_id = r.user_id AND r.log_time >= l.log_time AND r.log_time <= l.log_time + INTERVAL 30 MINUTE"""))
 def q_stream_self_join(spark, sf_dir):
-    """Inner self-join of one stream on the user plus a time bound, with a
-    watermark on both sides so join state is dropped as time passes."""
+    """Inner self-join of one stream on the user plus a 30-minute time bound,
+    watermarked on both sides so join state is dropped as time passes; the
+    join key includes a time bucket so a hot user is spread over buckets."""
     s = _ts(st.stream_logs(spark, log_store_path(spark, sf_dir)))
     s = s.select(F.col("contents").getItem("user_id").cast("bigint").alias("user_id"), "event_id", "t")
-    left = s.select(F.col("user_id").alias("l_user"), F.col("event_id").alias("l_event_id"), F.col("t").alias("l_t")) \
-        .withWatermark("l_t", "1 hour")
-    right = s.select(F.col("user_id").alias("r_user"), F.col("event_id").alias("r_event_id"), F.col("t").alias("r_t")) \
-        .withWatermark("r_t", "1 hour")
-    j = left.join(
-        right,
-        (F.col("l_user") == F.col("r_user"))
-        & (F.col("r_t") >= F.col("l_t"))
-        & (F.col("r_t") <= F.col("l_t") + F.expr(f"INTERVAL {SELF_JOIN_BOUND}")),
-    ).select(F.col("l_user").alias("user_id"), "l_event_id", "r_event_id")
+    j = an.bounded_self_join(s, "user_id", "t", "event_id", SELF_JOIN_SECONDS)
     out = scratch_dir(spark, "q6-out")
     st.run_available_now(j, scratch_dir(spark, "q6-ck"), st.idempotent_writer(out))
     return st.read_batches(spark, out).drop("batch_id")

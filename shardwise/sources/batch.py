@@ -83,7 +83,11 @@ def scan_range(logs: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def store_latest_time(logs: DataFrame) -> int:
-    """One past the newest arrival second of the store (a single aggregate)."""
+    """One past the newest arrival second of the store (from the index when
+    there is one, else a single aggregate)."""
+    idx = index_of(logs)
+    if idx is not None:
+        return int(idx.agg(F.max("max_time")).collect()[0][0]) + 1
     return int(logs.agg(F.max("cursor_time")).collect()[0][0]) + 1
 
 

@@ -328,3 +328,17 @@ def test_appends_keep_cursors_increasing_and_index_whole(spark):
     assert back.select("cursor").distinct().count() == 2 * orders.count()
     assert back.where(F.col("cursor") > first_max).count() == orders.count()
     assert read_index(spark, path).agg(F.sum("n")).first()[0] == 2 * orders.count()
+
+
+def test_bounded_self_join_equals_brute_force_with_hot_key(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1 if i % 3 else 2, i, base + dt.timedelta(seconds=97 * i)) for i in range(300)]
+    df = literal_table(spark, rows, "k bigint, id bigint, t timestamp")
+    got = sorted(map(tuple, an.bounded_self_join(df, "k", "t", "id", 1800).collect()))
+    a, b = df.alias("a"), df.alias("b")
+    want = sorted(map(tuple, a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("b.t") >= F.col("a.t"))
+                                    & (F.col("b.t") <= F.col("a.t") + F.expr("INTERVAL 1800 SECONDS")))
+                      .select(F.col("a.k"), F.col("a.id"), F.col("b.id")).collect()))
+    assert got == want and len(got) > 300
