@@ -207,15 +207,19 @@ def index_of(logs: DataFrame) -> DataFrame | None:
     return hit[1] if hit is not None and hit[0] is logs else None
 
 
+# Bumped whenever the derivation or layout changes, so an old store is never reused.
+STORE_LAYOUT_VERSION = "3"
+
+
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
         st = p.getFileSystem(conf).getFileStatus(p)
-        stamp = f"{path}|{st.getLen()}|{st.getModificationTime()}"
+        stamp = f"{STORE_LAYOUT_VERSION}|{path}|{st.getLen()}|{st.getModificationTime()}"
     except Exception:  # noqa: BLE001 - fall back to the path alone
-        stamp = path
+        stamp = f"{STORE_LAYOUT_VERSION}|{path}"
     return hashlib.sha1(stamp.encode()).hexdigest()[:16]
 
 
