@@ -342,3 +342,29 @@ def test_bounded_self_join_equals_brute_force_with_hot_key(spark):
                                     & (F.col("b.t") <= F.col("a.t") + F.expr("INTERVAL 1800 SECONDS")))
                       .select(F.col("a.k"), F.col("a.id"), F.col("b.id")).collect()))
     assert got == want and len(got) > 300
+
+
+def test_reader_api(spark, logs):
+    from shardwise.model import log_store_path
+    from shardwise.sources.reader import read_logs, read_stream
+    from shardwise.streaming.core import run_available_now, idempotent_writer
+
+    path = log_store_path(spark, SF01)
+    assert read_logs(spark, path).count() == logs.count()
+    part = read_logs(spark, path, fx.OFFSETS_START, fx.OFFSETS_END)
+    assert part.columns == shape.DEFAULT_FIELDS
+    assert part.count() == 7312  # equals batch_scan_range at sf0.01
+    typed = read_logs(spark, path, schema=T.StructType([T.StructField("value", T.DoubleType())]))
+    assert typed.schema["value"].dataType == T.DoubleType()
+    with pytest.raises(off.OffsetError):
+        read_logs(spark, path, "latest")
+    with pytest.raises(off.OffsetError):
+        read_logs(spark, path, '{"analytics#events":{"0":-2}}')
+    out = scratch_dir(spark, "reader-stream")
+    run_available_now(read_stream(spark, path, "earliest", max_files_per_trigger=10),
+                      scratch_dir(spark, "reader-ck"), idempotent_writer(out))
+    assert spark.read.parquet(out).count() == logs.count()
+    latest = scratch_dir(spark, "reader-latest")
+    run_available_now(read_stream(spark, path, "latest"), scratch_dir(spark, "reader-ck2"), idempotent_writer(latest))
+    from shardwise.session import path_exists
+    assert not path_exists(spark, latest) or spark.read.parquet(latest).count() == 0
