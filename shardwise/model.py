@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardwise.operators.ranking import exact_rank
 from shardwise.session import checkpoint_root, path_exists
 
 # Fixed values of the fixture store.
@@ -105,32 +106,15 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
                 n_shards: int = N_SHARDS) -> DataFrame:
     """Canonical log records from ``events``.
 
-    The position of a log in its group is computed in two levels so no task
-    ever holds a whole (shard, topic, day) group: a per-second count table
-    (at most 86,400 rows per group) gives the number of logs before each
-    second via a running sum, and ``row_number`` runs only inside one
-    (group, second).
-    """
+    The position of a log in its (shard, topic, day) group and the group's
+    first cursor come from one exact rank (``exact_rank``): rows are
+    range-partitioned on (group, cursor, event_id), so a hot group -- or a
+    hot second inside it -- is split over many tasks instead of one."""
     b = shard_records(events, project, store, n_shards)
-    sec_keys = GROUP_KEYS + ["cursor_time"]
-    per_sec = b.groupBy(*sec_keys).agg(
-        F.count(F.lit(1)).alias("n_sec"), F.min("cursor").alias("min_cursor")
-    )
-    w = Window.partitionBy(*GROUP_KEYS).orderBy("cursor_time")
-    per_sec = per_sec.select(
-        *sec_keys,
-        F.coalesce(
-            F.sum("n_sec").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("n_before"),
-        F.min("min_cursor").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ).alias("group_cursor"),
-    )
-    in_sec = Window.partitionBy(*sec_keys).orderBy("event_id")
-    j = b.join(per_sec, sec_keys)
-    return j.select(
+    r = exact_rank(b, GROUP_KEYS, ["cursor", "event_id"], name="_pos", key_mins={"group_cursor": "cursor"})
+    return r.select(
         "log_project", "log_store", "shard", "cursor", "cursor_time", "group_cursor",
-        (F.col("n_before") + F.row_number().over(in_sec) - 1).cast("int").alias("log_index"),
+        (F.col("_pos") - 1).cast("int").alias("log_index"),
         seconds_to_ntz("cursor_time").alias("log_time"),
         "topic", "source", "event_id", "contents", "tags", "dt",
     )
@@ -208,7 +192,7 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "3"
+STORE_LAYOUT_VERSION = "4"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:

@@ -1,0 +1,85 @@
+"""Exact row numbers inside groups that may be very large.
+
+``row_number() over (partition by keys order by ...)`` makes one task hold a
+whole group: a hot shard, day or second would become one long task.  Here
+the rows are range-partitioned on ``keys + order`` (as a global ``orderBy``
+does), so a hot group is cut into many partitions of about equal size.  A
+row's number is then
+
+    rows of its group in earlier partitions      (a running sum over a small
+                                                  (partition, group) table)
+  + its position inside its partition's run       (id after the local sort)
+
+The (partition, group) table has at most ``#groups + #partitions`` rows;
+no task ever holds more than one range partition of rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from shardwise.session import scratch_dir
+
+_PID, _MID = "_rk_pid", "_rk_mid"
+
+
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    if partitions:
+        return int(partitions)
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _sorted_with_ids(df: DataFrame, cols: list[str], partitions: int) -> DataFrame:
+    """Rows range-partitioned and sorted on ``cols`` with their partition and
+    a per-partition increasing id, written once as a table in the shared
+    checkpoint folder and read back: the ids are fixed, the run counts and
+    the rows read the same data (also after an executor is lost), and no
+    second range exchange (with its own sampled bounds) is ever planned."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "rank")
+    (
+        df.repartitionByRange(partitions, *cols)
+        .sortWithinPartitions(*cols)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_MID, F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
+def exact_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
+               key_mins: dict[str, str] | None = None, partitions: int | None = None,
+               broadcast_runs: bool = False) -> DataFrame:
+    """``df`` plus ``name`` = 1-based ``row_number()`` of each row in its
+    ``keys`` group by ``order`` (``order`` must be unique inside a group),
+    and for each ``out: col`` in ``key_mins`` the group's ``min(col)``.
+
+    ``broadcast_runs`` may be set by a caller that knows the number of
+    groups is small (the run table has at most groups + partitions rows);
+    otherwise the join back is left to AQE, which broadcasts only a run
+    table that is small at run time."""
+    keys, order = list(keys), list(order)
+    key_mins = dict(key_mins or {})
+    n = _partitions(df, partitions)
+    s = _sorted_with_ids(df, keys + order, n)
+
+    aggs = [F.min(_MID).alias("_rk_first"), F.count(F.lit(1)).alias("_rk_n")]
+    aggs += [F.min(c).alias(f"_rk_min_{out}") for out, c in key_mins.items()]
+    runs = s.groupBy(_PID, *keys).agg(*aggs)
+    earlier = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    rk = [f"_rk_k{i}" for i in range(len(keys))]  # renamed: no ambiguous self-join
+    runs = runs.select(
+        F.col(_PID).alias("_rk_p"), *[F.col(k).alias(r) for k, r in zip(keys, rk)],
+        (F.coalesce(F.sum("_rk_n").over(earlier), F.lit(0)) - F.col("_rk_first")).alias("_rk_base"),
+        *[F.min(f"_rk_min_{out}").over(whole).alias(out) for out in key_mins],
+    )
+    if broadcast_runs:
+        runs = F.broadcast(runs)
+    cond = [F.col(_PID) == F.col("_rk_p")] + [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, rk)]
+    j = s.join(runs, cond)
+    rank: Column = (F.col("_rk_base") + F.col(_MID) + F.lit(1)).alias(name)
+    return j.select(*df.columns, rank, *key_mins)

@@ -2,8 +2,8 @@
 trigger, exact per-shard caps and the per-shard rate of a direct stream.
 
 Every window here runs over an *aggregated* table with a proven bound
-(buckets of one look-ahead, days of one shard, seconds of one day, rows of
-one second), never over raw logs of a whole shard.
+(buckets of one look-ahead, days of one shard, seconds of one day), never over raw
+logs; the rank inside a boundary second is range-split (``exact_rank``).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardwise.model import index_of, literal_table
+from shardwise.operators.ranking import exact_rank
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Look-ahead of the rate limiter and the "caught up" lag (s),
@@ -21,6 +22,8 @@ CAUGHT_UP_SECONDS = 60
 MAX_OFFSETS_PER_TRIGGER = 65536
 MAX_RATE_PER_SHARD = 10000
 LONG_MAX = 9223372036854775807
+# Rows one window task may rank; a larger group is range-split (``exact_rank``).
+RANK_IN_ONE_TASK = 1_000_000
 
 
 def histogram(spark: SparkSession, logs: DataFrame, start: int, end: int, width: int = 1) -> DataFrame:
@@ -101,7 +104,8 @@ def _day_of(seconds: int):
     return dt.date(1970, 1, 1) + dt.timedelta(days=seconds // 86400)
 
 
-def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None) -> DataFrame:
+def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None,
+                          rank_in_one_task: int = RANK_IN_ONE_TASK) -> DataFrame:
     """At most ``n`` logs of each shard in cursor order from its start cursor.
 
     Exact and skew-safe, in three bounded steps whose results are per-shard
@@ -113,7 +117,7 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     2. per-second counts of the boundary days only (literal ``dt`` filter)
        -> the boundary second and the rank needed inside it;
     3. the batch: a scan between the earliest start and the latest boundary
-       (literal bounds: partition and row-group pruning), ``row_number`` only
+       (literal bounds: partition and row-group pruning), an exact rank only
        over the logs of each boundary second.
 
     ``starts`` holds (shard key, ``start_cursor``); without it every shard
@@ -164,6 +168,7 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     ).collect()  # one row per shard that reaches the cap
 
     # 2. boundary second inside the boundary day
+    biggest_second = 0
     cut_schema = "log_project string, log_store string, shard int, cut_time bigint, cut_rank bigint"
     cut_rows = []
     if bday_rows:
@@ -177,9 +182,12 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
         )
         ws = Window.partitionBy(*SHARD_KEY).orderBy("cursor_time")
         sec = sec.withColumn("incl", F.sum("c").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-        cut_rows = [tuple(x) for x in sec.where(
+        cut_full = sec.where(
             (F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))
-        ).select(*SHARD_KEY, "cursor_time", (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank")).collect()]
+        ).select(*SHARD_KEY, "cursor_time", (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank"),
+                 "c").collect()  # one row per capped shard
+        cut_rows = [tuple(x)[:-1] for x in cut_full]
+        biggest_second = max((x["c"] for x in cut_full), default=0)
 
     # 3. the batch
     if cut_rows and len(cut_rows) == len(srows):
@@ -188,9 +196,20 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     cut = F.broadcast(literal_table(spark, cut_rows, cut_schema))
     j = r.join(cut, SHARD_KEY, "left")
     before = j.where(F.col("cut_time").isNull() | (F.col("cursor_time") < F.col("cut_time")))
+    if not cut_rows:
+        return before.drop("cut_time", "cut_rank")
+    # rank inside the boundary seconds only.  Their sizes are known from the
+    # per-second counts: up to ``rank_in_one_task`` rows a second is ranked by
+    # one window task; a hotter second is range-split over many tasks (one
+    # boundary second per shard: the run table is bounded by shards +
+    # partitions and broadcast)
     at = j.where(F.col("cursor_time") == F.col("cut_time"))
-    rn = F.row_number().over(Window.partitionBy(*SHARD_KEY, "cursor_time").orderBy("cursor"))
-    at = at.withColumn("_rn", rn).where(F.col("_rn") <= F.col("cut_rank")).drop("_rn")
+    if biggest_second <= rank_in_one_task:
+        rn = F.row_number().over(Window.partitionBy(*SHARD_KEY, "cursor_time").orderBy("cursor"))
+        at = at.withColumn("_rn", rn)
+    else:
+        at = exact_rank(at, SHARD_KEY + ["cursor_time"], ["cursor"], name="_rn", broadcast_runs=True)
+    at = at.where(F.col("_rn") <= F.col("cut_rank")).drop("_rn")
     return before.unionByName(at).drop("cut_time", "cut_rank")
 
 

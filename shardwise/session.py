@@ -42,8 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        # only where the cluster names none (tests on one machine); Spark 4
+        # refuses ``conf.set`` of this core setting at run time, so the
+        # folder is given to the context, which is where it is read above
         root = tempfile.mkdtemp(prefix="shardwise-ckpt-")
-        spark.conf.set(_CKPT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -25,8 +24,9 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shardwise-test-"))
+    from shardwise.session import checkpoint_root
+
+    checkpoint_root(s)  # the cluster's spark.checkpoint.dir, or a fresh folder when unset
     yield s
 
 

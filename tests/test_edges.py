@@ -192,6 +192,36 @@ def test_cap_edge_shards(spark):
     assert got == [(1, 5_000_000_000)] + [(2, 7_000_000_000 + i) for i in range(10)]
 
 
+def test_cap_hot_second_range_split(spark):
+    # one second holds most of a shard; the range-split rank must equal row_number
+    rows = [("p", "s", 1, 5_000_000_000 + i, 5, "1970-01-01") for i in range(3)] + [
+        ("p", "s", 2, 7_000_000_000 + (i * 37) % 400, 7, "1970-01-01") for i in range(400)
+    ] + [("p", "s", 2, 8_000_000_000 + i, 8, "1970-01-01") for i in range(5)]
+    df = literal_table(spark, rows, "log_project string, log_store string, shard int, cursor bigint, "
+                                    "cursor_time bigint, dt string").withColumn("dt", F.to_date("dt"))
+    for n in (2, 250, 404):
+        got = sorted(tuple(r) for r in rl.cap_records_per_shard(df, n, rank_in_one_task=0)
+                     .select("shard", "cursor").collect())
+        assert got == sorted(tuple(r) for r in _brute_cap(df, n).collect())
+
+
+def test_exact_rank_hot_and_null_keys(spark):
+    from shardwise.operators.ranking import exact_rank
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id") % 11).alias("k"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.lit("a")).alias("k2"),
+        ((F.col("id") * 7919) % 30011).alias("o"),
+    )
+    got = exact_rank(df, ["k", "k2"], ["o"], key_mins={"first_o": "o"}, partitions=6)
+    want = df.select(
+        "*", F.row_number().over(Window.partitionBy("k", "k2").orderBy("o")).alias("rank"),
+        F.min("o").over(Window.partitionBy("k", "k2")).alias("first_o"),
+    )
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.count() == 30000
+
+
 def test_slices_partition_the_range(spark, logs):
     for n in (1, 3, 5):
         s = src.time_range_slices(logs, fx.DAY10, fx.DAY20 + 7, n)
