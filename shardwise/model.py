@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.operators.ranking import exact_rank
+from shardwise.operators.ranking import RANK_IN_ONE_TASK, exact_rank
 from shardwise.session import checkpoint_root, path_exists
 
 # Fixed values of the fixture store.
@@ -103,15 +103,17 @@ def shard_records(events: DataFrame, project: str = PROJECT, store: str = STORE,
 
 
 def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
-                n_shards: int = N_SHARDS) -> DataFrame:
+                n_shards: int = N_SHARDS, rank_in_one_task: int = RANK_IN_ONE_TASK) -> DataFrame:
     """Canonical log records from ``events``.
 
     The position of a log in its (shard, topic, day) group and the group's
-    first cursor come from one exact rank (``exact_rank``): rows are
-    range-partitioned on (group, cursor, event_id), so a hot group -- or a
-    hot second inside it -- is split over many tasks instead of one."""
+    first cursor come from one exact rank (``exact_rank``): groups up to
+    ``rank_in_one_task`` rows are ranked by a window, one task per group; a
+    larger (hot) group is range-partitioned on (group, cursor, event_id) and
+    so split over many tasks."""
     b = shard_records(events, project, store, n_shards)
-    r = exact_rank(b, GROUP_KEYS, ["cursor", "event_id"], name="_pos", key_mins={"group_cursor": "cursor"})
+    r = exact_rank(b, GROUP_KEYS, ["cursor", "event_id"], name="_pos", key_mins={"group_cursor": "cursor"},
+                   rank_in_one_task=rank_in_one_task)
     return r.select(
         "log_project", "log_store", "shard", "cursor", "cursor_time", "group_cursor",
         (F.col("_pos") - 1).cast("int").alias("log_index"),
@@ -192,7 +194,7 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "4"
+STORE_LAYOUT_VERSION = "5"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardwise.model import index_of, literal_table
-from shardwise.operators.ranking import exact_rank
+from shardwise.operators.ranking import RANK_IN_ONE_TASK, exact_rank
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Look-ahead of the rate limiter and the "caught up" lag (s),
@@ -22,8 +22,6 @@ CAUGHT_UP_SECONDS = 60
 MAX_OFFSETS_PER_TRIGGER = 65536
 MAX_RATE_PER_SHARD = 10000
 LONG_MAX = 9223372036854775807
-# Rows one window task may rank; a larger group is range-split (``exact_rank``).
-RANK_IN_ONE_TASK = 1_000_000
 
 
 def histogram(spark: SparkSession, logs: DataFrame, start: int, end: int, width: int = 1) -> DataFrame:
@@ -199,16 +197,13 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     if not cut_rows:
         return before.drop("cut_time", "cut_rank")
     # rank inside the boundary seconds only.  Their sizes are known from the
-    # per-second counts: up to ``rank_in_one_task`` rows a second is ranked by
-    # one window task; a hotter second is range-split over many tasks (one
+    # per-second counts: a second up to ``rank_in_one_task`` rows is ranked
+    # by one window task, a hotter one is range-split over many tasks (one
     # boundary second per shard: the run table is bounded by shards +
     # partitions and broadcast)
     at = j.where(F.col("cursor_time") == F.col("cut_time"))
-    if biggest_second <= rank_in_one_task:
-        rn = F.row_number().over(Window.partitionBy(*SHARD_KEY, "cursor_time").orderBy("cursor"))
-        at = at.withColumn("_rn", rn)
-    else:
-        at = exact_rank(at, SHARD_KEY + ["cursor_time"], ["cursor"], name="_rn", broadcast_runs=True)
+    at = exact_rank(at, SHARD_KEY + ["cursor_time"], ["cursor"], name="_rn", broadcast_runs=True,
+                    largest=biggest_second, rank_in_one_task=rank_in_one_task)
     at = at.where(F.col("_rn") <= F.col("cut_rank")).drop("_rn")
     return before.unionByName(at).drop("cut_time", "cut_rank")
 

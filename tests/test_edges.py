@@ -213,13 +213,25 @@ def test_exact_rank_hot_and_null_keys(spark):
         F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.lit("a")).alias("k2"),
         ((F.col("id") * 7919) % 30011).alias("o"),
     )
-    got = exact_rank(df, ["k", "k2"], ["o"], key_mins={"first_o": "o"}, partitions=6)
     want = df.select(
         "*", F.row_number().over(Window.partitionBy("k", "k2").orderBy("o")).alias("rank"),
         F.min("o").over(Window.partitionBy("k", "k2")).alias("first_o"),
     )
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert got.count() == 30000
+    for limit in (0, 10**6):  # range-split, then one window task per group
+        got = exact_rank(df, ["k", "k2"], ["o"], key_mins={"first_o": "o"}, partitions=6,
+                         rank_in_one_task=limit)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        assert got.count() == 30000
+
+
+def test_derived_positions_same_on_both_rank_plans(spark):
+    from shardwise.model import derive_logs, table
+
+    events = table(spark, SF01, "events")
+    cols = ["shard", "cursor", "group_cursor", "log_index", "event_id"]
+    split = derive_logs(events, rank_in_one_task=0).select(*cols)
+    window = derive_logs(events).select(*cols)
+    assert split.exceptAll(window).count() == 0 and window.exceptAll(split).count() == 0
 
 
 def test_slices_partition_the_range(spark, logs):
