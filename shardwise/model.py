@@ -298,9 +298,11 @@ def checkpoints_table(spark: SparkSession, logs: DataFrame) -> DataFrame:
     fixed = literal_table(
         spark, [("g1", 0, "MTcwNDg0NDgwMDAwMDAwMDAwMA=="), ("g1", 1, "")], CHECKPOINTS_SCHEMA
     )
+    from shardwise.plans.offsets import shard_bounds  # noqa: PLC0415 (offsets imports model)
+
     end2 = (
-        logs.where(F.col("shard") == 2)
-        .agg((F.max("cursor") + 1).alias("c"))
+        shard_bounds(logs).where(F.col("shard") == 2)
+        .select(F.col("end_cursor").alias("c"))
         .select(
             F.lit("g1").alias("consumer_group"),
             F.lit(2).alias("shard"),

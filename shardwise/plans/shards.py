@@ -102,11 +102,11 @@ def skip_exhausted_shards(positions: DataFrame, shards: DataFrame) -> DataFrame:
     """Drop read-only shards whose start is at (or past) their end.
 
     ``positions`` has (shard key, ``start_cursor``, ``end_cursor``)."""
-    # shard map and positions are per-shard control rows
-    done = positions.join(F.broadcast(shards.select(*SHARD_KEY, "status")), SHARD_KEY).where(
-        (F.col("status") == "readonly") & (F.col("start_cursor") >= F.col("end_cursor"))
-    ).select(*SHARD_KEY)
-    return positions.join(F.broadcast(done), SHARD_KEY, "left_anti")
+    # shard map and positions are per-shard control rows; one pass over the
+    # positions (a shard missing from the map is kept)
+    status = F.broadcast(shards.select(*SHARD_KEY, F.col("status").alias("_status")))
+    exhausted = (F.col("_status") == "readonly") & (F.col("start_cursor") >= F.col("end_cursor"))
+    return positions.join(status, SHARD_KEY, "left").where(~F.coalesce(exhausted, F.lit(False))).drop("_status")
 
 
 def incremental_ranges(planned_ends: DataFrame, committed: DataFrame, earliest: DataFrame) -> DataFrame:
