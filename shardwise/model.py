@@ -122,18 +122,27 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
     )
 
 
-def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observation=None,
+                    drop_empty: bool = False) -> None:
     """Write records in the store layout: partitioned by (log_store, dt), sorted
     by (shard, cursor) inside files.  Range partitioning keeps a hot day or
-    shard spread over many tasks."""
+    shard spread over many tasks.
+
+    ``observation`` (a ``pyspark.sql.Observation``) receives ``rows`` and
+    ``dropped`` (records without any non-null value); it is attached after the range
+    exchange, whose input Spark runs twice (the partitioner's sample and the
+    shuffle), so each record is counted once.  ``drop_empty`` leaves records
+    without contents out of the write."""
     order = ["log_store", "dt", "shard", "cursor"]
-    (
-        logs.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy("log_store", "dt")
-        .parquet(path)
-    )
+    r = logs.repartitionByRange(*order)
+    # no contents, or only null values (a null column is a missing key)
+    empty = F.col("contents").isNull() | F.forall(F.map_values("contents"), lambda v: v.isNull())
+    if observation is not None:
+        r = r.observe(observation, F.count(F.lit(1)).alias("rows"),
+                      F.sum(F.when(empty, 1).otherwise(0)).alias("dropped"))
+    if drop_empty:
+        r = r.where(~empty)
+    r.sortWithinPartitions(*order).write.mode(mode).partitionBy("log_store", "dt").parquet(path)
 
 
 def read_log_store(spark: SparkSession, path: str) -> DataFrame:

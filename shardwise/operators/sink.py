@@ -150,7 +150,7 @@ def next_base_cursor(spark: SparkSession, path: str) -> int:
 
 def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str = "append",
                shards: DataFrame | None = None, n_shards: int = 1,
-               observation: Observation | None = None) -> None:
+               observation: Observation | None = None, drop_empty: bool = False) -> None:
     """Append items to a log store at ``path`` (the save-mode rules apply) and
     append the index rows of what was written.
 
@@ -162,9 +162,8 @@ def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str
     m = check_save_mode(mode)
     base = next_base_cursor(spark, path)
     recs = shape_for_store(items, project, store, shards, base_cursor=F.lit(base), n_shards=n_shards)
-    if observation is not None:
-        recs = recs.observe(observation, F.count(F.lit(1)).alias("written"))
-    write_log_store(recs, path, mode="append" if m == "append" else "errorifexists")
+    write_log_store(recs, path, mode="append" if m == "append" else "errorifexists",
+                    observation=observation, drop_empty=drop_empty)
     write_index(read_log_store(spark, path).where(F.col("cursor") >= F.lit(base)), path)
 
 
@@ -178,15 +177,11 @@ def insert_into(df: DataFrame, table_name: str, overwrite: bool = False) -> None
 def observed_write(spark: SparkSession, items: DataFrame, path: str, project: str, store: str,
                    max_dropped: int = 0, shards: DataFrame | None = None) -> dict:
     """Write with row counts observed on the executors; fail when more than
-    ``max_dropped`` rows could not become items (null contents)."""
+    ``max_dropped`` rows could not become items (null or empty contents).
+    Such rows are left out of the store."""
     obs = Observation("log_write")
-    checked = items.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.when(F.col("contents").isNull() | (F.size("contents") == 0), 1).otherwise(0)).alias("dropped"),
-    )
-    kept = checked.where(F.col("contents").isNotNull() & (F.size("contents") > 0))
-    write_logs(kept, path, project, store, shards=shards)
+    # counted inside the store write, where each record passes exactly once
+    write_logs(items, path, project, store, shards=shards, observation=obs, drop_empty=True)
     m = obs.get
     dropped = int(m.get("dropped") or 0)
     if dropped > max_dropped:

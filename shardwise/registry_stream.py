@@ -77,10 +77,13 @@ def _orders(spark, sf_dir):
     return table(spark, sf_dir, "orders")
 
 
-@register("write_logs_batch", """SELECT cast(json_object('o_custkey', cast(o_custkey AS varchar),
+DUCK_ORDER_ITEMS = """SELECT cast(json_object('o_custkey', cast(o_custkey AS varchar),
   'o_orderdate', cast(epoch_ms(o_orderdate) AS varchar), 'o_orderkey', cast(o_orderkey AS varchar),
   'o_orderpriority', o_orderpriority, 'o_orderstatus', o_orderstatus, 'o_totalprice', cast(o_totalprice AS varchar)) AS varchar) AS item
-FROM orders""")
+FROM orders"""
+
+
+@register("write_logs_batch", DUCK_ORDER_ITEMS)
 def q_write_logs_batch(spark, sf_dir):
     items = sk.to_log_items(_orders(spark, sf_dir))
     return items.select(sk.item_json(items).alias("item"))
@@ -160,7 +163,7 @@ def q_write_with_hash_key(spark, sf_dir):
     return routed.select("routed_shard", "topic", sk.item_json(routed).alias("item"))
 
 
-@register("insert_into")
+@register("insert_into", DUCK_ORDER_ITEMS)
 def q_insert_into(spark, sf_dir):
     """INSERT INTO an external table in the scratch folder; rows read back."""
     path = scratch_dir(spark, "insert-into")
@@ -184,7 +187,9 @@ def q_stream_sink_idempotent(spark, sf_dir):
     return st.read_batches(spark, out).select("shard", "cursor")
 
 
-@register("write_observed")
+@register("write_observed", """SELECT count(*)::BIGINT AS "rows",
+  count(*) FILTER (WHERE o_totalprice >= 1000)::BIGINT AS written,
+  count(*) FILTER (WHERE o_totalprice < 1000 OR o_totalprice IS NULL)::BIGINT AS dropped FROM orders""")
 def q_write_observed(spark, sf_dir):
     items = _topic_source_items(spark, sf_dir, with_key=False)
     res = sk.observed_write(spark, items, scratch_dir(spark, "w11-store"), "analytics", "orders", max_dropped=0)

@@ -281,6 +281,21 @@ def test_insert_overwrite_refused(spark):
         sk.insert_into(spark.range(1), "t", overwrite=True)
 
 
+def test_observed_write_counts_each_row_once(spark):
+    from shardwise.model import read_log_store
+
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("v"),
+    )
+    items = sk.to_log_items(df, ["v"])  # a null column leaves an empty item
+    path = scratch_dir(spark, "observed")
+    with pytest.raises(RuntimeError):
+        sk.observed_write(spark, items, path, "p", "s", max_dropped=99)
+    res = sk.observed_write(spark, items, scratch_dir(spark, "observed2"), "p", "s", max_dropped=100)
+    assert res == {"rows": 1000, "written": 900, "dropped": 100}
+    assert read_log_store(spark, path).count() == 900
+
+
 def test_write_then_read_back(spark):
     from shardwise.model import read_log_store
 
