@@ -427,3 +427,36 @@ def test_reader_api(spark, logs):
     # an empty micro-batch leaves no data files: read with the known schema
     schema = spark.read.parquet(out).schema
     assert not path_exists(spark, latest) or spark.read.schema(schema).parquet(latest).count() == 0
+
+
+def test_input_row_metrics_sum_to_the_store(spark, logs):
+    import __spark_entry__ as entry
+
+    prog = entry.queries()["input_row_metrics"](spark, SF01)
+    rows = prog.collect()
+    assert len(rows) >= 2  # several triggers (10 files each)
+    assert sum(r["num_input_rows"] for r in rows) == logs.count()
+
+
+def test_foreach_batch_table_keeps_ten_first_per_batch(spark, logs):
+    import __spark_entry__ as entry
+
+    out = entry.queries()["foreach_batch_table"](spark, SF01)
+    per_batch = out.groupBy("batch_id").count().collect()
+    assert per_batch and all(r["count"] <= 10 for r in per_batch)
+    assert out.join(logs.select("shard", "cursor"), ["shard", "cursor"], "left_anti").count() == 0
+    first = logs.agg(F.min("cursor")).first()[0]
+    assert out.where(F.col("cursor") == first).count() == 1
+
+
+def test_late_data_dropped_and_emitted_windows_complete(spark, logs):
+    import __spark_entry__ as entry
+
+    out = entry.queries()["late_data_drop"](spark, SF01)
+    assert out.count() > 0
+    assert out.where(F.col("window_start") < F.lit(fx.DAY10).cast("timestamp").cast("timestamp_ntz")).count() == 0
+    hour = F.date_trunc("hour", F.col("log_time"))
+    want = logs.where(F.col("cursor_time") >= fx.DAY10).groupBy(hour.alias("window_start")).agg(
+        F.count(F.lit(1)).alias("want"))
+    j = out.join(want, "window_start", "left")
+    assert j.where(F.col("want").isNull() | (F.col("want") != F.col("count"))).count() == 0
