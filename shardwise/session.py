@@ -15,16 +15,23 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                driver_memory: str = "16g") -> SparkSession:
-    """A session tuned for this library; reuses an active one if present."""
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    """A session tuned for this library; reuses an active one if present.
+
+    ``master``, ``shuffle_partitions`` and ``driver_memory`` are set only when
+    given (local runs, tests, the bench): on a cluster the deployment decides
+    them, and AQE sizes shuffle partitions from the advisory partition size."""
+    b = SparkSession.builder.appName("shardwise")
+    if master:
+        b = b.master(master)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
-        SparkSession.builder.master(master)
-        .config("spark.driver.memory", driver_memory)
-        .appName("shardwise")
-        .config("spark.ui.enabled", "false")
+        b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

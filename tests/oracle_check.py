@@ -88,7 +88,7 @@ if __name__ == "__main__":
     sys.path.insert(0, "/root/repo")
     from shardwise.session import get_session
 
-    spark = get_session("local[8]")
+    spark = get_session("local[8]", shuffle_partitions=8, driver_memory="16g")
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
     r = compare(spark, sf, names)
