@@ -418,8 +418,8 @@ def q_restart_recovery(spark, sf_dir):
 @register("input_row_metrics")
 def q_input_row_metrics(spark, sf_dir):
     s = st.stream_logs(spark, log_store_path(spark, sf_dir), 10).select("shard", "cursor")
-    q = st.run_available_now(s, scratch_dir(spark, "q12-ck"), st.idempotent_writer(scratch_dir(spark, "q12-out")))
-    return st.progress_rows(spark, q)
+    rows = st.run_with_progress(s, scratch_dir(spark, "q12-ck"), st.idempotent_writer(scratch_dir(spark, "q12-out")))
+    return st.progress_rows(spark, rows)
 
 
 @register("transform_forward", with_logs(

@@ -10,10 +10,12 @@ need; production callers pass their own trigger.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from shardwise.model import LOG_COLUMNS, LOG_SCHEMA, literal_table
 from shardwise.plans.offsets import SHARD_KEY
@@ -90,10 +92,58 @@ def latest_batch(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(top), F.col("batch_id") == F.col("_top")).drop("_top")
 
 
-def progress_rows(spark: SparkSession, query) -> DataFrame:
+class _ProgressLog(StreamingQueryListener):
+    """(batch_id, num_input_rows) of every trigger of every query, keyed by
+    query id; one small row per trigger on the driver."""
+
+    def __init__(self):
+        self.rows: dict[str, list[tuple[int, int]]] = {}
+        self.finished: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _done(self, qid: str) -> threading.Event:
+        with self._lock:
+            return self.finished.setdefault(qid, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self._lock:
+            self.rows.setdefault(str(p.id), []).append((int(p.batchId), int(p.numInputRows)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._done(str(event.id)).set()
+
+
+def run_with_progress(df: DataFrame, checkpoint: str, batch_fn: Callable | None = None,
+                      output_mode: str = "append", wait_seconds: int = 120) -> list[tuple[int, int]]:
+    """``run_available_now`` plus every trigger's (batch_id, num_input_rows).
+
+    ``StreamingQuery.recentProgress`` keeps only the last few triggers
+    (``spark.sql.streaming.numRecentProgressUpdates``); a listener sees all
+    of them.  Listener events are delivered asynchronously, so this waits
+    for the query's termination event, which follows its last progress."""
+    spark = df.sparkSession
+    log = _ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = run_available_now(df, checkpoint, batch_fn, output_mode)
+        qid = str(q.id)
+        if not log._done(qid).wait(wait_seconds):
+            raise RuntimeError(f"no termination event for query {qid} within {wait_seconds}s")
+        return sorted(log.rows.get(qid, []))
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress_rows(spark: SparkSession, rows: list[tuple[int, int]]) -> DataFrame:
     """One row per trigger: (batch_id, num_input_rows); trigger counts are
     bounded by the run, not by the data."""
-    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
     return literal_table(spark, rows, "batch_id bigint, num_input_rows bigint")
 
 
