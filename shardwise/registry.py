@@ -596,13 +596,20 @@ def q_key_precedence(spark, sf_dir):
 
 
 @register("store_identity", with_logs(
-    """SELECT t.log_project, t.log_store, t.shard, t."offset", b.begin_time
-FROM (VALUES ('analytics', 'events', 0, 1704844800::BIGINT), ('analytics', 'events', 1, 1704844801),
-  ('analytics', 'archive', 5, 1704844802)) t(log_project, log_store, shard, "offset")
+    f"""SELECT p.log_project, p.log_store, p.shard, p.o AS "offset", b.begin_time
+FROM (SELECT log_project, CASE WHEN cursor_time >= {fx.DAY10} THEN log_store ELSE 'archive' END AS log_store, shard,
+  min(cursor_time) AS o FROM logs GROUP BY ALL) p
 LEFT JOIN bounds b USING (log_project, log_store, shard)"""))
 def q_store_identity(spark, sf_dir):
+    """Two stores in one offset JSON, rendered from the data: ``events`` with
+    each shard's first second from day 10 on, ``archive`` with its first
+    second before (the days an archive would hold).  Parsed back, each entry
+    joins the bounds of its own (project, store, shard) only."""
     logs = log_store(spark, sf_dir)
-    parsed = _parsed(spark, fx.TWO_STORES)
+    daily = off.daily_first_offsets(logs)  # (day, shard) rows: the store index
+    store = F.when(F.col("dt") >= F.lit(src.epoch_day(fx.DAY10)), F.col("log_store")).otherwise(F.lit("archive"))
+    first = daily.groupBy("log_project", store.alias("log_store"), "shard").agg(F.min("offset").alias("offset"))
+    parsed = off.parse_offsets_json(off.render_offsets_json(first))
     return parsed.join(off.earliest_offsets(logs).select(*K, "begin_time"), K, "left")
 
 
