@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardwise.functions.shape import b64_to_cursor, cursor_to_b64
-from shardwise.model import index_of
+from shardwise.model import index_of, literal_table
 
 SHARD_KEY = ["log_project", "log_store", "shard"]
 
@@ -35,6 +35,10 @@ def list_shards(logs: DataFrame) -> DataFrame:
     return (idx if idx is not None else logs).select(*SHARD_KEY).distinct()
 
 
+_BOUNDS: dict[int, tuple[DataFrame, DataFrame]] = {}
+FIXED_BOUNDS_MAX_SHARDS = 10_000
+
+
 def shard_bounds(logs: DataFrame) -> DataFrame:
     """Earliest and latest position of every shard in one pass.
 
@@ -43,12 +47,23 @@ def shard_bounds(logs: DataFrame) -> DataFrame:
     its (shard, day) rows instead of scanning a column of every log."""
     idx = index_of(logs)
     if idx is not None:
-        return idx.groupBy(*SHARD_KEY).agg(
+        hit = _BOUNDS.get(id(logs))
+        if hit is not None and hit[0] is logs:
+            return hit[1]
+        b = idx.groupBy(*SHARD_KEY).agg(
             F.min("min_time").alias("begin_time"),
             F.min("min_cursor").alias("begin_cursor"),
             (F.max("max_time") + 1).alias("end_time"),
             (F.max("max_cursor") + 1).alias("end_cursor"),
         )
+        # one row per shard, fixed once per store snapshot (the store
+        # DataFrame's file listing is fixed when it is opened); a store with
+        # more shards than a literal should hold keeps the aggregate
+        rows = b.limit(FIXED_BOUNDS_MAX_SHARDS + 1).collect()
+        fixed = b if len(rows) > FIXED_BOUNDS_MAX_SHARDS else literal_table(
+            logs.sparkSession, [tuple(r) for r in rows], b.schema)
+        _BOUNDS[id(logs)] = (logs, fixed)
+        return fixed
     return logs.groupBy(*SHARD_KEY).agg(
         F.min("cursor_time").alias("begin_time"),
         F.min("cursor").alias("begin_cursor"),
