@@ -196,17 +196,47 @@ def q_write_observed(spark, sf_dir):
     return literal_table(spark, [(res["rows"], res["written"], res["dropped"])], "rows bigint, written bigint, dropped bigint")
 
 
-@register("foreach_batch_table")
+PART_CASE = f"CASE WHEN cursor_time < {fx.DAY10} THEN 0 WHEN cursor_time < {fx.DAY20} THEN 1 ELSE 2 END"
+STAGED_SCHEMA = "shard int, cursor bigint, cursor_time bigint"
+
+
+def _staged_runs(spark, sf_dir, name, run) -> None:
+    """The store arrives in three parts (before day 10, days 10-20, after):
+    each part is written, then ``run(stage)`` starts the stream on the same
+    checkpoint.  Each run has exactly one micro-batch, so batch k holds part k."""
+    logs = log_store(spark, sf_dir).select("shard", "cursor", "cursor_time")
+    stage = scratch_dir(spark, name)
+    c = F.col("cursor_time")
+    parts = [c < fx.DAY10, (c >= fx.DAY10) & (c < fx.DAY20), c >= fx.DAY20]
+    for i, cond in enumerate(parts):
+        logs.where(cond).write.parquet(f"{stage}/part={i}")
+        run(stage)
+
+
+def _staged_stream(spark, stage):
+    return spark.readStream.schema(STAGED_SCHEMA).option("recursiveFileLookup", "true").parquet(stage)
+
+
+@register("foreach_batch_table", with_logs(
+    f"""SELECT shard, "cursor", batch_id FROM (
+  SELECT shard, "cursor", {PART_CASE} AS batch_id, row_number() OVER (PARTITION BY {PART_CASE} ORDER BY "cursor") rn
+  FROM logs) WHERE rn <= 10"""))
 def q_foreach_batch_table(spark, sf_dir):
-    """Per micro-batch the 10 first records by cursor, appended to a table."""
-    src = log_store_path(spark, sf_dir)
-    out = scratch_dir(spark, "w12-table")
+    """Per micro-batch the 10 first records by cursor, added to a table.  The
+    batch's rows replace its own partition (dynamic overwrite), so a replayed
+    batch is not added twice."""
+    out, ck = scratch_dir(spark, "w12-table"), scratch_dir(spark, "w12-ck")
 
     def top10(batch: DataFrame, batch_id: int) -> None:
-        batch.orderBy("cursor").limit(10).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        (
+            batch.orderBy("cursor").limit(10).withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(out)
+        )
 
-    st.run_available_now(st.stream_logs(spark, src, 10).select("shard", "cursor"), scratch_dir(spark, "w12-ck"), top10)
-    return spark.read.parquet(out)
+    _staged_runs(spark, sf_dir, "w12-in",
+                 lambda stage: st.run_available_now(_staged_stream(spark, stage).select("shard", "cursor"), ck, top10))
+    return spark.read.parquet(out).select("shard", "cursor", "batch_id")
 
 
 # ---------------------------------------------------------------------------
@@ -415,10 +445,19 @@ def q_restart_recovery(spark, sf_dir):
     return st.read_batches(spark, out).select("shard", "cursor")
 
 
-@register("input_row_metrics")
+@register("input_row_metrics", with_logs(
+    f"SELECT CAST({PART_CASE} AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM logs GROUP BY 1"))
 def q_input_row_metrics(spark, sf_dir):
-    s = st.stream_logs(spark, log_store_path(spark, sf_dir), 10).select("shard", "cursor")
-    rows = st.run_with_progress(s, scratch_dir(spark, "q12-ck"), st.idempotent_writer(scratch_dir(spark, "q12-out")))
+    """Rows read per trigger while the store arrives in three parts: one
+    trigger per part, every trigger reported (query listener)."""
+    ck, out = scratch_dir(spark, "q12-ck"), scratch_dir(spark, "q12-out")
+    rows: list[tuple[int, int]] = []
+
+    def run(stage):
+        s = _staged_stream(spark, stage).select("shard", "cursor")
+        rows.extend(st.run_with_progress(s, ck, st.idempotent_writer(out)))
+
+    _staged_runs(spark, sf_dir, "q12-in", run)
     return st.progress_rows(spark, rows)
 
 
