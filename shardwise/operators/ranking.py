@@ -50,43 +50,51 @@ def _sorted_with_ids(df: DataFrame, cols: list[str], partitions: int) -> DataFra
     return spark.read.parquet(path)
 
 
-# Rows one window task may rank; a larger group is range-split.
+# Rows one window task may rank; a larger group is range-split, into
+# partitions of about ROWS_PER_RANGE_PARTITION rows (at least the shuffle
+# partition count).
 RANK_IN_ONE_TASK = 1_000_000
+ROWS_PER_RANGE_PARTITION = 1_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest ``keys`` group (a partial aggregate; one value
-    reaches the driver)."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(n or 0)
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest ``keys`` group, all rows): a partial aggregate;
+    two numbers reach the driver."""
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
+    return int(r[0] or 0), int(r[1] or 0)
 
 
 def exact_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
                key_mins: dict[str, str] | None = None, partitions: int | None = None,
-               broadcast_runs: bool = False, largest: int | None = None,
+               broadcast_runs: bool = False, largest: int | None = None, total: int | None = None,
                rank_in_one_task: int = RANK_IN_ONE_TASK) -> DataFrame:
     """``df`` plus ``name`` = 1-based ``row_number()`` of each row in its
     ``keys`` group by ``order`` (``order`` must be unique inside a group),
     and for each ``out: col`` in ``key_mins`` the group's ``min(col)``.
 
-    The size of the largest group decides the plan (``largest`` when the
-    caller knows it, else one aggregate): up to ``rank_in_one_task`` rows a
-    plain window ranks each group in one task; above that the rows are
-    range-split.  ``broadcast_runs`` may be set by a caller that knows the
-    number of groups is small (the run table has at most groups +
+    The size of the largest group decides the plan (``largest``/``total``
+    when the caller knows them, else one aggregate): up to
+    ``rank_in_one_task`` rows a plain window ranks each group in one task;
+    above that the rows are range-split into enough partitions that none
+    holds more than about ``ROWS_PER_RANGE_PARTITION`` rows (at least the
+    shuffle partition count).  ``broadcast_runs`` may be set by a caller that knows
+    the number of groups is small (the run table has at most groups +
     partitions rows); otherwise the join back is left to AQE, which
     broadcasts only a run table that is small at run time."""
     keys, order = list(keys), list(order)
     key_mins = dict(key_mins or {})
     if largest is None:
-        largest = largest_group(df, keys)
+        largest, total = group_sizes(df, keys)
     if largest <= rank_in_one_task:
         w = Window.partitionBy(*keys)
         return df.select(
             "*", F.row_number().over(w.orderBy(*order)).alias(name),
             *[F.min(c).over(w).alias(out) for out, c in key_mins.items()],
         )
-    return _range_split_rank(df, keys, order, name, key_mins, _partitions(df, partitions), broadcast_runs)
+    n = _partitions(df, partitions)
+    if not partitions and total:
+        n = max(n, -(-int(total) // ROWS_PER_RANGE_PARTITION))
+    return _range_split_rank(df, keys, order, name, key_mins, n, broadcast_runs)
 
 
 def _range_split_rank(df: DataFrame, keys: list[str], order: list[str], name: str,

@@ -166,7 +166,7 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     ).collect()  # one row per shard that reaches the cap
 
     # 2. boundary second inside the boundary day
-    biggest_second = 0
+    biggest_second = boundary_rows = 0
     cut_schema = "log_project string, log_store string, shard int, cut_time bigint, cut_rank bigint"
     cut_rows = []
     if bday_rows:
@@ -186,6 +186,7 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
                  "c").collect()  # one row per capped shard
         cut_rows = [tuple(x)[:-1] for x in cut_full]
         biggest_second = max((x["c"] for x in cut_full), default=0)
+        boundary_rows = sum(x["c"] for x in cut_full)
 
     # 3. the batch
     if cut_rows and len(cut_rows) == len(srows):
@@ -203,7 +204,7 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     # partitions and broadcast)
     at = j.where(F.col("cursor_time") == F.col("cut_time"))
     at = exact_rank(at, SHARD_KEY + ["cursor_time"], ["cursor"], name="_rn", broadcast_runs=True,
-                    largest=biggest_second, rank_in_one_task=rank_in_one_task)
+                    largest=biggest_second, total=boundary_rows, rank_in_one_task=rank_in_one_task)
     at = at.where(F.col("_rn") <= F.col("cut_rank")).drop("_rn")
     return before.unionByName(at).drop("cut_time", "cut_rank")
 
