@@ -122,8 +122,12 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
     )
 
 
+# Store write: log rows per range partition when the row count is known.
+ROWS_PER_WRITE_PARTITION = 2_000_000
+
+
 def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observation=None,
-                    drop_empty: bool = False) -> None:
+                    drop_empty: bool = False, rows: int | None = None) -> None:
     """Write records in the store layout: partitioned by (log_store, dt), sorted
     by (shard, cursor) inside files.  Range partitioning keeps a hot day or
     shard spread over many tasks.
@@ -132,9 +136,18 @@ def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observa
     ``dropped`` (records without any non-null value); it is attached after the range
     exchange, whose input Spark runs twice (the partitioner's sample and the
     shuffle), so each record is counted once.  ``drop_empty`` leaves records
-    without contents out of the write."""
+    without contents out of the write.  With ``rows`` (the record count, when
+    known) the write uses about one range partition per
+    ``ROWS_PER_WRITE_PARTITION`` records, at least the shuffle partition
+    count; without it the shuffle partition count (set for the deployment),
+    which AQE may coalesce for a small write."""
     order = ["log_store", "dt", "shard", "cursor"]
-    r = logs.repartitionByRange(*order)
+    if rows:
+        n = max(int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-int(rows) // ROWS_PER_WRITE_PARTITION))
+        r = logs.repartitionByRange(n, *order)
+    else:
+        r = logs.repartitionByRange(*order)  # AQE may coalesce small writes
     # no contents, or only null values (a null column is a missing key)
     empty = F.col("contents").isNull() | F.forall(F.map_values("contents"), lambda v: v.isNull())
     if observation is not None:
@@ -145,6 +158,12 @@ def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observa
     r.sortWithinPartitions(*order).write.mode(mode).partitionBy("log_store", "dt").parquet(path)
 
 
+def ingest_events(events: DataFrame, path: str) -> None:
+    """Derive the log store from ``events`` and write it; one log per event,
+    so the event count (Parquet metadata for a plain scan) sizes the write."""
+    write_log_store(derive_logs(events), path, rows=events.count())
+
+
 def read_log_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 
@@ -203,7 +222,7 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "5"
+STORE_LAYOUT_VERSION = "6"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
@@ -227,7 +246,7 @@ def log_store_path(spark: SparkSession, sf_dir: str) -> str:
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_log_store(derive_logs(spark.read.parquet(events_path)), path)
+        ingest_events(spark.read.parquet(events_path), path)
     if not path_exists(spark, f"{path}/{INDEX_DIR}/_SUCCESS"):
         write_index(read_log_store(spark, path), path, mode="overwrite")
     return path
