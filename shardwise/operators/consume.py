@@ -49,10 +49,10 @@ def direct_batch(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     """The next batch: at most ``max_records_per_shard`` logs per shard from its
     start cursor, as JSON records with ``__shard__``."""
     starts = plan_starts(spark, logs, shards, checkpoints, consumer_group, mode, start_time)
-    # the plan is one row per shard: fix it before the scan so the batch
-    # query does not re-derive it in every branch
-    plan = literal_table(spark, starts.collect(), starts.schema)
-    capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
+    # the plan is one row per shard: fixed on the driver before the scan so
+    # the batch query does not re-derive it in every branch
+    rows = starts.select(*SHARD_KEY, "start_cursor").collect()
+    capped = cap_records_per_shard(logs, max_records_per_shard, start_rows=rows)
     return with_json_record(capped, with_shard=True, ignore_tags=ignore_tags).select(*SHARD_KEY, "cursor", "record")
 
 
@@ -94,8 +94,8 @@ def consume_once(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     if not starts_rows:
         return {"batch_id": None, "records": 0}
     bid = _batch_id(starts_rows)
-    plan = literal_table(spark, starts_rows, starts.schema)
-    capped = cap_records_per_shard(logs, max_records_per_shard, plan.select(*SHARD_KEY, "start_cursor"))
+    capped = cap_records_per_shard(
+        logs, max_records_per_shard, start_rows=[(*[r[k] for k in SHARD_KEY], r["start_cursor"]) for r in starts_rows])
     out = with_json_record(capped, with_shard=True).select(
         *SHARD_KEY, "cursor", "record", F.lit(bid).alias("batch_id")
     )

@@ -103,7 +103,8 @@ def _day_of(seconds: int):
 
 
 def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None,
-                          rank_in_one_task: int = RANK_IN_ONE_TASK) -> DataFrame:
+                          rank_in_one_task: int = RANK_IN_ONE_TASK,
+                          start_rows: list[tuple] | None = None) -> DataFrame:
     """At most ``n`` logs of each shard in cursor order from its start cursor.
 
     Exact and skew-safe, in three bounded steps whose results are per-shard
@@ -118,13 +119,16 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
        (literal bounds: partition and row-group pruning), an exact rank only
        over the logs of each boundary second.
 
-    ``starts`` holds (shard key, ``start_cursor``); without it every shard
-    starts at its first log."""
+    ``starts`` holds (shard key, ``start_cursor``) (or ``start_rows``, the
+    same rows already collected); without it every shard starts at its
+    first log."""
     spark = logs.sparkSession
     n = int(n)
     idx = index_of(logs)
     plan_schema = "log_project string, log_store string, shard int, start_cursor bigint"
-    if starts is None:
+    if start_rows is not None:  # (project, store, shard, start_cursor) already on the driver
+        srows = [tuple(x) for x in start_rows]
+    elif starts is None:
         srows = [(*[x[k] for k in SHARD_KEY], x["begin_cursor"])
                  for x in shard_bounds_rows(logs)]
     else:
