@@ -460,3 +460,21 @@ def test_late_data_dropped_and_emitted_windows_complete(spark, logs):
         F.count(F.lit(1)).alias("want"))
     j = out.join(want, "window_start", "left")
     assert j.where(F.col("want").isNull() | (F.col("want") != F.col("count"))).count() == 0
+
+
+def test_range_split_sizes_partitions_from_the_row_count(spark, monkeypatch):
+    from shardwise.operators import ranking
+
+    written = []
+    real = ranking._sorted_with_ids
+
+    def spy(df, cols, partitions):
+        written.append(partitions)
+        return real(df, cols, partitions)
+
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE_PARTITION", 2_000)
+    monkeypatch.setattr(ranking, "_sorted_with_ids", spy)
+    df = spark.range(30_000).select((F.col("id") % 3).alias("k"), "id")
+    r = ranking.exact_rank(df, ["k"], ["id"], rank_in_one_task=0)
+    assert written == [15]  # 30,000 rows / 2,000 per partition, above the 8 shuffle partitions
+    assert r.where(F.col("rank") != F.floor(F.col("id") / 3) + 1).count() == 0
