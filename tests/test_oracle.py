@@ -3,17 +3,18 @@
 import pytest
 
 import __spark_entry__ as entry
+from shardwise import registry
 from tests.oracle_check import digest
 from tests.conftest import SF001, SF01
 
-ORACLE = entry.oracle_sql()
-NAMES = sorted(entry.queries())
+ORACLE = registry.ORACLE
+NAMES = sorted(registry.QUERIES)
 
 
 def _check(spark, sf, name):
     from shardwise.duck import connect
 
-    df = entry.queries()[name](spark, sf)
+    df = registry.QUERIES[name](spark, sf)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     if name not in ORACLE:
         assert len(rows) > 0
