@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm import credentials, decontaminate, html_text, licenses, ngram_join, packing, sharding, toxicity, url_filter
+from shardwise.llm import ann, credentials, decontaminate, html_text, licenses, ngram_join, packing, sharding, toxicity, url_filter
 from shardwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_ngram_join")
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op1_nearest")
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
