@@ -17,7 +17,7 @@ The test items are what is sent to every task; they go in blocks of at most
 large the benchmark is.  Seed tables hold no more entries than a block has words.
 
 Defined results: null and empty texts and items give no pairs; an item of fewer
-than ``n`` words has one seed of all its words; equal documents and equal items
+than ``n`` words has one seed of all its words, looked for as such; equal documents and equal items
 are each reported; null ids are carried over; texts are read whole.
 """
 
@@ -48,6 +48,7 @@ class Items(NamedTuple):
     words: list[np.ndarray]  # hashes of its words
     grams: np.ndarray  # distinct n-gram hashes of the block, sorted
     of: list[np.ndarray]  # positions in ``grams`` of each item's n-grams, by place
+    n: int  # words in an n-gram
 
 
 def items_of(rows: list[tuple], n: int) -> Items:
@@ -55,7 +56,7 @@ def items_of(rows: list[tuple], n: int) -> Items:
     g = shingles(w, n)
     grams = np.unique(g.hashes)
     split = lambda x: [x.hashes[a:b] for a, b in zip(x.bounds[:-1], x.bounds[1:], strict=True)]
-    return Items([i for i, _ in rows], split(w), grams, [np.searchsorted(grams, x) for x in split(g)])
+    return Items([i for i, _ in rows], split(w), grams, [np.searchsorted(grams, x) for x in split(g)], n)
 
 
 def bits_of(grams: np.ndarray) -> np.ndarray:
@@ -136,7 +137,7 @@ def _match(hashes: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items,
         for group in groups:
             pad = size // 4 + 2
             lo = max(0, min(p - i for p, i in group) - pad, group[0][0] - size - pad)
-            hi = min(len(hashes), max(max(p - i for p, i in group) + size, group[-1][0] + N) + pad)
+            hi = min(len(hashes), max(max(p - i for p, i in group) + size, group[-1][0] + items.n) + pad)
             score, a, b = align(own, hashes[lo:hi])
             if score > best[0]:
                 best = (score, lo + a, lo + b, len(group))
@@ -149,9 +150,9 @@ HIT = T.StructType([T.StructField(n, t) for n, t in (("item", T.LongType()), ("s
 _HIT_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64()), ("seeds", pa.int64())]))
 
 
-def document_frequency(docs: DataFrame, text: str, items: Items, n: int) -> np.ndarray:
+def document_frequency(docs: DataFrame, text: str, items: Items) -> np.ndarray:
     """Documents that hold each n-gram of the block."""
-    shared = docs.sparkSession.sparkContext.broadcast(items.grams)
+    shared, n = docs.sparkSession.sparkContext.broadcast(items.grams), items.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = shared.value
@@ -170,9 +171,9 @@ def document_frequency(docs: DataFrame, text: str, items: Items, n: int) -> np.n
     return out
 
 
-def mark(docs: DataFrame, items: Items, text: str, out: str, n: int, share: float, least: float) -> DataFrame:
+def mark(docs: DataFrame, items: Items, text: str, out: str, share: float, least: float) -> DataFrame:
     """``docs`` with ``out``: an array of the block's items found in the text."""
-    seeds = seeds_of(items, document_frequency(docs, text, items, n), share)
+    seeds = seeds_of(items, document_frequency(docs, text, items), share)
     owners: dict[int, list[tuple[int, int]]] = {}
     for item, own in enumerate(seeds):
         keep = set(own.tolist())
@@ -191,7 +192,7 @@ def mark(docs: DataFrame, items: Items, text: str, out: str, n: int, share: floa
             texts, rows = column.to_pylist(), []
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 w = words(texts[a:b])
-                g = shingles(w, n)
+                g = shingles(w, items.n)
                 at, where = found(g.hashes, grams, bits)
                 cut = np.searchsorted(at, g.bounds)
                 for i in range(b - a):
@@ -204,16 +205,23 @@ def mark(docs: DataFrame, items: Items, text: str, out: str, n: int, share: floa
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_words: int) -> Iterator[Items]:
-    """The items in blocks of bounded size, read one partition at a time."""
-    rows, size = [], 0
+    """The items with words in blocks of bounded size, read one partition at a
+    time.  Items of fewer than n words have blocks (and n-grams) of their own."""
+    open_: dict[int, list[tuple]] = {}
+    size: dict[int, int] = {}
     for r in benchmark.select(F.col(item_id), text_or_empty(text)).toLocalIterator():
-        if rows and size + len(r[1]) > 6 * block_words:
-            yield items_of(rows, n)
-            rows, size = [], 0
-        rows.append((r[0], r[1]))
-        size += len(r[1])
-    if rows:
-        yield items_of(rows, n)
+        own = len(words([r[1]]).hashes)
+        if not own:
+            continue
+        k = min(n, own)
+        if k in open_ and size[k] + own > block_words:
+            yield items_of(open_.pop(k), k)
+        if k not in open_:
+            open_[k], size[k] = [], 0
+        open_[k].append((r[0], r[1]))
+        size[k] += own
+    for k, rows in open_.items():
+        yield items_of(rows, k)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", n: int = N, share: float = SHARE, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -224,7 +232,7 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id:
     out = None
     for items in blocks(benchmark, item_id, text, n, block_words):
         ids = spark.createDataFrame([(i, x) for i, x in enumerate(items.ids)], T.StructType([T.StructField("item", T.LongType()), T.StructField(item_id, id_type)]))
-        hits = mark(docs.select(F.col(doc_id), F.col(text)), items, text, "_hits", n, share, least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
+        hits = mark(docs.select(F.col(doc_id), F.col(text)), items, text, "_hits", share, least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
         # the ids of one block, bounded by block_words
         part = hits.select(F.col(doc_id), "_hit.*").join(F.broadcast(ids), "item").select(doc_id, item_id, "score", F.col("start").alias("first_word"), F.col("end").alias("end_word"), "seeds")
         out = part if out is None else out.unionByName(part)
@@ -239,5 +247,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
     source = benchmark.select(F.col(item_id), F.col(item_text).alias(text))
     out = docs
     for items in blocks(source, item_id, text, n, block_words):
-        out = mark(out, items, text, "__hits", n, share, least).where(F.size("__hits") == 0).drop("__hits")
+        out = mark(out, items, text, "__hits", share, least).where(F.size("__hits") == 0).drop("__hits")
     return out

@@ -56,8 +56,8 @@ MAIN = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 UNLABELLED = {"nav", "aside", "footer", "form", "header"}
 
 #: weak prior weights of features; others start at 0
-PRIOR = {"tag:nav": -5.0, "tag:footer": -4.0, "tag:aside": -5.0, "tag:form": -5.0, "tag:header": -3.0, "tag:menu": -4.0, "tag:dialog": -4.0, "tag:search": -4.0, "tag:fieldset": -2.0, "named:furniture": -8.0, "named:main": 1.5, "tag:article": 7.0, "tag:main": 7.0, "tag:p": 0.8, "tag:h1": 0.5, "tag:pre": 0.5, "tag:blockquote": 0.5, "tag:body": -0.5, "tag:html": -2.0, "links:most": -1.5, "length:long": 1.0, "length:middle": 0.4}
-PAIR_PRIOR = ((2.0, -3.5), (-1.5, 1.5))  # [parent's label][child's label]
+PRIOR = {"tag:nav": -5.0, "tag:footer": -4.0, "tag:aside": -5.0, "tag:form": -5.0, "tag:header": -3.0, "tag:menu": -4.0, "tag:dialog": -4.0, "tag:search": -4.0, "tag:fieldset": -2.0, "named:furniture": -8.0, "named:main": 1.5, "tag:article": 12.0, "tag:main": 12.0, "tag:p": 0.8, "tag:h1": 0.5, "tag:pre": 0.5, "tag:blockquote": 0.5, "tag:body": -0.5, "tag:html": -2.0, "links:most": -1.5, "length:long": 1.0, "length:middle": 0.4}
+PAIR_PRIOR = ((0.5, -3.5), (0.0, 1.0))  # [parent's label][child's label]
 
 
 @dataclass
