@@ -15,6 +15,14 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
 # Whole numbers only: no blanks, no fraction, optional sign.
 _INTEGRAL_TEXT = r"^[+-]?[0-9]+$"
+# Dates and date-times in full: a cast alone ignores what follows a date and
+# drops a zone that a zone-free target cannot hold.
+_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_TIME = r"[ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?"
+_ZONE = r"(Z|[ ]?UTC|[ ]?GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)"
+_DATE_TEXT = rf"^{_DATE}({_TIME})?$"
+_NTZ_TEXT = rf"^{_DATE}({_TIME})?$"
+_TIMESTAMP_TEXT = rf"^{_DATE}({_TIME}{_ZONE}?)?$"
 
 READ_TYPES = _INTEGRAL + _FLOATING + (
     T.BooleanType, T.DecimalType, T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType,
@@ -31,10 +39,14 @@ def check_read_schema(schema: T.StructType) -> None:
     for f in schema.fields:
         if not isinstance(f.dataType, READ_TYPES):
             raise UnsupportedTypeError(
-                f"Unsupported type {f.dataType.simpleString()} for field {f.name}"
+                f"a log value cannot be read as {f.dataType.simpleString()} (column {f.name})"
             )
 
 
+def null_message(name: str) -> str:
+    return f"column {name} must hold a value but the log has none"
+
+
 def _fail(name: str, dtype: T.DataType, v: Column) -> Column:
     return F.raise_error(
         F.concat(
@@ -64,21 +76,28 @@ def convert(v: Column, dtype: T.DataType, name: str = "value", nullable: bool =
     elif isinstance(dtype, T.DecimalType):
         out = _checked(v, F.regexp_replace(v, ",", "").try_cast(dtype), name, dtype)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        # date, date-time with blank or ISO 'T', optional fraction (and, for
-        # TIMESTAMP, an optional zone) -- the forms Spark's cast accepts
-        out = _checked(v, v.try_cast(dtype), name, dtype)
+        # date, date-time with blank or ISO 'T', optional fraction and, for
+        # TIMESTAMP only, an optional zone; anything else fails
+        form = {T.DateType: _DATE_TEXT, T.TimestampNTZType: _NTZ_TEXT, T.TimestampType: _TIMESTAMP_TEXT}[type(dtype)]
+        out = _checked(v, F.when(v.rlike(form), v.try_cast(dtype)), name, dtype)
     elif isinstance(dtype, T.StringType):
         out = v
     else:
-        raise UnsupportedTypeError(f"Unsupported type {dtype.simpleString()} for field {name}")
+        raise UnsupportedTypeError(f"a log value cannot be read as {dtype.simpleString()} (column {name})")
     if not nullable:
-        out = F.coalesce(
-            out,
-            F.when(v.isNull(), F.raise_error(F.lit(f"null value found but field {name} is not nullable.")).cast(dtype)),
-        )
+        out = F.coalesce(out, F.when(v.isNull(), F.raise_error(F.lit(null_message(name))).cast(dtype)))
     return out
 
 
+def checked_not_null(v: Column, dtype: T.DataType, name: str, reason: str) -> list[Column]:
+    """The non-nullable conversion with its refusal as a column instead of a
+    failure: (value, reason); the strict form runs where there is a value."""
+    return [
+        F.when(v.isNotNull(), convert(v, dtype, name, nullable=False)).alias(name),
+        F.when(v.isNull(), F.lit(null_message(name))).alias(reason),
+    ]
+
+
 # ---------------------------------------------------------------------------
 # Sink side: typed value -> log text.
 
@@ -95,7 +114,7 @@ def check_sink_schema(schema: T.StructType) -> None:
 def _check_sink_type(name: str, dt: T.DataType) -> None:
     if isinstance(dt, (T.BinaryType, T.ArrayType, T.MapType)):
         raise UnsupportedSinkTypeError(
-            f"Unsupported type {dt.simpleString()} of column {name} when sinking to a log store"
+            f"column {name}: a value of type {dt.simpleString()} has no log text"
         )
     if isinstance(dt, T.StructType):
         for f in dt.fields:
@@ -118,5 +137,5 @@ def to_log_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         return F.to_json(c)
     if isinstance(dtype, (T.BinaryType, T.ArrayType, T.MapType)):
-        raise UnsupportedSinkTypeError(f"Unsupported type {dtype.simpleString()}")
+        raise UnsupportedSinkTypeError(f"a value of type {dtype.simpleString()} has no log text")
     return c.cast("string")

@@ -105,7 +105,14 @@ def b64_to_cursor(c: Column) -> Column:
 
 def time_at_cursor(c: Column) -> Column:
     """Arrival second of a cursor (cursors count nanoseconds)."""
-    return F.floor(c / F.lit(1_000_000_000)).cast("bigint")
+    return whole_units(c, 1_000_000_000)
+
+
+def whole_units(c: Column, unit: int) -> Column:
+    """``floor(c / unit)`` of a BIGINT in integer arithmetic: nanosecond
+    cursors are beyond what a double holds exactly."""
+    u = F.lit(unit).cast("bigint")
+    return F.call_function("div", c - F.pmod(c, u), u)
 
 
 # ---------------------------------------------------------------------------
@@ -235,4 +242,5 @@ def with_json_record(df, name: str = "record", with_shard: bool = False, ignore_
 
 
 def _strip_braces(j: Column) -> Column:
-    return F.regexp_extract(j, r"^\{(.*)\}$", 1)
+    # by position: a pattern's dot would stop at line separators inside the text
+    return F.substring(j, F.lit(2), F.length(j) - 2)

@@ -21,12 +21,15 @@ its group, both fixed at write time so reads never need a window.
 from __future__ import annotations
 
 import hashlib
+import re
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from shardwise.operators.ranking import RANK_IN_ONE_TASK, exact_rank
 from shardwise.session import checkpoint_root, path_exists
 
 # Fixed values of the fixture store.
@@ -58,6 +61,9 @@ LOG_COLUMNS = [
     "log_index", "log_time", "topic", "source", "event_id", "contents", "tags", "dt",
 ]
 
+# The stored table also names the write each record came with.
+STORE_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("write_id", T.StringType())])
+
 GROUP_KEYS = ["shard", "topic", "dt"]
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -103,20 +109,29 @@ def shard_records(events: DataFrame, project: str = PROJECT, store: str = STORE,
 
 
 def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
-                n_shards: int = N_SHARDS, rank_in_one_task: int = RANK_IN_ONE_TASK) -> DataFrame:
+                n_shards: int = N_SHARDS) -> DataFrame:
     """Canonical log records from ``events``.
 
-    The position of a log in its (shard, topic, day) group and the group's
-    first cursor come from one exact rank (``exact_rank``): groups up to
-    ``rank_in_one_task`` rows are ranked by a window, one task per group; a
-    larger (hot) group is range-partitioned on (group, cursor, event_id) and
-    so split over many tasks."""
+    The position of a log in its (shard, topic, day) group is the number of its
+    group's logs in earlier seconds (a running sum over the per-second counts, at
+    most 86,400 rows per group) plus its place inside its own second.  So no
+    task numbers more than one second of one group, however hot the group."""
     b = shard_records(events, project, store, n_shards)
-    r = exact_rank(b, GROUP_KEYS, ["cursor", "event_id"], name="_pos", key_mins={"group_cursor": "cursor"},
-                   rank_in_one_task=rank_in_one_task)
-    return r.select(
+    group = Window.partitionBy(*GROUP_KEYS)
+    seconds = b.groupBy(*GROUP_KEYS, "cursor_time").agg(F.count(F.lit(1)).alias("c"), F.min("cursor").alias("m"))
+    earlier = group.orderBy("cursor_time").rowsBetween(Window.unboundedPreceding, -1)
+    seconds = seconds.select(
+        *[F.col(k).alias(f"_{k}") for k in [*GROUP_KEYS, "cursor_time"]],
+        F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("_before"), F.min("m").over(group).alias("group_cursor"),
+    )
+    inside = Window.partitionBy(*GROUP_KEYS, "cursor_time").orderBy("cursor", "event_id")
+    r = b.withColumn("_pos", F.row_number().over(inside))
+    same = r["cursor_time"] == seconds["_cursor_time"]
+    for k in GROUP_KEYS:
+        same = same & r[k].eqNullSafe(seconds[f"_{k}"])
+    return r.join(seconds, same).select(
         "log_project", "log_store", "shard", "cursor", "cursor_time", "group_cursor",
-        (F.col("_pos") - 1).cast("int").alias("log_index"),
+        (F.col("_before") + F.col("_pos") - 1).cast("int").alias("log_index"),
         seconds_to_ntz("cursor_time").alias("log_time"),
         "topic", "source", "event_id", "contents", "tags", "dt",
     )
@@ -126,21 +141,16 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
 ROWS_PER_WRITE_PARTITION = 2_000_000
 
 
-def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observation=None,
-                    drop_empty: bool = False, rows: int | None = None) -> None:
-    """Write records in the store layout: partitioned by (log_store, dt), sorted
-    by (shard, cursor) inside files.  Range partitioning keeps a hot day or
-    shard spread over many tasks.
-
-    ``observation`` (a ``pyspark.sql.Observation``) receives ``rows`` and
-    ``dropped`` (records without any non-null value); it is attached after the range
-    exchange, whose input Spark runs twice (the partitioner's sample and the
-    shuffle), so each record is counted once.  ``drop_empty`` leaves records
-    without contents out of the write.  With ``rows`` (the record count, when
-    known) the write uses about one range partition per
-    ``ROWS_PER_WRITE_PARTITION`` records, at least the shuffle partition
-    count; without it the shuffle partition count (set for the deployment),
-    which AQE may coalesce for a small write."""
+def write_log_store(logs: DataFrame, path: str, write_id: str, rows: int | None = None) -> None:
+    """Write records in the store layout: partitioned by (log_store, dt,
+    write_id), sorted by (shard, cursor) inside files.  Range partitioning keeps
+    a hot day or shard spread over many tasks.
+
+    Only the partitions of ``write_id`` are replaced, so repeating a write
+    leaves its records once.  With ``rows`` (the record count, when known) the
+    write uses about one range partition per ``ROWS_PER_WRITE_PARTITION``
+    records, at least the shuffle partition count; without it the shuffle
+    partition count (set for the deployment), which AQE may coalesce."""
     order = ["log_store", "dt", "shard", "cursor"]
     if rows:
         n = max(int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
@@ -148,35 +158,40 @@ def write_log_store(logs: DataFrame, path: str, mode: str = "overwrite", observa
         r = logs.repartitionByRange(n, *order)
     else:
         r = logs.repartitionByRange(*order)  # AQE may coalesce small writes
-    # no contents, or only null values (a null column is a missing key)
-    empty = F.col("contents").isNull() | F.forall(F.map_values("contents"), lambda v: v.isNull())
-    if observation is not None:
-        r = r.observe(observation, F.count(F.lit(1)).alias("rows"),
-                      F.sum(F.when(empty, 1).otherwise(0)).alias("dropped"))
-    if drop_empty:
-        r = r.where(~empty)
-    r.sortWithinPartitions(*order).write.mode(mode).partitionBy("log_store", "dt").parquet(path)
+    (
+        r.sortWithinPartitions(*order).withColumn("write_id", F.lit(write_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("log_store", "dt", "write_id").parquet(path)
+    )
 
 
 def ingest_events(events: DataFrame, path: str) -> None:
     """Derive the log store from ``events`` and write it; one log per event,
     so the event count (Parquet metadata for a plain scan) sizes the write."""
-    write_log_store(derive_logs(events), path, rows=events.count())
+    write_log_store(derive_logs(events), path, "ingest", rows=events.count())
 
 
-def read_log_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
+def read_log_store(spark: SparkSession, path: str, write_ids: list[str] | None = None) -> DataFrame:
+    """The records under ``path``, or only those of some writes (a partition
+    filter)."""
+    df = spark.read.schema(STORE_SCHEMA).parquet(path)
+    if write_ids is not None:
+        df = df.where(F.col("write_id").isin(write_ids))
+    return df.select(*LOG_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
 # Store index: one row per (shard, day) per write, kept in ``<store>/_index``
-# (names starting with "_" are invisible to scans of the store).  Shard
-# bounds and day-level lookups read it instead of a column of every log.
+# (names starting with "_" are invisible to scans of the store).  Shard bounds
+# and day-level lookups read it instead of a column of every log.  Each write's
+# rows are its own partition, written after its data: a write whose index rows
+# are missing (a crash between the two) is found by its id when the store is
+# opened, and its rows are computed from its own files.
 
 INDEX_DIR = "_index"
 INDEX_SCHEMA = (
     "log_project string, log_store string, shard int, dt date, n bigint, "
-    "min_cursor bigint, max_cursor bigint, min_time bigint, max_time bigint"
+    "min_cursor bigint, max_cursor bigint, min_time bigint, max_time bigint, write_id string"
 )
 
 
@@ -191,13 +206,35 @@ def index_rows(logs: DataFrame) -> DataFrame:
     )
 
 
-def write_index(records: DataFrame, store_path: str, mode: str = "append") -> None:
-    index_rows(records).coalesce(1).write.mode(mode).parquet(f"{store_path}/{INDEX_DIR}")
+def write_index(records: DataFrame, store_path: str, write_id: str) -> None:
+    """Index rows of one write, replacing those of an earlier attempt."""
+    (
+        index_rows(records).withColumn("write_id", F.lit(write_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("write_id").parquet(f"{store_path}/{INDEX_DIR}")
+    )
+
+
+_WRITE_ID = re.compile(r"/write_id=([^/]+)/")
+
+
+def write_ids(df: DataFrame) -> set[str]:
+    """Writes that a scan's files belong to (from the file listing)."""
+    return {unquote(m[1]) for f in df.inputFiles() if (m := _WRITE_ID.search(f))}
 
 
 def read_index(spark: SparkSession, store_path: str) -> DataFrame:
     """The index, one row per (shard, day) (several writes to a day merge)."""
-    raw = spark.read.schema(INDEX_SCHEMA).parquet(f"{store_path}/{INDEX_DIR}")
+    have: set[str] = set()
+    raw = None
+    if path_exists(spark, f"{store_path}/{INDEX_DIR}"):
+        raw = spark.read.schema(INDEX_SCHEMA).parquet(f"{store_path}/{INDEX_DIR}")
+        have = write_ids(raw)
+        raw = raw.drop("write_id")
+    missing = write_ids(spark.read.schema(STORE_SCHEMA).parquet(store_path)) - have
+    if missing or raw is None:
+        own = index_rows(read_log_store(spark, store_path, sorted(missing)))
+        raw = own if raw is None else raw.unionByName(own)
     return raw.groupBy("log_project", "log_store", "shard", "dt").agg(
         F.sum("n").alias("n"), F.min("min_cursor").alias("min_cursor"),
         F.max("max_cursor").alias("max_cursor"), F.min("min_time").alias("min_time"),
@@ -222,22 +259,24 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "6"
+STORE_LAYOUT_VERSION = "7"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        stamp = f"{STORE_LAYOUT_VERSION}|{path}|{st.getLen()}|{st.getModificationTime()}"
-    except Exception:  # noqa: BLE001 - fall back to the path alone
-        stamp = f"{STORE_LAYOUT_VERSION}|{path}"
-    return hashlib.sha1(stamp.encode()).hexdigest()[:16]
+    """Changes whenever a file under ``path`` (or in a folder below it) is
+    added, removed or rewritten."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    stamps = []
+    while files.hasNext():
+        f = files.next()
+        stamps.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    text = "\n".join([STORE_LAYOUT_VERSION, path, *sorted(stamps)])
+    return hashlib.sha1(text.encode()).hexdigest()[:16]
 
 
-_STORE_CACHE: dict[tuple[int, str], DataFrame] = {}
+_STORE_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def log_store_path(spark: SparkSession, sf_dir: str) -> str:
@@ -245,10 +284,10 @@ def log_store_path(spark: SparkSession, sf_dir: str) -> str:
     written on first use."""
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    if not path_exists(spark, f"{path}/_ready/_SUCCESS"):
         ingest_events(spark.read.parquet(events_path), path)
-    if not path_exists(spark, f"{path}/{INDEX_DIR}/_SUCCESS"):
-        write_index(read_log_store(spark, path), path, mode="overwrite")
+        write_index(read_log_store(spark, path), path, "ingest")
+        literal_table(spark, [(events_path,)], "source string").write.mode("overwrite").json(f"{path}/_ready")
     return path
 
 
@@ -257,34 +296,25 @@ def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Written once per input into the shared checkpoint folder and read back,
     which cuts the derivation's lineage and gives scans Parquet pushdown on
-    ``cursor_time``/``shard`` and partition pruning on ``dt``.
+    ``cursor_time``/``shard`` and partition pruning on ``dt``.  The opened table
+    is kept per application and store folder, whose name follows the input.
     """
-    key = (id(spark), sf_dir)
-    if key in _STORE_CACHE:
-        return _STORE_CACHE[key]
     path = log_store_path(spark, sf_dir)
-    df = attach_index(read_log_store(spark, path), read_index(spark, path))
-    _STORE_CACHE[key] = df
-    return df
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _STORE_CACHE:
+        _STORE_CACHE[key] = attach_index(read_log_store(spark, path), read_index(spark, path))
+    return _STORE_CACHE[key]
 
 
 def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small control table built from literals on the JVM side (a local
-    relation: no Python worker, no RDD).  For per-shard / per-trigger rows."""
+    """A small control table as a local relation (one Arrow table handed to
+    the JVM; Spark knows its size, so joins with it need no hint).  For
+    per-shard and per-trigger rows."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    def lit(v, dt):
-        if isinstance(v, dict):
-            kv = [x for k, w in v.items() for x in (F.lit(k), F.lit(w))]
-            return (F.create_map(*kv) if kv else F.create_map()).cast(dt)
-        return F.lit(v).cast(dt)
-
-    structs = [
-        F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(tuple(r), st.fields)])
-        for r in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    columns = list(zip(*[tuple(r) for r in rows], strict=True)) if rows else [[] for _ in st.fields]
+    kinds = to_arrow_schema(st)
+    items = [[list(v.items()) if isinstance(v, dict) else v for v in c] for c in columns]
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(items, kinds, strict=True)], schema=kinds), st)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from shardwise.model import literal_table
 from shardwise.functions.shape import b64_to_cursor, cursor_to_b64, with_json_record
-from shardwise.plans.offsets import SHARD_KEY, shard_bounds, start_from_checkpoint
+from shardwise.plans.offsets import SHARD_KEY, checkpoint_key, shard_bounds, start_from_checkpoint
 from shardwise.plans.ratelimit import batch_ranges, cap_records_per_shard
 from shardwise.plans.shards import skip_exhausted_shards
 from shardwise.session import path_exists
 from shardwise.sources.batch import start_positions
 
-CHECKPOINT_SCHEMA = "consumer_group string, shard int, cursor_b64 string"
+CHECKPOINT_SCHEMA = "consumer_group string, log_project string, log_store string, shard int, cursor_b64 string"
 
 
 def plan_starts(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkpoints: DataFrame,
@@ -39,7 +39,7 @@ def plan_starts(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkpo
     st = start_from_checkpoint(shards, checkpoints, initial, consumer_group).select(
         *SHARD_KEY, b64_to_cursor(F.col("start_cursor_b64")).alias("start_cursor")
     )
-    pos = st.join(F.broadcast(bounds.select(*SHARD_KEY, "end_cursor")), SHARD_KEY)
+    pos = st.join(bounds.select(*SHARD_KEY, "end_cursor"), SHARD_KEY)
     return skip_exhausted_shards(pos, shards)
 
 
@@ -60,20 +60,17 @@ def commit_offsets(checkpoints: DataFrame, ranges: DataFrame, consumer_group: st
     """Merge a batch's ``until_cursor`` per shard into the checkpoints; a
     smaller cursor never replaces a larger one; empty checkpoints count as
     no position."""
-    old = checkpoints.where(F.col("cursor_b64") != "").select(
-        "consumer_group", "shard", b64_to_cursor(F.col("cursor_b64")).alias("c")
-    )
-    new = ranges.select(F.lit(consumer_group).alias("consumer_group"), "shard", F.col("until_cursor").alias("c"))
-    empty = checkpoints.where(F.col("cursor_b64") == "").select("consumer_group", "shard")
-    merged = old.unionByName(new).groupBy("consumer_group", "shard").agg(F.max("c").alias("c"))
-    kept_empty = empty.join(merged, ["consumer_group", "shard"], "left_anti").select(
-        "consumer_group", "shard", F.lit("").alias("cursor_b64")
-    )
-    return merged.select("consumer_group", "shard", cursor_to_b64(F.col("c")).alias("cursor_b64")).unionByName(kept_empty)
+    key = ["consumer_group", *checkpoint_key(checkpoints)]
+    old = checkpoints.where(F.col("cursor_b64") != "").select(*key, b64_to_cursor(F.col("cursor_b64")).alias("c"))
+    new = ranges.withColumn("consumer_group", F.lit(consumer_group)).select(*key, F.col("until_cursor").alias("c"))
+    empty = checkpoints.where(F.col("cursor_b64") == "").select(*key)
+    merged = old.unionByName(new).groupBy(*key).agg(F.max("c").alias("c"))
+    kept_empty = empty.join(merged, key, "left_anti").select(*key, F.lit("").alias("cursor_b64"))
+    return merged.select(*key, cursor_to_b64(F.col("c")).alias("cursor_b64")).unionByName(kept_empty)
 
 
 def _batch_id(starts_rows) -> str:
-    key = ";".join(f"{r['shard']}:{r['start_cursor']}" for r in sorted(starts_rows, key=lambda r: r["shard"]))
+    key = ";".join(sorted(f"{r['log_project']}#{r['log_store']}:{r['shard']}:{r['start_cursor']}" for r in starts_rows))
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
@@ -84,7 +81,7 @@ def consume_once(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     ``checkpoint_path`` (a folder of commit files, merged on read)."""
     if path_exists(spark, checkpoint_path):
         ck = spark.read.schema(CHECKPOINT_SCHEMA).parquet(checkpoint_path)
-        ck = ck.groupBy("consumer_group", "shard").agg(
+        ck = ck.groupBy("consumer_group", *SHARD_KEY).agg(
             F.max_by("cursor_b64", b64_to_cursor(F.col("cursor_b64"))).alias("cursor_b64")
         )
     else:
@@ -107,10 +104,10 @@ def consume_once(spark: SparkSession, logs: DataFrame, shards: DataFrame, checkp
     )
     if fail_before_commit:
         raise RuntimeError("simulated failure between output and commit")
-    written = spark.read.parquet(output_path).where(F.col("batch_id") == bid)
+    written = spark.read.schema(out.schema).parquet(output_path).where(F.col("batch_id") == bid)
     ranges = batch_ranges(written)
     commit = ranges.select(
-        F.lit(consumer_group).alias("consumer_group"), "shard", cursor_to_b64(F.col("until_cursor")).alias("cursor_b64")
+        F.lit(consumer_group).alias("consumer_group"), *SHARD_KEY, cursor_to_b64(F.col("until_cursor")).alias("cursor_b64")
     )
     n = ranges.agg(F.sum("records")).collect()[0][0] or 0
     commit.write.mode("append").parquet(checkpoint_path)

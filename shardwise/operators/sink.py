@@ -9,16 +9,18 @@ sent row by row and no row passes through the driver.
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardwise.functions.convert import check_sink_schema, to_log_text
-from shardwise.functions.shape import sorted_json
-from shardwise.model import INDEX_DIR, LOG_COLUMNS, read_index, read_log_store, write_index, write_log_store
+from shardwise.functions.shape import sorted_json, time_at_cursor
+from shardwise.model import LOG_COLUMNS, literal_table, read_index, seconds_to_ntz, write_index, write_log_store
 from shardwise.plans.shards import route_by_hash_key, write_map
-from shardwise.session import path_exists
+from shardwise.session import path_exists, scratch_dir
 
 ALLOWED_MODES = ("append", "errorifexists", "error", "default")
 REFUSED_MODES = ("overwrite", "ignore")
@@ -31,7 +33,7 @@ class SaveModeError(ValueError):
 def check_save_mode(mode: str) -> str:
     m = (mode or "append").lower()
     if m in REFUSED_MODES:
-        raise SaveModeError(f"Save mode {mode} not allowed for a log store; use Append or ErrorIfExists")
+        raise SaveModeError(f"a log store is only appended to: save mode {mode} is refused (append or errorifexists)")
     if m not in ALLOWED_MODES:
         raise SaveModeError(f"Unknown save mode {mode}")
     return "append" if m == "default" else m
@@ -77,11 +79,11 @@ def to_log_items(df: DataFrame, columns: list[str] | None = None, contents: Colu
                  topic: Column | str | None = None, source: Column | str | None = None,
                  time_col: Column | None = None, hash_key: Column | None = None) -> DataFrame:
     """Rows -> (topic, source, log_time, hash_key, contents, item) where
-    ``item`` is the JSON text of the contents.  With an explicit ``contents``
-    expression rows whose contents are null are dropped."""
+    ``item`` is the JSON text of the contents.  A row whose contents are null
+    stays an item without contents: the write leaves it out and counts it."""
     lit = lambda v: F.lit(v) if isinstance(v, str) or v is None else v
     c = contents if contents is not None else contents_of(df, columns)
-    out = df.select(
+    return df.select(
         lit(topic).cast("string").alias("topic"),
         lit(source).cast("string").alias("source"),
         (time_col if time_col is not None else F.lit(None)).cast("timestamp_ntz").alias("log_time"),
@@ -89,39 +91,56 @@ def to_log_items(df: DataFrame, columns: list[str] | None = None, contents: Colu
         c.alias("contents"),
         (sorted_json(c) if contents is not None else item_json_of(df, columns)).alias("item"),
     )
-    if contents is not None:
-        out = out.where(F.col("contents").isNotNull())
-    return out
 
 
 def item_json(items: DataFrame) -> Column:
     return F.col("item")
 
 
-def shape_for_store(items: DataFrame, project: str, store: str, shards: DataFrame | None,
-                    base_cursor: Column | None = None, n_shards: int = 1) -> DataFrame:
-    """Items -> store records.  Shard: the hash-key route over the write map
+def route_items(items: DataFrame, shards: DataFrame | None, n_shards: int) -> DataFrame:
+    """Items with their shard: the hash-key route over the write map
     (``write_map``) when a shard map is given and the item has a key, else a
-    hash of the contents; a key no shard holds fails the write.  Cursor: the
-    write's arrival instant in ns plus a unique per-row id; each item is its
-    own log group."""
-    if shards is not None:
-        wmap = write_map(items.sparkSession, shards)
-        keyed = route_by_hash_key(items.where(F.col("hash_key").isNotNull()), wmap, strict=True)
-        keyed = keyed.withColumn("shard", F.col("routed_shard")).drop("routed_shard")
-        unkeyed = items.where(F.col("hash_key").isNull()).withColumn(
-            "shard", F.pmod(F.hash(F.to_json("contents")), F.lit(n_shards)).cast("int")
-        )
-        items = keyed.unionByName(unkeyed)
-    else:
-        items = items.withColumn("shard", F.pmod(F.hash(F.to_json("contents")), F.lit(n_shards)).cast("int"))
-    base = base_cursor if base_cursor is not None else F.unix_micros(F.current_timestamp()) * 1000
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    with_cursor = items.withColumn("cursor", base + F.monotonically_increasing_id()).withColumn(
-        "cursor_time", F.floor(F.col("cursor") / 1_000_000_000).cast("bigint")
-    )
-    arrival = F.timestamp_add("SECOND", F.col("cursor_time"), epoch)
-    return with_cursor.select(
+    hash of the contents; a key no shard holds fails the write."""
+    spread = F.pmod(F.hash(F.to_json("contents")), F.lit(n_shards)).cast("int")
+    if shards is None:
+        return items.withColumn("shard", spread)
+    wmap = write_map(items.sparkSession, shards)
+    keyed = route_by_hash_key(items.where(F.col("hash_key").isNotNull()), wmap)
+    keyed = keyed.withColumn("shard", F.col("routed_shard")).drop("routed_shard")
+    return keyed.unionByName(items.where(F.col("hash_key").isNull()).withColumn("shard", spread))
+
+
+def is_empty() -> Column:
+    """No contents, or only null values (a null column is a missing key)."""
+    return F.col("contents").isNull() | F.forall(F.map_values("contents"), lambda v: v.isNull())
+
+
+def stage_items(items: DataFrame, shards: DataFrame | None, n_shards: int) -> DataFrame:
+    """Routed items written once to the scratch folder with the task that wrote
+    them (``_task``), their place in it (``_place``) and whether they are empty:
+    counts, cursors and index rows all read the same rows."""
+    spark = items.sparkSession
+    path = scratch_dir(spark, "write-stage")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    routed = route_items(items, shards, n_shards).select("topic", "source", "log_time", "contents", "shard", is_empty().alias("_empty"))
+    out = routed.withColumn("_task", F.spark_partition_id()).withColumn("_place", place)
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def store_records(staged: DataFrame, project: str, store: str, base_cursor: int) -> DataFrame:
+    """Staged items -> store records.  Arrival cursors are dense: the write's
+    first cursor plus the items of earlier tasks (a running sum over one row per
+    task) plus the item's place, so a write of n items spans n nanoseconds.  Each
+    item is its own log group."""
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = staged.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    tasks = tasks.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = staged.where(~F.col("_empty")).join(tasks, "_task")
+    rows = rows.withColumn("cursor", F.lit(base_cursor) + F.col("_before") + F.col("_place"))
+    rows = rows.withColumn("cursor_time", time_at_cursor(F.col("cursor")))
+    arrival = seconds_to_ntz("cursor_time")
+    return rows.select(
         F.lit(project).alias("log_project"),
         F.lit(store).alias("log_store"),
         "shard", "cursor", "cursor_time",
@@ -139,51 +158,74 @@ def shape_for_store(items: DataFrame, project: str, store: str, shards: DataFram
 
 def next_base_cursor(spark: SparkSession, path: str) -> int:
     """First cursor of a new write: now (ns), but never at or below a cursor
-    the store already holds (read from the store index, a few rows)."""
+    the store already holds (its index, with writes that lack index rows)."""
     base = time.time_ns()
-    if path_exists(spark, f"{path}/{INDEX_DIR}"):
+    if path_exists(spark, path):
         prev = read_index(spark, path).agg(F.max("max_cursor")).first()[0]
         if prev is not None:
             base = max(base, int(prev) + 1)
     return base
 
 
+def _pinned_base(spark: SparkSession, path: str, write_id: str) -> int:
+    """The first cursor of a repeatable write, stored on its first attempt."""
+    state = f"{path}/_writes/{write_id}"
+    if not path_exists(spark, f"{state}/_SUCCESS"):
+        base = next_base_cursor(spark, path)
+        literal_table(spark, [(base,)], "base bigint").write.mode("overwrite").json(state)
+    return spark.read.schema("base bigint").json(state).first()[0]
+
+
 def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str = "append",
-               shards: DataFrame | None = None, n_shards: int = 1,
-               observation: Observation | None = None, drop_empty: bool = False) -> None:
-    """Append items to a log store at ``path`` (the save-mode rules apply) and
-    append the index rows of what was written.
-
-    Cursors of one write start above every cursor already in the store and
-    are unique (start + a per-row id), so a write never interleaves with an
-    earlier one; the index rows are taken from the files just written
-    (``cursor >= start``), not recomputed."""
+               shards: DataFrame | None = None, n_shards: int = 1, max_dropped: int | None = None,
+               write_id: str | None = None) -> dict:
+    """Append items to a log store at ``path`` (the save-mode rules apply);
+    returns the counts (rows, written, dropped).
+
+    The items are staged first, so more than ``max_dropped`` items without
+    contents, or a key no shard holds, fail the write before anything is
+    published.  Data come next, then the write's index rows; readers compute
+    the index rows of a write that lacks them.  With a ``write_id`` a repeated
+    write replaces its own records (same cursors), so it adds nothing."""
     spark = items.sparkSession
-    m = check_save_mode(mode)
-    base = next_base_cursor(spark, path)
-    recs = shape_for_store(items, project, store, shards, base_cursor=F.lit(base), n_shards=n_shards)
-    write_log_store(recs, path, mode="append" if m == "append" else "errorifexists",
-                    observation=observation, drop_empty=drop_empty)
-    write_index(read_log_store(spark, path).where(F.col("cursor") >= F.lit(base)), path)
+    if check_save_mode(mode) != "append" and path_exists(spark, path):
+        raise SaveModeError(f"a log store exists at {path}")
+    staged = stage_items(items, shards, n_shards)
+    n = staged.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_empty").alias("dropped")).first()
+    counts = {"rows": n["rows"], "written": n["rows"] - n["dropped"], "dropped": n["dropped"]}
+    if max_dropped is not None and n["dropped"] > max_dropped:
+        raise RuntimeError(f"{n['dropped']} of {n['rows']} items have no contents; at most {max_dropped} may be left out")
+    if write_id is None:
+        write_id, base = uuid.uuid4().hex, next_base_cursor(spark, path)
+    else:
+        base = _pinned_base(spark, path, write_id)
+    records = store_records(staged, project, store, base)
+    write_log_store(records, path, write_id, rows=counts["written"])
+    write_index(records, path, write_id)
+    return counts
 
 
-def insert_into(df: DataFrame, table_name: str, overwrite: bool = False) -> None:
-    """``INSERT INTO`` an existing table; overwrite is refused (not ignored)."""
+def insert_into(df: DataFrame, path: str, project: str, store: str, columns: list[str] | None = None, overwrite: bool = False, **options) -> dict:
+    """``INSERT INTO`` a log store: rows become items and are appended;
+    overwriting is refused (not ignored)."""
     if overwrite:
-        raise SaveModeError("INSERT OVERWRITE is not supported for a log store table")
-    df.write.insertInto(table_name, overwrite=False)
+        raise SaveModeError("a log store cannot be overwritten by an insert")
+    return write_logs(to_log_items(df, columns), path, project, store, **options)
+
+
+def log_store_sink(path: str, project: str, store: str, writer: str, to_items: Callable[[DataFrame], DataFrame] = to_log_items, **options) -> Callable:
+    """``foreachBatch`` function that appends each micro-batch to a log store.
+    The write is named by ``writer`` (stable over restarts) and the batch id, so
+    a replayed batch adds nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_logs(to_items(batch), path, project, store, write_id=f"{writer}-{int(batch_id)}", **options)
+
+    return write
 
 
 def observed_write(spark: SparkSession, items: DataFrame, path: str, project: str, store: str,
                    max_dropped: int = 0, shards: DataFrame | None = None) -> dict:
-    """Write with row counts observed on the executors; fail when more than
-    ``max_dropped`` rows could not become items (null or empty contents).
-    Such rows are left out of the store."""
-    obs = Observation("log_write")
-    # counted inside the store write, where each record passes exactly once
-    write_logs(items, path, project, store, shards=shards, observation=obs, drop_empty=True)
-    m = obs.get
-    dropped = int(m.get("dropped") or 0)
-    if dropped > max_dropped:
-        raise RuntimeError(f"{dropped} rows could not be written (limit {max_dropped})")
-    return {"rows": int(m["rows"]), "written": int(m["rows"]) - dropped, "dropped": dropped}
+    """Write with counts; more than ``max_dropped`` rows that could not become
+    items (null or empty contents) fail it before anything is published."""
+    return write_logs(items, path, project, store, shards=shards, max_dropped=max_dropped)

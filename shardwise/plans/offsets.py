@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardwise.functions.shape import b64_to_cursor, cursor_to_b64
-from shardwise.model import index_of, literal_table
+from shardwise.functions.shape import b64_to_cursor, cursor_to_b64, time_at_cursor, whole_units
+from shardwise.model import index_of
 
 SHARD_KEY = ["log_project", "log_store", "shard"]
 
@@ -24,6 +24,13 @@ OFFSETS_JSON_SCHEMA = "map<string,map<string,bigint>>"
 OFFSETS_JSON_EXAMPLE = '{"logProject#logStore":{"0":23,"1":-1},"logProject#logStore2":{"0":-2}}'
 
 
+# The whole text must have this form (two levels, whole numbers): a JSON parser
+# alone lets trailing text and missing values pass.
+_SHARD_TEXT = r'\s*"[0-9]+"\s*:\s*-?[0-9]+\s*'
+_STORE_TEXT = rf'\s*"[^"\\#]+#[^"\\]+"\s*:\s*\{{({_SHARD_TEXT}(,{_SHARD_TEXT})*|\s*)\}}\s*'
+OFFSETS_TEXT = rf"^\s*\{{({_STORE_TEXT}(,{_STORE_TEXT})*|\s*)\}}\s*$"
+
+
 class OffsetError(ValueError):
     pass
 
@@ -35,10 +42,6 @@ def list_shards(logs: DataFrame) -> DataFrame:
     return (idx if idx is not None else logs).select(*SHARD_KEY).distinct()
 
 
-_BOUNDS: dict[int, tuple[DataFrame, DataFrame]] = {}
-FIXED_BOUNDS_MAX_SHARDS = 10_000
-
-
 def shard_bounds(logs: DataFrame) -> DataFrame:
     """Earliest and latest position of every shard in one pass.
 
@@ -47,23 +50,12 @@ def shard_bounds(logs: DataFrame) -> DataFrame:
     its (shard, day) rows instead of scanning a column of every log."""
     idx = index_of(logs)
     if idx is not None:
-        hit = _BOUNDS.get(id(logs))
-        if hit is not None and hit[0] is logs:
-            return hit[1]
-        b = idx.groupBy(*SHARD_KEY).agg(
+        return idx.groupBy(*SHARD_KEY).agg(
             F.min("min_time").alias("begin_time"),
             F.min("min_cursor").alias("begin_cursor"),
             (F.max("max_time") + 1).alias("end_time"),
             (F.max("max_cursor") + 1).alias("end_cursor"),
         )
-        # one row per shard, fixed once per store snapshot (the store
-        # DataFrame's file listing is fixed when it is opened); a store with
-        # more shards than a literal should hold keeps the aggregate
-        rows = b.limit(FIXED_BOUNDS_MAX_SHARDS + 1).collect()
-        fixed = b if len(rows) > FIXED_BOUNDS_MAX_SHARDS else literal_table(
-            logs.sparkSession, [tuple(r) for r in rows], b.schema)
-        _BOUNDS[id(logs)] = (logs, fixed)
-        return fixed
     return logs.groupBy(*SHARD_KEY).agg(
         F.min("cursor_time").alias("begin_time"),
         F.min("cursor").alias("begin_cursor"),
@@ -98,12 +90,13 @@ def parse_offsets_json(df: DataFrame, col: str = "offsets_json", keep: list[str]
                        strict: bool = True) -> DataFrame:
     """Offset JSON text -> rows (``log_project, log_store, shard, offset``).
 
-    Malformed text fails the query with a message quoting the expected form."""
+    Malformed text (also trailing text or a missing offset) fails the query
+    with a message quoting the expected form."""
     keep = keep or []
     parsed = F.from_json(F.col(col), OFFSETS_JSON_SCHEMA)
     if strict:
         parsed = F.when(
-            F.col(col).isNotNull() & parsed.isNull(),
+            F.col(col).isNotNull() & (parsed.isNull() | ~F.col(col).rlike(OFFSETS_TEXT)),
             F.raise_error(
                 F.concat(
                     F.lit("Expected e.g. " + OFFSETS_JSON_EXAMPLE + ", got "), F.col(col)
@@ -153,7 +146,7 @@ def resolve_sentinels(offsets: DataFrame, bounds: DataFrame, offset_col: str = "
                       out: str = "resolved") -> DataFrame:
     """-2 -> the shard's earliest, -1 -> its latest, anything else unchanged."""
     b = bounds.select(*SHARD_KEY, F.col("begin_time").alias("_b"), F.col("end_time").alias("_e"))
-    j = offsets.join(F.broadcast(b), SHARD_KEY, "left")  # one row per shard
+    j = offsets.join(b, SHARD_KEY, "left")  # control rows: AQE broadcasts a side that is small when it runs
     o = F.col(offset_col)
     return j.withColumn(
         out, F.when(o == EARLIEST, F.col("_b")).when(o == LATEST, F.col("_e")).otherwise(o)
@@ -213,17 +206,23 @@ def clamp_offset(times: DataFrame, bounds: DataFrame, time_col: str = "requested
     return out
 
 
+def checkpoint_key(checkpoints: DataFrame) -> list[str]:
+    """The columns that identify a checkpoint's shard: project, store and
+    shard; a table without the first two belongs to a single store."""
+    return [c for c in SHARD_KEY if c in checkpoints.columns]
+
+
 def start_from_checkpoint(shards: DataFrame, checkpoints: DataFrame, initial: DataFrame,
                           consumer_group: str) -> DataFrame:
     """Start cursor per shard: the non-empty checkpoint, else the initial one.
 
     ``initial`` has (shard key, ``initial_cursor``)."""
+    key = checkpoint_key(checkpoints)
     ck = checkpoints.where(F.col("consumer_group") == consumer_group).select(
-        "shard", F.nullif(F.col("cursor_b64"), F.lit("")).alias("ckpt")
+        *key, F.nullif(F.col("cursor_b64"), F.lit("")).alias("ckpt")
     )
     # checkpoints of one group and initial cursors: one row per shard at most
-    j = shards.select(*SHARD_KEY).join(F.broadcast(ck), "shard", "left").join(
-        F.broadcast(initial), SHARD_KEY, "left")
+    j = shards.select(*SHARD_KEY).join(ck, key, "left").join(initial, SHARD_KEY, "left")
     return j.select(
         *SHARD_KEY,
         F.coalesce(F.col("ckpt"), cursor_to_b64(F.col("initial_cursor"))).alias("start_cursor_b64"),
@@ -253,40 +252,34 @@ def offsets_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 def committed_position(checkpoints: DataFrame, consumer_group: str) -> DataFrame:
     return checkpoints.where(
         (F.col("consumer_group") == consumer_group) & (F.col("cursor_b64") != "")
-    ).select("shard", b64_to_cursor(F.col("cursor_b64")).alias("committed_cursor"))
+    ).select(*checkpoint_key(checkpoints), b64_to_cursor(F.col("cursor_b64")).alias("committed_cursor"))
 
 
 def consumer_lag(logs: DataFrame, checkpoints: DataFrame, consumer_group: str) -> DataFrame:
     """Per shard: committed cursor (earliest when none), seconds and records
     behind.  With a store index the records behind are the index counts of
-    the days after the committed one plus a scan of the committed day only."""
-    from shardwise.model import literal_table
-
-    bounds = shard_bounds(logs)
-    pos = bounds.join(F.broadcast(committed_position(checkpoints, consumer_group)), "shard", "left").select(
-        *SHARD_KEY, "end_time",
-        F.coalesce("committed_cursor", "begin_cursor").alias("committed_cursor"),
-    )
-    pos = pos.withColumn("committed_time", F.floor(F.col("committed_cursor") / 1_000_000_000).cast("bigint"))
-    pos = pos.withColumn(
-        "committed_dt", F.date_from_unix_date(F.floor(F.col("committed_time") / 86400).cast("int"))
-    )
-    rows = pos.collect()  # one row per shard
-    fixed = F.broadcast(literal_table(logs.sparkSession, rows, pos.schema))
+    the days after the committed one plus a scan of the committed days only
+    (the days are collected: at most the days of the store)."""
+    pos = shard_bounds(logs).join(
+        committed_position(checkpoints, consumer_group), checkpoint_key(checkpoints), "left"
+    ).select(*SHARD_KEY, "end_time", F.coalesce("committed_cursor", "begin_cursor").alias("committed_cursor"))
+    pos = pos.withColumn("committed_time", time_at_cursor(F.col("committed_cursor")))
+    pos = pos.withColumn("committed_dt", F.date_from_unix_date(whole_units(F.col("committed_time"), 86400).cast("int")))
     idx = index_of(logs)
-    in_day = logs.select(*SHARD_KEY, "dt", "cursor").join(fixed, SHARD_KEY).where(
-        F.col("cursor") >= F.col("committed_cursor")
-    )
+    rows = logs.select(*SHARD_KEY, "dt", "cursor")
     if idx is not None:
-        days = sorted({r["committed_dt"] for r in rows})
-        first = in_day.where(F.col("dt").isin(days) & (F.col("dt") == F.col("committed_dt"))).select(
-            *SHARD_KEY, F.lit(1).cast("bigint").alias("c"))
-        later = idx.join(fixed, SHARD_KEY).where(F.col("dt") > F.col("committed_dt")).select(
-            *SHARD_KEY, F.col("n").alias("c"))
+        days = sorted(r[0] for r in pos.select("committed_dt").distinct().collect())
+        first = rows.where(F.col("dt").isin(days)).join(
+            pos.select(*SHARD_KEY, F.col("committed_dt").alias("dt"), "committed_cursor"), [*SHARD_KEY, "dt"]
+        ).where(F.col("cursor") >= F.col("committed_cursor")).groupBy(*SHARD_KEY).agg(F.count(F.lit(1)).alias("c"))
+        later = idx.join(pos.select(*SHARD_KEY, "committed_dt"), SHARD_KEY).where(
+            F.col("dt") > F.col("committed_dt")).select(*SHARD_KEY, F.col("n").alias("c"))
         behind = first.unionByName(later).groupBy(*SHARD_KEY).agg(F.sum("c").alias("records_behind"))
     else:
-        behind = in_day.groupBy(*SHARD_KEY).agg(F.count(F.lit(1)).alias("records_behind"))
-    return fixed.join(behind, SHARD_KEY, "left").select(
+        behind = rows.join(pos.select(*SHARD_KEY, "committed_cursor"), SHARD_KEY).where(
+            F.col("cursor") >= F.col("committed_cursor")
+        ).groupBy(*SHARD_KEY).agg(F.count(F.lit(1)).alias("records_behind"))
+    return pos.join(behind, SHARD_KEY, "left").select(
         *SHARD_KEY, "committed_cursor",
         (F.col("end_time") - F.col("committed_time")).alias("lag_seconds"),
         F.coalesce("records_behind", F.lit(0)).cast("bigint").alias("records_behind"),

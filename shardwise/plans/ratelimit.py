@@ -3,7 +3,7 @@ trigger, exact per-shard caps and the per-shard rate of a direct stream.
 
 Every window here runs over an *aggregated* table with a proven bound
 (buckets of one look-ahead, days of one shard, seconds of one day), never over raw
-logs; the rank inside a boundary second is range-split (``exact_rank``).
+logs, or over the distinct cursors of one second.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shardwise.functions.shape import whole_units
 from shardwise.model import index_of, literal_table
-from shardwise.operators.ranking import RANK_IN_ONE_TASK, exact_rank
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # Look-ahead of the rate limiter and the "caught up" lag (s),
@@ -41,7 +41,7 @@ def histogram(spark: SparkSession, logs: DataFrame, start: int, end: int, width:
             (F.col("cursor_time") >= start) & (F.col("cursor_time") < end)
             & (F.col("dt") >= F.lit(_day_of(start))) & (F.col("dt") <= F.lit(_day_of(max(start, end - 1))))
         )
-        .groupBy(((F.col("cursor_time") - start) / width).cast("bigint").alias("bucket"))
+        .groupBy(whole_units(F.col("cursor_time") - start, width).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     return buckets.join(counts, "bucket", "left").select(
@@ -103,21 +103,22 @@ def _day_of(seconds: int):
 
 
 def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = None,
-                          rank_in_one_task: int = RANK_IN_ONE_TASK,
                           start_rows: list[tuple] | None = None) -> DataFrame:
     """At most ``n`` logs of each shard in cursor order from its start cursor.
 
-    Exact and skew-safe, in three bounded steps whose results are per-shard
-    rows fixed on the driver:
+    Logs with an equal cursor are never parted: the cut falls before the
+    cursor that would pass ``n`` (a shard whose first cursor alone holds more
+    than ``n`` logs gives that cursor whole, so every batch makes progress).
+    Skew-safe, in bounded steps whose results are per-shard rows:
 
     1. per-(shard, day) counts from the start on -- from the store index for
        whole days plus a scan of each shard's start day only (without an
        index: a scan from the earliest start) -> the boundary day per shard;
     2. per-second counts of the boundary days only (literal ``dt`` filter)
-       -> the boundary second and the rank needed inside it;
-    3. the batch: a scan between the earliest start and the latest boundary
-       (literal bounds: partition and row-group pruning), an exact rank only
-       over the logs of each boundary second.
+       -> the boundary second;
+    3. per-cursor counts of the boundary seconds -> the last cursor that fits;
+    4. the batch: a scan between the earliest start and the latest cut or end
+       (literal bounds: partition and row-group pruning).
 
     ``starts`` holds (shard key, ``start_cursor``) (or ``start_rows``, the
     same rows already collected); without it every shard starts at its
@@ -126,17 +127,17 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     n = int(n)
     idx = index_of(logs)
     plan_schema = "log_project string, log_store string, shard int, start_cursor bigint"
+    bounds = {tuple(x[k] for k in SHARD_KEY): x for x in shard_bounds_rows(logs)}
     if start_rows is not None:  # (project, store, shard, start_cursor) already on the driver
         srows = [tuple(x) for x in start_rows]
     elif starts is None:
-        srows = [(*[x[k] for k in SHARD_KEY], x["begin_cursor"])
-                 for x in shard_bounds_rows(logs)]
+        srows = [(*k, x["begin_cursor"]) for k, x in bounds.items()]
     else:
         srows = [tuple(x) for x in starts.select(*SHARD_KEY, "start_cursor").collect()]  # per shard
     if not srows or n <= 0:
         return logs.where(F.lit(False))
     lo = min(x[3] for x in srows) // 1_000_000_000
-    plan = F.broadcast(literal_table(spark, srows, plan_schema))
+    plan = literal_table(spark, srows, plan_schema)
     r = (
         logs.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
         .join(plan, SHARD_KEY)
@@ -147,70 +148,67 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
     # 1. day counts from the start on
     if idx is not None:
         start_days = sorted({_day_of(x[3] // 1_000_000_000) for x in srows})
-        plan_dt = plan.withColumn(
-            "start_dt", F.date_from_unix_date(F.floor(F.col("start_cursor") / F.lit(86_400_000_000_000)).cast("int"))
-        )
+        plan_dt = plan.withColumn("start_dt", F.date_from_unix_date(whole_units(F.col("start_cursor"), 86_400_000_000_000).cast("int")))
         first = (
             r.where(F.col("dt").isin(start_days))
-            .join(F.broadcast(plan_dt.select(*SHARD_KEY, F.col("start_dt").alias("dt"))), SHARD_KEY + ["dt"])
+            .join(plan_dt.select(*SHARD_KEY, F.col("start_dt").alias("dt")), SHARD_KEY + ["dt"])
             .groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
         )
         later = (
-            idx.join(F.broadcast(plan_dt.select(*SHARD_KEY, "start_dt")), SHARD_KEY)
+            idx.join(plan_dt.select(*SHARD_KEY, "start_dt"), SHARD_KEY)
             .where(F.col("dt") > F.col("start_dt"))
             .select(*SHARD_KEY, "dt", F.col("n").alias("c"))
         )
         day = first.unionByName(later)
     else:
         day = r.groupBy(*SHARD_KEY, "dt").agg(F.count(F.lit(1)).alias("c"))
-    wd = Window.partitionBy(*SHARD_KEY).orderBy("dt")
-    day = day.withColumn("incl", F.sum("c").over(wd.rowsBetween(Window.unboundedPreceding, 0)))
-    bday_rows = day.where((F.col("incl") - F.col("c") < n) & (F.col("incl") >= n)).select(
-        *SHARD_KEY, "dt", (F.lit(n) - (F.col("incl") - F.col("c"))).alias("need")
-    ).collect()  # one row per shard that reaches the cap
+    days = _crossing(day, "dt", F.lit(n)).collect()  # one row per shard that reaches the cap
+    if not days:
+        return r
 
     # 2. boundary second inside the boundary day
-    biggest_second = boundary_rows = 0
-    cut_schema = "log_project string, log_store string, shard int, cut_time bigint, cut_rank bigint"
-    cut_rows = []
-    if bday_rows:
-        bday = F.broadcast(literal_table(
-            spark, [tuple(x) for x in bday_rows], "log_project string, log_store string, shard int, dt date, need bigint"))
-        sec = (
-            r.where(F.col("dt").isin(sorted({x["dt"] for x in bday_rows})))
-            .join(bday, SHARD_KEY + ["dt"])
-            .groupBy(*SHARD_KEY, "need", "cursor_time")
-            .agg(F.count(F.lit(1)).alias("c"))
-        )
-        ws = Window.partitionBy(*SHARD_KEY).orderBy("cursor_time")
-        sec = sec.withColumn("incl", F.sum("c").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-        cut_full = sec.where(
-            (F.col("incl") - F.col("c") < F.col("need")) & (F.col("incl") >= F.col("need"))
-        ).select(*SHARD_KEY, "cursor_time", (F.col("need") - (F.col("incl") - F.col("c"))).alias("cut_rank"),
-                 "c").collect()  # one row per capped shard
-        cut_rows = [tuple(x)[:-1] for x in cut_full]
-        biggest_second = max((x["c"] for x in cut_full), default=0)
-        boundary_rows = sum(x["c"] for x in cut_full)
-
-    # 3. the batch
-    if cut_rows and len(cut_rows) == len(srows):
-        hi = max(x[3] for x in cut_rows)
-        r = r.where((F.col("cursor_time") <= F.lit(hi)) & (F.col("dt") <= F.lit(_day_of(hi))))
-    cut = F.broadcast(literal_table(spark, cut_rows, cut_schema))
-    j = r.join(cut, SHARD_KEY, "left")
-    before = j.where(F.col("cut_time").isNull() | (F.col("cursor_time") < F.col("cut_time")))
-    if not cut_rows:
-        return before.drop("cut_time", "cut_rank")
-    # rank inside the boundary seconds only.  Their sizes are known from the
-    # per-second counts: a second up to ``rank_in_one_task`` rows is ranked
-    # by one window task, a hotter one is range-split over many tasks (one
-    # boundary second per shard: the run table is bounded by shards +
-    # partitions and broadcast)
-    at = j.where(F.col("cursor_time") == F.col("cut_time"))
-    at = exact_rank(at, SHARD_KEY + ["cursor_time"], ["cursor"], name="_rn", broadcast_runs=True,
-                    largest=biggest_second, total=boundary_rows, rank_in_one_task=rank_in_one_task)
-    at = at.where(F.col("_rn") <= F.col("cut_rank")).drop("_rn")
-    return before.unionByName(at).drop("cut_time", "cut_rank")
+    bday = literal_table(spark, [tuple(x) for x in days], "log_project string, log_store string, shard int, dt date, need bigint")
+    sec = (
+        r.where(F.col("dt").isin(sorted({x["dt"] for x in days})))
+        .join(bday, SHARD_KEY + ["dt"])
+        .groupBy(*SHARD_KEY, "need", "cursor_time")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    seconds = _crossing(sec, "cursor_time", F.col("need")).collect()  # one row per capped shard
+
+    # 3. the last cursor of the boundary second that fits whole
+    bsec = literal_table(spark, [tuple(x) for x in seconds], "log_project string, log_store string, shard int, cursor_time bigint, need bigint")
+    times = [x["cursor_time"] for x in seconds]
+    per = (
+        r.where((F.col("cursor_time") >= min(times)) & (F.col("cursor_time") <= max(times))
+                & F.col("dt").isin(sorted({_day_of(t) for t in times})))
+        .join(bsec, SHARD_KEY + ["cursor_time"])
+        .groupBy(*SHARD_KEY, "cursor_time", "need", "cursor").agg(F.count(F.lit(1)).alias("c"))
+    )
+    upto = Window.partitionBy(*SHARD_KEY).orderBy("cursor").rowsBetween(Window.unboundedPreceding, 0)
+    fits = (F.col("incl") <= F.col("need")) | ((F.col("need") == n) & (F.col("incl") == F.col("c")))
+    cuts = per.withColumn("incl", F.sum("c").over(upto)).groupBy(*SHARD_KEY, F.col("cursor_time").alias("cut_time")).agg(
+        F.max(F.when(fits, F.col("cursor"))).alias("cut_cursor")).collect()
+
+    # 4. the batch: capped shards end at their cut, others at their last log
+    capped = {tuple(x[k] for k in SHARD_KEY) for x in cuts}
+    ends = [bounds[x[:3]]["end_time"] - 1 for x in srows if x[:3] not in capped and x[:3] in bounds]
+    hi = max([x["cut_time"] for x in cuts] + ends)
+    cut = literal_table(spark, [tuple(x) for x in cuts], "log_project string, log_store string, shard int, cut_time bigint, cut_cursor bigint")
+    j = r.where((F.col("cursor_time") <= F.lit(hi)) & (F.col("dt") <= F.lit(_day_of(hi)))).join(cut, SHARD_KEY, "left")
+    inside = F.col("cut_time").isNull() | (F.col("cursor_time") < F.col("cut_time")) | (
+        (F.col("cursor_time") == F.col("cut_time")) & (F.col("cursor") <= F.col("cut_cursor")))
+    return j.where(inside).drop("cut_time", "cut_cursor")
+
+
+def _crossing(counts: DataFrame, order: str, need) -> DataFrame:
+    """Per shard the row at which the running count reaches ``need``, with what
+    is still needed there: (shard key, ``order``, need).  The window runs over
+    counted rows only (days of a shard, seconds of a day)."""
+    upto = Window.partitionBy(*SHARD_KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    run = counts.withColumn("_need", need.cast("bigint")).withColumn("_incl", F.sum("c").over(upto))
+    hit = run.where((F.col("_incl") - F.col("c") < F.col("_need")) & (F.col("_incl") >= F.col("_need")))
+    return hit.select(*SHARD_KEY, order, (F.col("_need") - (F.col("_incl") - F.col("c"))).alias("need"))
 
 
 def shard_bounds_rows(logs: DataFrame) -> list:

@@ -39,24 +39,25 @@ def shard_prefixes(shards: DataFrame) -> DataFrame:
 
 
 def route_by_hash_key(records: DataFrame, shards: DataFrame, key_col: str = "hash_key",
-                      writable_only: bool = False, strict: bool = False) -> DataFrame:
+                      writable_only: bool = False, strict: bool = True) -> DataFrame:
     """Attach the shard whose ``[hash_begin, hash_end)`` holds the key.
 
     The shard map is a control table (bounded by 256 + #shards prefix rows),
-    broadcast for an equi-join on the key prefix plus the range check.  With
-    ``strict`` a key no shard holds fails the query instead of vanishing."""
+    broadcast for an equi-join on the key prefix plus the range check.  A key
+    that no shard holds (also a null, short or upper-case one) fails the query;
+    ``strict=False`` leaves such records unrouted (``routed_shard`` null)."""
     m = shards.where(F.col("status") != "readonly") if writable_only else shards
     pref = shard_prefixes(m).select(
         F.col("shard").alias("routed_shard"), "hash_begin", "hash_end", "prefix"
     )
     r = records.withColumn("prefix", F.substring(F.col(key_col), 1, PREFIX_DIGITS))
     in_range = (F.col(key_col) >= F.col("hash_begin")) & (F.col(key_col) < F.col("hash_end"))
-    if not strict:
-        return r.join(F.broadcast(pref), "prefix").where(in_range).drop("prefix", "hash_begin", "hash_end")
     j = r.join(F.broadcast(pref), (r["prefix"] == pref["prefix"]) & in_range, "left")
+    if not strict:
+        return j.drop("prefix", "hash_begin", "hash_end")
     return j.withColumn(
         "routed_shard",
-        F.coalesce("routed_shard", F.raise_error(F.concat(F.lit("no shard holds hash key "), F.col(key_col))).cast("int")),
+        F.coalesce("routed_shard", F.raise_error(F.concat(F.lit("no shard holds hash key "), F.coalesce(F.col(key_col), F.lit("(null)")))).cast("int")),
     ).drop("prefix", "hash_begin", "hash_end")
 
 
@@ -102,9 +103,8 @@ def skip_exhausted_shards(positions: DataFrame, shards: DataFrame) -> DataFrame:
     """Drop read-only shards whose start is at (or past) their end.
 
     ``positions`` has (shard key, ``start_cursor``, ``end_cursor``)."""
-    # shard map and positions are per-shard control rows; one pass over the
-    # positions (a shard missing from the map is kept)
-    status = F.broadcast(shards.select(*SHARD_KEY, F.col("status").alias("_status")))
+    # one pass over the positions (a shard missing from the map is kept)
+    status = shards.select(*SHARD_KEY, F.col("status").alias("_status"))
     exhausted = (F.col("_status") == "readonly") & (F.col("start_cursor") >= F.col("end_cursor"))
     return positions.join(status, SHARD_KEY, "left").where(~F.coalesce(exhausted, F.lit(False))).drop("_status")
 

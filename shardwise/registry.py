@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
-from shardwise.functions.convert import convert
+from shardwise.functions.convert import checked_not_null, convert, null_message
 from shardwise.model import checkpoints_table, literal_table, log_store, seconds_to_ntz, shards_table, table
 from shardwise.plans import offsets as off
 from shardwise.plans import ratelimit as rl
@@ -456,15 +456,18 @@ def q_route(spark, sf_dir):
 
 @register("split_shard", with_logs(
     f"""SELECT m.log_project, m.log_store, m.shard, m.status, m.hash_begin, m.hash_end,
-  (SELECT count(*) FROM logs l WHERE md5(cast(l.user_id AS varchar)) >= m.hash_begin AND md5(cast(l.user_id AS varchar)) < m.hash_end) AS records
+  CASE WHEN m.shard = 0 THEN 0 ELSE
+  (SELECT count(*) FROM logs l WHERE md5(cast(l.user_id AS varchar)) >= m.hash_begin AND md5(cast(l.user_id AS varchar)) < m.hash_end) END AS records
 FROM (SELECT log_project, log_store, shard, CASE WHEN shard = 0 THEN 'readonly' ELSE status END status, hash_begin, hash_end FROM shards
   UNION ALL SELECT log_project, log_store, 4, 'readwrite', hash_begin, '{fx.SPLIT_KEY}' FROM shards WHERE shard = 0
   UNION ALL SELECT log_project, log_store, 5, 'readwrite', '{fx.SPLIT_KEY}', hash_end FROM shards WHERE shard = 0) m"""))
 def q_split(spark, sf_dir):
+    """The map after a split and the records each shard now takes: the parent
+    takes none, its children share its range."""
     logs = log_store(spark, sf_dir)
     new_map = sh.split_shard(shards_table(spark), 0, fx.SPLIT_KEY)
     rec = logs.select(F.md5(F.col("contents").getItem("user_id")).alias("hash_key"))
-    counts = sh.route_by_hash_key(rec, new_map).groupBy(F.col("routed_shard").alias("shard")).agg(
+    counts = sh.route_by_hash_key(rec, sh.write_map(spark, new_map)).groupBy(F.col("routed_shard").alias("shard")).agg(
         F.count(F.lit(1)).alias("records")
     )
     return new_map.join(counts, "shard", "left").select(
@@ -678,11 +681,12 @@ def q_convert_string(spark, sf_dir):
 
 
 @register("null_in_non_nullable", with_logs(
-    "SELECT l_orderkey, l_linenumber, 'x' AS field, 'null value found but field x is not nullable.' AS reason FROM items WHERE x IS NULL",
+    f"""SELECT l_orderkey, l_linenumber, x,
+  CASE WHEN x IS NULL THEN '{null_message("x")}' END AS reason FROM items""",
     fx.DUCK_ITEMS))
 def q_null_in_non_nullable(spark, sf_dir):
+    """The non-nullable conversion of every row: its value, or the reason for
+    which the strict form would fail the query."""
     it = _items(spark, sf_dir, "x")
-    return it.where(F.col("contents").getItem("x").isNull()).select(
-        "l_orderkey", "l_linenumber", F.lit("x").alias("field"),
-        F.lit("null value found but field x is not nullable.").alias("reason"),
-    )
+    v = F.col("contents").getItem("x")
+    return it.select("l_orderkey", "l_linenumber", *checked_not_null(v, T.StringType(), "x", "reason"))

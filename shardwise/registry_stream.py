@@ -10,15 +10,18 @@ from pyspark.sql import types as T
 from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
-from shardwise.model import checkpoints_table, literal_table, log_store, log_store_path, shards_table, table
+from shardwise.model import (
+    checkpoints_table, log_store, log_store_path, shards_table, table, write_index, write_log_store,
+)
 from shardwise.operators import analytics as an
 from shardwise.operators import consume as co
 from shardwise.operators import sink as sk
+from shardwise.operators import trigger as tr
 from shardwise.plans import offsets as off
 from shardwise.plans import ratelimit as rl
-from shardwise.plans import shards as sh
-from shardwise.registry import DUCK_RANGES, DUCK_START, SCAN_COLS, _fixture_ranges, register
-from shardwise.session import scratch_dir
+from shardwise.registry import DUCK_START, SCAN_COLS, register
+from shardwise.session import path_exists, scratch_dir
+from shardwise.sources.reader import read_logs, read_stream
 from shardwise.streaming import core as st
 
 K = off.SHARD_KEY
@@ -77,16 +80,27 @@ def _orders(spark, sf_dir):
     return table(spark, sf_dir, "orders")
 
 
+# Orders below this price have no contents (a rejected row); some are.
+PRICE_MIN = 100000
+
 DUCK_ORDER_ITEMS = """SELECT cast(json_object('o_custkey', cast(o_custkey AS varchar),
   'o_orderdate', cast(epoch_ms(o_orderdate) AS varchar), 'o_orderkey', cast(o_orderkey AS varchar),
   'o_orderpriority', o_orderpriority, 'o_orderstatus', o_orderstatus, 'o_totalprice', cast(o_totalprice AS varchar)) AS varchar) AS item
 FROM orders"""
 
 
+def _item(df: DataFrame) -> F.Column:
+    """The item text of rows read back through the default projection."""
+    return F.col("__value__").alias("item")
+
+
 @register("write_logs_batch", DUCK_ORDER_ITEMS)
 def q_write_logs_batch(spark, sf_dir):
-    items = sk.to_log_items(_orders(spark, sf_dir))
-    return items.select(sk.item_json(items).alias("item"))
+    """Orders written to a log store, read back through the reader."""
+    path = scratch_dir(spark, "w1-store")
+    sk.write_logs(sk.to_log_items(_orders(spark, sf_dir)), path, "analytics", "orders", n_shards=4)
+    back = read_logs(spark, path)
+    return back.select(_item(back))
 
 
 @register("sink_value_rules", """SELECT l_orderkey, l_linenumber, cast(json_object(
@@ -134,7 +148,7 @@ def q_sink_nulls(spark, sf_dir):
 def _topic_source_items(spark, sf_dir, with_key: bool):
     o = _orders(spark, sf_dir)
     contents = F.when(
-        F.col("o_totalprice") >= 1000,
+        F.col("o_totalprice") >= PRICE_MIN,
         F.create_map(
             F.lit("key"), F.col("o_orderkey").cast("string"),
             F.lit("price"), F.col("o_totalprice").cast("string"),
@@ -147,64 +161,91 @@ def _topic_source_items(spark, sf_dir, with_key: bool):
 
 @register("write_with_topic_source", """SELECT o_orderstatus AS topic, o_orderpriority AS source,
   cast(json_object('key', cast(o_orderkey AS varchar), 'price', cast(o_totalprice AS varchar)) AS varchar) AS item
-FROM orders WHERE o_totalprice >= 1000""")
+FROM orders WHERE o_totalprice >= 100000""")
 def q_write_with_topic_source(spark, sf_dir):
-    items = _topic_source_items(spark, sf_dir, with_key=False)
-    return items.select("topic", "source", sk.item_json(items).alias("item"))
+    """Rows without contents are left out of the store; the rest is read back."""
+    path = scratch_dir(spark, "w9-store")
+    sk.write_logs(_topic_source_items(spark, sf_dir, with_key=False), path, "analytics", "orders", n_shards=4)
+    back = read_logs(spark, path)
+    return back.select(F.col("__topic__").alias("topic"), F.col("__source__").alias("source"), _item(back))
 
 
 @register("write_with_hash_key", with_logs("""SELECT s.shard AS routed_shard, o_orderstatus AS topic,
   cast(json_object('key', cast(o_orderkey AS varchar), 'price', cast(o_totalprice AS varchar)) AS varchar) AS item
 FROM orders JOIN shards s ON md5(cast(o_custkey AS varchar)) >= s.hash_begin AND md5(cast(o_custkey AS varchar)) < s.hash_end
-WHERE o_totalprice >= 1000"""))
+WHERE o_totalprice >= 100000"""))
 def q_write_with_hash_key(spark, sf_dir):
-    items = _topic_source_items(spark, sf_dir, with_key=True)
-    routed = sh.route_by_hash_key(items, shards_table(spark))
-    return routed.select("routed_shard", "topic", sk.item_json(routed).alias("item"))
+    """Items routed by their key on the way into the store, read back."""
+    path = scratch_dir(spark, "w10-store")
+    sk.write_logs(_topic_source_items(spark, sf_dir, with_key=True), path, "analytics", "orders", shards=shards_table(spark))
+    back = read_logs(spark, path)
+    return back.select(F.col("__shard__").cast("int").alias("routed_shard"), F.col("__topic__").alias("topic"), _item(back))
 
 
 @register("insert_into", DUCK_ORDER_ITEMS)
 def q_insert_into(spark, sf_dir):
-    """INSERT INTO an external table in the scratch folder; rows read back."""
-    path = scratch_dir(spark, "insert-into")
-    name = "shardwise_insert_" + path.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE TABLE {name} (item STRING) USING parquet LOCATION '{path}'")
-    sk.insert_into(q_write_logs_batch(spark, sf_dir), name)
-    return spark.read.parquet(path)
+    """INSERT INTO a log store in two parts; the rows are read back."""
+    path = scratch_dir(spark, "w7-store")
+    orders = _orders(spark, sf_dir)
+    for part in (0, 1):
+        sk.insert_into(orders.where(F.col("o_orderkey") % 2 == part), path, "analytics", "orders", n_shards=4)
+    back = read_logs(spark, path)
+    return back.select(_item(back))
+
+
+@register("stream_sink_idempotent", with_logs(
+    """SELECT shard, cast(json_object('cursor', cast("cursor" AS varchar), 'shard', cast(shard AS varchar)) AS varchar) AS item
+FROM logs"""))
+def q_stream_sink_idempotent(spark, sf_dir):
+    """Stream the store into another log store, then replay its first batch:
+    the target, read back, holds each record once."""
+    out, ck = scratch_dir(spark, "w8-store"), scratch_dir(spark, "w8-ck")
+    batches: dict[int, str] = {}
+    sink = sk.log_store_sink(out, "analytics", "copy", "w8", n_shards=4)
 
+    def keep_and_write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:  # kept for the replay below
+            batches[0] = scratch_dir(spark, "w8-batch")
+            batch.write.parquet(batches[0])
+        sink(batch, batch_id)
 
-@register("stream_sink_idempotent", with_logs('SELECT shard, "cursor" FROM logs'))
-def q_stream_sink_idempotent(spark, sf_dir):
-    """Stream the store through an idempotent batch writer and replay the
-    first batch by hand: the output keeps each record once."""
-    src = log_store_path(spark, sf_dir)
-    out, ck = scratch_dir(spark, "w8-out"), scratch_dir(spark, "w8-ck")
-    writer = st.idempotent_writer(out)
-    st.run_available_now(st.stream_logs(spark, src, 10).select("shard", "cursor", "dt"), ck, writer)
-    # replay batch 0 (cut from its own output path first, then rewrite it)
-    replay = st.read_batches(spark, out).where(F.col("batch_id") == 0).drop("batch_id").checkpoint()
-    writer(replay, 0)
-    return st.read_batches(spark, out).select("shard", "cursor")
+    st.run_available_now(st.stream_logs(spark, log_store_path(spark, sf_dir), 40).select("shard", "cursor"), ck, keep_and_write)
+    sink(spark.read.parquet(batches[0]), 0)
+    back = read_logs(spark, out, schema=T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("cursor", T.LongType())]))
+    item = F.to_json(F.struct(F.col("cursor").cast("string").alias("cursor"), F.col("shard").cast("string").alias("shard")))
+    return back.select("shard", item.alias("item"))
 
 
 @register("write_observed", """SELECT count(*)::BIGINT AS "rows",
-  count(*) FILTER (WHERE o_totalprice >= 1000)::BIGINT AS written,
-  count(*) FILTER (WHERE o_totalprice < 1000 OR o_totalprice IS NULL)::BIGINT AS dropped FROM orders""")
+  count(*) FILTER (WHERE o_totalprice >= 100000)::BIGINT AS written,
+  count(*) FILTER (WHERE o_totalprice < 100000 OR o_totalprice IS NULL)::BIGINT AS dropped,
+  count(*) FILTER (WHERE o_totalprice >= 100000)::BIGINT AS read_back FROM orders""")
 def q_write_observed(spark, sf_dir):
+    """Counts of a write in which some rows have no contents, and what a reader
+    then finds; the same write with a lower limit fails and publishes nothing."""
+    path = scratch_dir(spark, "w11-store")
     items = _topic_source_items(spark, sf_dir, with_key=False)
-    res = sk.observed_write(spark, items, scratch_dir(spark, "w11-store"), "analytics", "orders", max_dropped=0)
-    return literal_table(spark, [(res["rows"], res["written"], res["dropped"])], "rows bigint, written bigint, dropped bigint")
+    try:
+        sk.observed_write(spark, items, path, "analytics", "orders", max_dropped=0)
+        refused = False
+    except RuntimeError:
+        refused = not path_exists(spark, path)
+    res = sk.observed_write(spark, items, path, "analytics", "orders", max_dropped=2**62)
+    assert refused == (res["dropped"] > 0)
+    back = read_logs(spark, path).agg(F.count(F.lit(1)).alias("read_back"))
+    return back.select(*[F.lit(res[k]).cast("bigint").alias(k) for k in ("rows", "written", "dropped")], "read_back")
 
 
 PART_CASE = f"CASE WHEN cursor_time < {fx.DAY10} THEN 0 WHEN cursor_time < {fx.DAY20} THEN 1 ELSE 2 END"
 STAGED_SCHEMA = "shard int, cursor bigint, cursor_time bigint"
 
 
-def _staged_runs(spark, sf_dir, name, run) -> None:
+def _staged_runs(spark, sf_dir, name, run, columns=("shard", "cursor", "cursor_time")) -> None:
     """The store arrives in three parts (before day 10, days 10-20, after):
     each part is written, then ``run(stage)`` starts the stream on the same
-    checkpoint.  Each run has exactly one micro-batch, so batch k holds part k."""
-    logs = log_store(spark, sf_dir).select("shard", "cursor", "cursor_time")
+    checkpoint.  Each run has exactly one micro-batch, so batch k holds part k
+    and the parts come in time order."""
+    logs = log_store(spark, sf_dir).select(*columns)
     stage = scratch_dir(spark, name)
     c = F.col("cursor_time")
     parts = [c < fx.DAY10, (c >= fx.DAY10) & (c < fx.DAY20), c >= fx.DAY20]
@@ -213,8 +254,8 @@ def _staged_runs(spark, sf_dir, name, run) -> None:
         run(stage)
 
 
-def _staged_stream(spark, stage):
-    return spark.readStream.schema(STAGED_SCHEMA).option("recursiveFileLookup", "true").parquet(stage)
+def _staged_stream(spark, stage, schema=STAGED_SCHEMA):
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stage)
 
 
 @register("foreach_batch_table", with_logs(
@@ -246,16 +287,37 @@ def _records(df: DataFrame) -> DataFrame:
     return df.select(*SCAN_COLS, F.col("contents").getItem("msg").alias("msg"))
 
 
+def _arrivals(spark, sf_dir, path: str, parts: list, run) -> None:
+    """A log store at ``path`` to which ``parts`` (conditions on the fixture's
+    logs) are appended one by one; ``run()`` starts the stream after each."""
+    logs = log_store(spark, sf_dir)
+    for i, cond in enumerate(parts):
+        part = logs.where(cond)
+        write_log_store(part, path, f"part-{i}")
+        write_index(part, path, f"part-{i}")
+        run()
+
+
+DUCK_STREAM_START = """so AS (SELECT * FROM (VALUES (0, -2), (1, 1704844800), (2, 1704067200)) t(shard, o))"""
+STREAM_START = '{"analytics#events":{"0":-2,"1":1704844800,"2":1704067200}}'
+
+
 @register("stream_scan", with_logs(
     """SELECT log_project, log_store, shard, "cursor", cursor_time, log_time, topic, source, c_msg AS msg
-FROM logs JOIN rng USING (log_project, log_store, shard) WHERE cursor_time >= start_time""", DUCK_RANGES))
+FROM logs LEFT JOIN so USING (shard) WHERE o IS NULL OR o = -2 OR cursor_time >= o""", DUCK_STREAM_START))
 def q_stream_scan(spark, sf_dir):
-    """Micro-batches from the fixture start offsets on; rows equal the batch scan."""
-    logs = log_store(spark, sf_dir)
-    starts = _fixture_ranges(spark, logs).select(*K, "start_time")
-    out = scratch_dir(spark, "s4-out")
-    stream = st.from_start(st.stream_logs(spark, log_store_path(spark, sf_dir), 10), starts)
-    st.run_available_now(_records(stream), scratch_dir(spark, "s4-ck"), st.idempotent_writer(out))
+    """The reader's stream from specific offsets.  The store first holds shards
+    0 to 2 before day 20; while the stream is stopped, their later logs and a
+    whole new shard arrive: the restart reads all of them, the new shard from
+    its earliest log."""
+    path, ck, out = (scratch_dir(spark, f"s4-{x}") for x in ("store", "ck", "out"))
+    first = (F.col("shard") < 3) & (F.col("cursor_time") < fx.DAY20)
+
+    def run():
+        stream = read_stream(spark, path, STREAM_START, max_files_per_trigger=20, checkpoint=ck, records=True)
+        st.run_available_now(_records(stream), ck, st.idempotent_writer(out))
+
+    _arrivals(spark, sf_dir, path, [first, ~first], run)
     return st.read_batches(spark, out).drop("batch_id")
 
 
@@ -305,11 +367,18 @@ def _ts(df: DataFrame) -> DataFrame:
     """SELECT make_timestamp((cursor_time // 5 * 5) * 1000000) AS window_start,
   make_timestamp((cursor_time // 5 * 5 + 5) * 1000000) AS window_end, count(*) AS "count" FROM logs GROUP BY ALL"""))
 def q_window_count_watermark(spark, sf_dir):
-    s = _ts(st.stream_logs(spark, log_store_path(spark, sf_dir), 10)).withWatermark("t", "10 seconds")
-    agg = s.groupBy(F.window("t", "5 seconds").alias("w")).agg(F.count(F.lit(1)).alias("count"))
-    out = scratch_dir(spark, "q1-out")
-    st.run_available_now(agg, scratch_dir(spark, "q1-ck"), st.idempotent_writer(out), output_mode="complete")
-    last = st.latest_batch(st.read_batches(spark, out))
+    """Counts per 5-second window in update mode over three micro-batches that
+    arrive in time order: a batch writes only the windows it changes, and
+    readers take each window's last version."""
+    ck, out = scratch_dir(spark, "q1-ck"), scratch_dir(spark, "q1-out")
+
+    def run(stage):
+        s = _ts(_staged_stream(spark, stage, "cursor_time bigint, log_time timestamp_ntz")).withWatermark("t", "10 seconds")
+        agg = s.groupBy(F.window("t", "5 seconds").alias("w")).agg(F.count(F.lit(1)).alias("count"))
+        st.run_available_now(agg, ck, st.idempotent_writer(out), output_mode="update")
+
+    _staged_runs(spark, sf_dir, "q1-in", run, ("cursor_time", "log_time"))
+    last = st.last_version(st.read_batches(spark, out), ["w"], ["count"])
     return last.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
@@ -388,11 +457,16 @@ def q_stream_self_join(spark, sf_dir):
     """Inner self-join of one stream on the user plus a 30-minute time bound,
     watermarked on both sides so join state is dropped as time passes; the
     join key includes a time bucket so a hot user is spread over buckets."""
-    s = _ts(st.stream_logs(spark, log_store_path(spark, sf_dir)))
-    s = s.select(F.col("contents").getItem("user_id").cast("bigint").alias("user_id"), "event_id", "t")
-    j = an.bounded_self_join(s, "user_id", "t", "event_id", SELF_JOIN_SECONDS)
-    out = scratch_dir(spark, "q6-out")
-    st.run_available_now(j, scratch_dir(spark, "q6-ck"), st.idempotent_writer(out))
+    ck, out = scratch_dir(spark, "q6-ck"), scratch_dir(spark, "q6-out")
+
+    def run(stage):
+        s = _ts(_staged_stream(spark, stage, "contents map<string,string>, event_id bigint, log_time timestamp_ntz"))
+        s = s.select(F.col("contents").getItem("user_id").cast("bigint").alias("user_id"), "event_id", "t")
+        j = an.bounded_self_join(s, "user_id", "t", "event_id", SELF_JOIN_SECONDS)
+        st.run_available_now(j, ck, st.idempotent_writer(out))
+
+    # parts arrive in time order, so pairs across a part's border are in the join's state
+    _staged_runs(spark, sf_dir, "q6-in", run, ("cursor_time", "contents", "event_id", "log_time"))
     return st.read_batches(spark, out).drop("batch_id")
 
 
@@ -430,21 +504,38 @@ def q_cast_select_expr(spark, sf_dir):
     return logs.selectExpr("CAST(msg AS INT) AS value", "CAST(msg AS INT) % 5 AS key")
 
 
-@register("restart_recovery", with_logs('SELECT shard, "cursor" FROM logs'))
+@register("restart_recovery", with_logs(f'SELECT shard, "cursor" FROM logs WHERE cursor_time >= {fx.DAY10}'))
 def q_restart_recovery(spark, sf_dir):
-    """Run, stop, add data, restart on the same checkpoint: every record once."""
-    logs = log_store(spark, sf_dir).select("shard", "cursor", "cursor_time")
-    stage, out, ck = scratch_dir(spark, "q11-in"), scratch_dir(spark, "q11-out"), scratch_dir(spark, "q11-ck")
-    schema = "shard int, cursor bigint, cursor_time bigint"
-    logs.where(F.col("cursor_time") < fx.DAY10).write.parquet(f"{stage}/a")
-    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stage)
-    st.run_available_now(src.select("shard", "cursor"), ck, st.idempotent_writer(out))
-    logs.where(F.col("cursor_time") >= fx.DAY10).write.parquet(f"{stage}/b")
-    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stage)
-    st.run_available_now(src.select("shard", "cursor"), ck, st.idempotent_writer(out))
+    """A stream from the latest offsets stops, logs arrive, and it restarts on
+    the same checkpoint: its start is the one of the first run, so exactly the
+    logs that came later are read, each once."""
+    path, ck, out = (scratch_dir(spark, f"q11-{x}") for x in ("store", "ck", "out"))
+
+    def run():
+        stream = read_stream(spark, path, "latest", checkpoint=ck, records=True)
+        st.run_available_now(stream.select("shard", "cursor"), ck, st.idempotent_writer(out))
+
+    early, late = F.col("cursor_time") < fx.DAY10, F.col("cursor_time") < fx.DAY20
+    _arrivals(spark, sf_dir, path, [early, ~early & late, ~late], run)
     return st.read_batches(spark, out).select("shard", "cursor")
 
 
+@register("rate_limited_triggers", with_logs('SELECT log_project, log_store, shard, "cursor", cursor_time, log_time, topic, source, c_msg AS msg FROM logs'))
+def q_rate_limited_triggers(spark, sf_dir):
+    """Triggers limited to a share of the store until it is read: each one
+    plans its end, reads, writes and commits; together they hold every log once."""
+    logs = log_store(spark, sf_dir)
+    state, out = scratch_dir(spark, "trigger-state"), scratch_dir(spark, "trigger-out")
+    total = logs.count()
+
+    def write(batch: DataFrame, trigger: int) -> None:
+        st.idempotent_writer(out)(_records(batch), trigger)
+
+    while tr.run_trigger(spark, logs, state, write, max_offsets=max(1, total // 3), look_ahead=15 * 86400, width=3600):
+        pass
+    return st.read_batches(spark, out).drop("batch_id")
+
+
 @register("input_row_metrics", with_logs(
     f"SELECT CAST({PART_CASE} AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM logs GROUP BY 1"))
 def q_input_row_metrics(spark, sf_dir):

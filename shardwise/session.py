@@ -7,6 +7,8 @@ when that setting is absent (unit tests on a laptop) do we create one.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,10 +51,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # only where the cluster names none (tests on one machine); Spark 4
-        # refuses ``conf.set`` of this core setting at run time, so the
+        # only where none is named and everything runs on one machine (tests);
+        # Spark 4 refuses ``conf.set`` of this core setting at run time, so the
         # folder is given to the context, which is where it is read above
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="shardwise-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -3,24 +3,21 @@ lookups and start positions.
 
 A range read keeps literal global bounds on ``cursor_time`` and ``dt`` so
 Parquet pushdown and partition pruning apply, and expresses the per-shard
-part either as a literal predicate (few shards) or as a broadcast equi-join
-on the shard key behind a size check (many shards).
+part as a semi-join on the shard key, broadcast behind a size check.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardwise.functions.shape import cursor_to_b64, with_json_record
+from shardwise.functions.shape import cursor_to_b64, whole_units, with_json_record
 from shardwise.model import index_of
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
-# Per-shard predicates are inlined up to this many shards; beyond it the
-# ranges are joined (broadcast up to BROADCAST_MAX_ROWS rows, shuffled after).
-LITERAL_MAX_SHARDS = 64
+# A range table is broadcast up to this many rows and shuffled above.
 BROADCAST_MAX_ROWS = 200_000
 
 START_MODES = ("BEGIN_CURSOR", "END_CURSOR", "SPECIAL_TIMER_CURSOR")
@@ -32,7 +29,7 @@ def epoch_day(seconds: int) -> _dt.date:
 
 def unix_day(t: Column) -> Column:
     """DATE of an epoch-seconds column, independent of the session zone."""
-    return F.date_from_unix_date(F.floor(t / F.lit(86400)).cast("int"))
+    return F.date_from_unix_date(whole_units(t, 86400).cast("int"))
 
 
 def bounded(logs: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -48,38 +45,28 @@ def bounded(logs: DataFrame, lo: int, hi: int) -> DataFrame:
 
 
 def scan_range(logs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """All logs with ``start_time <= cursor_time < end_time`` of their shard.
-
-    ``ranges`` is a per-shard control table (shard key, ``start_time``,
-    ``end_time``); it is collected (one row per shard) to derive literal
-    bounds."""
-    rows = ranges.select(*SHARD_KEY, "start_time", "end_time").collect()
-    rows = [r for r in rows if r["start_time"] is not None and r["end_time"] is not None]
-    if not rows:
+    """All logs with ``start_time <= cursor_time < end_time`` of their shard,
+    each once, however many ranges of a shard hold it.
+
+    ``ranges`` is a control table (shard key, ``start_time``, ``end_time``; a
+    null bound is an error).  Its size and outer bounds come back as one row:
+    literal bounds prune days and row groups, and the per-shard part is a
+    semi-join on the shard key, broadcast behind the size check."""
+    rng = ranges.select(*SHARD_KEY, F.col("start_time").alias("_s"), F.col("end_time").alias("_e")).distinct()
+    size = rng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s").isNull() | F.col("_e").isNull()).alias("open"),
+                   F.min("_s").alias("lo"), F.max("_e").alias("hi")).first()
+    if size["open"]:
+        raise ValueError(f"{size['open']} ranges lack a start or an end")
+    if not size["n"]:
         return logs.where(F.lit(False))
-    lo = min(r["start_time"] for r in rows)
-    hi = max(r["end_time"] for r in rows)
-    base = bounded(logs, lo, hi)
-    if len(rows) <= LITERAL_MAX_SHARDS:
-        cond = None
-        for r in rows:
-            c = (
-                (F.col("log_project") == r["log_project"])
-                & (F.col("log_store") == r["log_store"])
-                & (F.col("shard") == r["shard"])
-                & (F.col("cursor_time") >= r["start_time"])
-                & (F.col("cursor_time") < r["end_time"])
-            )
-            cond = c if cond is None else (cond | c)
-        return base.where(cond)
-    rng = ranges.select(*SHARD_KEY, F.col("start_time").alias("_s"), F.col("end_time").alias("_e"))
-    if len(rows) <= BROADCAST_MAX_ROWS:
+    if size["n"] <= BROADCAST_MAX_ROWS:
         rng = F.broadcast(rng)
-    return (
-        base.join(rng, SHARD_KEY)
-        .where((F.col("cursor_time") >= F.col("_s")) & (F.col("cursor_time") < F.col("_e")))
-        .drop("_s", "_e")
-    )
+    base = bounded(logs, size["lo"], size["hi"])
+    inside = [base[c] == rng[c] for c in SHARD_KEY] + [base["cursor_time"] >= rng["_s"], base["cursor_time"] < rng["_e"]]
+    cond = inside[0]
+    for c in inside[1:]:
+        cond = cond & c
+    return base.join(rng, cond, "left_semi")
 
 
 def store_latest_time(logs: DataFrame) -> int:
@@ -103,12 +90,11 @@ def time_range_slices(logs: DataFrame, start: int, end: int, parallelism: int =
     """Records per (shard, slice) of ``[start, end)`` cut into 1..5 contiguous
     half-open slices; the last slice takes the remainder."""
     if not 1 <= parallelism <= 5:
-        raise ValueError("Parallelism in each shard should not be less than 1 or larger than 5.")
+        raise ValueError(f"a shard is read in 1 to 5 slices, not {parallelism}")
     if end - start < parallelism:
-        raise ValueError(f"The range between ({start}, {end}) is too small to split into "
-                         f"{parallelism} slices.")
+        raise ValueError(f"{end - start} seconds from {start} on cannot make {parallelism} slices")
     size = (end - start) // parallelism
-    sl = F.least(F.lit(parallelism - 1), ((F.col("cursor_time") - start) / size).cast("bigint"))
+    sl = F.least(F.lit(parallelism - 1), whole_units(F.col("cursor_time") - start, size))
     b = bounded(logs, start, end).withColumn("slice", sl.cast("int"))
     return b.groupBy(*SHARD_KEY, "slice").agg(F.count(F.lit(1)).alias("records")).select(
         *SHARD_KEY, "slice",
@@ -119,43 +105,38 @@ def time_range_slices(logs: DataFrame, start: int, end: int, parallelism: int =
     )
 
 
-def slice_of(start: int, end: int, parallelism: int) -> Column:
-    size = (end - start) // parallelism
-    return F.least(F.lit(parallelism - 1), ((F.col("cursor_time") - start) / size).cast("bigint"))
-
-
 def cursor_at_time(logs: DataFrame, probes: DataFrame) -> DataFrame:
     """First cursor at or after ``t`` in each probed shard; the shard's end
     cursor when nothing follows.  ``probes``: (shard key, ``t``).
 
-    Two aggregated steps: the probe's own day (equi-join on shard and day,
-    so only that day is read) and, failing that, the first later day from a
-    per-(shard, day) table.  Probe tables come from callers, so no broadcast
-    is forced: AQE broadcasts them when their runtime size is small and
-    keeps a shuffle join otherwise."""
-    p = probes.select(*SHARD_KEY, "t").withColumn("dt", unix_day(F.col("t")))
-    same_day = (
-        logs.select(*SHARD_KEY, "dt", "cursor", "cursor_time")
-        .join(p, SHARD_KEY + ["dt"])
-        .where(F.col("cursor_time") >= F.col("t"))
-        .groupBy(*SHARD_KEY, "t")
-        .agg(F.min("cursor").alias("c_same"))
-    )
+    The probe's own day is scanned (its days are literals, so only they are
+    read); when it has no such log the answer is the first cursor of a later
+    day: the (shard, day) table carries the smallest cursor after each day (a
+    running minimum from the last day back), and a probe meets one row of it."""
+    p = probes.select(*SHARD_KEY, "t").distinct().withColumn("dt", unix_day(F.col("t")))
     idx = index_of(logs)
     days = (
-        idx.select(*SHARD_KEY, "dt", F.col("min_cursor").alias("day_cursor"))
+        idx.select(*SHARD_KEY, "dt", F.col("min_cursor").alias("c"))
         if idx is not None
-        else logs.groupBy(*SHARD_KEY, "dt").agg(F.min("cursor").alias("day_cursor"))
+        else logs.groupBy(*SHARD_KEY, "dt").agg(F.min("cursor").alias("c"))
     )
-    later = (
-        days.join(p.withColumnRenamed("dt", "probe_dt"), SHARD_KEY)
-        .where(F.col("dt") > F.col("probe_dt"))
+    # a union sorted by day: each probe takes the smallest cursor of the days after its own
+    after = Window.partitionBy(*SHARD_KEY).orderBy("dt").rangeBetween(1, Window.unboundedFollowing)
+    day_no = F.unix_date("dt").alias("dt")
+    both = days.select(*SHARD_KEY, day_no, F.lit(None).cast("bigint").alias("t"), "c").unionByName(
+        p.select(*SHARD_KEY, day_no, "t", F.lit(None).cast("bigint").alias("c")))
+    later = both.withColumn("c_later", F.min("c").over(after)).where(F.col("t").isNotNull()).select(*SHARD_KEY, "t", "c_later")
+    wanted = [r[0] for r in p.select("dt").distinct().collect()]  # at most the probed days
+    same_day = (
+        logs.select(*SHARD_KEY, "dt", "cursor", "cursor_time").where(F.col("dt").isin(wanted))
+        .join(p, SHARD_KEY + ["dt"])
+        .where(F.col("cursor_time") >= F.col("t"))
         .groupBy(*SHARD_KEY, "t")
-        .agg(F.min("day_cursor").alias("c_later"))
+        .agg(F.min("cursor").alias("c_same"))
     )
     ends = shard_bounds(logs).select(*SHARD_KEY, "end_cursor")
     return (
-        p.drop("dt")
+        probes.select(*SHARD_KEY, "t")
         .join(same_day, SHARD_KEY + ["t"], "left")
         .join(later, SHARD_KEY + ["t"], "left")
         .join(ends, SHARD_KEY, "left")

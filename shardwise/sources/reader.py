@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardwise.functions.shape import project
-from shardwise.model import attach_index, literal_table, read_index, read_log_store
+from shardwise.model import INDEX_DIR, attach_index, literal_table, read_index, read_log_store
 from shardwise.plans.offsets import (
     EARLIEST, LATEST, SHARD_KEY, OffsetError, offset_violations, parse_offsets_json,
     resolve_sentinels, shard_bounds,
@@ -24,7 +24,7 @@ from shardwise.sources.batch import scan_range
 def open_store(spark: SparkSession, path: str) -> DataFrame:
     """The log records under ``path`` (with its index when present)."""
     logs = read_log_store(spark, path)
-    if path_exists(spark, f"{path}/_index"):
+    if path_exists(spark, f"{path}/{INDEX_DIR}"):
         logs = attach_index(logs, read_index(spark, path))
     return logs
 
@@ -65,15 +65,37 @@ def read_logs(spark: SparkSession, path: str, starting_offsets: str = "earliest"
     return project(rows, schema, append_sequence_number)
 
 
+def check_stream_offsets(start: DataFrame, known: DataFrame) -> None:
+    """Specific start offsets name every shard of the store and no other."""
+    j = start.select(*SHARD_KEY, F.lit(True).alias("_given")).join(
+        known.select(*SHARD_KEY, F.lit(True).alias("_known")), SHARD_KEY, "full_outer")
+    bad = j.where(F.col("_given").isNull() | F.col("_known").isNull()).limit(1).collect()
+    if bad:
+        what = "is not in the store" if bad[0]["_known"] is None else "has no start offset"
+        raise OffsetError(f"shard {bad[0]['shard']} of {bad[0]['log_project']}#{bad[0]['log_store']} {what}")
+
+
 def read_stream(spark: SparkSession, path: str, starting_offsets: str = "latest",
                 schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
-                append_sequence_number: bool = False) -> DataFrame:
-    """A stream of the store from a starting limit, shaped by ``schema``.
-    The start is resolved once when the stream is defined."""
-    from shardwise.streaming.core import from_start, stream_logs
+                append_sequence_number: bool = False, checkpoint: str | None = None,
+                records: bool = False) -> DataFrame:
+    """A stream of the store from a starting limit, shaped by ``schema`` (or
+    the log records themselves with ``records``).
 
-    logs = open_store(spark, path)
-    start = limit_offsets(spark, logs, starting_offsets)
-    starts = resolve_sentinels(start, shard_bounds(logs), out="start_time")
+    With the query's ``checkpoint`` folder the start is resolved on the first
+    start only and stored there; a restart reads the stored start, so logs that
+    arrived while the query was stopped are not skipped.  Shards that appear
+    later are read from their earliest log."""
+    from shardwise.streaming.core import from_start, pinned_start_offsets, stream_logs
+
+    def resolve() -> DataFrame:
+        logs = open_store(spark, path)
+        start = limit_offsets(spark, logs, starting_offsets)
+        bounds = shard_bounds(logs)
+        if starting_offsets.strip().lower() not in ("earliest", "latest"):
+            check_stream_offsets(start, bounds)
+        return resolve_sentinels(start, bounds, out="start_time").select(*SHARD_KEY, "start_time")
+
+    starts = pinned_start_offsets(spark, f"{checkpoint.rstrip('/')}/start_offsets", resolve) if checkpoint else resolve()
     stream = from_start(stream_logs(spark, path, max_files_per_trigger), starts)
-    return project(stream, schema, append_sequence_number)
+    return stream if records else project(stream, schema, append_sequence_number)

@@ -17,26 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from shardwise.model import LOG_COLUMNS, LOG_SCHEMA, literal_table
+from shardwise.model import LOG_COLUMNS, STORE_SCHEMA, literal_table
 from shardwise.plans.offsets import SHARD_KEY
 from shardwise.session import path_exists
 
 
 def stream_logs(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of the log records under ``path``."""
-    r = spark.readStream.schema(LOG_SCHEMA)
+    r = spark.readStream.schema(STORE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.parquet(path).select(*LOG_COLUMNS)
 
 
 def from_start(stream: DataFrame, starts: DataFrame) -> DataFrame:
-    """Logs at or after each shard's start second.  ``starts`` is the
-    per-shard start table; it is resolved once (one row per shard) so micro-
-    batches do not recompute it, and broadcast into the stream."""
+    """Logs at or after each shard's start second; a shard without a start
+    (one that appeared later) is read from its earliest log.  ``starts`` is
+    resolved once (one row per shard), so micro-batches do not recompute it."""
     fixed = starts.select(*SHARD_KEY, F.col("start_time").alias("_start"))
-    s = F.broadcast(literal_table(stream.sparkSession, fixed.collect(), fixed.schema))
-    return stream.join(s, SHARD_KEY).where(F.col("cursor_time") >= F.col("_start")).drop("_start")
+    s = literal_table(stream.sparkSession, fixed.collect(), fixed.schema)
+    return stream.join(s, SHARD_KEY, "left").where(
+        F.col("_start").isNull() | (F.col("cursor_time") >= F.col("_start"))).drop("_start")
 
 
 def run_available_now(df: DataFrame, checkpoint: str, batch_fn: Callable | None = None,

@@ -38,7 +38,7 @@ def digest(cols, rows):
 def compare(spark, sf_dir, names=None, verbose=True):
     sys.path.insert(0, "/root/repo")
     import __spark_entry__ as e
-    from shardwise.duck import connect
+    from tests.duck import connect
 
     con = connect(sf_dir)
     qs, sqls = e.queries(), e.oracle_sql()

@@ -12,7 +12,7 @@ NAMES = sorted(registry.QUERIES)
 
 
 def _check(spark, sf, name):
-    from shardwise.duck import connect
+    from tests.duck import connect
 
     df = registry.QUERIES[name](spark, sf)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
