@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm import ann, credentials, decontaminate, html_text, licenses, ngram_join, packing, sharding, toxicity, url_filter
+from shardwise.llm import ann, credentials, decontaminate, html_text, licenses, ngram_join, oracles, packing, sharding, toxicity, url_filter
 from shardwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,10 +76,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         join(names).alias("base_labels"), join(labels).alias("labels"), "score")
 
 
-@register("op3_url_filter")
+@register("op3_url_filter", oracles.url_filter_sql())
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return judged.select("page_id", "host", "path", "rule", "verdict", "lm_score")
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("lm_score", 6).alias("lm_score"))
 
 
 @register("op10_html_text")
@@ -95,7 +95,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
 
 
-@register("op2_ngram_join")
+@register("op2_ngram_join", oracles.ngram_join_sql())
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from shardwise.llm import queries
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 COLUMNS = {
     "op1_nearest": ["query_id", "rank", "vec_id", "score"],
@@ -39,6 +39,18 @@ def test_columns_and_rows(spark, name):
         assert n == spark.read.parquet(f"{SF001}/{PER_ROW[name]}.parquet").count()
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql_oracles(spark, name):
+    from tests.duck import connect
+    from tests.oracle_check import digest
+
+    df = queries.QUERIES[name](spark, SF01)
+    cur = connect(SF01).execute(queries.ORACLE[name])
+    columns, rows = [d[0] for d in cur.description], cur.fetchall()
+    assert sorted(columns) == sorted(df.columns)
+    assert digest(columns, rows)[0] == digest(df.columns, [tuple(r) for r in df.collect()])[0]
+
+
 def test_held_out_ids(spark):
     ids = spark.range(200).select("id", queries.held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in ids)
