@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shardwise.llm import ngram_join, url_filter
+from shardwise.llm import licenses, ngram_join, url_filter
 
 #: the word class of ``textvec`` as a regular expression over lower-case text
 WORD = r"[0-9a-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{1FFF}\x{2070}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
@@ -56,3 +56,38 @@ bar AS (SELECT (a.m * b.s + b.m * a.s) / (a.s + b.s) bar FROM stat a, stat b WHE
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
   coalesce(given, CASE WHEN lm >= bar THEN 'allow' ELSE 'block' END, 'block') AS verdict, round(lm, 6) AS lm_score
 FROM pages LEFT JOIN scored USING (url), bar"""
+
+
+def licenses_sql() -> str:
+    """Base phrases by comparing word slices; rules on text whose words each
+    have a blank on both sides, so that neighbouring matches do not share one."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = licenses.signature_rules()
+    wide = lambda r: " (?:" + r.replace(" ?", "(?:#)?").replace(" ", "  ").replace("#", "  ") + ") "
+    rule_rows = ", ".join(f"({i}, {quote(r.label)}, {r.priority}, {r.weight}::DOUBLE, {quote(wide(r.regex))})" for i, r in enumerate(rules))
+    word_rows = ", ".join(f"({i}, {quote(f' {k} ')})" for i, r in enumerate(rules) for k in r.keywords)
+    places = lambda phrase: f"list_filter(range(0, len(ws) - {len(phrase.split()) - 1}), lambda i: ws[i + 1:i + {len(phrase.split())}] = {phrase.split()!r})"
+    columns = ", ".join(f"{places(phrase)} b{i}" for i, phrase in enumerate(licenses.BASE))
+    every = " || ".join(f"b{i}" for i in range(len(licenses.BASE)))
+    names = " || ".join(f"CASE WHEN len(b{i}) > 0 THEN [{quote(label)}] ELSE CAST([] AS VARCHAR[]) END" for i, label in enumerate(licenses.BASE.values()))
+    n = lambda x: f"(length({x}) - length(replace({x}, ' ', ''))) // 2"
+    return rf"""WITH rule(rule, label, priority, weight, regex) AS (VALUES {rule_rows}),
+keyword(rule, word) AS (VALUES {word_rows}),
+t AS (SELECT row_number() OVER () rid, doc_id, trim(lower(regexp_replace(coalesce(text, ''), '[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'))) s FROM documents),
+d AS (SELECT rid, doc_id, ' ' || s || ' ' p, CASE WHEN s = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(s, ' ') END ws FROM t),
+b AS (SELECT *, {columns} FROM d),
+f AS (SELECT *, {every} places, {names} names FROM b),
+c AS (SELECT rid, rule, regexp_extract_all(q, regex) ms, regexp_split_to_array(q, regex) ps
+  FROM (SELECT DISTINCT rid, rule, ' ' || replace(trim(p), ' ', '  ') || ' ' q FROM d JOIN keyword ON contains(p, word)) JOIN rule USING (rule)),
+m AS (SELECT rid, rule, i, {n("ms[i]")} size,
+  CAST(list_sum(list_transform(ps[1:i], lambda x: {n("x")})) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: {n("x")})), 0) AS BIGINT) a
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) i FROM c)),
+x AS (SELECT m.*, a + size z, label, priority, weight FROM m JOIN rule USING (rule)),
+kept AS (SELECT * FROM x WHERE NOT EXISTS (SELECT 1 FROM x e WHERE e.rid = x.rid AND e.a <= x.a AND e.z >= x.z
+  AND (e.priority > x.priority OR e.priority = x.priority AND (e.size > x.size OR e.a = x.a AND e.z = x.z AND e.rule < x.rule)))),
+k AS (SELECT rid, list(label) ls, max(weight) w FROM kept GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+  coalesce(array_to_string(list_sort(list_distinct(names)), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(names || coalesce(ls, CAST([] AS VARCHAR[])))), ','), '') AS labels,
+  greatest(coalesce(w, 0), CASE WHEN len(names) > 0 THEN 0.5 ELSE 0 END) AS score
+FROM f LEFT JOIN k USING (rid)"""

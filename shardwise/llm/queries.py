@@ -63,7 +63,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in credentials.BASE_KINDS], F.sha2(spans(base).cast("binary"), 256).alias("base_sha256"), spans(F.col("secrets")).alias("spans"))
 
 
-@register("op4_licenses")
+@register("op4_licenses", oracles.licenses_sql())
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     at = lambda f: F.transform("base", lambda b: b["at"][f])
