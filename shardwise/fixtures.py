@@ -51,12 +51,12 @@ def lineitem_items(lineitem: DataFrame, keys: list[str] | None = None) -> DataFr
 
 DUCK_LOGS = """b AS (SELECT 'analytics' log_project, 'events' log_store, cast(user_id % 4 AS int) shard,
   epoch_us(ts) * 1000 "cursor", epoch_us(ts) // 1000000 cursor_time,
-  date_trunc('second', ts) lt, event_type topic, '10.0.0.' || cast(user_id % 4 AS varchar) source,
+  date_trunc('second', ts) - to_seconds(event_id % 90) lt, epoch_us(ts) // 1000000 - event_id % 90 log_second, event_type topic, '10.0.0.' || cast(user_id % 4 AS varchar) source,
   event_id, user_id, value, props, cast(ts AS date) dt FROM events),
 logs AS (SELECT log_project, log_store, shard, "cursor", cursor_time,
   min("cursor") OVER (PARTITION BY shard, topic, dt) group_cursor,
   cast(row_number() OVER (PARTITION BY shard, topic, dt ORDER BY event_id) - 1 AS int) log_index,
-  lt log_time, topic, source, event_id, user_id,
+  lt log_time, log_second, topic, source, event_id, user_id,
   cast(event_id AS varchar) c_msg, cast(user_id AS varchar) c_user_id,
   cast(value AS varchar) c_value, props c_props,
   'host-' || cast(user_id % 8 AS varchar) t_hostname, dt FROM b),

@@ -36,6 +36,8 @@ from shardwise.session import checkpoint_root, path_exists
 PROJECT = "analytics"
 STORE = "events"
 N_SHARDS = 4
+# A fixture log arrives up to this many seconds (exclusive) after its event.
+ARRIVAL_DELAY = 90
 
 LOG_SCHEMA = T.StructType(
     [
@@ -132,7 +134,7 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
     return r.join(seconds, same).select(
         "log_project", "log_store", "shard", "cursor", "cursor_time", "group_cursor",
         (F.col("_before") + F.col("_pos") - 1).cast("int").alias("log_index"),
-        seconds_to_ntz("cursor_time").alias("log_time"),
+        seconds_to_ntz(F.col("cursor_time") - F.coalesce(F.col("event_id") % ARRIVAL_DELAY, F.lit(0))).alias("log_time"),
         "topic", "source", "event_id", "contents", "tags", "dt",
     )
 
@@ -259,7 +261,7 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "7"
+STORE_LAYOUT_VERSION = "8"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:

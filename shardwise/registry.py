@@ -18,11 +18,15 @@ from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
 from shardwise.functions.convert import checked_not_null, convert, null_message
-from shardwise.model import checkpoints_table, literal_table, log_store, seconds_to_ntz, shards_table, table
+from shardwise.model import (
+    checkpoints_table, literal_table, log_store, seconds_to_ntz, shards_table, table, write_index, write_log_store,
+)
 from shardwise.plans import offsets as off
 from shardwise.plans import ratelimit as rl
 from shardwise.plans import shards as sh
+from shardwise.session import scratch_dir
 from shardwise.sources import batch as src
+from shardwise.sources.reader import open_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,7 +122,7 @@ def q_batch_scan_range(spark, sf_dir):
 
 @register("time_range_scan", with_logs(
     f"""SELECT log_project, log_store, shard, "cursor",
-  '{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record
+  '{{"__time__":' || cast(log_second AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record
 FROM logs WHERE cursor_time >= {fx.DAY10}"""))
 def q_time_range_scan(spark, sf_dir):
     return src.time_range_scan(log_store(spark, sf_dir), fx.DAY10)
@@ -507,7 +511,7 @@ def q_project_schema(spark, sf_dir):
 
 @register("project_json_record", with_logs(
     f"""SELECT shard, "cursor",
-  '{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record FROM logs"""))
+  '{{"__time__":' || cast(log_second AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record FROM logs"""))
 def q_project_json_record(spark, sf_dir):
     return shape.with_json_record(log_store(spark, sf_dir)).select("shard", "cursor", "record")
 
@@ -520,8 +524,8 @@ DUCK_RECORD_NO_TAGS = (
 
 @register("project_json_record_shard", with_logs(
     f"""SELECT shard, "cursor",
-  '{{"__time__":' || cast(cursor_time AS varchar) || ',"__shard__":' || cast(shard AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record,
-  '{{"__time__":' || cast(cursor_time AS varchar) || ',"__shard__":' || cast(shard AS varchar) || ',' || substr(cast({DUCK_RECORD_NO_TAGS} AS varchar), 2) AS record_no_tags
+  '{{"__time__":' || cast(log_second AS varchar) || ',"__shard__":' || cast(shard AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS record,
+  '{{"__time__":' || cast(log_second AS varchar) || ',"__shard__":' || cast(shard AS varchar) || ',' || substr(cast({DUCK_RECORD_NO_TAGS} AS varchar), 2) AS record_no_tags
 FROM logs"""))
 def q_project_json_record_shard(spark, sf_dir):
     logs = shape.with_json_record(log_store(spark, sf_dir), "record", with_shard=True)
@@ -583,7 +587,7 @@ def _conflicting(logs: DataFrame) -> DataFrame:
   cast(json_object('__tag__:__hostname__', t_hostname, '__topic__', 'c-' || topic, 'msg', c_msg, 'props', c_props,
     'user_id', c_user_id, 'value', c_value) AS varchar) AS j1_value,
   topic AS j2_topic, t_hostname AS j2_tag,
-  '{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast(json_object('__source__', source,
+  '{"__time__":' || cast(log_second AS varchar) || ',' || substr(cast(json_object('__source__', source,
     '__tag__:__hostname__', t_hostname, '__topic__', 'c-' || topic, 'msg', c_msg, 'props', c_props,
     'user_id', c_user_id, 'value', c_value) AS varchar), 2) AS j3_record
 FROM logs"""))
@@ -599,21 +603,22 @@ def q_key_precedence(spark, sf_dir):
 
 
 @register("store_identity", with_logs(
-    f"""SELECT p.log_project, p.log_store, p.shard, p.o AS "offset", b.begin_time
-FROM (SELECT log_project, CASE WHEN cursor_time >= {fx.DAY10} THEN log_store ELSE 'archive' END AS log_store, shard,
-  min(cursor_time) AS o FROM logs GROUP BY ALL) p
-LEFT JOIN bounds b USING (log_project, log_store, shard)"""))
+    f"""SELECT log_project, log_store, shard, begin_time AS "offset", end_time FROM bounds
+UNION ALL SELECT 'analytics', 'archive', shard, min(cursor_time), max(cursor_time) + 1 FROM logs
+WHERE cursor_time < {fx.DAY10} AND shard < 3 GROUP BY shard"""))
 def q_store_identity(spark, sf_dir):
-    """Two stores in one offset JSON, rendered from the data: ``events`` with
-    each shard's first second from day 10 on, ``archive`` with its first
-    second before (the days an archive would hold).  Parsed back, each entry
-    joins the bounds of its own (project, store, shard) only."""
+    """Two stores with the same shard numbers: the fixture store and an archive
+    that holds shards 0 to 2 up to day 10.  Their earliest offsets go into one
+    offset JSON; parsed back, each entry meets the bounds of its own store."""
     logs = log_store(spark, sf_dir)
-    daily = off.daily_first_offsets(logs)  # (day, shard) rows: the store index
-    store = F.when(F.col("dt") >= F.lit(src.epoch_day(fx.DAY10)), F.col("log_store")).otherwise(F.lit("archive"))
-    first = daily.groupBy("log_project", store.alias("log_store"), "shard").agg(F.min("offset").alias("offset"))
+    path = scratch_dir(spark, "archive")
+    old = logs.where((F.col("cursor_time") < fx.DAY10) & (F.col("shard") < 3)).withColumn("log_store", F.lit("archive"))
+    write_log_store(old, path, "archive")
+    write_index(old, path, "archive")
+    bounds = off.shard_bounds(logs).unionByName(off.shard_bounds(open_store(spark, path)))
+    first = bounds.select(*K, F.col("begin_time").alias("offset"))
     parsed = off.parse_offsets_json(off.render_offsets_json(first))
-    return parsed.join(off.earliest_offsets(logs).select(*K, "begin_time"), K, "left")
+    return parsed.join(bounds.select(*K, "end_time"), K, "left")
 
 
 def _items(spark, sf_dir, *keys):

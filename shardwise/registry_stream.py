@@ -11,7 +11,7 @@ from shardwise import fixtures as fx
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
 from shardwise.model import (
-    checkpoints_table, log_store, log_store_path, shards_table, table, write_index, write_log_store,
+    ARRIVAL_DELAY, checkpoints_table, log_store, log_store_path, shards_table, table, write_index, write_log_store,
 )
 from shardwise.operators import analytics as an
 from shardwise.operators import consume as co
@@ -21,7 +21,7 @@ from shardwise.plans import offsets as off
 from shardwise.plans import ratelimit as rl
 from shardwise.registry import DUCK_START, SCAN_COLS, register
 from shardwise.session import path_exists, scratch_dir
-from shardwise.sources.reader import read_logs, read_stream
+from shardwise.sources.reader import open_store, read_logs, read_stream
 from shardwise.streaming import core as st
 
 K = off.SHARD_KEY
@@ -36,7 +36,7 @@ x AS (SELECT l.*, row_number() OVER (PARTITION BY l.shard ORDER BY l."cursor") r
 batch AS (SELECT * FROM x WHERE rn <= {DIRECT_CAP})"""
 
 DUCK_J4 = (
-    "'{\"__time__\":' || cast(cursor_time AS varchar) || ',\"__shard__\":' || cast(shard AS varchar) || ',' || "
+    "'{\"__time__\":' || cast(log_second AS varchar) || ',\"__shard__\":' || cast(shard AS varchar) || ',' || "
     f"substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2)"
 )
 
@@ -338,7 +338,7 @@ def q_initial_offsets_pinned(spark, sf_dir):
 
 @register("receiver_stream_union", with_logs(
     f"""SELECT shard, strlen(rec) AS n_bytes, rec AS record FROM (
-  SELECT shard, '{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS rec FROM logs)"""))
+  SELECT shard, '{{"__time__":' || cast(log_second AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2) AS rec FROM logs)"""))
 def q_receiver_stream_union(spark, sf_dir):
     """Two receivers (shards {0,2} and {1,3}) unioned; each record is UTF-8
     JSON bytes."""
@@ -364,8 +364,8 @@ def _ts(df: DataFrame) -> DataFrame:
 
 
 @register("window_count_watermark", with_logs(
-    """SELECT make_timestamp((cursor_time // 5 * 5) * 1000000) AS window_start,
-  make_timestamp((cursor_time // 5 * 5 + 5) * 1000000) AS window_end, count(*) AS "count" FROM logs GROUP BY ALL"""))
+    """SELECT make_timestamp((log_second // 5 * 5) * 1000000) AS window_start,
+  make_timestamp((log_second // 5 * 5 + 5) * 1000000) AS window_end, count(*) AS "count" FROM logs GROUP BY ALL"""))
 def q_window_count_watermark(spark, sf_dir):
     """Counts per 5-second window in update mode over three micro-batches that
     arrive in time order: a batch writes only the windows it changes, and
@@ -373,7 +373,8 @@ def q_window_count_watermark(spark, sf_dir):
     ck, out = scratch_dir(spark, "q1-ck"), scratch_dir(spark, "q1-out")
 
     def run(stage):
-        s = _ts(_staged_stream(spark, stage, "cursor_time bigint, log_time timestamp_ntz")).withWatermark("t", "10 seconds")
+        s = _ts(_staged_stream(spark, stage, "cursor_time bigint, log_time timestamp_ntz"))
+        s = s.withWatermark("t", f"{10 + ARRIVAL_DELAY} seconds")  # events reach the store up to that late
         agg = s.groupBy(F.window("t", "5 seconds").alias("w")).agg(F.count(F.lit(1)).alias("count"))
         st.run_available_now(agg, ck, st.idempotent_writer(out), output_mode="update")
 
@@ -419,16 +420,20 @@ def q_late_data_drop(spark, sf_dir):
 DUCK_WORDS = """SELECT w AS word, count(*) AS "count" FROM (SELECT unnest(string_split(text, ' ')) w FROM documents) GROUP BY w"""
 
 
-@register("word_count_stream", DUCK_WORDS)
+@register("word_count_stream", """SELECT w AS word, count(*) AS "count" FROM (
+  SELECT unnest(CASE WHEN rtrim(text, ' ') = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(rtrim(text, ' '), ' ') END) w FROM documents) GROUP BY w""")
 def q_word_count_stream(spark, sf_dir):
-    """Java-style split (trailing empty tokens dropped), complete mode; each
-    version lands in its batch partition, readers take the newest."""
+    """Java-style split (trailing empty tokens dropped; every text gets some) in
+    update mode into a log store: a batch appends the words it changes, readers
+    take each word's newest item."""
     schema = table(spark, sf_dir, "documents").schema
     docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    counts = an.word_count(docs, "text", java_split=True)
-    out = scratch_dir(spark, "q3-out")
-    st.run_available_now(counts, scratch_dir(spark, "q3-ck"), st.idempotent_writer(out), output_mode="complete")
-    return st.latest_batch(st.read_batches(spark, out)).select("word", "count")
+    counts = an.word_count(docs.withColumn("text", F.concat("text", F.lit("  "))), "text", java_split=True)
+    out = scratch_dir(spark, "q3-store")
+    sink = sk.log_store_sink(out, "analytics", "words", "q3", n_shards=4)
+    st.run_available_now(counts, scratch_dir(spark, "q3-ck"), sink, output_mode="update")
+    item = open_store(spark, out).select("cursor", *[F.col("contents").getItem(k).alias(k) for k in ("word", "count")])
+    return item.groupBy("word").agg(F.max_by("count", "cursor").cast("bigint").alias("count"))
 
 
 @register("word_count_batch", DUCK_WORDS)
@@ -490,7 +495,7 @@ def q_top_k_desc(spark, sf_dir):
 
 @register("count_by_length", with_logs(
     f"""SELECT len, records, count(*) OVER () AS n_lengths FROM (
-  SELECT length('{{"__time__":' || cast(cursor_time AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2)) AS len,
+  SELECT length('{{"__time__":' || cast(log_second AS varchar) || ',' || substr(cast({fx.DUCK_RECORD_STRINGS} AS varchar), 2)) AS len,
   count(*) AS records FROM logs GROUP BY 1)"""))
 def q_count_by_length(spark, sf_dir):
     recs = shape.with_json_record(log_store(spark, sf_dir)).select("record")

@@ -49,3 +49,25 @@ def test_rollup_aggregates_partially_before_the_shuffle(spark):
 def test_routing_is_a_broadcast_equi_join(spark):
     p = _plan(spark, "route_by_hash_key")
     assert "BroadcastHashJoin [prefix" in p
+
+
+def test_cap_bounds_the_scan_with_an_idle_shard(spark, logs):
+    """Three shards reach the cap and one does not: days after the last cut and
+    the idle shard's end are still pruned."""
+    from shardwise.plans import ratelimit as rl
+    from shardwise.plans.offsets import SHARD_KEY, shard_bounds
+
+    rows = shard_bounds(logs).collect()
+    starts = [(*[r[k] for k in SHARD_KEY], r["end_cursor"] - 1 if r["shard"] == 2 else r["begin_cursor"]) for r in rows]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        p = rl.cap_records_per_shard(logs, 50, start_rows=starts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = p[p.index("PartitionFilters:"):].split("PushedFilters")[0]
+    assert "dt" in filters and ">=" in filters and "<=" in filters
+
+
+def test_control_queries_read_the_index(spark):
+    for name in ("earliest_offsets", "latest_offsets", "clamp_specific_offset", "resolve_sentinels", "start_from_checkpoint", "skip_exhausted_shards"):
+        assert "FileScan parquet" in _plan(spark, name), name
