@@ -41,6 +41,17 @@ def collect_bounded(df: DataFrame, most: int, what: str) -> list:
     return rows
 
 
+def hash_sample(df: DataFrame, by: Column, most: int) -> DataFrame:
+    """At most ``most`` rows with the smallest hashes of ``by`` (column ``_h``).
+    A bound on the hash, from the row count, leaves about half as many rows
+    again to be ordered, so tasks do not each send ``most`` rows."""
+    n = df.count()
+    out = df.withColumn("_h", F.xxhash64(by))
+    if n > 2 * most:
+        out = out.where(F.col("_h") < int(-(2**63) + 2**64 * 1.5 * most / n))
+    return out.orderBy("_h").limit(most)
+
+
 def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items with about ``most`` units of length each
     (a longer single item stands alone), so that memory in a task is bounded."""

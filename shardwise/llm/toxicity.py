@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, slices
+from shardwise.llm.common import hash_sample, slices
 from shardwise.llm.textvec import codes_of, is_word_char
 
 BUCKETS = 1 << 15
@@ -220,20 +220,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col:
     lab = lab.where(keep(F.col("_id"))) if keep is not None else lab
     lab = lab.groupBy("_id").agg(F.max("_y").alias("_y"))
     known = docs.select(F.col(id_col).alias("_id")).distinct()  # labels of absent documents must not use up the bound
-    lab = lab.join(known, "_id", "left_semi").withColumn("_h", F.xxhash64("_id"))
-    chosen = None
-    for y in (0, 1):
-        part = lab.where(F.col("_y") == y).orderBy("_h", "_id").limit(most)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    lab = lab.join(known, "_id", "left_semi")
+    clean, toxic = (hash_sample(lab.where(F.col("_y") == y), F.col("_id"), most) for y in (0, 1))
+    chosen = clean.unionByName(toxic)
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     rows = texts.join(F.broadcast(chosen.select("_id", "_y", "_h")), "_id")  # at most 2 * most ids
-    return rows.groupBy("_id", "_y", "_h").agg(F.min("_text").alias("_text")).orderBy("_h", "_id").select("_id", "_y", "_text")
+    return rows.groupBy("_id", "_y", "_h").agg(F.min("_text").alias("_text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST, keep=None, **names: str) -> Model:
-    """Fit on a bounded sample of labelled rows (``2 * most`` texts)."""
-    rows = collect_bounded(training_rows(docs, labels, most, keep=keep, **names), 2 * most, "training sample")
-    return fit([r["_text"] for r in rows], [r["_y"] for r in rows])
+    """Fit on a bounded sample of labelled rows (``2 * most`` texts) in one
+    task; only the fitted numbers reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True)), key=lambda r: (r[0], str(r[1])))
+        if len(rows) > 2 * most:
+            raise ValueError(f"training sample: more than {2 * most} rows")
+        m = fit([r[3] for r in rows], [r[2] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([m.weight.tobytes()], pa.binary()), pa.array([list(m.scale)], pa.list_(pa.float64())), pa.array([m.shift])], names=["weight", "scale", "shift"])
+
+    rows = training_rows(docs, labels, most, keep=keep, **names).select("_h", "_id", "_y", "_text")
+    r = rows.repartition(1).mapInArrow(run, "weight binary, scale array<double>, shift double").first()
+    if r is None:  # no labelled rows
+        return fit([], [])
+    return Model(np.frombuffer(r["weight"], dtype=np.float32), tuple(r["scale"]), r["shift"])
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
