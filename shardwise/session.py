@@ -8,6 +8,7 @@ when that setting is absent (unit tests on a laptop) do we create one.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -64,15 +65,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A folder below the shared checkpoint root; fresh per call by default."""
+    """A folder below the shared checkpoint root; fresh per call by default.
+    Fresh folders go when the driver's interpreter ends (results that were not
+    copied elsewhere are read from them until then)."""
     suffix = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
-    return f"{checkpoint_root(spark)}/shardwise/{suffix}"
+    path = f"{checkpoint_root(spark)}/shardwise/{suffix}"
+    if unique:
+        if not _SCRATCH:
+            atexit.register(_clean_scratch)
+        _SCRATCH.append((spark, path))
+    return path
+
+
+def _clean_scratch() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the JVM or the file system may be gone by now
+            _file_system(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster file system (works for any Hadoop FS)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).exists(p))
+    return bool(_file_system(spark, path).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)))
