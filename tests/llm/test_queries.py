@@ -1,14 +1,17 @@
 """Registered training-data queries and the pipeline on the smallest tables."""
 
+import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shardwise.llm import queries
+from shardwise.llm import credentials, decontaminate, packing, queries, textvec, toxicity
 from tests.conftest import SF001, SF01
+from tests.llm.test_text_operators import brute_links
 
 COLUMNS = {
     "op1_nearest": ["query_id", "rank", "vec_id", "score"],
@@ -80,3 +83,35 @@ def test_pipeline_handles_hard_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, docs.limit(0), SF001)
         assert empty.count() == 0
+
+
+def test_pipeline_matches_brute_force(spark):
+    """Plain Python over sf0.001: the same trained scores, pairwise n-gram sets,
+    full alignments without seeds, redaction and tokens of what is left."""
+    table = lambda n: spark.read.parquet(f"{SF001}/{n}.parquet")
+    docs = {r["doc_id"]: r["text"] or "" for r in table("documents").collect()}
+    model = queries.toxicity_model(table("documents"), table("labels"))
+    scores = toxicity.score_texts(list(docs.values()), model)
+    docs = {i: t for (i, t), s in zip(docs.items(), scores, strict=True) if s < 0.5}
+    ids = sorted(docs)
+    _, group = brute_links([docs[i] for i in ids])
+    empty = [not re.search(r"[^\W_]", docs[i]) for i in ids]
+    docs = {i: docs[i] for n, i in enumerate(ids) if group[n] == n or empty[n]}
+    items = [textvec.words([r["text"]]).hashes for r in table("benchmark").collect()]
+    leaked = lambda t: any(len(w) and decontaminate.align(w, textvec.words([t]).hashes)[0] >= 0.6 * 2 * len(w) for w in items)
+    docs = {i: t for i, t in docs.items() if not leaked(t)}
+    docs = {i: credentials.redact_text(t, credentials.scan_text(t, 200), "[secret]") for i, t in docs.items()}
+
+    got = {}
+    for r in corpus_pipeline.run(spark, SF001).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert set(got) == set(docs)
+    encode = packing.encoder(packing.default_ranks()).encode_ordinary
+    for i, t in docs.items():
+        tokens = [*encode(t), 0]
+        at = 0
+        for r in sorted(got[i], key=lambda r: r["start"]):
+            piece = np.array(tokens[r["start"] : r["start"] + r["length"]], dtype="<u4").tobytes()
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(piece) and r["doc_tokens"] == len(tokens)
+            at += r["length"]
+        assert at == len(tokens)
