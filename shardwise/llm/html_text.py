@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import exp, log1p
@@ -35,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, text_or_empty
+from shardwise.llm.common import collect_bounded, hash_sample, text_or_empty
 
 MOST = 400  # labelled pages in the training sample
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'<>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -82,6 +83,7 @@ def parse(source: str) -> Page:
 
     root = node("html", set())
     links = 0
+    opened: Counter = Counter()  # open elements by name, so that deep nesting is not searched in vain
 
     def text(raw: str) -> None:
         if raw:
@@ -94,6 +96,7 @@ def parse(source: str) -> Page:
     def close(i: int) -> None:
         nonlocal links
         for t, _ in stack[i:]:
+            opened[t] -= 1
             links -= t == "a"
             if t in BLOCK:
                 page.events.append((0, None))
@@ -107,7 +110,7 @@ def parse(source: str) -> Page:
         if not name:
             continue
         if m[1] or m[4]:  # an end tag: ignored if nothing of that name is open
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1) if opened[name] else -1
             if i >= 0 and (name in BLOCK or not any(t in BLOCK for t, _ in stack[i:])):
                 close(i)
             continue
@@ -124,17 +127,17 @@ def parse(source: str) -> Page:
         if name in VOID or name == "html":
             continue
         if name in BLOCK:
-            stop = max((i for i, (t, _) in enumerate(stack) if t in SCOPES), default=-1)
-            also = ENDS.get(name, ())
-            i = next((i for i in range(stop + 1, len(stack)) if stack[i][0] == "p" or stack[i][0] in also), -1)
-            if name in ("td", "th", "tr", "tbody", "tfoot") and i < 0:
-                i = -1
-            if i >= 0:
-                close(i)
+            ends = {"p"} | ENDS.get(name, set())
+            if any(opened[t] for t in ends):
+                stop = max((i for i, (t, _) in enumerate(stack) if t in SCOPES), default=-1)
+                i = next((i for i in range(stop + 1, len(stack)) if stack[i][0] in ends), -1)
+                if i >= 0:
+                    close(i)
             page.events.append((0, None))
         named = {w for g in NAMES.findall(attributes) for x in g for w in WORD.findall(x.lower())}
         own = name in BLOCK or bool(named)
         stack.append((name, node(name, named) if own else (stack[-1][1] if stack else root)))
+        opened[name] += 1
         links += name == "a"
     text(source[at:])
     return page
@@ -275,8 +278,7 @@ def main_text(source: str, model: Model) -> str:
 def train(pages: DataFrame, html: str = "html", most: int = MOST) -> Model:
     """Fit on at most ``most`` distinct pages that name one main part."""
     source = pages.select(F.col(html).alias("_html")).where(F.lower("_html").rlike("<(article|main)[ >]"))
-    chosen = source.withColumn("_h", F.xxhash64("_html")).orderBy("_h").limit(most)
-    return fit([r["_html"] for r in collect_bounded(chosen.select("_html"), most, "labelled pages")])
+    return fit([r["_html"] for r in collect_bounded(hash_sample(source, F.col("_html"), most), most, "labelled pages")])
 
 
 def extract(df: DataFrame, model: Model, html: str = "html", out: str = "text") -> DataFrame:
