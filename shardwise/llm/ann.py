@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import collect_bounded, materialise
+from shardwise.llm.common import collect_bounded, hash_sample, materialise
 
 TABLES, HASHES, WIDTH = 24, 10, 2.0
 TARGET = 0.97
@@ -198,7 +198,7 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     few = distinct.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)  # enough besides the query's own
     made = few.groupBy("vector").agg(F.array_sort(F.collect_list(F.struct(F.col("id").isNull().alias("none"), "id"))).alias("s"))
     classes = materialise(made.select("vector", F.transform("s", lambda x: x["id"]).alias("ids")), "ann-classes")
-    sample = collect_bounded(classes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE), SAMPLE, "sample")
+    sample = collect_bounded(hash_sample(classes.select("vector"), F.col("vector"), SAMPLE), SAMPLE, "sample")
     sizes = [len(r["vector"]) for r in sample]
     schema = "query_id long, rank int, vec_id long, score double".replace("vec_id", id_col)
     if not sizes:
