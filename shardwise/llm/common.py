@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +65,11 @@ def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if lengths:
         yield start, len(lengths)
+
+
+def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[str]]]:
+    """An Arrow string array in ranges of about ``most`` bytes: start, end and
+    the texts of the range, so only these are Python strings at a time.  Nulls
+    come as empty texts."""
+    for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most):
+        yield a, b, [t or "" for t in texts.slice(a, b - a).to_pylist()]

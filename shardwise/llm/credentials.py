@@ -25,8 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardwise.llm.common import text_slices
+
 KINDS = ("assign", "access", "hex", "account", "key", "endpoint")  # order at equal starts
 BASE_KINDS = KINDS[:3]
+SLICE_CHARS = 1_000_000
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -110,7 +113,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach:
     @F.arrow_udf(T.ArrayType(SPAN))
     def scan(texts: pa.Array) -> pa.Array:
         names = ("kind", "start", "end", "value", "linked")
-        return pa.array([[dict(zip(names, s, strict=True)) for s in scan_text(t or "", reach)] for t in texts.to_pylist()], type=_SPAN_ARROW)
+        return pa.array([[dict(zip(names, s, strict=True)) for s in scan_text(t, reach)] for _, _, part in text_slices(texts, SLICE_CHARS) for t in part], type=_SPAN_ARROW)
 
     return df.withColumn(out, scan(F.coalesce(F.col(text), F.lit(""))))
 
@@ -121,9 +124,10 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int
 
     @F.arrow_udf(T.StringType())
     def cut(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else redact_text(t, scan_text(t, reach), mark) for t in texts.to_pylist()], type=pa.string())
+        parts = [pa.array([redact_text(t, scan_text(t, reach), mark) for t in part], type=pa.string()) for _, _, part in text_slices(texts, SLICE_CHARS)]
+        return pa.concat_arrays([pa.array([], type=pa.string()), *parts])
 
-    return df.withColumn(text, cut(F.col(text)))
+    return df.withColumn(text, F.when(F.col(text).isNotNull(), cut(F.col(text))))
 
 
 def redact_text(text: str, spans: list[tuple], mark: str) -> str:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, slices, text_or_empty
+from shardwise.llm.common import collect_bounded, text_or_empty, text_slices
 from shardwise.llm.textvec import SLICE_CHARS, U, shingles, words
 
 N = 3
@@ -158,9 +158,8 @@ def document_frequency(docs: DataFrame, text: str, items: Items) -> np.ndarray:
         grams = shared.value
         bits, total = bits_of(grams), np.zeros(len(grams), dtype=np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                _count(texts[a:b], n, grams, bits, total)
+            for _, _, texts in text_slices(batch.column(0), SLICE_CHARS):
+                _count(texts, n, grams, bits, total)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"])
 
@@ -189,9 +188,9 @@ def mark(docs: DataFrame, items: Items, text: str, out: str, share: float, least
         items, grams, owners = shared.value
         bits = bits_of(grams)
         for column in it:
-            texts, rows = column.to_pylist(), []
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                w = words(texts[a:b])
+            rows = []
+            for a, b, texts in text_slices(column, SLICE_CHARS):
+                w = words(texts)
                 g = shingles(w, items.n)
                 at, where = found(g.hashes, grams, bits)
                 cut = np.searchsorted(at, g.bounds)

@@ -36,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, hash_sample, text_or_empty
+from shardwise.llm.common import collect_bounded, hash_sample, text_or_empty, text_slices
 
+SLICE_CHARS = 1_000_000
 MOST = 400  # labelled pages in the training sample
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'<>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>""", re.S)
@@ -289,6 +290,7 @@ def extract(df: DataFrame, model: Model, html: str = "html", out: str = "text")
     def read(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(*shared.value)
         for sources in it:
-            yield pa.array([main_text(s or "", m) for s in sources.to_pylist()], type=pa.string())
+            parts = [pa.array([main_text(s, m) for s in part], type=pa.string()) for _, _, part in text_slices(sources, SLICE_CHARS)]
+            yield pa.concat_arrays([pa.array([], type=pa.string()), *parts])
 
     return df.withColumn(out, read(text_or_empty(html)))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import materialise, slices, text_or_empty
+from shardwise.llm.common import materialise, text_or_empty, text_slices
 from shardwise.llm.textvec import SLICE_CHARS, U, mix, shingles, words
 
 N = 5
@@ -104,9 +104,8 @@ def signatures(df: DataFrame, id_col: str, text: str, n: int, bands: int, rows:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                h, bounds = sets_of(texts[a:b], n)
+            for a, b, texts in text_slices(batch.column(1), SLICE_CHARS):
+                h, bounds = sets_of(texts, n)
                 k1, k2 = set_keys(h, bounds)
                 sig = band_hashes(h, bounds, bands, rows)
                 packed = pa.array([r.tobytes() for r in sig], type=pa.binary())
@@ -121,9 +120,8 @@ def class_sets(df: DataFrame, text: str, n: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                h, bounds = sets_of(texts[a:b], n)
+            for _, _, texts in text_slices(batch.column(0), SLICE_CHARS):
+                h, bounds = sets_of(texts, n)
                 k1, k2 = set_keys(h, bounds)
                 packed = pa.array([h[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], type=pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), packed], names=["k1", "k2", "grams"])
@@ -318,9 +316,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int =
 
     @F.arrow_udf("k1 long, k2 long, n long")
     def key_of(texts: pa.Array) -> pa.Array:
-        items, parts = texts.to_pylist(), [np.zeros((0, 3), dtype=np.int64)]
-        for a, b in slices([len(t) for t in items], SLICE_CHARS):
-            h, bounds = sets_of(items[a:b], n)
+        parts = [np.zeros((0, 3), dtype=np.int64)]
+        for _, _, items in text_slices(texts, SLICE_CHARS):
+            h, bounds = sets_of(items, n)
             parts.append(np.column_stack([*set_keys(h, bounds), np.diff(bounds)]))
         return pa.StructArray.from_arrays([pa.array(c) for c in np.concatenate(parts).T], names=["k1", "k2", "n"])
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import collect_bounded, materialise, slices, text_or_empty
+from shardwise.llm.common import collect_bounded, materialise, text_or_empty, text_slices
 
 CAPACITY = 1024
 END_ID = 0
@@ -109,9 +109,9 @@ def pieces(df: DataFrame, id_col: str, text: str, capacity: int, end_id: int, sl
                 names = ("start", "length", "ids", "doc_tokens", "class", "task", "place", "sequence_id", "offset")
                 schema = pa.schema([("_id", batch.schema.field(0).type), *zip(names, kinds, strict=True)])
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in slices([len(t) for t in texts.to_pylist()], 4_000_000):
+            for a, b, part in text_slices(texts, 2_000_000):
                 rows: list[list] = []
-                for key, t in zip(keys[a:b], texts[a:b].to_pylist(), strict=True):
+                for key, t in zip(keys[a:b], part, strict=True):
                     ids = np.append(np.asarray(enc.encode_to_numpy(t), dtype="<u4"), np.uint32(end_id)).astype("<u4")
                     n, at = len(ids), 0
                     raw = ids.tobytes()

@@ -16,7 +16,7 @@ import numpy as np
 U = np.uint64
 P = U(0x9E3779B97F4A7C15)
 P_INVERSE = U(pow(int(P), -1, 1 << 64))
-SLICE_CHARS = 1_000_000  # characters handled at once in a task
+SLICE_CHARS = 500_000  # characters handled at once in a task
 
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 

@@ -23,13 +23,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import hash_sample, slices
+from shardwise.llm.common import hash_sample, slices, text_slices
 from shardwise.llm.textvec import codes_of, is_word_char
 
 BUCKETS = 1 << 15
@@ -255,6 +254,6 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity"
     def predict(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(*shared.value)
         for texts in it:
-            yield pa.array(score_texts(pd.Series(texts.to_pylist(), dtype=object).fillna("").tolist(), m), type=pa.float64())
+            yield pa.array(np.concatenate([np.empty(0), *(score_texts(part, m) for _, _, part in text_slices(texts, SLICE_CHARS))]), type=pa.float64())
 
     return df.withColumn(out, predict(F.coalesce(F.col(text), F.lit(""))))
