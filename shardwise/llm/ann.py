@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import collect_bounded, hash_sample, materialise
+from shardwise.llm.common import collect_bounded, hash_sample, materialise, ship
 
 TABLES, HASHES, WIDTH = 24, 10, 2.0
 TARGET = 0.97
@@ -150,6 +150,7 @@ def usable(vector: Column) -> Column:
 
 def _search_block(classes: DataFrame, index: Index, queries: np.ndarray, numbers: np.ndarray, keep: int) -> DataFrame:
     """(q, score, ids) with the best ``keep`` classes of every task and query."""
+    ship(classes.sparkSession)
     shared = classes.sparkSession.sparkContext.broadcast((index, queries, numbers))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import shardwise
 from shardwise.session import scratch_dir
 
 
@@ -16,6 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application:
+    a zip in the shared checkpoint folder, fetched by Spark like any file of
+    ``--py-files``."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(shardwise.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    folder = scratch_dir(spark, "package")
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/{root.name}.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(f"{folder}/{root.name}.zip")
+    _shipped.add(sc.applicationId)
+
+
 def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back: the
     lineage ends there, ids given by the plan are fixed, and a lost executor

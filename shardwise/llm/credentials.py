@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import text_slices
+from shardwise.llm.common import ship, text_slices
 
 KINDS = ("assign", "access", "hex", "account", "key", "endpoint")  # order at equal starts
 BASE_KINDS = KINDS[:3]
@@ -109,6 +109,7 @@ def join(left: list[tuple], right: list[tuple], breaks: list[int], reach: int) -
 def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach: int = 200) -> DataFrame:
     """``df`` with ``out``: all spans (code points, end exclusive) of the text,
     sorted by start, then kind; ``linked`` marks parts of a linked credential."""
+    ship(df.sparkSession)
 
     @F.arrow_udf(T.ArrayType(SPAN))
     def scan(texts: pa.Array) -> pa.Array:
@@ -121,6 +122,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach:
 def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int = 200) -> DataFrame:
     """``df`` with every span of its text replaced by ``mark`` (overlapping
     spans become one mark).  Null texts stay null."""
+    ship(df.sparkSession)
 
     @F.arrow_udf(T.StringType())
     def cut(texts: pa.Array) -> pa.Array:

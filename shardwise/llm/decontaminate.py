@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, text_or_empty, text_slices
+from shardwise.llm.common import collect_bounded, ship, text_or_empty, text_slices
 from shardwise.llm.textvec import SLICE_CHARS, U, shingles, words
 
 N = 3
@@ -152,6 +152,7 @@ _HIT_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64()),
 
 def document_frequency(docs: DataFrame, text: str, items: Items) -> np.ndarray:
     """Documents that hold each n-gram of the block."""
+    ship(docs.sparkSession)
     shared, n = docs.sparkSession.sparkContext.broadcast(items.grams), items.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, hash_sample, text_or_empty, text_slices
+from shardwise.llm.common import collect_bounded, hash_sample, ship, text_or_empty, text_slices
 
 SLICE_CHARS = 1_000_000
 MOST = 400  # labelled pages in the training sample
@@ -284,6 +284,7 @@ def train(pages: DataFrame, html: str = "html", most: int = MOST) -> Model:
 
 def extract(df: DataFrame, model: Model, html: str = "html", out: str = "text") -> DataFrame:
     """``df`` with ``out``, the main text of each page."""
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.pair))
 
     @F.arrow_udf(T.StringType())

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import materialise, text_or_empty, text_slices
+from shardwise.llm.common import materialise, ship, text_or_empty, text_slices
 from shardwise.llm.textvec import SLICE_CHARS, U, mix, shingles, words
 
 N = 5
@@ -264,6 +264,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _classes(df: DataFrame, id_col: str, text: str, n: int, threshold: float, recall: float, most_hashes: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(document rows with their class keys, classes with links and group)."""
+    ship(df.sparkSession)
     bands, rows = plan(threshold, recall, most_hashes)
     docs = materialise(signatures(df, id_col, text, n, bands, rows), "join-signatures")
     by_id = docs.where("n > 0").groupBy("k1", "k2", "_id").agg(F.count("*").alias("c"), F.first("bands").alias("bands"), F.first("n").alias("n"))

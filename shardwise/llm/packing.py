@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import collect_bounded, materialise, text_or_empty, text_slices
+from shardwise.llm.common import collect_bounded, materialise, ship, text_or_empty, text_slices
 
 CAPACITY = 1024
 END_ID = 0
@@ -89,6 +89,7 @@ PIECES = "_id {id}, start long, length long, ids binary, doc_tokens long, class
 def pieces(df: DataFrame, id_col: str, text: str, capacity: int, end_id: int, slack: float, path: str) -> DataFrame:
     """Tokenise, cut and fill each task's own sequences.  ``sequence_id`` is
     null for what its task could not fill; ``place`` counts those per class."""
+    ship(df.sparkSession)
     plan = cuts(capacity, slack)
     id_type = df.schema[id_col].dataType
 

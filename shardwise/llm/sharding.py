@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardwise.llm.common import collect_bounded, materialise, text_or_empty
+from shardwise.llm.common import collect_bounded, materialise, ship, text_or_empty
 
 FINENESS = 1000
 PART_GROUPS = 200_000
@@ -103,6 +103,7 @@ def into_shards(sizes: list[int], shards: int) -> list[int]:
 def shard(df: DataFrame, shards: int = 24, id_col: str = "doc_id", text: str = "text", extra_bytes: int = 8, fineness: int = FINENESS, part_groups: int = PART_GROUPS) -> DataFrame:
     """Columns id_col, size, text_crc32, law ('bytes'), shard, slot."""
     spark = df.sparkSession
+    ship(spark)
     t = text_or_empty(text)
     docs = materialise(df.select(
         F.col(id_col).alias("_id"), (F.octet_length(t) + F.lit(extra_bytes)).cast("long").alias("size"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import hash_sample, slices, text_slices
+from shardwise.llm.common import hash_sample, ship, slices, text_slices
 from shardwise.llm.textvec import codes_of, is_word_char
 
 BUCKETS = 1 << 15
@@ -238,6 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, keep=None, **nam
         m = fit([r[3] for r in rows], [r[2] for r in rows])
         yield pa.RecordBatch.from_arrays([pa.array([m.weight.tobytes()], pa.binary()), pa.array([list(m.scale)], pa.list_(pa.float64())), pa.array([m.shift])], names=["weight", "scale", "shift"])
 
+    ship(docs.sparkSession)
     rows = training_rows(docs, labels, most, keep=keep, **names).select("_h", "_id", "_y", "_text")
     r = rows.repartition(1).mapInArrow(run, "weight binary, scale array<double>, shift double").first()
     if r is None:  # no labelled rows
@@ -248,6 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, keep=None, **nam
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """``df`` with ``out``, the calibrated P(toxic) of each whole text.  The
     model (one float per bucket) is the only thing sent to the executors."""
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(tuple(model))
 
     @F.arrow_udf(T.DoubleType())
