@@ -143,8 +143,7 @@ def _blanks(c: Column) -> Column:
 
 def words_text(text: str) -> Column:
     """' w1 w2 ... ' (one blank for a text without words)."""
-    inner = F.trim(F.regexp_replace(text_or_empty(text), SEPARATORS, " "))
-    return F.when(inner == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), F.lower(inner), F.lit(" ")))
+    return F.lower(F.regexp_replace(F.concat(F.lit(" "), text_or_empty(text), F.lit(" ")), SEPARATORS, " "))
 
 
 def _base_places(padded: Column, n_words: Column, phrase: str) -> Column:
