@@ -224,6 +224,11 @@ def verify(units: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, out = None, [], []
 
+        def unit() -> Iterator[tuple[int, int, int]]:
+            _, i, j, band = key or (None, 0, 0, 0)
+            # a pair of blocks of which one is empty has no pairs; those inside the other belong to its own unit
+            return _unit(rows, band, threshold) if len({r[1] for r in rows}) == (1 if i == j else 2) else iter(())
+
         def done() -> Iterator[pa.RecordBatch]:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["cid", "links", "root"])
@@ -232,14 +237,12 @@ def verify(units: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             for *k, cid, side, mult, bands, grams in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if k != key:
-                    if len(rows) > 1:
-                        out += _unit(rows, key[3], threshold)
+                    out += unit()
                     key, rows = k, []
                 rows.append((cid, side, mult, bands, grams))
             if len(out) > 50_000:
                 yield from done()
-        if len(rows) > 1:
-            out += _unit(rows, key[3], threshold)
+        out += unit()
         yield from done()
 
     return units.select(names).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "cid long, links long, root long")

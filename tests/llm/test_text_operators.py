@@ -88,6 +88,20 @@ def test_join_matches_brute_force(spark, hard):
     assert [got[i]["class_id"] for i in range(len(texts))] == group
 
 
+@pytest.mark.parametrize(("block", "block_grams"), [(1, ngram_join.BLOCK_GRAMS), (ngram_join.BLOCK, 60)])
+def test_join_with_empty_blocks(spark, monkeypatch, block, block_grams):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", block_grams)
+    rng = np.random.default_rng(12)
+    texts = []
+    for size in (2, 3, 3, 4, 5, 6, 7):
+        base = word_list(rng, 120)
+        texts += [" ".join(base[:k] + [f"e{rng.integers(10**6)}"] + base[k + 1 :]) for k in rng.integers(0, 120, size).tolist()]
+    links, group = brute_links(texts)
+    got = {r["doc_id"]: r for r in ngram_join.join(docs_df(spark, texts), block=block).collect()}
+    assert [got[i]["n_links"] for i in range(len(texts))] == links
+    assert [got[i]["class_id"] for i in range(len(texts))] == group
+
+
 def test_join_repeated_and_null_ids(spark):
     a, b = "a b c d e f g h", "q r s t u v w x"
     rows = ngram_join.join(docs_df(spark, [a, a, a, b], [7, 7, None, None])).collect()
