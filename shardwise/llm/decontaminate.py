@@ -1,19 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Two passes over the texts, none of which shuffles them.  The first counts, over
-all documents, in how many of them each word ``n``-gram of the test items occurs
-(every task sums its own counts before they are added up).  An item's seeds are
-the rarest share of its own n-grams, so rarity is relative to the item and an
-item copied into a third of all documents keeps its seeds.  The second pass
-finds the seeds again, groups an item's hits into passages at least an item's
-length apart, and aligns the item's words locally with the passage around the
-hits (Smith-Waterman with linear gaps, a row of the matrix at a time: the gap
-inside the row is a running maximum).  A pair is reported if the best alignment
-reaches ``least`` of the item's own score, so substituted, inserted and dropped
-words are tolerated.
+"""Benchmark decontamination: n-gram seeds that no copy can lack, then Smith-Waterman alignment.
+
+One pass over the texts, without a shuffle.  An alignment (linear gaps, a row of
+the matrix at a time: the gap inside the row is a running maximum) that reaches
+``least`` of the item's own score has few breaks, so it holds at least a certain
+number of the item's ``k``-grams within a certain number of words of the text
+(``needs``).  Every place of a text where that many are found that close is
+aligned with the item, unless too few of the words around it are the item's: so
+every pair that reaches ``least`` is reported, however the words were
+substituted, inserted or dropped, and whatever other documents hold.
 
 The test items are what is sent to every task; they go in blocks of at most
-``block_words`` words, each with its own passes, so their size is bounded however
+``block_words`` words, each with its own pass, so their size is bounded however
 large the benchmark is.  Seed tables hold no more entries than a block has words.
 
 Defined results: null and empty texts and items give no pairs; an item of fewer
@@ -32,15 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import collect_bounded, ship, text_or_empty, text_slices
-from shardwise.llm.textvec import SLICE_CHARS, U, shingles, words
+from shardwise.llm.common import ship, text_or_empty, text_slices
+from shardwise.llm.textvec import SLICE_CHARS, U, Words, shingles, words
 
-N = 3
-SHARE = 0.5  # of an item's n-grams that become seeds, the rarest first
+N = 3  # words in a seed, at most
 LEAST = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 500_000
 FILTER_BITS = 22
+HITS = 4_000_000  # of items' seeds in texts, handled at once in a task
 
 
 class Items(NamedTuple):
@@ -97,123 +94,141 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def seeds_of(items: Items, df_of: np.ndarray, share: float) -> list[np.ndarray]:
-    """Per item: its rarest n-grams (ties with the last one included)."""
-    out = []
-    for of in items.of:
-        own = np.unique(of)
-        if len(own):
-            counts = df_of[own]
-            own = own[counts <= np.sort(counts)[max(0, int(np.ceil(share * len(own))) - 1)]]
-        out.append(own)
-    return out
-
-
-def _count(texts: list[str], n: int, grams: np.ndarray, bits: np.ndarray, total: np.ndarray) -> None:
-    """Add, per n-gram, the number of these texts that hold it."""
-    g = shingles(words(texts), n)
-    at, where = found(g.hashes, grams, bits)
-    doc = np.searchsorted(g.bounds, at, side="right") - 1
-    pairs = np.unique(doc * len(grams) + where)
-    np.add.at(total, pairs % len(grams), 1)
-
-
-def _match(hashes: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, owners: dict[int, list[tuple[int, int]]], least: float) -> list[tuple]:
-    """Items aligned with one text: (item, score, start, end, seeds)."""
-    hits: dict[int, list[tuple[int, int]]] = {}
-    for place, gram in zip(at.tolist(), where.tolist(), strict=True):
-        for item, inside in owners.get(gram, ()):
-            hits.setdefault(item, []).append((place, inside))
-    out = []
-    for item, places in hits.items():
-        own = items.words[item]
-        size, full = len(own), MATCH * len(own)
-        best, groups = (0, 0, 0, 0), []
-        for place, inside in sorted(places):
-            if groups and place - groups[-1][-1][0] <= size:
-                groups[-1].append((place, inside))
-            else:
-                groups.append([(place, inside)])
-        for group in groups:
-            pad = size // 4 + 2
-            lo = max(0, min(p - i for p, i in group) - pad, group[0][0] - size - pad)
-            hi = min(len(hashes), max(max(p - i for p, i in group) + size, group[-1][0] + items.n) + pad)
-            score, a, b = align(own, hashes[lo:hi])
-            if score > best[0]:
-                best = (score, lo + a, lo + b, len(group))
-        if best[0] >= least * full:
-            out.append((item, best[0] / full, best[1], best[2], best[3]))
-    return out
+def needs(size: int, n: int, least: float) -> tuple[int, int, int]:
+    """(k, count, span) for an item of ``size`` words: an alignment that reaches
+    ``least`` holds at least ``count`` of its k-grams and is at most ``span``
+    words of the text long; k is the largest up to n with a count above 0.
+
+    With m matches and b breaks (a mismatch or a gap, each costs 1) the score
+    2m - b reaches c = 2 * least * size, so b <= 2m - c.  The matches lie in at
+    most b + 1 runs, which hold m - (k - 1)(b + 1) k-grams or more: for k > 1
+    fewest with m = size, for k = 1 with m = c / 2.  The span is m + b at most."""
+    if size < n:
+        return size, 1, size
+    c = MATCH * least * size
+    span = int((1 + MATCH) * size - c + 1e-6)
+    for k in range(n, 1, -1):
+        count = int(np.ceil(size - (k - 1) * (MATCH * size - c + 1) - 1e-6))
+        if count > 0:
+            return k, count, span
+    return 1, max(1, int(np.ceil(c / MATCH - 1e-6))), span
+
+
+class Seeds(NamedTuple):
+    """Items by n-gram: those of gram g are item[start[g]:start[g + 1]]."""
+
+    start: np.ndarray
+    item: np.ndarray
+
+    def part(self, r: int, parts: int) -> Seeds:
+        keep = self.item % parts == r
+        return Seeds(np.concatenate([[0], np.cumsum(keep)])[self.start], self.item[keep])
+
+
+def seeds_of(items: Items) -> Seeds:
+    """All n-grams of every item, each once per item."""
+    own = [np.unique(of) for of in items.of]
+    gram, item = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    order = np.argsort(gram, kind="stable")
+    return Seeds(np.searchsorted(gram[order], np.arange(len(items.grams) + 1)), item[order])
+
+
+def _match(w: Words, bounds: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, seeds: Seeds, need: np.ndarray, least: float) -> Iterator[tuple]:
+    """Items aligned with some texts: (text, (item, score, start, end, seeds)).
+    ``at`` are the places of found n-grams in all texts, ``bounds`` the texts'
+    first places."""
+    sizes = np.diff(seeds.start)[where]
+    if sizes.sum() > HITS:
+        text = np.searchsorted(bounds, at, side="right") - 1
+        if text[0] < text[-1]:  # halves of the texts, then parts of the items
+            half = np.searchsorted(text, (text[0] + text[-1]) // 2, side="right")
+            for own in (slice(0, half), slice(half, None)):
+                yield from _match(w, bounds, at[own], where[own], items, seeds, need, least)
+            return
+        parts = int(min(-(-sizes.sum() // HITS) + 1, len(items.words)))
+        if parts > 1 and len(np.unique(seeds.item)) > 1:
+            for r in range(parts):
+                yield from _match_items(w, bounds, at, where, items, seeds.part(r, parts), need, least)
+            return
+    yield from _match_items(w, bounds, at, where, items, seeds, need, least)
+
+
+def _match_items(w: Words, bounds: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, seeds: Seeds, need: np.ndarray, least: float) -> Iterator[tuple]:
+    sizes = np.diff(seeds.start)[where]
+    place = np.repeat(at, sizes)
+    item = seeds.item[np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(seeds.start[where], sizes)]
+    order = np.lexsort((place, item))
+    place, item = place[order], item[order]
+    text = np.searchsorted(bounds, place, side="right") - 1
+    count, span = need[item, 0], need[item, 1]
+    last = np.arange(len(place)) + count - 1
+    ok = last < len(place)
+    last = np.where(ok, last, 0)
+    ok &= (item[last] == item) & (text[last] == text) & (place[last] - place <= span - items.n)
+    best: dict[tuple[int, int], tuple] = {}
+    first = np.flatnonzero(ok)
+    if not len(first):
+        return
+    apart = (np.diff(item[first]) != 0) | (np.diff(text[first]) != 0) | (np.diff(place[first]) > 2 * span[first][1:] + items.n)
+    for group in np.split(first, np.flatnonzero(apart) + 1):
+        i, t = int(item[group[0]]), int(text[group[0]])
+        own, reach = items.words[i], int(span[group[0]])
+        hashes = w.hashes[w.bounds[t] : w.bounds[t + 1]]
+        lo = max(0, int(place[group[0]] - bounds[t]) - reach)
+        hi = min(len(hashes), int(place[group[-1]] - bounds[t]) + reach + items.n)
+        passage = hashes[lo:hi]
+        same = np.concatenate([[0], np.cumsum(np.isin(passage, own))])
+        # an alignment's matches all lie within some ``reach`` words
+        near = min(reach, len(passage))
+        if (same[near:] - same[: len(same) - near]).max() < least * len(own) - 1e-6:
+            continue
+        score, a, b = align(own, passage)
+        if score >= least * MATCH * len(own) and score > best.get((t, i), (0,))[0]:
+            mine = place[slice(*np.searchsorted(item, [i, i + 1]))] - bounds[t]
+            hits = int(((mine >= lo + a) & (mine < lo + b)).sum())
+            best[t, i] = (score, lo + a, lo + b, hits)
+    for (t, i), (score, a, b, hits) in best.items():
+        yield t, (i, score / (MATCH * len(items.words[i])), a, b, hits)
 
 
 HIT = T.StructType([T.StructField(n, t) for n, t in (("item", T.LongType()), ("score", T.DoubleType()), ("start", T.LongType()), ("end", T.LongType()), ("seeds", T.LongType()))])
 _HIT_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64()), ("seeds", pa.int64())]))
 
 
-def document_frequency(docs: DataFrame, text: str, items: Items) -> np.ndarray:
-    """Documents that hold each n-gram of the block."""
-    ship(docs.sparkSession)
-    shared, n = docs.sparkSession.sparkContext.broadcast(items.grams), items.n
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = shared.value
-        bits, total = bits_of(grams), np.zeros(len(grams), dtype=np.int64)
-        for batch in batches:
-            for _, _, texts in text_slices(batch.column(0), SLICE_CHARS):
-                _count(texts, n, grams, bits, total)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"])
-
-    counted = docs.select(text_or_empty(text).alias("_text")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(items.grams), dtype=np.int64)
-    for r in collect_bounded(counted, len(items.grams), "n-grams of a block"):
-        out[r["gram"]] = r["n"]
-    return out
-
-
-def mark(docs: DataFrame, items: Items, text: str, out: str, share: float, least: float) -> DataFrame:
+def mark(docs: DataFrame, items: Items, text: str, out: str, n: int, least: float) -> DataFrame:
     """``docs`` with ``out``: an array of the block's items found in the text."""
-    seeds = seeds_of(items, document_frequency(docs, text, items), share)
-    owners: dict[int, list[tuple[int, int]]] = {}
-    for item, own in enumerate(seeds):
-        keep = set(own.tolist())
-        for inside, gram in enumerate(items.of[item].tolist()):
-            if gram in keep:
-                owners.setdefault(gram, []).append((item, inside))
-    kept = np.array(sorted(owners), dtype=np.int64)
-    renumbered = {i: owners[g] for i, g in enumerate(kept.tolist())}
-    shared = docs.sparkSession.sparkContext.broadcast((items, items.grams[kept], renumbered))
+    ship(docs.sparkSession)
+    need = np.array([needs(len(x), n, least)[1:] for x in items.words], dtype=np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((items, seeds_of(items), need))
 
     @F.arrow_udf(T.ArrayType(HIT))
     def find(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        items, grams, owners = shared.value
-        bits = bits_of(grams)
+        items, seeds, need = shared.value
+        bits = bits_of(items.grams)
         for column in it:
-            rows = []
+            rows: list[list[dict]] = []
             for a, b, texts in text_slices(column, SLICE_CHARS):
                 w = words(texts)
                 g = shingles(w, items.n)
-                at, where = found(g.hashes, grams, bits)
-                cut = np.searchsorted(at, g.bounds)
-                for i in range(b - a):
-                    own = slice(cut[i], cut[i + 1])
-                    hits = _match(w.hashes[w.bounds[i] : w.bounds[i + 1]], at[own] - g.bounds[i], where[own], items, owners, least) if cut[i] < cut[i + 1] else []
-                    rows.append([dict(zip(("item", "score", "start", "end", "seeds"), h, strict=True)) for h in hits])
+                at, where = found(g.hashes, items.grams, bits)
+                rows += [[] for _ in range(b - a)]
+                for i, hit in _match(w, g.bounds, at, where, items, seeds, need, least):
+                    rows[a + i].append(dict(zip(("item", "score", "start", "end", "seeds"), hit, strict=True)))
             yield pa.array(rows, type=_HIT_ARROW)
 
     return docs.withColumn(out, find(text_or_empty(text)))
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_words: int) -> Iterator[Items]:
+def blocks(benchmark: DataFrame, item_id: str, text: str, n: int, least: float, block_words: int) -> Iterator[Items]:
     """The items with words in blocks of bounded size, read one partition at a
-    time.  Items of fewer than n words have blocks (and n-grams) of their own."""
+    time.  Items whose seeds have fewer than n words have blocks of their own."""
     open_: dict[int, list[tuple]] = {}
     size: dict[int, int] = {}
     for r in benchmark.select(F.col(item_id), text_or_empty(text)).toLocalIterator():
         own = len(words([r[1]]).hashes)
         if not own:
             continue
-        k = min(n, own)
+        k = needs(own, n, least)[0]
         if k in open_ and size[k] + own > block_words:
             yield items_of(open_.pop(k), k)
         if k not in open_:
@@ -224,15 +239,15 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_words: i
         yield items_of(rows, k)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", n: int = N, share: float = SHARE, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", n: int = N, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document row and test item in it: doc_id, item_id, score (1:
-    the whole item), first and end word of the passage, seeds hit."""
+    the whole item), first and end word of the passage, the item's seeds in it."""
     spark = docs.sparkSession
     id_type = benchmark.schema[item_id].dataType
     out = None
-    for items in blocks(benchmark, item_id, text, n, block_words):
+    for items in blocks(benchmark, item_id, text, n, least, block_words):
         ids = spark.createDataFrame([(i, x) for i, x in enumerate(items.ids)], T.StructType([T.StructField("item", T.LongType()), T.StructField(item_id, id_type)]))
-        hits = mark(docs.select(F.col(doc_id), F.col(text)), items, text, "_hits", share, least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
+        hits = mark(docs.select(F.col(doc_id), F.col(text)), items, text, "_hits", n, least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
         # the ids of one block, bounded by block_words
         part = hits.select(F.col(doc_id), "_hit.*").join(F.broadcast(ids), "item").select(doc_id, item_id, "score", F.col("start").alias("first_word"), F.col("end").alias("end_word"), "seeds")
         out = part if out is None else out.unionByName(part)
@@ -242,10 +257,10 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id:
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", n: int = N, share: float = SHARE, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", n: int = N, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the rows that hold a test item."""
     source = benchmark.select(F.col(item_id), F.col(item_text).alias(text))
     out = docs
-    for items in blocks(source, item_id, text, n, block_words):
-        out = mark(out, items, text, "__hits", share, least).where(F.size("__hits") == 0).drop("__hits")
+    for items in blocks(source, item_id, text, n, least, block_words):
+        out = mark(out, items, text, "__hits", n, least).where(F.size("__hits") == 0).drop("__hits")
     return out

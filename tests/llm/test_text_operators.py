@@ -313,6 +313,40 @@ def test_decontamination(spark):
     assert decontaminate.find(docs.limit(0), bench).count() == 0
 
 
+def test_edited_copies_match_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    items = [word_list(rng, n, 60) for n in (3, 5, 6, 15, 23, 37, 59)]
+    texts = [word_list(rng, 400, 60) for _ in range(10)]
+    new = lambda: f"new{rng.integers(10**6)}"
+    for x in items:
+        copies = [x, x[len(x) // 4 :]]
+        copies += [[w if (k + 1) % every else new() for k, w in enumerate(x)] for every in (4, 5)]
+        copies += [[v for k, w in enumerate(x) for v in ([w] if (k + 1) % every else [w, new()])] for every in (2, 3)]
+        copies += [[w if rng.random() > share else new() for w in x] for share in (0.15, 0.2, 0.25, 0.3)]
+        texts += [word_list(rng, int(rng.integers(0, 60)), 60) + c + word_list(rng, 30, 60) for c in copies]
+    w = textvec.words([" ".join(t) for t in texts + items])
+    split = [w.hashes[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:], strict=True)]
+    best = {(d, i): decontaminate.align(split[len(texts) + i], split[d])[0] / (2 * len(x)) for d in range(len(texts)) for i, x in enumerate(items)}
+    want = {k: v for k, v in best.items() if v >= 0.6}
+    docs = docs_df(spark, [" ".join(t) for t in texts])
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.find(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in rows} == want and len(rows) == len(want)
+    one = items[4]  # the only copy in the corpus, every 4th word replaced
+    only = docs_df(spark, [" ".join(w if (k + 1) % 4 else new() for k, w in enumerate(one))])
+    assert [r["item_id"] for r in decontaminate.find(only, bench.where("item_id = 4")).collect()] == [4]
+    for k in (1, 2):  # hits in parts of texts and items
+        block = decontaminate.items_of([(i, " ".join(x)) for i, x in enumerate(items) if decontaminate.needs(len(x), 3, 0.6)[0] == k], k)
+        need = np.array([decontaminate.needs(len(x), 3, 0.6)[1:] for x in block.words])
+        g = textvec.shingles(w, k)
+        at, where = decontaminate.found(g.hashes, block.grams, decontaminate.bits_of(block.grams))
+        run = lambda: sorted(decontaminate._match(w, g.bounds, at, where, block, decontaminate.seeds_of(block), need, 0.6))  # noqa: B023, E731
+        monkeypatch.setattr(decontaminate, "HITS", 10**9)
+        whole = run()
+        monkeypatch.setattr(decontaminate, "HITS", 50)
+        assert run() == whole
+
+
 # --- toxicity ------------------------------------------------------------
 
 def test_grams_match_plain_python():
