@@ -15,8 +15,9 @@ one unfilled sequence that each class still has is best-fitted with the others
 (at most one row per class reaches the driver).
 
 Ids come from tiktoken with the public rank file of the same vocabulary as
-``byte_bpe_50k.json`` (equal ids, checked by a test; special tokens' strings in
-a text are ordinary text).  Pieces are written once to the shared checkpoint
+``byte_bpe_50k.json`` (equal ids, checked by a test).  As that json says, a text
+is split at its added tokens first; parts with white space too long for
+tiktoken's pattern go to ``tokenizers``.  Pieces are written once to the shared checkpoint
 folder, so task numbers and positions stay fixed if an executor is lost.
 
 Defined results: a null text counts as empty (one piece: the closing id); texts
@@ -26,6 +27,9 @@ are read whole; equal rows are packed each; only the id column is carried over.
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,8 @@ END_ID = 0
 SLACK = 0.01
 TAIL = 1 << 60  # sequence ids of pieces gathered across tasks start here
 
+LONG_SPACE = 100_000  # tiktoken's pattern runs out of stack at about 1,000,000 white-space characters
+
 _encoder = None
 
 
@@ -51,16 +57,54 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(path: str):
-    """One encoder per process and path."""
-    global _encoder
-    if _encoder is None or _encoder[0] != path:
+class Encoder:
+    """Ids of texts as the vocabulary's json gives them: the file of the same
+    name beside the rank file (without one there are no added tokens)."""
+
+    def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoder = (path, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.json = os.path.splitext(path)[0] + ".json"
+        self.exact = None
+        self.added: dict[str, int] = {}
+        if os.path.exists(self.json):
+            with open(self.json, encoding="utf-8") as f:
+                tokens = json.load(f)["added_tokens"]
+            if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+                raise ValueError(f"added tokens of {self.json} are not plain strings")
+            self.added = {t["content"]: t["id"] for t in tokens}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
+    def _ordinary(self, text: str) -> np.ndarray:
+        if len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text)):
+            if self.exact is None:
+                from tokenizers import Tokenizer
+
+                self.exact = Tokenizer.from_file(self.json)
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.asarray(self.fast.encode_to_numpy(text), dtype="<u4")
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        """Ids of a text in which added tokens' strings are ordinary text."""
+        return self.fast.encode_ordinary(text)
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.split is None or not self.split.search(text):
+            return self._ordinary(text)
+        parts = self.split.split(text)  # text, token, text, ..., text
+        return np.concatenate([np.array([self.added[x]], dtype="<u4") if i % 2 else self._ordinary(x) for i, x in enumerate(parts)])
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per process and path."""
+    global _encoder
+    if _encoder is None or _encoder[0] != path:
+        _encoder = (path, Encoder(path))
     return _encoder[1]
 
 
@@ -113,7 +157,7 @@ def pieces(df: DataFrame, id_col: str, text: str, capacity: int, end_id: int, sl
             for a, b, part in text_slices(texts, 2_000_000):
                 rows: list[list] = []
                 for key, t in zip(keys[a:b], part, strict=True):
-                    ids = np.append(np.asarray(enc.encode_to_numpy(t), dtype="<u4"), np.uint32(end_id)).astype("<u4")
+                    ids = np.append(enc.encode(t), np.uint32(end_id)).astype("<u4")
                     n, at = len(ids), 0
                     raw = ids.tobytes()
                     for length, c in [(capacity, capacity)] * (n // capacity) + plan[n % capacity]:

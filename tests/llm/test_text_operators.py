@@ -264,6 +264,25 @@ def test_pack_round_trip(spark, hard):
         assert at <= 1024
 
 
+def test_pack_ids_are_those_of_the_json(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    token = "<|endoftext|>"
+    texts = [f"a {token} b", token, token * 3, f"x  {token}\n\n y{token}", "<|endoftext|", f" {token} ", f"<|{token}|>"]
+    texts += [f"one{c * n}two {token}  end" for c, n in ((" ", 99_999), (" ", 100_000), (" ", 1_500_000), ("\n", 1_500_000), ("\u3000", 1_100_000))]
+    texts += ["x" + " " * 1_200_000]
+    by_doc = {}
+    for r in packing.pack(docs_df(spark, texts)).collect():
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for i, t in enumerate(texts):
+        rows = sorted(by_doc[i], key=lambda r: r["start"])
+        ids = np.frombuffer(b"".join(r["ids"] for r in rows), dtype="<u4")
+        want = [*reference.encode(t, add_special_tokens=False).ids, 0]
+        assert rows[0]["doc_tokens"] == len(want) and np.array_equal(ids, want)
+
+
 def test_pack_pads_little_over_many_tasks(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").repartition(7)
     seq = packing.pack(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"))
