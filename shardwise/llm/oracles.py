@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shardwise.llm import licenses, ngram_join, url_filter
+from shardwise.llm import chosen_path, licenses, ngram_join, url_filter
 
 #: the word class of ``textvec`` as a regular expression over lower-case text
 WORD = r"[0-9a-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{1FFF}\x{2070}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
@@ -91,3 +91,37 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) A
   coalesce(array_to_string(list_sort(list_distinct(names || coalesce(ls, CAST([] AS VARCHAR[])))), ','), '') AS labels,
   greatest(coalesce(w, 0), CASE WHEN len(names) > 0 THEN 0.5 ELSE 0 END) AS score
 FROM f LEFT JOIN k USING (rid)"""
+
+
+def chosen_path_sql(n: int = chosen_path.N, percent: int = chosen_path.PERCENT) -> str:
+    """All pairs that share a shingle, their exact similarity, and components."""
+    upper, lower = url_filter.UPPER, url_filter.LOWER
+    return rf"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + {n - 1}], ' ') gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {n - 1}, 1) + 1)) i FROM w WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) k FROM g GROUP BY doc_id),
+shared AS (SELECT a.doc_id x, b.doc_id y, count(*) k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+pairs AS (SELECT x, y FROM shared s JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * s.k >= {percent} * (a.k + b.k - s.k)),
+reach(x, y) AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+class AS (SELECT x, min(y) y FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(size.k, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(class.y, d.doc_id)) AS component_id,
+  least(d.doc_id, coalesce(class.y, d.doc_id)) = d.doc_id AS kept
+FROM documents d LEFT JOIN class ON class.x = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id"""
+
+
+def signature_search_sql(k: int = 10) -> str:
+    """The scores of all documents that share a term with an item."""
+    upper, lower = url_filter.UPPER, url_filter.LOWER
+    terms = rf"unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+    return f"""WITH t AS (SELECT doc_id, term, count(*) tf FROM (SELECT doc_id, {terms} term FROM documents) GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) n FROM t GROUP BY doc_id),
+total AS (SELECT count(*) docs, CAST(sum(n) AS BIGINT) length FROM d),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // length m FROM d, total),
+q AS (SELECT item_id, term, count(*) r FROM (SELECT item_id, {terms} term FROM benchmark) GROUP BY ALL),
+df AS (SELECT term, count(*) df FROM t WHERE term IN (SELECT term FROM q) GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) w FROM df, total),
+s AS (SELECT item_id, doc_id, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) rank FROM s WHERE score > 0) WHERE rank <= {k}"""

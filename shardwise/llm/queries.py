@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm import ann, credentials, decontaminate, html_text, licenses, ngram_join, oracles, packing, sharding, toxicity, url_filter
+from shardwise.llm import ann, chosen_path, credentials, decontaminate, html_text, licenses, ngram_join, oracles, packing, periodic_runs, sharding, signature_search, toxicity, url_filter
 from shardwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,42 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_nearest")
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op11_chosen_path", oracles.chosen_path_sql())
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op12_signature_search", oracles.signature_search_sql())
+def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = signature_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def with_periodic_texts(docs: DataFrame) -> DataFrame:
+    """Documents whose crc32(doc_id) ends in 0 repeat a stretch of their words
+    from a place on, both given by the other digits."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("ws")
+    ws = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, ws).alias("ws"), g.alias("g"))
+    a = (F.col("g") % n).cast("int")
+    places = chosen.withColumns({"a": F.when(n > 0, a), "n": n}).withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    made = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("ws", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return places.select("doc_id", F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find(docs)
+    # greatest length / period first: compared by cross products, then smallest start, then period
+    ahead = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda b, r: F.when(ahead(r, b) > 0, r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"), sha(lines).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
