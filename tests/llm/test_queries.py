@@ -24,8 +24,11 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op10_html_text": ["page_id", "url", "text", "n_chars"],
+    "op11_chosen_path": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op12_signature_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
-PER_ROW = {"op2_ngram_join": "documents", "op3_url_filter": "pages", "op4_licenses": "documents", "op5_sharding": "documents", "op8_toxicity": "documents", "op9_secrets": "documents", "op10_html_text": "pages"}
+PER_ROW = {"op2_ngram_join": "documents", "op3_url_filter": "pages", "op4_licenses": "documents", "op5_sharding": "documents", "op8_toxicity": "documents", "op9_secrets": "documents", "op10_html_text": "pages", "op11_chosen_path": "documents", "op13_periodic_runs": "documents"}
 
 
 def test_all_are_registered():
