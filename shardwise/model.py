@@ -149,17 +149,16 @@ def write_log_store(logs: DataFrame, path: str, write_id: str, rows: int | None
     a hot day or shard spread over many tasks.
 
     Only the partitions of ``write_id`` are replaced, so repeating a write
-    leaves its records once.  With ``rows`` (the record count, when known) the
-    write uses about one range partition per ``ROWS_PER_WRITE_PARTITION``
-    records, at least the shuffle partition count; without it the shuffle
-    partition count (set for the deployment), which AQE may coalesce."""
+    leaves its records once.  A write of more than ``ROWS_PER_WRITE_PARTITION``
+    records (``rows``, when known) for each shuffle partition gets as many range
+    partitions as that takes; any other gets the shuffle partitions, which AQE
+    coalesces by size, so a small write leaves one file a day."""
     order = ["log_store", "dt", "shard", "cursor"]
-    if rows:
-        n = max(int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                -(-int(rows) // ROWS_PER_WRITE_PARTITION))
+    n = -(-int(rows or 0) // ROWS_PER_WRITE_PARTITION)
+    if n > int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         r = logs.repartitionByRange(n, *order)
     else:
-        r = logs.repartitionByRange(*order)  # AQE may coalesce small writes
+        r = logs.repartitionByRange(*order)
     (
         r.sortWithinPartitions(*order).withColumn("write_id", F.lit(write_id))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -186,9 +185,10 @@ def read_log_store(spark: SparkSession, path: str, write_ids: list[str] | None =
 # Store index: one row per (shard, day) per write, kept in ``<store>/_index``
 # (names starting with "_" are invisible to scans of the store).  Shard bounds
 # and day-level lookups read it instead of a column of every log.  Each write's
-# rows are its own partition, written after its data: a write whose index rows
-# are missing (a crash between the two) is found by its id when the store is
-# opened, and its rows are computed from its own files.
+# rows are its own partition, written after its data.  A store with a manifest
+# (``shardwise.manifest``) names its writes there; in one without, a write whose
+# index rows are missing (a crash between the two) is found by its id when the
+# store is opened, and its rows are computed from its own files.
 
 INDEX_DIR = "_index"
 INDEX_SCHEMA = (
@@ -261,7 +261,7 @@ def index_of(logs: DataFrame) -> DataFrame | None:
 
 
 # Bumped whenever the derivation or layout changes, so an old store is never reused.
-STORE_LAYOUT_VERSION = "8"
+STORE_LAYOUT_VERSION = "9"
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
@@ -287,8 +287,14 @@ def log_store_path(spark: SparkSession, sf_dir: str) -> str:
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     path = f"{checkpoint_root(spark)}/shardwise/logstore/{_source_fingerprint(spark, events_path)}"
     if not path_exists(spark, f"{path}/_ready/_SUCCESS"):
+        from shardwise.manifest import begin, is_published, publish  # noqa: PLC0415 (manifest imports model)
+
+        begin(spark, path)
         ingest_events(spark.read.parquet(events_path), path)
-        write_index(read_log_store(spark, path), path, "ingest")
+        records = read_log_store(spark, path)
+        write_index(records, path, "ingest")
+        if not is_published(spark, path, "ingest"):
+            publish(spark, path, "ingest", records.count())
         literal_table(spark, [(events_path,)], "source string").write.mode("overwrite").json(f"{path}/_ready")
     return path
 
@@ -304,7 +310,9 @@ def log_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = log_store_path(spark, sf_dir)
     key = (spark.sparkContext.applicationId, path)
     if key not in _STORE_CACHE:
-        _STORE_CACHE[key] = attach_index(read_log_store(spark, path), read_index(spark, path))
+        from shardwise.manifest import open_at  # noqa: PLC0415
+
+        _STORE_CACHE[key] = open_at(spark, path)
     return _STORE_CACHE[key]
 
 

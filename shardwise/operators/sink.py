@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 from shardwise.functions.convert import check_sink_schema, to_log_text
 from shardwise.functions.shape import sorted_json, time_at_cursor
-from shardwise.model import LOG_COLUMNS, literal_table, read_index, seconds_to_ntz, write_index, write_log_store
+from shardwise.claims import ClaimLog
+from shardwise.manifest import begin, check_write_id, is_published, publish, reserve
+from shardwise.model import LOG_COLUMNS, read_index, seconds_to_ntz, write_index, write_log_store
 from shardwise.plans.shards import route_by_hash_key, write_map
-from shardwise.session import path_exists, scratch_dir
+from shardwise.session import path_exists, remove_path, scratch_dir
 
 ALLOWED_MODES = ("append", "errorifexists", "error", "default")
 REFUSED_MODES = ("overwrite", "ignore")
@@ -115,12 +117,11 @@ def is_empty() -> Column:
     return F.col("contents").isNull() | F.forall(F.map_values("contents"), lambda v: v.isNull())
 
 
-def stage_items(items: DataFrame, shards: DataFrame | None, n_shards: int) -> DataFrame:
-    """Routed items written once to the scratch folder with the task that wrote
-    them (``_task``), their place in it (``_place``) and whether they are empty:
+def stage_items(items: DataFrame, shards: DataFrame | None, n_shards: int, path: str) -> DataFrame:
+    """Routed items written once to ``path`` with the task that wrote them
+    (``_task``), their place in it (``_place``) and whether they are empty:
     counts, cursors and index rows all read the same rows."""
     spark = items.sparkSession
-    path = scratch_dir(spark, "write-stage")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     routed = route_items(items, shards, n_shards).select("topic", "source", "log_time", "contents", "shard", is_empty().alias("_empty"))
     out = routed.withColumn("_task", F.spark_partition_id()).withColumn("_place", place)
@@ -167,13 +168,14 @@ def next_base_cursor(spark: SparkSession, path: str) -> int:
     return base
 
 
-def _pinned_base(spark: SparkSession, path: str, write_id: str) -> int:
-    """The first cursor of a repeatable write, stored on its first attempt."""
-    state = f"{path}/_writes/{write_id}"
-    if not path_exists(spark, f"{state}/_SUCCESS"):
-        base = next_base_cursor(spark, path)
-        literal_table(spark, [(base,)], "base bigint").write.mode("overwrite").json(state)
-    return spark.read.schema("base bigint").json(state).first()[0]
+def _pinned_base(spark: SparkSession, path: str, write_id: str, n: int) -> int:
+    """The first cursor of a repeatable write, kept from its first attempt."""
+    pin = ClaimLog(spark, f"{path}/_manifest/pins/{write_id}")
+    kept = pin.read(0)
+    if kept is None:
+        pin.claim(0, {"base": reserve(spark, path, n)})
+        kept = pin.read(0)
+    return kept["base"]
 
 
 def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str = "append",
@@ -184,25 +186,37 @@ def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str
 
     The items are staged first, so more than ``max_dropped`` items without
     contents, or a key no shard holds, fail the write before anything is
-    published.  Data come next, then the write's index rows; readers compute
-    the index rows of a write that lacks them.  With a ``write_id`` a repeated
-    write replaces its own records (same cursors), so it adds nothing."""
+    published.  Their cursors are reserved, then come the data, the write's
+    index rows and its entry in the manifest, which makes it visible; the stage
+    is removed.  With a ``write_id`` a write that was published adds nothing when
+    it is repeated, and one cut short is written again with the same cursors."""
     spark = items.sparkSession
     if check_save_mode(mode) != "append" and path_exists(spark, path):
         raise SaveModeError(f"a log store exists at {path}")
-    staged = stage_items(items, shards, n_shards)
-    n = staged.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_empty").alias("dropped")).first()
-    counts = {"rows": n["rows"], "written": n["rows"] - n["dropped"], "dropped": n["dropped"]}
-    if max_dropped is not None and n["dropped"] > max_dropped:
-        raise RuntimeError(f"{n['dropped']} of {n['rows']} items have no contents; at most {max_dropped} may be left out")
-    if write_id is None:
-        write_id, base = uuid.uuid4().hex, next_base_cursor(spark, path)
-    else:
-        base = _pinned_base(spark, path, write_id)
-    records = store_records(staged, project, store, base)
-    write_log_store(records, path, write_id, rows=counts["written"])
-    write_index(records, path, write_id)
-    return counts
+    if write_id is not None:
+        check_write_id(write_id)
+    stage = scratch_dir(spark, "write-stage")
+    try:
+        staged = stage_items(items, shards, n_shards, stage)
+        n = staged.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_empty").alias("dropped")).first()
+        counts = {"rows": n["rows"], "written": n["rows"] - n["dropped"], "dropped": n["dropped"]}
+        if max_dropped is not None and n["dropped"] > max_dropped:
+            raise RuntimeError(f"{n['dropped']} of {n['rows']} items have no contents; at most {max_dropped} may be left out")
+        begin(spark, path)
+        if write_id is None:
+            write_id, base = uuid.uuid4().hex, reserve(spark, path, n["rows"])
+        else:
+            base = _pinned_base(spark, path, write_id, n["rows"])
+            if is_published(spark, path, write_id):
+                return counts
+        if counts["written"]:
+            records = store_records(staged, project, store, base)
+            write_log_store(records, path, write_id, rows=counts["written"])
+            write_index(records, path, write_id)
+        publish(spark, path, write_id, counts["written"])
+        return counts
+    finally:
+        remove_path(spark, stage)
 
 
 def insert_into(df: DataFrame, path: str, project: str, store: str, columns: list[str] | None = None, overwrite: bool = False, **options) -> dict:

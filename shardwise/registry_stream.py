@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardwise import fixtures as fx
+from shardwise import manifest as mf
 from shardwise.fixtures import with_logs
 from shardwise.functions import shape
 from shardwise.model import (
@@ -23,6 +24,7 @@ from shardwise.registry import DUCK_START, SCAN_COLS, register
 from shardwise.session import path_exists, scratch_dir
 from shardwise.sources.reader import open_store, read_logs, read_stream
 from shardwise.streaming import core as st
+from shardwise.streaming.follow import follow
 
 K = off.SHARD_KEY
 DIRECT_CAP = 500
@@ -355,6 +357,40 @@ def q_receiver_stream_union(spark, sf_dir):
                       F.decode("payload", "UTF-8").alias("record"))
 
 
+SCAN_SQL = 'SELECT log_project, log_store, shard, "cursor", cursor_time, log_time, topic, source, c_msg AS msg FROM logs'
+
+
+def _share(spark, sf_dir, parts: int = 6) -> int:
+    """Logs of a trigger so that the store takes about ``parts`` of them."""
+    return max(1, log_store(spark, sf_dir).count() // parts)
+
+
+@register("limited_stream", with_logs(SCAN_SQL))
+def q_limited_stream(spark, sf_dir):
+    """The store as a stream of limited triggers in cursor order; the stream is
+    stopped after two of them and goes on from its checkpoint: every log once."""
+    path, ck, out = log_store_path(spark, sf_dir), scratch_dir(spark, "s4-limit-ck"), scratch_dir(spark, "s4-limit-out")
+    limit = _share(spark, sf_dir, 4)
+    for triggers in (2, None):
+        follow(spark, path, ck, _records, st.idempotent_writer(out), "earliest", limit, triggers=triggers)
+    return st.read_batches(spark, out).drop("batch_id")
+
+
+@register("compacted_store", DUCK_ORDER_ITEMS)
+def q_compacted_store(spark, sf_dir):
+    """Orders written by six micro-batches, then compacted and vacuumed: the
+    rows read back are those written, from one folder a day."""
+    path = scratch_dir(spark, "w8-compact")
+    sink = sk.log_store_sink(path, "analytics", "orders", "w8c", n_shards=4)
+    orders = _orders(spark, sf_dir)
+    for i in range(6):
+        sink(orders.where(F.pmod(F.hash("o_orderkey"), F.lit(6)) == i), i)
+    done = mf.compact(spark, path)
+    mf.vacuum(spark, path, done["entry"])
+    back = read_logs(spark, path)
+    return back.select(_item(back))
+
+
 # ---------------------------------------------------------------------------
 # Aggregates, windows, joins, sorts and state through Spark
 
@@ -367,18 +403,16 @@ def _ts(df: DataFrame) -> DataFrame:
     """SELECT make_timestamp((log_second // 5 * 5) * 1000000) AS window_start,
   make_timestamp((log_second // 5 * 5 + 5) * 1000000) AS window_end, count(*) AS "count" FROM logs GROUP BY ALL"""))
 def q_window_count_watermark(spark, sf_dir):
-    """Counts per 5-second window in update mode over three micro-batches that
-    arrive in time order: a batch writes only the windows it changes, and
-    readers take each window's last version."""
+    """Counts per 5-second window in update mode over the store itself, followed
+    in cursor order in limited triggers: a trigger writes only the windows it
+    changes, and readers take each window's last version."""
     ck, out = scratch_dir(spark, "q1-ck"), scratch_dir(spark, "q1-out")
 
-    def run(stage):
-        s = _ts(_staged_stream(spark, stage, "cursor_time bigint, log_time timestamp_ntz"))
-        s = s.withWatermark("t", f"{10 + ARRIVAL_DELAY} seconds")  # events reach the store up to that late
-        agg = s.groupBy(F.window("t", "5 seconds").alias("w")).agg(F.count(F.lit(1)).alias("count"))
-        st.run_available_now(agg, ck, st.idempotent_writer(out), output_mode="update")
+    def counts(logs: DataFrame) -> DataFrame:
+        s = _ts(logs.select("log_time")).withWatermark("t", f"{10 + ARRIVAL_DELAY} seconds")  # events reach the store up to that late
+        return s.groupBy(F.window("t", "5 seconds").alias("w")).agg(F.count(F.lit(1)).alias("count"))
 
-    _staged_runs(spark, sf_dir, "q1-in", run, ("cursor_time", "log_time"))
+    follow(spark, log_store_path(spark, sf_dir), ck, counts, st.idempotent_writer(out), "earliest", _share(spark, sf_dir), output_mode="update")
     last = st.last_version(st.read_batches(spark, out), ["w"], ["count"])
     return last.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -461,17 +495,16 @@ SELF_JOIN_SECONDS = 1800
 def q_stream_self_join(spark, sf_dir):
     """Inner self-join of one stream on the user plus a 30-minute time bound,
     watermarked on both sides so join state is dropped as time passes; the
-    join key includes a time bucket so a hot user is spread over buckets."""
+    join key includes a time bucket so a hot user is spread over buckets.  The
+    store is followed in cursor order, so pairs across two triggers meet in the
+    join's state."""
     ck, out = scratch_dir(spark, "q6-ck"), scratch_dir(spark, "q6-out")
 
-    def run(stage):
-        s = _ts(_staged_stream(spark, stage, "contents map<string,string>, event_id bigint, log_time timestamp_ntz"))
-        s = s.select(F.col("contents").getItem("user_id").cast("bigint").alias("user_id"), "event_id", "t")
-        j = an.bounded_self_join(s, "user_id", "t", "event_id", SELF_JOIN_SECONDS)
-        st.run_available_now(j, ck, st.idempotent_writer(out))
+    def pairs(logs: DataFrame) -> DataFrame:
+        s = _ts(logs).select(F.col("contents").getItem("user_id").cast("bigint").alias("user_id"), "event_id", "t")
+        return an.bounded_self_join(s, "user_id", "t", "event_id", SELF_JOIN_SECONDS)
 
-    # parts arrive in time order, so pairs across a part's border are in the join's state
-    _staged_runs(spark, sf_dir, "q6-in", run, ("cursor_time", "contents", "event_id", "log_time"))
+    follow(spark, log_store_path(spark, sf_dir), ck, pairs, st.idempotent_writer(out), "earliest", _share(spark, sf_dir))
     return st.read_batches(spark, out).drop("batch_id")
 
 

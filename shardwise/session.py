@@ -87,6 +87,11 @@ def _clean_scratch() -> None:
             _file_system(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this application made."""
+    _file_system(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

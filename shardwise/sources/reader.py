@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardwise.functions.shape import project
+from shardwise.manifest import has_manifest, open_at, was_compacted
 from shardwise.model import INDEX_DIR, attach_index, literal_table, read_index, read_log_store
 from shardwise.plans.offsets import (
     EARLIEST, LATEST, SHARD_KEY, OffsetError, offset_violations, parse_offsets_json,
@@ -22,7 +23,10 @@ from shardwise.sources.batch import scan_range
 
 
 def open_store(spark: SparkSession, path: str) -> DataFrame:
-    """The log records under ``path`` (with its index when present)."""
+    """The log records under ``path`` with their index: as of the newest entry
+    of its manifest, or all files of a store without one."""
+    if has_manifest(spark, path):
+        return open_at(spark, path)
     logs = read_log_store(spark, path)
     if path_exists(spark, f"{path}/{INDEX_DIR}"):
         logs = attach_index(logs, read_index(spark, path))
@@ -84,10 +88,19 @@ def read_stream(spark: SparkSession, path: str, starting_offsets: str = "latest"
 
     With the query's ``checkpoint`` folder the start is resolved on the first
     start only and stored there; a restart reads the stored start, so logs that
-    arrived while the query was stopped are not skipped.  Shards that appear
-    later are read from their earliest log."""
+    arrived while the query was stopped are not skipped.  Without it,
+    ``run_available_now`` stores the start of a ``latest`` stream on its first run
+    and refuses a later one, which would skip logs.  Shards that appear later are
+    read from their earliest log.
+
+    Files come in no order of time, limited by their number.  ``streaming.follow``
+    takes whole writes in cursor order, limited by logs, and keeps its own start;
+    a store that was compacted is streamed by it only."""
     from shardwise.streaming.core import from_start, pinned_start_offsets, stream_logs
 
+    if was_compacted(spark, path):
+        raise OffsetError(f"{path} was compacted: follow it with shardwise.streaming.follow")
+
     def resolve() -> DataFrame:
         logs = open_store(spark, path)
         start = limit_offsets(spark, logs, starting_offsets)
@@ -97,5 +110,6 @@ def read_stream(spark: SparkSession, path: str, starting_offsets: str = "latest"
         return resolve_sentinels(start, bounds, out="start_time").select(*SHARD_KEY, "start_time")
 
     starts = pinned_start_offsets(spark, f"{checkpoint.rstrip('/')}/start_offsets", resolve) if checkpoint else resolve()
-    stream = from_start(stream_logs(spark, path, max_files_per_trigger), starts)
+    moves = not checkpoint and (starting_offsets.strip().lower() == "latest" or "-1" in starting_offsets)
+    stream = from_start(stream_logs(spark, path, max_files_per_trigger), starts, moves)
     return stream if records else project(stream, schema, append_sequence_number)

@@ -10,34 +10,62 @@ need; production callers pass their own trigger.
 
 from __future__ import annotations
 
+import re
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from shardwise.claims import ClaimLog
+from shardwise.manifest import COMPACT_PREFIX
 from shardwise.model import LOG_COLUMNS, STORE_SCHEMA, literal_table
-from shardwise.plans.offsets import SHARD_KEY
+from shardwise.plans.offsets import SHARD_KEY, OffsetError
 from shardwise.session import path_exists
 
 
 def stream_logs(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming DataFrame of the log records under ``path``."""
+    """A streaming DataFrame of the log records under ``path``, as they were
+    written (what a compaction rewrites later is no new log)."""
     r = spark.readStream.schema(STORE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.parquet(path).select(*LOG_COLUMNS)
+    return r.parquet(path).where(~F.col("write_id").startswith(COMPACT_PREFIX)).select(*LOG_COLUMNS)
 
 
-def from_start(stream: DataFrame, starts: DataFrame) -> DataFrame:
+# Starts of streams that were resolved without a checkpoint and would move with
+# the store, by the mark that their filter carries.
+_MOVING: dict[str, list] = {}
+
+
+def from_start(stream: DataFrame, starts: DataFrame, moves: bool = False) -> DataFrame:
     """Logs at or after each shard's start second; a shard without a start
     (one that appeared later) is read from its earliest log.  ``starts`` is
-    resolved once (one row per shard), so micro-batches do not recompute it."""
-    fixed = starts.select(*SHARD_KEY, F.col("start_time").alias("_start"))
-    s = literal_table(stream.sparkSession, fixed.collect(), fixed.schema)
-    return stream.join(s, SHARD_KEY, "left").where(
-        F.col("_start").isNull() | (F.col("cursor_time") >= F.col("_start"))).drop("_start")
+    resolved once (one row per shard), so micro-batches do not recompute it.
+    ``moves`` marks starts that another resolution would place later."""
+    mark = f"_start_{uuid.uuid4().hex}" if moves else "_start"
+    fixed = starts.select(*SHARD_KEY, F.col("start_time").alias(mark))
+    rows = fixed.collect()
+    if moves:
+        _MOVING[mark] = sorted([*r] for r in rows)
+    s = literal_table(stream.sparkSession, rows, fixed.schema)
+    return stream.join(s, SHARD_KEY, "left").where(F.col(mark).isNull() | (F.col("cursor_time") >= F.col(mark))).drop(mark)
+
+
+def _keep_starts(df: DataFrame, checkpoint: str) -> None:
+    """Store the moving starts of a query's first run beside its checkpoint; a
+    later run that would start elsewhere fails instead of skipping logs."""
+    marks = sorted(set(re.findall(r"_start_[0-9a-f]{32}", df._jdf.queryExecution().logical().toString())) & set(_MOVING))
+    if not marks:
+        return
+    kept = ClaimLog(df.sparkSession, f"{checkpoint.rstrip('/')}/moving_starts")
+    now = sorted(_MOVING[m] for m in marks)
+    kept.claim(0, {"starts": now})
+    if kept.read(0)["starts"] != now:
+        raise OffsetError("the store has grown since this query's first start, and its start was not kept: "
+                          "give read_stream the query's checkpoint, or use streaming.follow")
 
 
 def run_available_now(df: DataFrame, checkpoint: str, batch_fn: Callable | None = None,
@@ -45,6 +73,7 @@ def run_available_now(df: DataFrame, checkpoint: str, batch_fn: Callable | None
                       query_name: str | None = None):
     """Run ``df`` until the data present at start is consumed; returns the
     finished ``StreamingQuery`` (its progress stays readable)."""
+    _keep_starts(df, checkpoint)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
