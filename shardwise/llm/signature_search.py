@@ -287,7 +287,8 @@ def _possible(index: DataFrame, shared, bars: dict[int, int], kind: str) -> Data
 
 def _exact(docs: DataFrame, wanted: DataFrame, shared, kind: str) -> DataFrame:
     """(query, mark, id, score) of the wanted (query, mark, id), from the texts."""
-    lists = wanted.groupBy("mark", "id").agg(F.collect_set("query").alias("queries"))  # at most one block of queries
+    # at most one block of queries each; written, so that Spark knows the size and moves the texts only if it is large
+    lists = materialise(wanted.groupBy("mark", "id").agg(F.collect_set("query").alias("queries")), "search-wanted")
     rows = docs.join(lists, (docs["_mark"] == lists["mark"]) & docs["_id"].eqNullSafe(lists["id"])).select("_id", "_mark", "queries", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
