@@ -3,11 +3,13 @@
 Strong candidates (an assignment to a credential name, an access identifier,
 a long hexadecimal run) are reported alone.  Weak candidates (an account
 name, a mixed high-entropy token, an endpoint address) are reported only where
-complementary parts co-occur: an interval join inside one scope (a block of
-lines without an empty line between them) links an identifier with a secret
-whose interval lies within ``reach`` code points, and an endpoint with such a
-linked pair.  The join is a sweep over the parts' sorted interval ends inside
-the document, so no row leaves its partition and nothing is shuffled.
+complementary parts co-occur: an interval join of parts with scopes links an
+identifier with a secret in the same scope, whatever lies between them, and an
+endpoint with such a linked pair.  A scope is a block of lines without an empty
+line between them; one wider than ``WIDE`` code points also ends before section
+heads.  ``reach``, if given, asks for parts at most so many code points apart: a
+sweep over the parts' sorted interval ends.  All of this happens inside the
+document, so no row leaves its partition and nothing is shuffled.
 
 Defined results: a null text counts as empty and has no spans; texts are read
 whole; equal rows give equal results; every input column is kept, and an input
@@ -38,6 +40,8 @@ ACCOUNT = re.compile(r"""\b(?:client_?id|access_?key_?id|account(?:_?id|_?name)?
 KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+""", re.I | re.A)
 SCOPE_END = re.compile(r"\n[ \t\r]*\n")
+WIDE = 10_000
+SECTION_HEAD = re.compile(r"\n(?=[ \t]*(?:\[[^\]\n]{1,80}\][ \t\r]*(?:\n|$)|#{1,6} |-{3,}[ \t\r]*(?:\n|$)|={3,}[ \t\r]*(?:\n|$)))")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCOUNT_WORDS = ("client", "access", "account", "user", "login")
 
@@ -66,7 +70,16 @@ class Intervals:
         return i > 0 and self.ends[i - 1] > start
 
 
-def scan_text(text: str, reach: int) -> list[tuple]:
+def scope_ends(text: str) -> list[int]:
+    """Places where a scope ends: empty lines, and the section heads of blocks
+    that are wide."""
+    empty = [m.start() for m in SCOPE_END.finditer(text)]
+    edges = [0, *empty, len(text)]
+    heads = [m.start() for a, b in zip(edges, edges[1:]) if b - a > WIDE for m in SECTION_HEAD.finditer(text, a + 1, b)]
+    return sorted(empty + heads)
+
+
+def scan_text(text: str, reach: int | None = None) -> list[tuple]:
     """(kind, start, end, value, linked) of one text, by start and kind."""
     low = text.lower()
     strong: list[tuple] = []
@@ -86,7 +99,7 @@ def scan_text(text: str, reach: int) -> list[tuple]:
         taken, named = Intervals(strong + accounts), Intervals(ids)
         keys = [("key", *m.span(), m[0]) for m in KEY.finditer(text) if _mixed(m[0]) and not taken.meet(*m.span())]
         secrets = keys + [s for s in strong if s[0] in ("assign", "hex") and not named.meet(s[1], s[2])]
-        breaks = [m.start() for m in SCOPE_END.finditer(text)]
+        breaks = scope_ends(text)
         linked = join(ids, secrets, breaks, reach) + join(secrets, ids, breaks, reach)
         ends = [("endpoint", *m.span(), m[0]) for m in ENDPOINT.finditer(text)] if linked and "://" in text else []
         linked += join(ends, linked, breaks, reach)
@@ -95,9 +108,11 @@ def scan_text(text: str, reach: int) -> list[tuple]:
     return sorted(out.values(), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def join(left: list[tuple], right: list[tuple], breaks: list[int], reach: int) -> list[tuple]:
-    """Parts of ``left`` with a part of ``right`` in the same scope at most
-    ``reach`` code points away: one sorted interval index per scope."""
+def join(left: list[tuple], right: list[tuple], breaks: list[int], reach: int | None) -> list[tuple]:
+    """Parts of ``left`` with a part of ``right`` in the same scope (and at most
+    ``reach`` code points away: one sorted interval index per scope)."""
+    if reach is None:
+        reach = max((s[2] for s in left + right), default=0)  # wider than any scope
     scope = lambda s: bisect_right(breaks, s[1])
     by: dict[int, list[tuple]] = {}
     for s in right:
@@ -106,7 +121,7 @@ def join(left: list[tuple], right: list[tuple], breaks: list[int], reach: int) -
     return [s for s in left if scope(s) in index and index[scope(s)].meet(s[1] - reach, s[2] + reach)]
 
 
-def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach: int = 200) -> DataFrame:
+def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach: int | None = None) -> DataFrame:
     """``df`` with ``out``: all spans (code points, end exclusive) of the text,
     sorted by start, then kind; ``linked`` marks parts of a linked credential."""
     ship(df.sparkSession)
@@ -119,7 +134,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", reach:
     return df.withColumn(out, scan(F.coalesce(F.col(text), F.lit(""))))
 
 
-def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int = 200) -> DataFrame:
+def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int | None = None) -> DataFrame:
     """``df`` with every span of its text replaced by ``mark`` (overlapping
     spans become one mark).  Null texts stay null."""
     ship(df.sparkSession)
