@@ -51,8 +51,12 @@ grams AS (SELECT gram, count(*) FILTER (given = 'allow' AND NOT held) a, count(*
 {chains},
 score AS (SELECT url, avg(ln(pa) - ln(pb)) lm FROM cut JOIN p{order} ON g = gram GROUP BY url),
 scored AS (SELECT fit.*, lm FROM fit LEFT JOIN score USING (url)),
-stat AS (SELECT given, avg(lm) m, stddev_pop(lm) s FROM scored WHERE given IS NOT NULL AND held AND lm IS NOT NULL GROUP BY given),
-bar AS (SELECT (a.m * b.s + b.m * a.s) / (a.s + b.s) bar FROM stat a, stat b WHERE a.given = 'allow' AND b.given = 'block')
+stat AS (SELECT given, avg(lm) FILTER (held) hm, stddev_pop(lm) FILTER (held) hs, count(*) FILTER (held) n, avg(lm) m, stddev_pop(lm) s
+  FROM scored WHERE given IS NOT NULL AND lm IS NOT NULL GROUP BY given),
+pick AS (SELECT given, CASE WHEN (SELECT min(n) FROM stat) > 0 THEN hm ELSE m END m, CASE WHEN (SELECT min(n) FROM stat) > 0 THEN hs ELSE s END s FROM stat),
+sides AS (SELECT count(*) n, max(m) FILTER (given = 'allow') ma, max(s) FILTER (given = 'allow') sa, max(m) FILTER (given = 'block') mb, max(s) FILTER (given = 'block') sb FROM pick),
+bar AS (SELECT CASE WHEN n = 2 AND sa + sb > 0 THEN (ma * sb + mb * sa) / (sa + sb) WHEN n = 2 THEN (ma + mb) / 2
+  WHEN mb IS NOT NULL THEN 'infinity'::DOUBLE ELSE '-infinity'::DOUBLE END bar FROM sides)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
   coalesce(given, CASE WHEN lm >= bar THEN 'allow' ELSE 'block' END, 'block') AS verdict, round(lm, 6) AS lm_score
 FROM pages LEFT JOIN scored USING (url), bar"""

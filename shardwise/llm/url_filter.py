@@ -139,9 +139,13 @@ def judge(df: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, orde
     ratio = _smoothed(grams, order, alphabet)
     scores = cut.select("uid", "gram").join(ratio, "gram").groupBy("uid").agg(F.avg("llr").alias("lm_score"))
     scored = materialise(known.join(scores, "uid", "left").drop("uid"), "url-scores")
-    held = scored.where("given is not null and held and lm_score is not null")
-    rows = held.groupBy("given").agg(F.avg("lm_score").alias("m"), F.stddev_pop("lm_score").alias("s")).collect()  # a row per verdict
-    bar = threshold({r["given"]: (r["m"], r["s"]) for r in rows})
+    held = F.when(F.col("held"), F.col("lm_score"))
+    labelled = scored.where("given is not null and lm_score is not null").groupBy("given").agg(
+        F.avg(held).alias("hm"), F.stddev_pop(held).alias("hs"), F.count(held).alias("n"), F.avg("lm_score").alias("m"), F.stddev_pop("lm_score").alias("s"))
+    rows = labelled.collect()  # a row per verdict
+    # a verdict of few URLs may have none held out: then all labelled ones calibrate
+    apart = all(r["n"] for r in rows)
+    bar = threshold({r["given"]: (r["hm"], r["hs"]) if apart else (r["m"], r["s"]) for r in rows})
     chosen = F.when(F.col("lm_score") >= F.lit(bar), "allow").otherwise("block")
     verdicts = scored.select(F.col("url").alias("__judged_url"), "host", "path", "rule", F.coalesce("given", chosen).alias("verdict"), "lm_score")
     kept = df.drop(*[c for c in ("host", "path", "rule", "verdict", "lm_score") if c != url])
