@@ -9,10 +9,14 @@ slot's border, in the order of their expected squared distances (a template
 that is made once, so a query only maps ranks to its own slots).  The candidates
 of all tables are merged and reranked by exact cosine in double precision.
 
-``fit`` draws the hashes and sets the number of probes: the fewest of a ladder
-of powers of two with which a bounded sample (``SAMPLE`` vectors chosen by a hash
-of the vector, ``SAMPLE_QUERIES`` of them as queries) reaches the target recall.
-Every row is indexed.  Equal vectors form one class with their smallest ids, so
+``fit`` draws the hashes and sets their number and that of the probes: of a
+ladder of both, the pair with which a bounded sample (``SAMPLE`` vectors chosen by
+a hash of the vector, ``SAMPLE_QUERIES`` of them as queries) reaches the target
+recall from the smallest share of candidates, so clustered vectors get narrow
+buckets and few candidates.  Where no pair reaches it, every row is a candidate:
+exact, never below the target.  A task sorts its rows by bucket and a query takes
+the runs of the buckets it visits, so the work follows the candidates, not the
+rows.  Every row is indexed.  Equal vectors form one class with their smallest ids, so
 a very common vector is hashed and scored once.  The stated queries go in blocks
 of ``BLOCK`` against all rows: a task hashes its rows, marks the rows in each
 query's buckets and keeps the best few per query; only those are shuffled.
@@ -42,7 +46,11 @@ TARGET = 0.97
 MOST_PROBES = 1024
 SAMPLE, SAMPLE_QUERIES = 4000, 100
 BLOCK = 2000
-ROWS = 4096  # rows hashed at once in a task
+ROWS = 32_768  # rows hashed at once in a task
+HASH_LADDER = (8, HASHES, 14, 18)
+VISITS = 200_000  # visited buckets whose rows are marked at once
+CHUNK = 64  # queries in a matrix product
+DENSE = 0.02  # share of candidates from which scores come from one matrix product
 
 
 @dataclass
@@ -52,6 +60,9 @@ class Index:
     multipliers: np.ndarray  # turn slots into a bucket key, per table
     template: np.ndarray  # probes x 2 * hashes: ranks in each perturbation set
     width: float = WIDTH
+    exact: bool = False  # every row is a candidate
+    recall: float = 1.0  # on the sample
+    share: float = 1.0  # of the sample's rows that are candidates of a query
 
     def slots(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slots and positions inside them: rows x tables x hashes."""
@@ -107,40 +118,61 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def candidates(index: Index, rows: np.ndarray, probed: np.ndarray) -> np.ndarray:
     """Boolean matrix queries x rows: does any table put the row into a bucket
-    that the query visits?"""
-    keys = index.keys(rows)
+    that the query visits?  A visited bucket is a run of the rows sorted by key;
+    probes of empty buckets fall out at the first look-up."""
     out = np.zeros((probed.shape[1], len(rows)), dtype=bool)
+    if index.exact:
+        out[:] = True
+        return out
+    keys = index.keys(rows)
     for t in range(keys.shape[1]):
-        buckets, of = np.unique(keys[:, t], return_inverse=True)
+        order = np.argsort(keys[:, t], kind="stable")
+        buckets, first, size = np.unique(keys[order, t], return_index=True, return_counts=True)
         at = np.minimum(np.searchsorted(buckets, probed[t]), len(buckets) - 1)
-        visits = np.zeros((len(out), len(buckets)), dtype=bool)
         q, p = np.nonzero(buckets[at] == probed[t])
-        visits[q, at[q, p]] = True
-        out |= visits[:, of]
+        b = at[q, p]
+        many = size[b]
+        for lo in range(0, len(b), VISITS):  # runs of the visited buckets, one after the other
+            own = slice(lo, lo + VISITS)
+            run = np.repeat(first[b[own]] - np.cumsum(many[own]) + many[own], many[own]) + np.arange(many[own].sum())
+            out[np.repeat(q[own], many[own]), order[run]] = True
     return out
 
 
-def fit(sample: np.ndarray, k: int = 5, target: float = TARGET, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, queries: int = SAMPLE_QUERIES, seed: int = 11) -> Index:
-    """Hashes for vectors like the sample's, and the probes that reach the
-    target recall on it (measured against brute force)."""
-    rng = np.random.default_rng(seed)
-    dims = sample.shape[1]
-    index = Index(rng.normal(size=(dims, tables * hashes)), rng.uniform(0, width, tables * hashes), rng.integers(-(1 << 62), 1 << 62, size=(tables, hashes)) | 1, perturbations(hashes, MOST_PROBES), width)
+def fit(sample: np.ndarray, k: int = 5, target: float = TARGET, tables: int = TABLES, hashes: int | tuple = HASH_LADDER, width: float = WIDTH, queries: int = SAMPLE_QUERIES, seed: int = 11) -> Index:
+    """Hashes and probes for vectors like the sample's: the fewest candidates
+    with which the target recall is reached there (measured against brute
+    force); all rows where it is not."""
+    ladder = (hashes,) if isinstance(hashes, int) else hashes
     if len(sample) < 2:
-        return index
+        return _draw(sample.shape[1], tables, ladder[0], width, seed)
     x = unit(sample)
     q = x[:queries]
     near = q @ x.T
     near[np.arange(len(q)), np.arange(len(q))] = -2
     truth = np.argsort(-near, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
-    full = index.template
-    probes = 1
-    while True:
-        index.template = full[:probes]
-        hit = candidates(index, x, index.probe_keys(q))
-        if np.take_along_axis(hit, truth, axis=1).mean() >= target or probes >= len(full):
-            return index
-        probes *= 2
+    best = None
+    for m in ladder:
+        index = _draw(sample.shape[1], tables, m, width, seed)
+        full, probes = index.template, 1
+        while probes <= len(full):
+            index.template = full[:probes]
+            hit = candidates(index, x, index.probe_keys(q))
+            index.recall, index.share = float(np.take_along_axis(hit, truth, axis=1).mean()), float(hit.mean())
+            if index.recall >= target or probes == len(full):
+                break
+            probes = min(2 * probes, len(full))
+        if index.recall >= target and (best is None or index.share < best.share):
+            best = index
+    if best is None:
+        best = _draw(sample.shape[1], tables, ladder[0], width, seed)
+        best.template, best.exact = best.template[:1], True
+    return best
+
+
+def _draw(dims: int, tables: int, hashes: int, width: float, seed: int) -> Index:
+    rng = np.random.default_rng(seed)
+    return Index(rng.normal(size=(dims, tables * hashes)), rng.uniform(0, width, tables * hashes), rng.integers(-(1 << 62), 1 << 62, size=(tables, hashes)) | 1, perturbations(hashes, MOST_PROBES), width)
 
 
 def usable(vector: Column) -> Column:
@@ -165,12 +197,19 @@ def _search_block(classes: DataFrame, index: Index, queries: np.ndarray, numbers
                 rows, ids = flat.reshape(part.num_rows, -1), part.column(1).to_pylist()
                 if probed is None:
                     probed = index.probe_keys(queries_unit)
-                hit = candidates(index, unit(rows), probed)
+                rows_unit = unit(rows)
+                hit = candidates(index, rows_unit, probed)
                 length = np.sqrt((rows * rows).sum(axis=1))
+                dense = hit.mean() > DENSE
                 for i in range(len(numbers)):
+                    if dense and i % CHUNK == 0:  # cosines but for rounding, to leave out what cannot be among the best
+                        rough = queries_unit[i : i + CHUNK] @ rows_unit.T
                     at = np.flatnonzero(hit[i])
                     if not len(at):
                         continue
+                    if dense and len(at) > keep:
+                        near = rough[i % CHUNK, at]
+                        at = at[near >= np.partition(near, len(at) - keep)[len(at) - keep] - 1e-9]
                     score = (rows[at] * queries[i]).sum(axis=1) / (length[at] * lengths[i])
                     if len(at) > keep:  # ties with the last one stay
                         few = score >= np.partition(score, len(score) - keep)[len(score) - keep]
