@@ -1,17 +1,22 @@
-"""Benchmark decontamination: n-gram seeds that no copy can lack, then Smith-Waterman alignment.
-
-One pass over the texts, without a shuffle.  An alignment (linear gaps, a row of
-the matrix at a time: the gap inside the row is a running maximum) that reaches
-``least`` of the item's own score has few breaks, so it holds at least a certain
-number of the item's ``k``-grams within a certain number of words of the text
-(``needs``).  Every place of a text where that many are found that close is
-aligned with the item, unless too few of the words around it are the item's: so
-every pair that reaches ``least`` is reported, however the words were
-substituted, inserted or dropped, and whatever other documents hold.
-
-The test items are what is sent to every task; they go in blocks of at most
-``block_words`` words, each with its own pass, so their size is bounded however
-large the benchmark is.  Seed tables hold no more entries than a block has words.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+An alignment (linear gaps, a row of the matrix at a time: the gap inside the row
+is a running maximum) that reaches ``least`` of the item's own score has few
+breaks, so it holds at least ``count`` of the item's ``k``-grams within a certain
+number of words of the text (``needs_of``).  Leaving out ``count - 1`` of them, one
+that is left is still held: so an item's seeds are its rarest k-grams, all but
+the ``count - 1`` most frequent ones in the documents (absent ones count as
+rarest), of that k from 1 to n whose seeds occur least often.  A first pass
+counts the items' k-grams over all documents, a second one looks for the seeds
+and aligns every place that holds one, unless too few of the words around it are
+the item's.  So every pair that reaches ``least`` is reported, however the words
+were substituted, inserted or dropped, and whatever other documents hold; the
+counts decide only how many places are looked at.
+
+The test items are what is sent to every task; they go in blocks of about
+``block_words`` words (an item's block by its hash, from a written table), each
+with its own two passes, so their size is bounded however large the benchmark is.
+Seed tables hold no more entries than a block has words, times n.
 
 Defined results: null and empty texts and items give no pairs; an item of fewer
 than ``n`` words has one seed of all its words, looked for as such; equal documents and equal items
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardwise.llm.common import ship, text_or_empty, text_slices
+from shardwise.llm.common import collect_bounded, materialise, ship, text_or_empty, text_slices
 from shardwise.llm.textvec import SLICE_CHARS, U, Words, shingles, words
 
 N = 3  # words in a seed, at most
@@ -94,24 +99,32 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def needs(size: int, n: int, least: float) -> tuple[int, int, int]:
-    """(k, count, span) for an item of ``size`` words: an alignment that reaches
-    ``least`` holds at least ``count`` of its k-grams and is at most ``span``
-    words of the text long; k is the largest up to n with a count above 0.
+def needs_of(size: int, k: int, least: float) -> tuple[int, int]:
+    """(count, span) for an item of ``size`` words: an alignment that reaches
+    ``least`` holds at least ``count`` of its k-grams and is at most ``span`` words
+    of the text long.
 
     With m matches and b breaks (a mismatch or a gap, each costs 1) the score
     2m - b reaches c = 2 * least * size, so b <= 2m - c.  The matches lie in at
     most b + 1 runs, which hold m - (k - 1)(b + 1) k-grams or more: for k > 1
     fewest with m = size, for k = 1 with m = c / 2.  The span is m + b at most."""
-    if size < n:
-        return size, 1, size
     c = MATCH * least * size
     span = int((1 + MATCH) * size - c + 1e-6)
-    for k in range(n, 1, -1):
-        count = int(np.ceil(size - (k - 1) * (MATCH * size - c + 1) - 1e-6))
+    if k == 1:
+        return max(1, int(np.ceil(c / MATCH - 1e-6))), span
+    return int(np.ceil(size - (k - 1) * (MATCH * size - c + 1) - 1e-6)), span
+
+
+def needs(size: int, n: int, least: float) -> tuple[int, int, int]:
+    """(k, count, span) with the largest k up to n whose count is above 0; an
+    item of fewer than n words is one gram of all of them."""
+    if size < n:
+        return size, 1, size
+    for k in range(n, 0, -1):
+        count, span = needs_of(size, k, least)
         if count > 0:
             return k, count, span
-    return 1, max(1, int(np.ceil(c / MATCH - 1e-6))), span
+    raise ValueError("an item of one word has a need")
 
 
 class Seeds(NamedTuple):
@@ -125,14 +138,25 @@ class Seeds(NamedTuple):
         return Seeds(np.concatenate([[0], np.cumsum(keep)])[self.start], self.item[keep])
 
 
-def seeds_of(items: Items) -> Seeds:
-    """All n-grams of every item, each once per item."""
-    own = [np.unique(of) for of in items.of]
+def seeds_of(items: Items, kept: list[np.ndarray] | None = None) -> Seeds:
+    """The n-grams of every item, each once per item: all, or those ``kept``."""
+    own = [np.unique(of) for of in items.of] if kept is None else kept
     gram, item = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
     order = np.argsort(gram, kind="stable")
     return Seeds(np.searchsorted(gram[order], np.arange(len(items.grams) + 1)), item[order])
 
 
+def rarest(of: np.ndarray, frequency: np.ndarray, count: int) -> tuple[np.ndarray, int]:
+    """An item's grams (of: by place) without the most frequent ones that take
+    up fewer than ``count`` places; how many of the rest an alignment holds."""
+    grams, places = np.unique(of, return_counts=True)
+    order = np.lexsort((grams, -frequency[grams]))
+    gone = np.cumsum(places[order]) < count
+    # the first that does not fit ends it: what follows is rarer
+    n = int(np.argmin(gone)) if not gone.all() else len(gone) - 1
+    return np.sort(grams[order[n:]]), count - int(places[order[:n]].sum())
+
+
 def _match(w: Words, bounds: np.ndarray, at: np.ndarray, where: np.ndarray, items: Items, seeds: Seeds, need: np.ndarray, least: float) -> Iterator[tuple]:
     """Items aligned with some texts: (text, (item, score, start, end, seeds)).
     ``at`` are the places of found n-grams in all texts, ``bounds`` the texts'
@@ -195,48 +219,127 @@ HIT = T.StructType([T.StructField(n, t) for n, t in (("item", T.LongType()), ("s
 _HIT_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64()), ("seeds", pa.int64())]))
 
 
-def mark(docs: DataFrame, items: Items, text: str, out: str, n: int, least: float) -> DataFrame:
+class Group(NamedTuple):
+    """Items with seeds of one k; item i of it is number first + i of the block."""
+
+    items: Items
+    seeds: Seeds
+    need: np.ndarray  # count and span of each item
+    first: int
+
+
+def frequencies(docs: DataFrame, text: str, tables: list[Items]) -> list[np.ndarray]:
+    """Places in all documents of each table's grams: counts per task, then sums."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast([(t.n, t.grams) for t in tables])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = [(n, grams, bits_of(grams), np.zeros(len(grams), dtype=np.int64)) for n, grams in shared.value]
+        for batch in batches:
+            for _, _, texts in text_slices(batch.column(0), SLICE_CHARS):
+                w = words(texts)
+                for n, grams, bits, total in wanted:
+                    _, where = found(shingles(w, n).hashes, grams, bits)
+                    total += np.bincount(where, minlength=len(grams))
+        for i, (*_, total) in enumerate(wanted):
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), i)), pa.array(some), pa.array(total[some])], names=["table", "gram", "n"])
+
+    rows = docs.select(text_or_empty(text).alias("_text")).mapInArrow(count, "table long, gram long, n long").groupBy("table", "gram").agg(F.sum("n").alias("n"))
+    out = [np.zeros(len(t.grams), dtype=np.int64) for t in tables]
+    for r in collect_bounded(rows, sum(len(t.grams) for t in tables), "grams of a block"):
+        out[r["table"]][r["gram"]] = r["n"]
+    shared.unpersist()
+    return out
+
+
+def seeded(docs: DataFrame, text: str, rows: list[tuple], n: int, least: float) -> tuple[list[Group], list]:
+    """The items of a block by the k of their seeds, and the items' ids by number."""
+    size = [len(words([t]).hashes) for _, t in rows]
+    # items below n words are one gram; the others may choose among the k that have a need
+    small: dict[int, list[int]] = {}
+    for i, m in enumerate(size):
+        if m < n:
+            small.setdefault(m, []).append(i)
+    choice = {k: [i for i, m in enumerate(size) if m >= n and needs_of(m, k, least)[0] > 0] for k in range(1, n + 1)}
+    choice = {k: own for k, own in choice.items() if own}
+    tables = {k: items_of([rows[i] for i in own], k) for k, own in choice.items()}
+    counted = dict(zip(tables, frequencies(docs, text, list(tables.values())) if tables else [], strict=True))
+    best: dict[int, tuple] = {}
+    for k, own in choice.items():
+        for place, i in enumerate(own):
+            count, span = needs_of(size[i], k, least)
+            kept, left = rarest(tables[k].of[place], counted[k], count)
+            cost = int(counted[k][kept].sum())
+            if i not in best or (cost, -k) < best[i][:2]:
+                best[i] = (cost, -k, tables[k].grams[kept], left, span)
+    groups, ids = [], []
+    for k, own in sorted(small.items()):
+        items = items_of([rows[i] for i in own], k)
+        groups.append(Group(items, seeds_of(items), np.array([[1, k]] * len(own), dtype=np.int64), len(ids)))
+        ids += [rows[i][0] for i in own]
+    for k in choice:
+        own = [i for i in choice[k] if best[i][1] == -k]
+        if own:
+            items = items_of([rows[i] for i in own], k)
+            seeds = seeds_of(items, [np.searchsorted(items.grams, best[i][2]) for i in own])
+            groups.append(Group(items, seeds, np.array([best[i][3:] for i in own], dtype=np.int64), len(ids)))
+            ids += [rows[i][0] for i in own]
+    return groups, ids
+
+
+HIT = T.StructType([T.StructField(n, t) for n, t in (("item", T.LongType()), ("score", T.DoubleType()), ("start", T.LongType()), ("end", T.LongType()), ("seeds", T.LongType()))])
+_HIT_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64()), ("seeds", pa.int64())]))
+
+
+def mark(docs: DataFrame, groups: list[Group], text: str, out: str, least: float) -> DataFrame:
     """``docs`` with ``out``: an array of the block's items found in the text."""
     ship(docs.sparkSession)
-    need = np.array([needs(len(x), n, least)[1:] for x in items.words], dtype=np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((items, seeds_of(items), need))
+    shared = docs.sparkSession.sparkContext.broadcast(groups)
 
     @F.arrow_udf(T.ArrayType(HIT))
     def find(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        items, seeds, need = shared.value
-        bits = bits_of(items.grams)
+        # a group's grams that are seeds of some item: what is looked up in the texts
+        wanted = []
+        for g in shared.value:
+            used = np.flatnonzero(np.diff(g.seeds.start))
+            wanted.append((g, used, g.items.grams[used], bits_of(g.items.grams[used])))
         for column in it:
             rows: list[list[dict]] = []
             for a, b, texts in text_slices(column, SLICE_CHARS):
                 w = words(texts)
-                g = shingles(w, items.n)
-                at, where = found(g.hashes, items.grams, bits)
                 rows += [[] for _ in range(b - a)]
-                for i, hit in _match(w, g.bounds, at, where, items, seeds, need, least):
-                    rows[a + i].append(dict(zip(("item", "score", "start", "end", "seeds"), hit, strict=True)))
+                for g, used, grams, bits in wanted:
+                    s = shingles(w, g.items.n)
+                    at, where = found(s.hashes, grams, bits)
+                    if len(at):
+                        for i, (item, *hit) in _match(w, s.bounds, at, used[where], g.items, g.seeds, g.need, least):
+                            rows[a + i].append(dict(zip(("item", "score", "start", "end", "seeds"), (g.first + item, *hit), strict=True)))
             yield pa.array(rows, type=_HIT_ARROW)
 
     return docs.withColumn(out, find(text_or_empty(text)))
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, n: int, least: float, block_words: int) -> Iterator[Items]:
-    """The items with words in blocks of bounded size, read one partition at a
-    time.  Items whose seeds have fewer than n words have blocks of their own."""
-    open_: dict[int, list[tuple]] = {}
-    size: dict[int, int] = {}
-    for r in benchmark.select(F.col(item_id), text_or_empty(text)).toLocalIterator():
-        own = len(words([r[1]]).hashes)
-        if not own:
-            continue
-        k = needs(own, n, least)[0]
-        if k in open_ and size[k] + own > block_words:
-            yield items_of(open_.pop(k), k)
-        if k not in open_:
-            open_[k], size[k] = [], 0
-        open_[k].append((r[0], r[1]))
-        size[k] += own
-    for k, rows in open_.items():
-        yield items_of(rows, k)
+def blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple]]:
+    """(id, text) of the items with words, in blocks of about ``block_words``
+    words: an item's block follows from its number's hash."""
+    ship(benchmark.sparkSession)
+    kind = benchmark.schema[item_id].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pa.array([len(words([t]).hashes) for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes], names=["number", "id", "text", "size"])
+
+    rows = benchmark.select(F.monotonically_increasing_id().alias("number"), F.col(item_id).alias("id"), text_or_empty(text).alias("text"))
+    rows = materialise(rows.mapInArrow(count, f"number long, id {kind}, text string, size long").where("size > 0"), "benchmark-items")
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    parts = -(-total // block_words)
+    for part in range(parts):
+        own = rows.where(F.pmod(F.xxhash64("number"), F.lit(parts)) == part).select("number", "id", "text")
+        got = sorted(collect_bounded(own, 4 * block_words + 1000, "items of a block"), key=lambda r: r["number"])
+        if got:
+            yield [(r["id"], r["text"]) for r in got]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", n: int = N, least: float = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -245,9 +348,10 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id:
     spark = docs.sparkSession
     id_type = benchmark.schema[item_id].dataType
     out = None
-    for items in blocks(benchmark, item_id, text, n, least, block_words):
-        ids = spark.createDataFrame([(i, x) for i, x in enumerate(items.ids)], T.StructType([T.StructField("item", T.LongType()), T.StructField(item_id, id_type)]))
-        hits = mark(docs.select(F.col(doc_id), F.col(text)), items, text, "_hits", n, least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
+    for rows in blocks(benchmark, item_id, text, block_words):
+        groups, numbers = seeded(docs, text, rows, n, least)
+        ids = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], T.StructType([T.StructField("item", T.LongType()), T.StructField(item_id, id_type)]))
+        hits = mark(docs.select(F.col(doc_id), F.col(text)), groups, text, "_hits", least).select(F.col(doc_id), F.explode("_hits").alias("_hit"))
         # the ids of one block, bounded by block_words
         part = hits.select(F.col(doc_id), "_hit.*").join(F.broadcast(ids), "item").select(doc_id, item_id, "score", F.col("start").alias("first_word"), F.col("end").alias("end_word"), "seeds")
         out = part if out is None else out.unionByName(part)
@@ -261,6 +365,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
     """``docs`` without the rows that hold a test item."""
     source = benchmark.select(F.col(item_id), F.col(item_text).alias(text))
     out = docs
-    for items in blocks(source, item_id, text, n, least, block_words):
-        out = mark(out, items, text, "__hits", n, least).where(F.size("__hits") == 0).drop("__hits")
+    for rows in blocks(source, item_id, text, block_words):
+        groups, _ = seeded(docs, text, rows, n, least)
+        out = mark(out, groups, text, "__hits", least).where(F.size("__hits") == 0).drop("__hits")
     return out
