@@ -97,6 +97,23 @@ def test_filter_without_labels_or_rows(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_a_verdict_without_held_out_urls_is_calibrated_on_all_labelled(spark, tmp_path):
+    held = lambda u: __import__("hashlib").md5(u.encode()).hexdigest()[0] in "012"
+    blocked = [u for i in range(100) if not held(u := f"http://spam.net/es/win-money-{i}")][:10]
+    allowed = [f"http://good.com/article/story-{i}" for i in range(60)]
+    asked = [f"http://other.org/es/win-money-{i}" for i in range(20)] + [f"http://other.org/article/story-{i}" for i in range(20)]
+    rows = list(enumerate(blocked + allowed + asked))
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    df = queries.QUERIES["op3_url_filter"](spark, str(tmp_path))
+    got = {r["page_id"]: r["verdict"] for r in df.collect()}
+    assert {got[i] for i, u in rows if u in asked[:20]} == {"block"} and {got[i] for i, u in rows if u in asked[20:]} == {"allow"}
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert {r[0]: r[1] for r in con.execute(f"SELECT page_id, verdict FROM ({queries.ORACLE['op3_url_filter']})").fetchall()} == got
+
+
 def test_filter_is_native(spark):
     plan = url_filter.judge(spark.createDataFrame([("http://a.org/x",)], "url string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -208,3 +225,80 @@ def test_perturbations_come_in_order_of_cost():
     totals = sets @ cost
     assert (np.diff(totals) >= -1e-12).all() and len({tuple(s) for s in sets}) == len(sets)
     assert not (sets & sets[:, ::-1]).any()
+
+
+LONG = "words of a paragraph that is long enough to count as text, with a second clause and a third one after it"
+
+
+def test_training_decides_where_the_pages_say_otherwise(spark):
+    """A box of long paragraphs beside the article, in neutral tags: the prior
+    keeps its text, a model of this site's pages does not."""
+    box = lambda i: f'<div class="story">{"".join(f"<p>{LONG} {i} {k}</p>" for k in range(3))}</div>'
+    page = lambda i: f"<body>{box(i)}<article><p>{LONG} main {i}</p></article></body>"
+    pages = spark.createDataFrame([(i, page(i % 40)) for i in range(200)], "page_id long, html string")
+    fitted = html_text.train(pages)
+    assert html_text.main_text(page(99), fitted) == f"{LONG} main 99"
+    assert html_text.main_text(page(99), html_text.prior_model()).count(LONG) == 4
+    assert html_text.main_text(f'<body>{box(1)}<div class="other">{"".join(f"<p>{LONG} {k}</p>" for k in range(3))}</div></body>', fitted).count(LONG) in (0, 3)
+
+
+def test_fit_raises_the_likelihood():
+    rng = np.random.default_rng(2)
+    pages = [f"<body><nav><a href=x>menu {i}</a></nav><div><p>{LONG if rng.random() < 0.5 else 'short'}</p></div><article><h1>t</h1><p>{LONG}</p></article></body>" for i in range(30)]
+
+    def likelihood(model):
+        total = 0.0
+        for p in map(html_text.parse, pages):
+            prob, _ = html_text.marginals(p.parent, [sum(model.weights.get(f, 0.0) for f in fs) for fs in html_text.node_features(p)], model.pair)
+            total += sum(math.log(m if y else 1 - m) for m, y in zip(prob, html_text.markup_labels(p), strict=True))
+        return total
+
+    steps = [likelihood(html_text.fit(pages, steps=s)) for s in (0, 5, 60)]
+    assert steps[0] < steps[1] < steps[2]
+
+
+def test_unclosed_and_foreign_elements(model):
+    body = lambda x: f"<body><nav><a href=x>menu</a></nav><article><p>{LONG} first</p>{x}<p>{LONG} last</p></article></body>"
+    text = lambda x: html_text.main_text(body(x), model).split("\n")[1:-1]
+    assert text(f"<p>Formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here, {LONG}</p>") == [f"Formula x=1 here, {LONG}"]
+    assert text(f"<p>{LONG} <button>press</p><p>{LONG} stays</p><p>{LONG} <button>more</button></p>") == [LONG, f"{LONG} stays", LONG]
+    assert text(f"<p>{LONG} <select><option>a<option>b</select> after</p>") == [f"{LONG} after"]
+    assert text(f"<p>{LONG} <svg><title>t</title><text>no</text></svg> after</p>") == [f"{LONG} after"]
+    assert text(f"<p>{LONG}<script>if (a </p> b)</script><style>p{{}}</style> after</p>") == [f"{LONG} after"]
+
+
+@pytest.mark.parametrize("page", ["<ul><li>" * 50_000, "<b>" + "<div>" * 50_000 + "</b>" * 50_000, "<svg>" * 100_000, "<p>a<button>" * 50_000, "<template>" * 50_000, "<div>" * 100_000 + "</p>" * 50_000])
+def test_hostile_pages_take_linear_time(page, model):
+    import time
+
+    at = time.process_time()
+    html_text.main_text(page, model)
+    assert time.process_time() - at < 10
+
+
+def test_training_sample_is_of_distinct_pages(spark):
+    hot = [(i, f"<article><p>{LONG} hot</p></article>") for i in range(1500)]
+    rest = [(2000 + i, f"<article><h2>{LONG} {i}</h2></article><footer>{LONG} {i}</footer>") for i in range(30)]
+    model = html_text.train(spark.createDataFrame(hot + rest, "page_id long, html string"), most=40)
+    assert "tag:footer" in model.weights and "tag:p" in model.weights
+
+
+# --- nearest neighbours: buckets ------------------------------------------------
+
+def test_candidates_are_the_rows_of_the_visited_buckets():
+    rng = np.random.default_rng(4)
+    x = ann.unit(rng.normal(size=(300, 8)))
+    index = ann.fit(x, hashes=6, target=0.8, tables=5)
+    probed, keys = index.probe_keys(x[:20]), index.keys(x)
+    want = np.array([[any(k in set(probed[t, q].tolist()) for t, k in enumerate(row)) for row in keys.tolist()] for q in range(20)])
+    assert (ann.candidates(index, x, probed) == want).all() and index.recall >= 0.8
+
+
+def test_clustered_vectors_have_few_candidates_and_hopeless_ones_are_exact():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(200, 32))
+    x = centres[rng.integers(0, 200, 4000)] + 0.15 * rng.normal(size=(4000, 32))
+    index = ann.fit(x)
+    assert not index.exact and index.recall >= ann.TARGET and index.share < 0.05
+    none = ann.fit(rng.normal(size=(500, 64)), tables=1, hashes=18)
+    assert none.exact and ann.candidates(none, x[:10], none.probe_keys(rng.normal(size=(3, 64)))).all()
