@@ -18,11 +18,14 @@ pairs already connected are skipped, since only groups are asked for.
 Skew: large nodes of the first trees are compared with a few of their own
 members (pivots) before the trees grow, in chunks of ``block`` members.  The
 groups found label the classes, and a node whose members have one label is done:
-it cannot connect anything new.  In the blocks of the last level, members of a
-label that fills blocks of its own are not compared with one another.  So a
-group of any number of copies costs rows in proportion to its size, and no task
-holds more than two blocks.  Nodes with the same members are compared once, and
-so are equal sets of candidates from several trees.
+it cannot connect anything new.  In a large node, the members of a label of more
+than ``limit`` are compared with all others at once, block by block, and leave
+the node; they are not compared with one another.  A class whose sketch is near
+one of a label of more than ``limit`` classes is compared with all of that label,
+once, instead of in every node where they meet.  So a group of any number of
+copies costs rows in proportion to its size, and no task holds more than two
+blocks.  Nodes with the same members are compared once, and so are equal sets of
+candidates from several trees.
 
 Defined results: words are separated by blanks, A-Z lower-cased; a text of fewer
 than n words has one shingle of them all; null and empty texts have none and are
@@ -51,7 +54,7 @@ PERCENT = 80
 RECALL = 0.9999
 POSITIONS = 96
 LIMIT = 32  # members of a node that is compared exhaustively
-DEPTH = 5
+DEPTH = 4
 BLOCK = 256  # members compared with another block's at once
 STAR_TREES = 2
 PIVOTS = 3
@@ -182,13 +185,17 @@ def _roots(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def candidates(units: DataFrame, bar: int) -> DataFrame:
-    """Rows of units (u, cid, label, side, n, sketch) to (u, cid): the members of
-    each component of pairs whose sketches agree in ``bar`` bytes, whose sizes
-    allow the threshold and whose labels differ; u then names the component."""
-    names = ["u", "side", "cid", "label", "n", "sketch"]
+    """Rows of units (u, cid, label, heavy, side, n, sketch) to (u, cid, against).
+
+    Pairs count whose sketches agree in ``bar`` bytes, whose sizes allow the
+    threshold and whose labels differ.  Members of light labels give the rows of
+    each component of such pairs, u naming the component.  A member near a heavy
+    label gives one row with that label in ``against``: it is to be compared with
+    the whole label, once, wherever they met."""
+    names = ["u", "side", "cid", "label", "heavy", "n", "sketch"]
 
     def some(rows: list[np.ndarray], sketch: np.ndarray) -> pa.RecordBatch | None:
-        u, side, cid, label, n = rows
+        u, side, cid, label, heavy, n = rows
         starts = np.append(np.flatnonzero(np.diff(u, prepend=u[0] - 1 if u[0] > -(2**63) else u[0] + 1)), len(u))
         lefts, rights = [], []
         for a, b in _pairs(side, starts):
@@ -200,10 +207,19 @@ def candidates(units: DataFrame, bar: int) -> DataFrame:
         a, b = np.concatenate(lefts), np.concatenate(rights)
         if not len(a):
             return None
+        # of a pair with a heavy label, the heavy one second; of two heavy ones, that of the smaller label
+        swap = (heavy[a] > heavy[b]) | ((heavy[a] == heavy[b]) & (label[a] < label[b]))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        whole = heavy[b] > 0
+        asked = np.unique(np.column_stack([cid[a[whole]], label[b[whole]]]), axis=0)
+        a, b = a[~whole], b[~whole]
         root = _roots(len(u), a, b)
         used = np.unique(np.concatenate([a, b]))
         name = mix(u[used].view(U) + mix(root[used].astype(U) - starts[np.searchsorted(starts, root[used], side="right") - 1].astype(U)))
-        return pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(cid[used])], names=["u", "cid"])
+        none = pa.nulls(len(used), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(name.view(np.int64)), pa.array(asked[:, 1])]), pa.concat_arrays([pa.array(cid[used]), pa.array(asked[:, 0])]), pa.concat_arrays([none, pa.array(asked[:, 1])])],
+            names=["u", "cid", "against"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -233,7 +249,7 @@ def candidates(units: DataFrame, bar: int) -> DataFrame:
                 yield from ready(False)
         yield from ready(True)
 
-    return units.select(names).repartition("u").sortWithinPartitions("u", "side").mapInArrow(run, "u long, cid long")
+    return units.select(names).repartition("u").sortWithinPartitions("u", "side").mapInArrow(run, "u long, cid long, against long")
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -299,16 +315,32 @@ class _Join:
         self.df, self.id_col, self.text, self.n, self.percent = df, id_col, text, n, percent
         self.classes, self.limit, self.block = classes, limit, block
 
-    def compare(self, units: DataFrame) -> DataFrame:
-        """Edges from units (u, cid, label, side)."""
+    def near(self, units: DataFrame) -> DataFrame:
+        """``candidates`` of units (u, cid, label, heavy, side), written."""
         rows = units.join(self.classes.select("cid", "n", "sketch"), "cid")
-        near = materialise(candidates(rows, sketch_bar(self.percent / 100, POSITIONS)), "paths-candidates")
+        return materialise(candidates(rows, sketch_bar(self.percent / 100, POSITIONS)), "paths-candidates")
+
+    def edges(self, near: DataFrame) -> DataFrame:
+        """Edges by full sets between members of units (u, cid)."""
         once = near.groupBy("u").agg(*_members("cid")).groupBy("size", "f1", "f2").agg(F.min("u").alias("u")).select("u")
         near = near.join(once, "u")
         wanted = self.classes.join(near.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("first.id").alias("_id"), F.col("first.mark").alias("_mark"))
         sets = sets_of(self.df, self.id_col, self.text, self.n, wanted)
         return materialise(verify(near.join(sets, "cid"), self.percent), "paths-edges")
 
+    def against(self, asked: DataFrame, groups: DataFrame) -> DataFrame:
+        """Units that compare each asked class (cid, against) with all members
+        of the label, block by block."""
+        asked = materialise(asked.distinct(), "paths-against")
+        sizes = asked.groupBy(F.col("against").alias("label")).agg(F.ceil(F.count("*") / F.lit(self.block)).alias("askers"))
+        sizes = sizes.join(groups.groupBy("label").agg(F.ceil(F.count("*") / F.lit(self.block)).alias("holders")), "label")
+        block = lambda many: F.pmod(F.xxhash64("cid", F.lit("against")), F.col(many))
+        every = lambda many: F.explode(F.sequence(F.lit(0).cast("long"), F.col(many) - 1))
+        left = asked.withColumnRenamed("against", "label").join(sizes, "label").select("label", "cid", block("askers").alias("i"), every("holders").alias("j"), F.lit(0).alias("side"))
+        right = groups.select(F.col("v").alias("cid"), "label").join(sizes, "label").select("label", "cid", every("askers").alias("i"), block("holders").alias("j"), F.lit(1).alias("side"))
+        units = left.unionByName(right).select(F.xxhash64("label", "i", "j").alias("u"), "cid", "side")
+        return _labelled(units.withColumn("label", F.lit(0)), groups).withColumn("heavy", F.lit(0))
+
     def children(self, rows: DataFrame, choose: Column) -> DataFrame:
         """(node, cid, label) of the children of rows (node, cid, label)."""
         rows = rows.join(self.classes.select("cid", "minwise"), "cid")
@@ -324,19 +356,26 @@ class _Join:
         own = rows.join(nodes.select("node", chunks.alias("chunks")), "node").select("node", "cid", F.pmod(F.xxhash64("cid", F.lit("chunk")), "chunks").alias("chunk"), F.lit(1).alias("side"))
         head = nodes.select("node", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("cid"), chunks.alias("chunks"))
         head = head.select("node", "cid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("side"))
-        return self.compare(own.unionByName(head).select(F.xxhash64("node", "chunk").alias("u"), "cid", F.col("cid").alias("label"), "side"))
+        units = own.unionByName(head).select(F.xxhash64("node", "chunk").alias("u"), "cid", F.col("cid").alias("label"), F.lit(0).alias("heavy"), "side")
+        return self.edges(self.near(units).select("u", "cid"))
 
-    def blocks(self, rows: DataFrame) -> DataFrame:
-        """Units of the members (node, cid, label) of nodes that stayed large:
-        pairs of blocks, without those inside one label that has its own blocks."""
+    def parted(self, rows: DataFrame) -> DataFrame:
+        """Members (node, cid, label) of large nodes with ``part``: a label of more
+        than ``limit`` members is a part of its own, all others are part 0."""
         count = rows.groupBy("node", "label").agg(F.count("*").alias("own"))
-        heavy = rows.join(count.where(F.col("own") > self.block).select("node", "label", F.col("label").alias("heavy")), ["node", "label"], "left")
-        heavy = materialise(heavy.select("node", "cid", "label", F.coalesce(F.col("heavy") + 1, F.lit(0)).alias("part")), "paths-large")
-        parts = heavy.groupBy("node", "part").agg(F.ceil(F.count("*") / F.lit(self.block)).alias("many"))
+        heavy = count.where(F.col("own") > self.limit).select("node", "label", F.lit(True).alias("heavy"))
+        rows = rows.join(heavy, ["node", "label"], "left")
+        return materialise(rows.select("node", "cid", "label", F.when(F.col("heavy"), F.col("label") + 1).otherwise(0).alias("part")), "paths-large")
+
+    def blocks(self, rows: DataFrame) -> DataFrame:
+        """Units of the members (node, cid, label, part, last) of large nodes:
+        pairs of blocks of two parts, and of part 0 within itself if the node
+        does not branch on (``last``)."""
+        parts = rows.groupBy("node", "part").agg(F.ceil(F.count("*") / F.lit(self.block)).alias("many"), F.first("last").alias("last"))
         every = parts.select("node", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("many") - 1), lambda i: F.struct(F.col("part"), i.alias("i")))).alias("b"))
         every = every.groupBy("node").agg(F.collect_list("b").alias("all"))  # one entry for each block of a node
-        others = parts.join(every, "node").select("node", "part", "many", F.expr("filter(all, b -> b.part <> part or part = 0)").alias("others"))
-        got = heavy.join(others, ["node", "part"]).withColumn("own", F.struct("part", F.pmod(F.xxhash64("cid", F.lit("block")), "many").alias("i")))
+        others = parts.join(every, "node").select("node", "part", "many", F.expr("filter(all, b -> b.part <> part or (last and part = 0))").alias("others"))
+        got = rows.join(others, ["node", "part"]).withColumn("own", F.struct("part", F.pmod(F.xxhash64("cid", F.lit("block")), "many").alias("i")))
         got = got.select("node", "cid", "label", "own", F.explode("others").alias("other"))
         side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
         return got.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("u"), "cid", "label", side.alias("side"))
@@ -369,8 +408,9 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N,
     level = F.array(*[F.struct(F.lit(tree).alias("tree"), F.xxhash64(F.lit(tree), F.lit(i), F.substring("minwise", 4 * order[i % POSITIONS] + 1, 4)).alias("node")) for i, (tree, _) in enumerate(chosen)])
     rows = classes.select("cid", F.explode(level).alias("x")).select("x.tree", "x.node", "cid")
     edges = work.star(rows.where(F.col("tree") < STAR_TREES).drop("tree"))
-    rows = _labelled(rows.drop("tree"), components(edges))
-    leaves = None
+    groups = components(edges)
+    rows = _labelled(rows.drop("tree"), groups)
+    leaves = wide = None
     choose = F.when(F.pmod(F.xxhash64("node", F.lit("branches")), F.lit(1_000_000)) < round(1_000_000 * (100 / percent - most + 1)), most).otherwise(most - 1)
     for at in range(1, depth + 1):
         nodes = rows.groupBy("node").agg(*_members("cid"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("size > 1 and _lo <> _hi")
@@ -382,11 +422,21 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N,
         rest = members.where("large").drop("large")
         if rest.limit(1).count() == 0:
             break
-        if at == depth:
-            leaves = leaves.unionByName(work.blocks(rest))
-        else:
-            rows = work.children(rest, choose)
-    edges = edges.unionByName(work.compare(leaves))
+        rest = work.parted(rest)
+        marked = rest.select(F.xxhash64("node", F.lit(at)).alias("node"), "cid", "label", "part", F.lit(at == depth).alias("last"))
+        wide = marked if wide is None else wide.unionByName(marked)
+        if at < depth:
+            # what was compared with the whole node leaves it; the others branch on if they are still many
+            light = rest.where("part = 0").drop("part")
+            light = light.join(light.groupBy("node").agg(F.count("*").alias("size")), "node")
+            leaves = leaves.unionByName(light.where(F.col("size") <= limit).select(F.xxhash64("node", F.lit(at), F.lit("light")).alias("u"), "cid", "label", F.lit(2).alias("side")))
+            rows = work.children(light.where(F.col("size") > limit).drop("size"), choose)
+    if wide is not None:
+        leaves = leaves.unionByName(work.blocks(wide))
+    large = groups.groupBy("label").agg(F.count("*").alias("held")).where(F.col("held") > limit).select("label", F.lit(1).alias("heavy"))
+    near = work.near(leaves.join(large, "label", "left").withColumn("heavy", F.coalesce("heavy", F.lit(0))))
+    whole = work.near(work.against(near.where("against is not null").select("cid", "against"), groups))
+    edges = edges.unionByName(work.edges(near.where("against is null").select("u", "cid").unionByName(whole.select("u", "cid"))))
     groups = components(edges)
     out = _labelled(classes.select("cid", "k1", "k2", F.col("first.none").alias("none"), F.col("first.id").alias("id")), groups)
     least = out.groupBy("label").agg(F.min(F.struct("none", "id")).alias("least"))
