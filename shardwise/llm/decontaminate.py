@@ -3,13 +3,13 @@
 An alignment (linear gaps, a row of the matrix at a time: the gap inside the row
 is a running maximum) that reaches ``least`` of the item's own score has few
 breaks, so it holds at least ``count`` of the item's ``k``-grams within a certain
-number of words of the text (``needs_of``).  Leaving out ``count - 1`` of them, one
-that is left is still held: so an item's seeds are its rarest k-grams, all but
-the ``count - 1`` most frequent ones in the documents (absent ones count as
-rarest), of that k from 1 to n whose seeds occur least often.  A first pass
+number of words of the text (``needs_of``).  Leaving out ``count - HOLD`` of them,
+``HOLD`` of those left are still held: so an item's seeds are its rarest k-grams,
+all but the ``count - HOLD`` most frequent ones in the documents (absent ones count
+as rarest), of that k from 1 to n whose seeds occur least often.  A first pass
 counts the items' k-grams over all documents, a second one looks for the seeds
-and aligns every place that holds one, unless too few of the words around it are
-the item's.  So every pair that reaches ``least`` is reported, however the words
+and aligns every place with ``HOLD`` of them in reach, unless too few of the words
+around it are the item's.  So every pair that reaches ``least`` is reported, however the words
 were substituted, inserted or dropped, and whatever other documents hold; the
 counts decide only how many places are looked at.
 
@@ -40,6 +40,7 @@ from shardwise.llm.textvec import SLICE_CHARS, U, Words, shingles, words
 N = 3  # words in a seed, at most
 LEAST = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
+HOLD = 2  # rare seeds that every alignment holds, where it holds as many k-grams
 BLOCK_WORDS = 500_000
 FILTER_BITS = 22
 HITS = 4_000_000  # of items' seeds in texts, handled at once in a task
@@ -146,12 +147,12 @@ def seeds_of(items: Items, kept: list[np.ndarray] | None = None) -> Seeds:
     return Seeds(np.searchsorted(gram[order], np.arange(len(items.grams) + 1)), item[order])
 
 
-def rarest(of: np.ndarray, frequency: np.ndarray, count: int) -> tuple[np.ndarray, int]:
+def rarest(of: np.ndarray, frequency: np.ndarray, count: int, hold: int = HOLD) -> tuple[np.ndarray, int]:
     """An item's grams (of: by place) without the most frequent ones that take
-    up fewer than ``count`` places; how many of the rest an alignment holds."""
+    up ``count - hold`` places or fewer; how many of the rest an alignment holds."""
     grams, places = np.unique(of, return_counts=True)
     order = np.lexsort((grams, -frequency[grams]))
-    gone = np.cumsum(places[order]) < count
+    gone = np.cumsum(places[order]) <= max(0, count - hold)
     # the first that does not fit ends it: what follows is rarer
     n = int(np.argmin(gone)) if not gone.all() else len(gone) - 1
     return np.sort(grams[order[n:]]), count - int(places[order[:n]].sum())

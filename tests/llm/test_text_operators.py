@@ -180,6 +180,84 @@ def test_license_rules_and_suppression(spark, text, labels):
     assert not any(a != b and b[0] <= a[0] and a[1] <= b[1] for a in spans for b in spans)
 
 
+def _sample(tree, rng):
+    """A text that a parsed expression matches."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, x = arg[rng.randrange(len(arg))]
+            out += chr(x) if str(kind) == "LITERAL" else chr(rng.randint(*x))
+        elif name == "SUBPATTERN":
+            out += _sample(arg[3], rng)
+        elif name == "BRANCH":
+            out += _sample(rng.choice(arg[1]), rng)
+        else:
+            low, high, inner = arg
+            out += "".join(_sample(inner, rng) for _ in range(rng.randint(low, min(high, 3))))
+    return out
+
+
+def test_every_match_of_a_rule_holds_its_keyword():
+    import random
+    import re._parser as parser
+
+    rng, rules = random.Random(1), licenses.signature_rules()
+    assert len(licenses.NAMES) + len(licenses.SPDX) + len(licenses.TEXTS) + len(licenses.FAMILIES) > 200
+    for r in rules:
+        for _ in range(20):
+            text = _sample(parser.parse(r.regex), rng)
+            assert re.fullmatch(r.regex, text) and any(f" {k} " in f" {text} " for k in r.keywords), (r, text)
+            assert not r.named or any(f" {k} " in f" {text} " for k in licenses.LICENSE_WORDS), (r, text)
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("SPDX-License-Identifier: MIT", {"mit"}),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", {"gpl-2.0-or-later"}),
+    ("SPDX-License-Identifier: LGPL-2.1-only", {"lgpl-2.1-only"}),
+    ("SPDX-License-Identifier: BUSL-1.1", {"bsl-1.1"}),
+    ("Business Source License 1.1", {"bsl-1.1"}),
+    ("SIL Open Font License 1.1", {"ofl-1.1"}),
+    ("licensed under the Microsoft Public License (Ms-PL)", {"ms-pl"}),
+    ("Python Software Foundation License Version 2", {"psf-2.0"}),
+    ("under the Server Side Public License, version 1", {"sspl-1.0"}),
+    ("GNU General Public License, version 2 or (at your option) any later version", {"gpl-2-or-later"}),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products", {"bsd-3-clause"}),
+    ("Apache-2.0 WITH LLVM-exception", {"apache-2.0", "llvm-exception"}),
+])
+def test_signatures_of_names_and_texts(spark, text, labels):
+    got = licenses.scan(docs_df(spark, [f"words before {text} words after"])).first()
+    assert {d["label"] for d in got["detections"]} == labels
+
+
+def test_suppression_equals_all_pairs(spark):
+    """Overlapping rules over random texts against the definition."""
+    rng = np.random.default_rng(9)
+    rules = [licenses.Rule(f"r{i}", ("a", "b", "c"), regex, p, 0.5) for i, (regex, p) in enumerate([("a", 1), ("a b", 1), ("a b c", 2), ("b c", 3), ("b", 1), ("(?:a )?b(?: c)?", 2), ("c a", 3), ("c(?: a)?(?: b)?", 1), ("a", 1), ("a b c a b", 0)])]
+    texts = [" ".join(rng.choice(list("abcd"), int(n))) for n in rng.integers(0, 60, 40)]
+    for r in licenses.scan(docs_df(spark, texts), rules=rules).collect():
+        padded = f" {texts[r['doc_id']]} "
+        every = []
+        for i, rule in enumerate(rules):
+            for m in re.finditer(f"(?<= )(?:{rule.regex})(?= )", padded):
+                start = padded[: m.start()].count(" ") - 1
+                every.append((start, start + m[0].count(" ") + 1, i, rule.priority))
+        covers = lambda e, d: e[0] <= d[0] and e[1] >= d[1] and (e[3] > d[3] or e[3] == d[3] and (e[1] - e[0] > d[1] - d[0] or e[:2] == d[:2] and e[2] < d[2]))
+        want = sorted((d[0], d[1], d[2]) for d in every if not any(covers(e, d) for e in every))
+        assert sorted((d["start"], d["end"], d["rule"]) for d in r["detections"]) == want
+
+
+def test_very_many_mentions_in_one_text(spark):
+    import time
+
+    text = "licensed under the mit license and all rights reserved, " * 40_000
+    at = time.time()
+    got = licenses.scan(docs_df(spark, [text])).select(F.size("detections").alias("n"), "score").first()
+    assert got["n"] >= 40_000 and time.time() - at < 90
+
+
 def test_license_scan_is_native(spark, hard):
     plan = licenses.scan(docs_df(spark, hard))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -348,7 +426,7 @@ def test_rare_seeds_leave_out_the_frequent_grams(spark):
     s = textvec.shingles(w, g.items.n)
     hits = lambda grams: len(decontaminate.found(s.hashes, grams, decontaminate.bits_of(grams))[0])
     kept = g.items.grams[np.flatnonzero(np.diff(g.seeds.start))]
-    assert hits(kept) < 0.6 * hits(g.items.grams) and len(g.items.of[0]) - len(kept) <= count - 1 + len(g.items.of[0]) - len(g.items.grams)
+    assert hits(kept) < 0.8 * hits(g.items.grams) and len(g.items.grams) - len(kept) <= count - 1
     own = textvec.words([" ".join(item)]).hashes
     split = [w.hashes[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:], strict=True)]
     want = {i for i, t in enumerate(split) if decontaminate.align(own, t)[0] >= 0.6 * 60}
@@ -364,7 +442,7 @@ def test_rarest_keeps_what_an_alignment_must_hold():
         frequency = rng.integers(0, 50, 12)
         kept, need = decontaminate.rarest(of, frequency, count)
         gone = [g for g in of.tolist() if g not in set(kept.tolist())]
-        assert need == count - len(gone) >= 1 and len(kept) >= 1
+        assert need == count - len(gone) >= min(count, decontaminate.HOLD) and len(kept) >= 1
         assert not gone or min(frequency[gone]) >= max(frequency[kept])
 
 
