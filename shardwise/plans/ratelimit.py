@@ -138,9 +138,14 @@ def cap_records_per_shard(logs: DataFrame, n: int, starts: DataFrame | None = No
         return logs.where(F.lit(False))
     lo = min(x[3] for x in srows) // 1_000_000_000
     plan = literal_table(spark, srows, plan_schema)
+    from shardwise.sources.batch import COVER_MAX_ROWS, covered  # noqa: PLC0415 (batch imports plans)
+
+    near = logs.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
+    if len(srows) <= COVER_MAX_ROWS:
+        # each shard from its own start to its end, in groups: one far behind does not widen the others' scan
+        near = covered(near, [(x[2], x[3] // 1_000_000_000, bounds[x[:3]]["end_time"]) for x in srows if x[:3] in bounds])
     r = (
-        logs.where((F.col("cursor_time") >= F.lit(lo)) & (F.col("dt") >= F.lit(_day_of(lo))))
-        .join(plan, SHARD_KEY)
+        near.join(plan, SHARD_KEY)
         .where(F.col("cursor") >= F.col("start_cursor"))
         .drop("start_cursor")
     )

@@ -1,24 +1,30 @@
 """Batch reads of a log store: offset ranges, time ranges, slices, cursor
 lookups and start positions.
 
-A range read keeps literal global bounds on ``cursor_time`` and ``dt`` so
-Parquet pushdown and partition pruning apply, and expresses the per-shard
-part as a semi-join on the shard key, broadcast behind a size check.
+A range read keeps literal bounds on ``cursor_time`` and ``dt``, over all and for
+groups of shards, so Parquet pushdown and partition pruning apply, and expresses
+the per-shard part as a semi-join on the shard key, broadcast behind a size check.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import heapq
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardwise.functions.shape import cursor_to_b64, whole_units, with_json_record
-from shardwise.model import index_of
+from shardwise.model import index_of, literal_table
 from shardwise.plans.offsets import SHARD_KEY, shard_bounds
 
 # A range table is broadcast up to this many rows and shuffled above.
 BROADCAST_MAX_ROWS = 200_000
+# Ranges up to this many are grouped into at most so many literal predicates,
+# which name their shards if these are few.
+COVER_MAX_ROWS = 20_000
+COVER_CLUSTERS = 16
+COVER_SHARDS = 200
 
 START_MODES = ("BEGIN_CURSOR", "END_CURSOR", "SPECIAL_TIMER_CURSOR")
 
@@ -44,24 +50,85 @@ def bounded(logs: DataFrame, lo: int, hi: int) -> DataFrame:
     )
 
 
+def interval_cover(rows: list[tuple], most: int = COVER_CLUSTERS) -> list[tuple]:
+    """At most ``most`` (lo, hi, shards) that cover the ranges (shard, start,
+    end).  Neighbours in order of their start are merged, always the pair whose
+    union reads least beyond its parts (seconds times shards)."""
+    by_range: dict[tuple, set] = {}
+    for shard, lo, hi in rows:
+        if hi > lo:
+            by_range.setdefault((lo, hi), set()).add(shard)
+    parts = [[lo, hi, shards] for (lo, hi), shards in sorted(by_range.items())]
+    after = [*range(1, len(parts)), -1]
+    before = [-1, *range(len(parts) - 1)]
+
+    def extra(i: int) -> tuple:
+        a, b = parts[i], parts[after[i]]
+        together = (max(a[1], b[1]) - a[0]) * len(a[2] | b[2])
+        return together - (a[1] - a[0]) * len(a[2]) - (b[1] - b[0]) * len(b[2]), i, after[i], id(a[2]), id(b[2])
+
+    heap = [extra(i) for i in range(len(parts) - 1)]
+    heapq.heapify(heap)
+    left = len(parts)
+    while heap and (left > most or heap[0][0] <= 0):
+        _, i, j, a, b = heapq.heappop(heap)
+        if parts[i] is None or parts[j] is None or after[i] != j or (id(parts[i][2]), id(parts[j][2])) != (a, b):
+            continue  # one of them was merged since
+        parts[i] = [parts[i][0], max(parts[i][1], parts[j][1]), parts[i][2] | parts[j][2]]
+        parts[j], after[i] = None, after[j]
+        if after[i] >= 0:
+            before[after[i]] = i
+            heapq.heappush(heap, extra(i))
+        if before[i] >= 0:
+            heapq.heappush(heap, extra(before[i]))
+        left -= 1
+    return [tuple(p) for p in parts if p is not None]
+
+
+def covered(logs: DataFrame, rows: list[tuple]) -> DataFrame:
+    """``logs`` within the cover of the ranges (shard, start, end): literal
+    bounds on days and seconds for groups of shards, so a shard that lags far
+    behind does not widen the scan of the others."""
+    parts = interval_cover(rows)
+    if not parts:
+        return logs.where(F.lit(False))
+    base = bounded(logs, min(p[0] for p in parts), max(p[1] for p in parts))
+    if len(parts) == 1:
+        return base
+    any_ = F.lit(False)
+    for lo, hi, shards in parts:
+        one = (F.col("dt") >= F.lit(epoch_day(lo))) & (F.col("dt") <= F.lit(epoch_day(hi - 1))) & (F.col("cursor_time") >= F.lit(lo)) & (F.col("cursor_time") < F.lit(hi))
+        any_ = any_ | (one & F.col("shard").isin(sorted(shards)) if len(shards) <= COVER_SHARDS else one)
+    return base.where(any_)
+
+
 def scan_range(logs: DataFrame, ranges: DataFrame) -> DataFrame:
     """All logs with ``start_time <= cursor_time < end_time`` of their shard,
     each once, however many ranges of a shard hold it.
 
     ``ranges`` is a control table (shard key, ``start_time``, ``end_time``; a
-    null bound is an error).  Its size and outer bounds come back as one row:
-    literal bounds prune days and row groups, and the per-shard part is a
+    null bound is an error).  Up to ``COVER_MAX_ROWS`` of its rows come back and
+    make literal bounds per group of shards that prune days and row groups
+    (``covered``); of more, only the outer bounds.  The exact per-shard part is a
     semi-join on the shard key, broadcast behind the size check."""
     rng = ranges.select(*SHARD_KEY, F.col("start_time").alias("_s"), F.col("end_time").alias("_e")).distinct()
-    size = rng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s").isNull() | F.col("_e").isNull()).alias("open"),
-                   F.min("_s").alias("lo"), F.max("_e").alias("hi")).first()
+    rows = rng.limit(COVER_MAX_ROWS + 1).collect()
+    if len(rows) <= COVER_MAX_ROWS:
+        size = {"open": sum(r["_s"] is None or r["_e"] is None for r in rows), "n": len(rows)}
+    else:
+        size = rng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s").isNull() | F.col("_e").isNull()).alias("open"),
+                       F.min("_s").alias("lo"), F.max("_e").alias("hi")).first()
     if size["open"]:
         raise ValueError(f"{size['open']} ranges lack a start or an end")
     if not size["n"]:
         return logs.where(F.lit(False))
+    if len(rows) <= COVER_MAX_ROWS:
+        rng = literal_table(logs.sparkSession, [tuple(r) for r in rows], rng.schema)
+        base = covered(logs, [(r["shard"], r["_s"], r["_e"]) for r in rows])
+    else:
+        base = bounded(logs, size["lo"], size["hi"])
     if size["n"] <= BROADCAST_MAX_ROWS:
         rng = F.broadcast(rng)
-    base = bounded(logs, size["lo"], size["hi"])
     inside = [base[c] == rng[c] for c in SHARD_KEY] + [base["cursor_time"] >= rng["_s"], base["cursor_time"] < rng["_e"]]
     cond = inside[0]
     for c in inside[1:]:

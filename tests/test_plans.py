@@ -71,3 +71,61 @@ def test_cap_bounds_the_scan_with_an_idle_shard(spark, logs):
 def test_control_queries_read_the_index(spark):
     for name in ("earliest_offsets", "latest_offsets", "clamp_specific_offset", "resolve_sentinels", "start_from_checkpoint", "skip_exhausted_shards"):
         assert "FileScan parquet" in _plan(spark, name), name
+
+
+def _behind(spark):
+    """Three shards of thirty days; shard 0 is read from its first day on, the
+    others from their last."""
+    from tests.test_lossless import BASE, make_logs, put
+    from shardwise.session import scratch_dir
+    from shardwise.sources.reader import open_store
+
+    path, day = scratch_dir(spark, "behind"), 86_400 * 10**9
+    put(spark, make_logs(spark, [("s", k, BASE + d * day + k, {"m": "x"}) for d in range(30) for k in range(3)]), path)
+    starts = {0: BASE // 10**9, 1: (BASE + 29 * day) // 10**9, 2: (BASE + 29 * day) // 10**9}
+    return open_store(spark, path), starts, (BASE + 30 * day) // 10**9
+
+
+def _filters(spark, df):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    return [x.split("PushedFilters")[0] for x in p.split("PartitionFilters:")[1:]], p
+
+
+def test_a_shard_that_lags_does_not_widen_the_scan_of_the_others(spark):
+    from shardwise.model import literal_table
+    from shardwise.plans import ratelimit as rl
+    from shardwise.sources.batch import scan_range
+
+    logs, starts, end = _behind(spark)
+    ranges = literal_table(spark, [("p", "s", k, t, t + 86_400 if k == 0 else end) for k, t in starts.items()],
+                           "log_project string, log_store string, shard int, start_time bigint, end_time bigint")
+    df = scan_range(logs, ranges)
+    filters, plan = _filters(spark, df)
+    # two groups of days, 2024-01-01 and 2024-01-30: the days between are no partition of the scan
+    assert "2024-01-01" in filters[0] and "2024-01-30" in filters[0] and " OR " in filters[0]
+    assert sorted((r["shard"], r["cursor_time"]) for r in df.collect()) == sorted(starts.items())
+    assert "shard" in plan.split("PushedFilters:")[1].split("ReadSchema")[0]
+    capped = rl.cap_records_per_shard(logs, 2, start_rows=[("p", "s", k, t * 10**9) for k, t in starts.items()])
+    assert " OR " in _filters(spark, capped)[0][0]
+    assert capped.count() == 2 + 1 + 1
+
+
+def test_interval_cover_holds_every_range_in_few_parts():
+    import random
+
+    from shardwise.sources.batch import interval_cover
+
+    rnd = random.Random(5)
+    for n in (0, 1, 7, 60, 3000):
+        rows = [(rnd.randrange(50), a := rnd.randrange(10**6), a + rnd.randrange(0, 3000)) for _ in range(n)]
+        parts = interval_cover(rows, 8)
+        assert len(parts) <= 8
+        for shard, lo, hi in rows:
+            assert hi <= lo or any(p[0] <= lo and hi <= p[1] and shard in p[2] for p in parts)
+    far = [(0, 0, 10)] + [(k, 1000, 1010) for k in range(1, 100)]
+    assert sorted((lo, hi, len(s)) for lo, hi, s in interval_cover(far, 2)) == [(0, 10, 1), (1000, 1010, 99)]
+    assert len(interval_cover([(k, 5, 9) for k in range(40)], 16)) == 1
