@@ -288,7 +288,7 @@ def compact(spark: SparkSession, path: str, target_rows: int = 2_000_000, most:
         total = sum(r["n"] for r in rs)
         write_id = f"{COMPACT_PREFIX}{uuid.uuid4().hex}"
         records = read_folders(spark, path, [folder(spark, r["log_store"], r["dt"], r["write_id"]) for r in rs])
-        write_log_store(records, path, write_id, rows=total)
+        write_log_store(records, path, write_id, rows=total, one_task=True)
         write_index(records, path, write_id)
         entry = publish(spark, path, write_id, total, [(r["log_store"], r["dt"], r["write_id"]) for r in rs], kind="compact")
     return {"entry": entry, "folders": sum(len(r) for r in rounds.values()), "writes": len(rounds)}

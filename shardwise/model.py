@@ -143,7 +143,11 @@ def derive_logs(events: DataFrame, project: str = PROJECT, store: str = STORE,
 ROWS_PER_WRITE_PARTITION = 2_000_000
 
 
-def write_log_store(logs: DataFrame, path: str, write_id: str, rows: int | None = None) -> None:
+# A write of no more records than this may be sorted and written by one task.
+SMALL_WRITE_ROWS = 200_000
+
+
+def write_log_store(logs: DataFrame, path: str, write_id: str, rows: int | None = None, one_task: bool = False) -> None:
     """Write records in the store layout: partitioned by (log_store, dt,
     write_id), sorted by (shard, cursor) inside files.  Range partitioning keeps
     a hot day or shard spread over many tasks.
@@ -152,10 +156,13 @@ def write_log_store(logs: DataFrame, path: str, write_id: str, rows: int | None
     leaves its records once.  A write of more than ``ROWS_PER_WRITE_PARTITION``
     records (``rows``, when known) for each shuffle partition gets as many range
     partitions as that takes; any other gets the shuffle partitions, which AQE
-    coalesces by size, so a small write leaves one file a day."""
+    coalesces by size, so a small write leaves one file a day.  With ``one_task``
+    a write of up to ``SMALL_WRITE_ROWS`` (known) records needs no range sample."""
     order = ["log_store", "dt", "shard", "cursor"]
     n = -(-int(rows or 0) // ROWS_PER_WRITE_PARTITION)
-    if n > int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    if one_task and rows is not None and rows <= SMALL_WRITE_ROWS:
+        r = logs.repartition(1)
+    elif n > int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         r = logs.repartitionByRange(n, *order)
     else:
         r = logs.repartitionByRange(*order)

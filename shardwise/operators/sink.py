@@ -211,7 +211,7 @@ def write_logs(items: DataFrame, path: str, project: str, store: str, mode: str
                 return counts
         if counts["written"]:
             records = store_records(staged, project, store, base)
-            write_log_store(records, path, write_id, rows=counts["written"])
+            write_log_store(records, path, write_id, rows=counts["written"], one_task=True)
             write_index(records, path, write_id)
         publish(spark, path, write_id, counts["written"])
         return counts

@@ -360,7 +360,7 @@ def q_receiver_stream_union(spark, sf_dir):
 SCAN_SQL = 'SELECT log_project, log_store, shard, "cursor", cursor_time, log_time, topic, source, c_msg AS msg FROM logs'
 
 
-def _share(spark, sf_dir, parts: int = 6) -> int:
+def _share(spark, sf_dir, parts: int = 5) -> int:
     """Logs of a trigger so that the store takes about ``parts`` of them."""
     return max(1, log_store(spark, sf_dir).count() // parts)
 
