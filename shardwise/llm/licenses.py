@@ -342,11 +342,18 @@ def _base_places(padded: Column, n_words: Column, phrase: str) -> Column:
     return F.when(F.contains(padded, F.lit(f" {phrase} ")), found)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _scan(values: Column, empty: Column, combine) -> Column:
     """Running ``combine`` of an array of numbers, by doubling steps: in step s
     every place takes in the one s before it."""
-    steps = F.filter(F.expr("transform(sequence(0, 30), k -> shiftleft(1, k))"), lambda k: k < F.size(values))
-    return F.aggregate(steps, values, lambda a, s: F.transform(a, lambda x, i: combine(x, F.when(i >= s, F.get(a, i - s)).otherwise(empty))))
+    powers = F.expr("transform(sequence(0, 30), k -> shiftleft(1, k))")
+    return _let(values, lambda v: F.aggregate(
+        F.slice(powers, 1, F.ceil(F.log2(F.greatest(F.size(v), F.lit(1)).cast("double"))).cast("int")), v,
+        lambda a, s: F.transform(a, lambda x, i: combine(x, F.when(i >= s, F.get(a, i - s)).otherwise(empty)))))
 
 
 def _matches(padded: Column, r: Column) -> Column:
@@ -354,18 +361,20 @@ def _matches(padded: Column, r: Column) -> Column:
     holds a match, its end mark and the text up to the next match; a match starts
     behind the words of all pieces before it."""
     marked = F.split(F.regexp_replace(padded, r["regex"], F.lit(f"{MARK}$0{CLOSE}")), MARK)
-    # blanks between two matches: one more than the words; the first piece has its leading blank
-    sizes = F.transform(marked, lambda p: F.when(F.contains(p, F.lit(CLOSE)), _blanks(F.substring_index(p, CLOSE, 1)) + _blanks(F.substring_index(p, CLOSE, -1))).otherwise(_blanks(p) - 1))
-    ends = _scan(sizes, F.lit(0), lambda a, b: a + b)
+
+    def words_of(p: Column) -> Column:
+        # blanks between two matches: one more than the words; the first piece has its leading blank
+        return F.when(F.contains(p, F.lit(CLOSE)), _blanks(F.substring_index(p, CLOSE, 1)) + _blanks(F.substring_index(p, CLOSE, -1))).otherwise(_blanks(p) - 1)
 
     def place(pieces: Column, before: Column) -> Column:
-        rest = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        rest = F.slice(pieces, 2, F.size(pieces) - 1)
         return F.transform(rest, lambda p, i: F.struct(
             r["label"].alias("label"), r["priority"].alias("priority"), r["weight"].alias("weight"), r["rule"].alias("rule"),
             F.get(before, i).alias("start"), (F.get(before, i) + _blanks(F.substring_index(p, CLOSE, 1)) + 1).alias("end")))
 
-    both = F.array(F.struct(marked.alias("pieces"), ends.alias("before")))  # bound once
-    return F.flatten(F.transform(both, lambda x: place(x["pieces"], x["before"])))
+    found = lambda m: _let(_scan(F.transform(m, words_of), F.lit(0), lambda a, b: a + b), lambda before: place(m, before))
+    # most rules that a keyword lets through match nowhere
+    return _let(marked, lambda m: F.when(F.size(m) > 1, found(m)).otherwise(F.expr("cast(array() as array<struct<label:string,priority:int,weight:double,rule:int,start:int,end:int>>)")))
 
 
 def _uncovered(found: Column) -> Column:
@@ -377,10 +386,10 @@ def _uncovered(found: Column) -> Column:
 
     def of_priority(ds: Column, v: Column) -> Column:
         reach = _scan(F.transform(ds, lambda d: F.when(d["priority"] >= v, d["end"]).otherwise(-1)), F.lit(-1), F.greatest)
-        return F.aggregate(F.array(reach), F.filter(ds, lambda d: F.lit(False)), lambda _, m: F.filter(ds, lambda d, i: (d["priority"] == v) & ((i == 0) | (F.get(m, i - 1) < d["end"]))))
+        return _let(reach, lambda m: F.filter(ds, lambda d, i: (d["priority"] == v) & ((i == 0) | (F.get(m, i - 1) < d["end"]))))
 
     levels = lambda ds: F.array_distinct(F.transform(ds, lambda d: d["priority"]))
-    return F.flatten(F.flatten(F.transform(F.array(in_order), lambda ds: F.transform(levels(ds), lambda v: of_priority(ds, v)))))
+    return _let(in_order, lambda ds: F.flatten(F.transform(levels(ds), lambda v: of_priority(ds, v))))
 
 
 def gate(padded: Column, rules: list[Rule]) -> Column:
