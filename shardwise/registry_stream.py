@@ -451,6 +451,15 @@ def q_late_data_drop(spark, sf_dir):
     )
 
 
+def _table_stream(spark, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files, whether it is one file or a folder of
+    them.  The braces make the path a pattern: only then is the given base path
+    kept (the stream's own path would be it, which one file cannot be)."""
+    base = sf_dir.rstrip("/")
+    r = spark.readStream.schema(table(spark, sf_dir, name).schema).option("basePath", base).option("maxFileAge", "36500d")
+    return r.parquet(f"{base}/{{{name}.parquet}}")
+
+
 DUCK_WORDS = """SELECT w AS word, count(*) AS "count" FROM (SELECT unnest(string_split(text, ' ')) w FROM documents) GROUP BY w"""
 
 
@@ -460,8 +469,7 @@ def q_word_count_stream(spark, sf_dir):
     """Java-style split (trailing empty tokens dropped; every text gets some) in
     update mode into a log store: a batch appends the words it changes, readers
     take each word's newest item."""
-    schema = table(spark, sf_dir, "documents").schema
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    docs = _table_stream(spark, sf_dir, "documents")
     counts = an.word_count(docs.withColumn("text", F.concat("text", F.lit("  "))), "text", java_split=True)
     out = scratch_dir(spark, "q3-store")
     sink = sk.log_store_sink(out, "analytics", "words", "q3", n_shards=4)

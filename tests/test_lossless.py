@@ -233,3 +233,33 @@ def test_a_changed_source_is_derived_anew(spark):
     first = log_store(spark, folder).count()
     events.limit(300).write.parquet(f"{folder}/events.parquet/part=2")
     assert (first, log_store(spark, folder).count()) == (100, 400)
+
+
+@pytest.mark.parametrize("files", ["documents.parquet", "documents.parquet/part-{}.parquet", "documents.parquet/lang={}/part.parquet"])
+def test_word_count_stream_reads_a_table_of_one_file_or_of_many(spark, tmp_path, files):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from shardwise.registry_stream import q_word_count_stream
+
+    def put_texts(name, texts):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}), path)
+
+    texts = ["a  b  ", "b \n ", None, "   ", "", "a b", "a b"]
+    if "{}" in files:
+        for i in range(3):
+            put_texts(files.format(i), texts[i::3])
+    else:
+        put_texts(files, texts)
+    put_texts("pages.parquet", ["not counted"])
+    got = sorted(tuple(r) for r in q_word_count_stream(spark, str(tmp_path)).collect())
+    assert got == [("", 1), ("\n", 1), ("a", 3), ("b", 4)]
+
+
+def test_word_count_stream_without_words(spark, tmp_path):
+    from shardwise.registry_stream import q_word_count_stream
+
+    literal_table(spark, [(1, None), (2, " "), (3, "")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert q_word_count_stream(spark, str(tmp_path)).collect() == []
